@@ -99,26 +99,36 @@ def batches_of(schema: pa.Schema, pieces: Iterator[tuple[np.ndarray, ...]], rows
         yield flush()
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
-    """Over rows sorted by their first `keys` columns: (columns, start of each row's run, end of it).
+def run_lengths(batches: Iterator[pa.RecordBatch], keys: int, cap: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Over rows sorted by their first `keys` columns: (columns, length of each row's run, cap at most).
 
-    A run that a batch ends in is carried over to the next one, so runs come whole.
-    Use :func:`repeats` where a run may be too long to hold.
+    Fewer than `cap` rows of a run are ever held, so one run may span any number of batches.
     """
     held: list[np.ndarray] | None = None
+    over: list | None = None  # the key of an open run that has reached cap
     for batch in batches:
         columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if over is not None and len(columns[0]):
+            same = np.logical_and.reduce([c == k for c, k in zip(columns, over, strict=False)])
+            n = len(same) if same.all() else int(np.argmin(same))
+            yield [c[:n] for c in columns], np.full(n, cap)
+            columns = [c[n:] for c in columns]
         if held is not None:
             columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
-        held = columns
-        starts = _run_starts(columns, keys)
-        if len(starts) < 2:
+        if not len(columns[0]):
             continue
-        last = starts[-1]
-        held = [c[last:] for c in columns]
-        yield _with_runs([c[:last] for c in columns], starts[:-1], last)
-    if held is not None and len(held[0]):
-        yield _with_runs(held, _run_starts(held, keys), len(held[0]))
+        starts = _run_starts(columns, keys)
+        over, last = None, int(starts[-1])
+        if len(columns[0]) - last >= cap:
+            over, held = [c[last] for c in columns[:keys]], None
+        else:
+            held = [c[last:] for c in columns]
+            columns, starts = [c[:last] for c in columns], starts[:-1]
+        if len(starts):
+            lengths = np.diff(np.append(starts, len(columns[0])))
+            yield columns, np.minimum(np.repeat(lengths, lengths), cap)
+    if held is not None:
+        yield held, np.full(len(held[0]), min(len(held[0]), cap))
 
 
 def _run_starts(columns: list[np.ndarray], keys: int) -> np.ndarray:
@@ -130,11 +140,6 @@ def _run_starts(columns: list[np.ndarray], keys: int) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _with_runs(columns, starts, end):
-    lengths = np.diff(np.append(starts, end))
-    return columns, np.repeat(starts, lengths), np.repeat(starts + lengths, lengths)
-
-
 def repeats(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]]:
     """Over rows sorted by their first `keys` columns, hold one row of a run at a time.
 

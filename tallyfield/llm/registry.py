@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import ngram_jaccard, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_ngram_jaccard": ngram_jaccard.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op2_ngram_jaccard": ngram_jaccard.SQL,
 }

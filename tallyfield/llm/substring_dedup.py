@@ -71,24 +71,9 @@ def _emit_seeds(window, seed_words):
 
 
 def _recurring(batches, schema):
-    """(doc_id, ordinal) of rows whose hash has another row; one row of a hash is held."""
-    held = None
-
-    def pieces():
-        nonlocal held
-        for (h, doc, ordinal), later, heads in S.repeats(batches, 1):
-            if held is not None and later[0]:
-                yield held
-            held = None
-            starts_run = ~later
-            twice = np.zeros(len(h), bool)
-            twice[:-1] = later[1:] & starts_run[:-1]
-            keep = later | twice
-            yield doc[keep], ordinal[keep]
-            if starts_run[-1]:
-                held = (doc[-1:], ordinal[-1:])
-
-    yield from S.batches_of(schema, pieces())
+    """(doc_id, ordinal) of rows whose hash has another row."""
+    found = S.run_lengths(batches, 1, 2)
+    yield from S.batches_of(schema, ((doc[n > 1], ordinal[n > 1]) for (_, doc, ordinal), n in found))
 
 
 def _emit_phrases(window, seed_words):
