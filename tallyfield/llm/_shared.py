@@ -13,12 +13,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words whose hash a Python worker keeps; beyond it hashes are computed anew.
-WORD_CACHE = 1 << 18
+#: Bytes of text that are hashed at once.
+CHUNK = 1 << 20
+_SPACES = tuple(bytes([c]) for c in b" \t\n\x0b\x0c\r")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
@@ -39,19 +39,70 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < WORD_CACHE:
-            self[word] = h
-        return h
-
-
-_hash_of = _WordHashes().__getitem__
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hash_of, words), np.uint64, len(words))
+#: A random value for each byte, and powers (and their inverses) of the multiplier.
+_BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
+_powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
+
+
+def _powers_of(m: np.uint64, n: int) -> np.ndarray:
+    if len(_powers[m]) < n:
+        p = np.full(n, m, np.uint64)
+        p[0] = 1
+        _powers[m] = np.cumprod(p, dtype=np.uint64)
+    return _powers[m][:n]
+
+
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the first byte of each word, and of the byte after it."""
+    b = np.frombuffer(data, np.uint8)
+    space = np.ones(len(b) + 2, bool)
+    space[1:-1] = (b == 32) | (b - np.uint8(9) < 5)
+    return np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+
+
+def _hash_piece(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    b = np.frombuffer(data, np.uint8)
+    sums = np.zeros(len(b) + 1, np.uint64)
+    np.cumsum(_BYTE[b] * _powers_of(_MULTIPLIER, len(b)), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(b))[starts])
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text: a polynomial over its bytes, by prefix sums.
+
+    A long text is hashed in pieces cut at white space, so memory follows CHUNK."""
+    out, at = [], 0
+    while at < len(data):
+        end = len(data)
+        if end - at > CHUNK:
+            cut = max(data.rfind(c, at, at + CHUNK) for c in _SPACES)
+            if cut < 0:  # one word longer than a piece
+                cut = min((x for c in _SPACES if (x := data.find(c, at)) >= 0), default=end - 1)
+            end = cut + 1
+        piece = data[at:end]
+        out.append(_hash_piece(piece, *word_bounds(piece)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def hashed_texts(ids: list, texts: list[bytes]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(ids, word hashes, where each text's words start and the last ends), some texts at a time."""
+    k = 0
+    while k < len(texts):
+        j, size = k + 1, len(texts[k])
+        while j < len(texts) and size + len(texts[j]) < CHUNK:
+            size += len(texts[j]) + 1
+            j += 1
+        if j == k + 1:
+            h = word_hashes(texts[k])
+            yield ids[k:j], h, np.array([0, len(h)])
+        else:
+            data = b" ".join(texts[k:j])
+            starts, ends = word_bounds(data)
+            offsets = np.cumsum([0, *(len(x) + 1 for x in texts[k:j])])
+            yield ids[k:j], _hash_piece(data, starts, ends), np.searchsorted(starts, offsets)
+        k = j
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -62,15 +113,33 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
-    """Hash of each run of k consecutive word hashes (empty if there are fewer)."""
-    n = len(words) - k + 1
-    if n <= 0:
+    """Hash of each run of k consecutive word hashes (empty if there are fewer), by doubling."""
+    if len(words) < k or k < 1:
         return np.empty(0, np.uint64)
-    h = np.full(n, np.uint64(salt) * _GOLDEN, np.uint64)
-    for j in range(k):
-        h *= _MULTIPLIER
-        h += words[j : j + n]
-    return mix(h + np.uint64(k))
+    m = int(_MULTIPLIER) + 2 * salt
+
+    def joined(left: np.ndarray, right: np.ndarray, n_left: int, n_right: int) -> np.ndarray:
+        right = right[n_left:]
+        return left[: len(right)] * np.uint64(pow(m, n_right, 1 << 64)) + right
+
+    done, have, part, width, rest = None, 0, words, 1, k
+    while True:
+        if rest & 1:
+            done = part if done is None else joined(done, part, have, width)
+            have += width
+        rest >>= 1
+        if not rest:
+            return mix(done[: len(words) - k + 1] + np.uint64(k) * _GOLDEN)
+        part = joined(part, part, width, width)
+        width *= 2
+
+
+def whole_windows(starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts laid end to end: (first word of each run of k words within one text, its text, its place there)."""
+    lengths = np.maximum(np.diff(starts) - k + 1, 0)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return starts[:-1][text] + place, text, place
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:

@@ -41,10 +41,17 @@ FREQUENCY_CAP = 100_000
 PIVOT_ROUNDS = 3
 
 
-def shingles(text: bytes | None, n: int = WORDS) -> np.ndarray:
-    """Sorted hashes of a document's distinct n-grams of words, A-Z lower-cased."""
-    words = (text or b"").lower().split()
-    return np.unique(S.window_hashes(S.word_hashes(words), min(n, len(words)))) if words else np.empty(0, np.uint64)
+def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts laid end to end: hash and text of each n-gram (a shorter text is one n-gram), repeats included."""
+    first, text, _ = S.whole_windows(starts, n)
+    h = S.window_hashes(words, n)[first] if len(first) else np.empty(0, np.uint64)
+    short = np.flatnonzero((np.diff(starts) > 0) & (np.diff(starts) < n))
+    if len(short):
+        whole = [S.window_hashes(words[starts[k] : starts[k + 1]], int(starts[k + 1] - starts[k])) for k in short]
+        h, text = np.concatenate([h, *whole]), np.concatenate([text, short])
+        order = np.argsort(text, kind="stable")
+        h, text = h[order], text[order]
+    return h, text
 
 
 def spare(n, t: int):
@@ -61,11 +68,16 @@ def _emit_sampled(n):
     def run(batches, schema):
         def pieces():
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), S.texts_of(batch), strict=True):
-                    if doc is not None:
-                        h = shingles(text, n)
-                        h = h[h % np.uint64(SAMPLED) == 0]
-                        yield S.signed(h), np.full(len(h), doc, np.int64)
+                rows = [x for x in zip(batch.column(0).to_pylist(), S.texts_of(batch), strict=True) if None not in x]
+                for ids, words, starts in S.hashed_texts([x[0] for x in rows], [x[1].lower() for x in rows]):
+                    h, text = shingles(words, starts, n)
+                    some = h % np.uint64(SAMPLED) == 0
+                    h, text = h[some], text[some]
+                    order = np.argsort(h, kind="stable")  # texts stay in order among equal hashes
+                    h, text = h[order], text[order]
+                    new = np.ones(len(h), bool)
+                    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+                    yield S.signed(h[new]), np.asarray(ids, np.int64)[text[new]]
 
         yield from S.batches_of(schema, pieces())
 
@@ -86,12 +98,16 @@ def _emit_sets(n, t):
     def run(batches, schema):
         for batch in batches:
             out = []
-            for doc, text, again in zip(batch.column(0).to_pylist(), S.texts_of(batch), batch.column("again").to_pylist(), strict=True):
-                h = shingles(text, n)
-                one, two = (int(S.mix(h ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) if len(h) else 0 for k in (1, 2))
-                alone = int((h % np.uint64(SAMPLED) == 0).sum()) - (again or 0)
-                play = doc is not None and len(h) > 0 and alone <= spare(len(h), t)
-                out.append((doc, len(h), one, two, h.tobytes() if play else None))
+            rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("again").to_pylist(), strict=True))
+            for known, words, starts in S.hashed_texts(rows, [(x or b"").lower() for x in S.texts_of(batch)]):
+                all_h, text = shingles(words, starts, n)
+                edges = np.searchsorted(text, np.arange(len(known) + 1))
+                for (doc, again), low, high in zip(known, edges, edges[1:], strict=False):
+                    h = np.unique(all_h[low:high])
+                    one, two = (int(S.mix(h ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) if len(h) else 0 for k in (1, 2))
+                    alone = int(np.count_nonzero(h % np.uint64(SAMPLED) == 0)) - (again or 0)
+                    play = doc is not None and len(h) > 0 and alone <= spare(len(h), t)
+                    out.append((doc, len(h), one, two, h.tobytes() if play else None))
             columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, schema.types, strict=True)], schema=schema)
 

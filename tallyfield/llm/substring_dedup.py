@@ -7,7 +7,7 @@ that would hold it, so each document is factored against every indexed block.
 
 1. Seeds.  Of every window's seeds (``seed_words`` consecutive words) the one with the
    least hash stands for the window.  Equal windows have equal seeds, so a window can
-   only recur if its seed does.  This leaves about 1/8 of the positions to shuffle.
+   only recur if its seed does.  This leaves about 1/6 of the positions to shuffle.
 2. Phrases.  Only windows with a recurring seed are hashed as a whole (96 bits) and
    sought in the index, which answers with the first place of the same phrase.
 3. Parsing.  Left to right, a factor grows while the next phrase continues at the next
@@ -37,33 +37,40 @@ from pyspark.sql import functions as F
 from . import _shared as S
 
 WINDOW = 20
-SEED_WORDS = 6
+SEED_WORDS = 8
 
 
-def _seeds(words: np.ndarray, window: int, seed_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each chosen seed, for each window the ordinal of its seed)."""
-    h = S.window_hashes(words, seed_words)
+_PLACE = np.uint64((1 << 22) - 1)
+
+
+def _seeds(words: np.ndarray, starts: np.ndarray, window: int, seed_words: int):
+    """Of texts laid end to end: (hash, text, ordinal in its text) of each chosen seed, and for
+    each window its first word, text, place in its text, and its seed's index among the chosen."""
+    hashes = S.window_hashes(words, seed_words)
+    # the place in the low bits: the least value is then the first least hash
+    low = (hashes & ~_PLACE) | (np.arange(len(hashes), dtype=np.uint64) & _PLACE)
     width, have = window - seed_words + 1, 1
-    at = np.arange(len(h))
-    while have < width:
+    while have < width and len(low):
         step = min(have, width - have)
-        right = h[step:] < h[:-step]
-        h, at = np.where(right, h[step:], h[:-step]), np.where(right, at[step:], at[:-step])
+        low = np.minimum(low[:-step], low[step:])
         have += step
+    first, text, place = S.whole_windows(starts, window)
+    at = first + (((low[first] & _PLACE).astype(np.int64) - first) & int(_PLACE))
     new = np.ones(len(at), bool)
-    new[1:] = at[1:] != at[:-1]
-    return h[new], np.cumsum(new) - 1
+    new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
+    seed_text = text[new]
+    before = np.searchsorted(seed_text, seed_text)
+    return (hashes[at[new]], seed_text, np.arange(len(before)) - before), (first, text, place, np.cumsum(new) - 1)
 
 
 def _emit_seeds(window, seed_words):
     def run(batches, schema):
         def pieces():
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), S.texts_of(batch), strict=True):
-                    words = (text or b"").split()
-                    if doc is not None and len(words) >= window:
-                        chosen, _ = _seeds(S.word_hashes(words), window, seed_words)
-                        yield S.signed(chosen), np.full(len(chosen), doc, np.int64), np.arange(len(chosen), dtype=np.int32)
+                rows = [x for x in zip(batch.column(0).to_pylist(), S.texts_of(batch), strict=True) if None not in x]
+                for ids, words, starts in S.hashed_texts([x[0] for x in rows], [x[1] for x in rows]):
+                    (h, text, ordinal), _ = _seeds(words, starts, window, seed_words)
+                    yield S.signed(h), np.asarray(ids, np.int64)[text], ordinal.astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
@@ -80,15 +87,17 @@ def _emit_phrases(window, seed_words):
     def run(batches, schema):
         def pieces():
             for batch in batches:
-                seeds = batch.column("ordinals").to_pylist()
-                for doc, text, again in zip(batch.column(0).to_pylist(), S.texts_of(batch), seeds, strict=True):
-                    words = S.word_hashes(text.split())
-                    chosen, of_window = _seeds(words, window, seed_words)
+                rows = zip(batch.column("doc_id").to_pylist(), batch.column("ordinals").to_pylist(), S.texts_of(batch), strict=True)
+                rows = [x for x in rows if None not in x]
+                for known, words, starts in S.hashed_texts([x[:2] for x in rows], [x[2] for x in rows]):
+                    (chosen, seed_text, _), (first, text, place, seed) = _seeds(words, starts, window, seed_words)
+                    base = np.searchsorted(seed_text, np.arange(len(known)))
                     recurs = np.zeros(len(chosen), bool)
-                    recurs[again] = True
-                    at = np.flatnonzero(recurs[of_window])
-                    one, two = S.window_hashes(words, window)[at], S.window_hashes(words, window, salt=1)[at]
-                    yield S.signed(one), (two & np.uint64(0x7FFFFFFF)).astype(np.int32), np.full(len(at), doc, np.int64), at.astype(np.int32)
+                    recurs[np.concatenate([b + np.asarray(x[1], np.int64) for b, x in zip(base, known, strict=True)])] = True
+                    ok = recurs[seed]
+                    one, two = (S.window_hashes(words, window, salt)[first[ok]] for salt in (0, 1))
+                    ids = np.array([x[0] for x in known], np.int64)
+                    yield S.signed(one), (two & np.uint64(0x7FFFFFFF)).astype(np.int32), ids[text[ok]], place[ok].astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
@@ -144,7 +153,7 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, seed_words: int
     seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int")
     again = S.map_arrow(seeds.repartition("h").sortWithinPartitions("h"), _recurring, "doc_id long, ordinal int")
     again = again.groupBy("doc_id").agg(F.collect_set("ordinal").alias("ordinals"))
-    phrases = S.map_arrow(docs.join(again.hint("shuffle_hash"), "doc_id"), _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int")
+    phrases = S.map_arrow(docs.join(again.hint("shuffle_hash"), "doc_id", "left"), _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int")
     known = S.map_arrow(phrases.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "at"), _first_places, "doc_id long, at int, src long, src_at int")
     # (one list for each column: their orders agree, as one task builds them together)
     known = known.groupBy("doc_id").agg(F.collect_list(F.struct("at", "src", "src_at")).alias("p"))
