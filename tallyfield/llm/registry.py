@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import ngram_jaccard, substring_dedup
+from . import line_dedup, mixing, ngram_jaccard, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_ngram_jaccard": ngram_jaccard.query,
+    "op5_line_dedup": line_dedup.query,
+    "op6_mixing": mixing.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
     "op2_ngram_jaccard": ngram_jaccard.SQL,
+    "op5_line_dedup": line_dedup.SQL,
+    "op6_mixing": mixing.SQL,
 }
