@@ -84,6 +84,9 @@ def _recurring(batches, schema):
 
 
 def _emit_phrases(window, seed_words):
+    """(hashes, doc, at, src_at, n): n = 0 for a document's first window of a phrase, to be sought in
+    the index; n > 0 for n windows on end that have come before in the same document, from src_at on."""
+
     def run(batches, schema):
         def pieces():
             for batch in batches:
@@ -95,49 +98,83 @@ def _emit_phrases(window, seed_words):
                     recurs = np.zeros(len(chosen), bool)
                     recurs[np.concatenate([b + np.asarray(x[1], np.int64) for b, x in zip(base, known, strict=True)])] = True
                     ok = recurs[seed]
-                    one, two = (S.window_hashes(words, window, salt)[first[ok]] for salt in (0, 1))
-                    ids = np.array([x[0] for x in known], np.int64)
-                    yield S.signed(one), (two & np.uint64(0x7FFFFFFF)).astype(np.int32), ids[text[ok]], place[ok].astype(np.int32)
+                    first, text, at = first[ok], text[ok], place[ok]
+                    one, two = (S.window_hashes(words, window, salt)[first] for salt in (0, 1))
+                    doc = np.array([x[0] for x in known], np.int64)[text]
+                    order = np.argsort(one, kind="stable")  # texts, and places in them, stay in order
+                    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]) & (text[order][1:] == text[order][:-1])
+                    before = np.full(len(one), -1)
+                    before[order[1:][same]] = at[order[:-1][same]]
+                    free = np.flatnonzero(before < 0)
+                    zero = np.zeros(len(free), np.int32)
+                    yield S.signed(one[free]), (two[free] & np.uint64(0x7FFFFFFF)).astype(np.int32), doc[free], at[free].astype(np.int32), zero, zero
+                    again = np.flatnonzero(before >= 0)
+                    d, a, b = doc[again], at[again], before[again]
+                    new = np.ones(len(again), bool)
+                    new[1:] = (text[again][1:] != text[again][:-1]) | (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+                    runs = np.flatnonzero(new)
+                    n = np.diff(np.append(runs, len(new)))
+                    d, a, b = d[runs], a[runs], b[runs]
+                    yield S.signed(S.mix(d.astype(np.uint64) + a.astype(np.uint64))), np.zeros(len(d), np.int32), d, a.astype(np.int32), b.astype(np.int32), n.astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
     return run
 
 
+def _packed(at: np.ndarray, src_at: np.ndarray) -> np.ndarray:
+    return (at.astype(np.int64) << 32) | src_at.astype(np.int64)
+
+
 def _first_places(batches, schema):
+    """(doc, place and source place, source, n windows) of the windows that have come before."""
+
+    def sought():
+        for batch in batches:
+            known = batch.column("n").to_numpy() > 0
+            doc, at, src_at, n = (batch.column(k).to_numpy()[known] for k in ("doc_id", "at", "src_at", "n"))
+            done.append((doc, _packed(at, src_at), doc, n))
+            yield batch.select(["h", "h2", "doc_id", "at"]).filter(pa.array(~known))
+
+    done: list[tuple] = []
+
     def pieces():
-        for (_, _, doc, at), later, (_, _, src, src_at) in S.repeats(batches, 2):
+        for (_, _, doc, at), later, (_, _, src, src_at) in S.repeats(sought(), 2):
             later &= (doc != src) | (at != src_at)  # a row that repeats a doc_id
-            yield doc[later], at[later], src[later], src_at[later]
+            yield doc[later], _packed(at, src_at)[later], src[later], np.ones(int(later.sum()), np.int32)
+            yield from done
+            done.clear()
+        yield from done
 
     yield from S.batches_of(schema, pieces())
 
 
-def factors(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+def factors(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     """Greedy factors of a document: (start, end, source doc, source start), in words."""
     order = np.argsort(at, kind="stable")
-    at, src, src_at = at[order], src[order], src_at[order]
+    at, src, src_at, n = at[order], src[order], src_at[order], n[order]
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (src[1:] != src[:-1]) | (src_at[1:] != src_at[:-1] + 1)
+    new[1:] = (at[1:] != at[:-1] + n[:-1]) | (src[1:] != src[:-1]) | (src_at[1:] != src_at[:-1] + n[:-1])
     starts = np.flatnonzero(new)
     last = np.append(starts[1:], len(at)) - 1
-    return at[starts], at[last] + window, src[starts], src_at[starts]
+    return at[starts], at[last] + n[last] - 1 + window, src[starts], src_at[starts]
 
 
 def _cut(window):
     def run(batches, schema):
         for batch in batches:
             out = []
-            columns = (batch.column(k).to_pylist() for k in ("doc_id", "at", "src", "src_at"))
-            for doc, at, src, src_at, text in zip(*columns, S.texts_of(batch), strict=True):
+            columns = (batch.column(k).to_pylist() for k in ("doc_id", "places", "src", "n"))
+            for doc, places, src, n, text in zip(*columns, S.texts_of(batch), strict=True):
                 words = (text or b"").split()
                 edges, spans = np.zeros(len(words) + 1, np.int64), []
-                if at:
-                    found = factors(*(np.asarray(x, np.int64) for x in (at, src, src_at)), window)
+                if places:
+                    both = np.asarray(places, np.int64)
+                    found = factors(both >> 32, np.asarray(src, np.int64), both & 0xFFFFFFFF, np.asarray(n, np.int64), window)
                     np.add.at(edges, found[0], 1)
                     np.add.at(edges, found[1], -1)
                     spans = [dict(zip(("start", "end", "src_doc", "src_start"), map(int, x), strict=True)) for x in zip(*found, strict=True)]
-                kept = list(compress(words, (np.cumsum(edges)[:-1] == 0).tolist())) if at else words
+                kept = list(compress(words, (np.cumsum(edges)[:-1] == 0).tolist())) if places else words
                 out.append((doc, len(words), len(words) - len(kept), b" ".join(kept), spans))
             columns = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()).cast(pa.string()) if pa.types.is_string(t) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
@@ -153,11 +190,12 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, seed_words: int
     seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int")
     again = S.map_arrow(seeds.repartition("h").sortWithinPartitions("h"), _recurring, "doc_id long, ordinal int")
     again = again.groupBy("doc_id").agg(F.collect_set("ordinal").alias("ordinals"))
-    phrases = S.map_arrow(docs.join(again.hint("shuffle_hash"), "doc_id", "left"), _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int")
-    known = S.map_arrow(phrases.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "at"), _first_places, "doc_id long, at int, src long, src_at int")
-    # (one list for each column: their orders agree, as one task builds them together)
-    known = known.groupBy("doc_id").agg(F.collect_list(F.struct("at", "src", "src_at")).alias("p"))
-    known = known.select("doc_id", *(F.col(f"p.{c}").alias(c) for c in ("at", "src", "src_at")))
+    sought = docs.join(again.hint("shuffle_hash"), "doc_id", "left")
+    phrases = S.map_arrow(sought, _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int, src_at int, n int")
+    in_order = phrases.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "at")
+    known = S.map_arrow(in_order, _first_places, "doc_id long, place long, src long, n int")
+    # lists of one aggregation have one order
+    known = known.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("src").alias("src"), F.collect_list("n").alias("n"))
     spans = "array<struct<start:long,end:long,src_doc:long,src_start:long>>"
     return S.map_arrow(docs.join(known.hint("shuffle_hash"), "doc_id", "left"), _cut(window), f"doc_id long, n_words long, n_removed long, kept string, spans {spans}")
 
