@@ -61,7 +61,8 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
 
 
-def _hash_piece(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_words(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words that lie between starts and ends, by prefix sums over all bytes."""
     b = np.frombuffer(data, np.uint8)
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum(_BYTE[b] * _powers_of(_MULTIPLIER, len(b)), out=sums[1:])
@@ -81,7 +82,7 @@ def word_hashes(data: bytes) -> np.ndarray:
                 cut = min((x for c in _SPACES if (x := data.find(c, at)) >= 0), default=end - 1)
             end = cut + 1
         piece = data[at:end]
-        out.append(_hash_piece(piece, *word_bounds(piece)))
+        out.append(hash_words(piece, *word_bounds(piece)))
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -101,7 +102,7 @@ def hashed_texts(ids: list, texts: list[bytes]) -> Iterator[tuple[list, np.ndarr
             data = b" ".join(texts[k:j])
             starts, ends = word_bounds(data)
             offsets = np.cumsum([0, *(len(x) + 1 for x in texts[k:j])])
-            yield ids[k:j], _hash_piece(data, starts, ends), np.searchsorted(starts, offsets)
+            yield ids[k:j], hash_words(data, starts, ends), np.searchsorted(starts, offsets)
         k = j
 
 
@@ -116,7 +117,7 @@ def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of k consecutive word hashes (empty if there are fewer), by doubling."""
     if len(words) < k or k < 1:
         return np.empty(0, np.uint64)
-    m = int(_MULTIPLIER) + 2 * salt
+    m = int(_MULTIPLIER) + 2 * salt  # odd
 
     def joined(left: np.ndarray, right: np.ndarray, n_left: int, n_right: int) -> np.ndarray:
         right = right[n_left:]
@@ -129,7 +130,7 @@ def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
             have += width
         rest >>= 1
         if not rest:
-            return mix(done[: len(words) - k + 1] + np.uint64(k) * _GOLDEN)
+            return mix(done[: len(words) - k + 1] + np.uint64(k * int(_GOLDEN) & 0xFFFFFFFFFFFFFFFF))
         part = joined(part, part, width, width)
         width *= 2
 

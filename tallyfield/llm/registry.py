@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, ngram_jaccard, substring_dedup
+from . import language, line_dedup, mixing, ngram_jaccard, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_ngram_jaccard": ngram_jaccard.query,
+    "op3_token_output": token_output.query,
     "op5_line_dedup": line_dedup.query,
     "op6_mixing": mixing.query,
+    "op7_language": language.query,
+    "op10_quality": quality.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
