@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import language, line_dedup, mixing, ngram_jaccard, quality, substring_dedup, token_output
+from . import decontamination, html_extraction, language, line_dedup, mixing, ngram_jaccard, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
     "op2_ngram_jaccard": ngram_jaccard.query,
     "op3_token_output": token_output.query,
+    "op4_html_extraction": html_extraction.query,
     "op5_line_dedup": line_dedup.query,
     "op6_mixing": mixing.query,
     "op7_language": language.query,
+    "op8_decontamination": decontamination.query,
     "op10_quality": quality.query,
 }
 ORACLES = {
