@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_extraction, language, line_dedup, mixing, ngram_jaccard, quality, substring_dedup, token_output
+from . import decontamination, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_mixing": mixing.query,
     "op7_language": language.query,
     "op8_decontamination": decontamination.query,
+    "op9_pii": pii.query,
     "op10_quality": quality.query,
 }
 ORACLES = {
