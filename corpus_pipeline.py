@@ -1,15 +1,73 @@
-"""Corpus pipeline: stages over `documents`, each written and read again before the next."""
+"""Corpus pipeline over `documents`: quality rules, near duplicates, decontamination, mixing, tokens.
+
+Each stage takes (spark, docs, sf_dir) and returns the rows it keeps, with the columns it
+was given; the last one returns the token index.  `run` writes what each stage returns and
+reads it again, so a later failure never costs an earlier stage.
+
+Defined cases, beyond those of the operators: a row with null doc_id is in no group, so
+the near-duplicate stage keeps it; of rows that repeat a doc_id it keeps one; the mix
+repeats a row as often as the copies it takes, and leaves rows out that it takes none of.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tallyfield.llm import _shared, decontamination, mixing, ngram_jaccard, quality, token_output
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.passing(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = ngram_jaccard.jaccard_groups(docs)
+    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi")
+    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as the mix takes it."""
+    key = ["doc_id", "source", "size"]
+    taken = _shared.stage(mixing.mix(docs).select(*key, "copies"), "copies")
+    sized = docs.withColumn("size_of", mixing.n_words())
+    on = sized["doc_id"].eqNullSafe(taken["doc_id"]) & sized["source"].eqNullSafe(taken["source"]) & (sized["size_of"] == taken["size"])
+    if not taken.groupBy(*key).count().filter("count > 1").isEmpty():
+        # rows with one key meet one to one
+        taken = taken.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("copies")))
+        sized = sized.withColumn("nth_of", F.row_number().over(Window.partitionBy("doc_id", "source", "size_of").orderBy("text")))
+        on = sized["doc_id"].eqNullSafe(taken["doc_id"]) & sized["source"].eqNullSafe(taken["source"])
+        on &= (sized["size_of"] == taken["size"]) & (sized["nth_of"] == taken["nth"])
+    rows = sized.join(taken.filter("copies > 0"), on).select(*(sized[c] for c in docs.columns), taken["copies"].alias("copies_of"))
+    again = rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies_of").cast("int"))).alias("copy_of"))
+    return again.drop("copy_of")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_output.token_output(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality rules", keep_quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed),
+    ("token-ID output", tokens),
+]
+#: SQL has no zstandard, no edit-distance bands and no tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = _shared.stage(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
