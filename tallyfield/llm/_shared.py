@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyfield.plans.ship import ship
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 20
@@ -240,5 +242,6 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(lambda batches: f(batches, arrow), schema)
