@@ -1,6 +1,741 @@
-"""Registered queries of the catalogue operators and the SQL that checks them."""
+"""Registered queries of the catalogue operators, and the SQL that checks them.
+
+Keys name the operator of the inventory (SURVEY, section 2).  Queries start from the
+driver's tables or from the views of `plans.views`, whole; the SQL starts from the same.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyfield.functions import text as T
+from tallyfield.operators import cluster, compare, extract, frontier, merge, onboard, payload, reports, upsert
+from tallyfield.plans.scratch import scratch_path
+from tallyfield.plans.views import CATALOGUE_SQL, CRAWLS_SQL, LISTINGS_SQL, catalogue, crawls, listings, table
+from tallyfield.sources import products as tables
+from tallyfield.streaming import upserts
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+# --- SQL building blocks ---------------------------------------------------------------
+
+_END = r"(?:[^\p{L}\p{N}_]|$)"
+_NPK = r"\b(\d{1,2})\s*[-:.]\s*(\d{1,2})\s*[-:.]\s*(\d{1,2})\b"
+_KG = r"(\d+(?:[.,]\d+)?)\s*(kg|kilogram|gr|gam|gram|g|tấn|tan)" + _END
+_PACK = r"(?:gói|goi|bao|túi|tui|chai|hũ|hu|lọ|lo|hộp|hop|can)\s*:?\s*" + _KG
+_UNIT = r"\b(?:bao|túi|chai|gói|kg|tấn|lít|ml|g)\s*\d*\s*(?:kg|g|lít|l|ml)?\b"
+_PLAIN = "".join("d" if c == "đ" else __import__("unicodedata").normalize("NFD", c)[0] for c in T.ACCENTED)
+
+
+def _npk(x: str) -> str:
+    return f"CASE WHEN regexp_matches({x}, '{_NPK}') THEN concat_ws('-', " + ", ".join(f"regexp_extract({x}, '{_NPK}', {k})" for k in (1, 2, 3)) + ") END"
+
+
+def _kg_of(x: str, pattern: str) -> str:
+    unit = f"lower(regexp_extract({x}, '(?i){pattern}', 2))"
+    factor = f"CASE {unit} WHEN 'kg' THEN 1.0::DOUBLE WHEN 'kilogram' THEN 1.0::DOUBLE WHEN 'tấn' THEN 1000.0::DOUBLE WHEN 'tan' THEN 1000.0::DOUBLE ELSE 0.001::DOUBLE END"
+    kg = f"(CAST(replace(regexp_extract({x}, '(?i){pattern}', 1), ',', '.') AS DOUBLE) * {factor})"
+    return f"CASE WHEN {kg} BETWEEN 0.005 AND 2000 THEN {kg} END"
+
+
+_PACK_KG = f"CASE WHEN regexp_matches(name, '(?i){_KG}') THEN {_kg_of('name', _KG)} WHEN regexp_matches(description, '(?i){_PACK}') THEN {_kg_of('description', _PACK)} END"
+_PARSED = f"SELECT *, {_npk('name')} AS npk, {_PACK_KG} AS pack_kg FROM ({LISTINGS_SQL})"
+_ITEMS = f"SELECT *, price / pack_kg AS per_kg FROM ({_PARSED}) WHERE price > 0 AND pack_kg > 0"
+_DULL = "[" + ", ".join(f"'{w}'" for w in T.STOPWORDS) + "]"
+_FOLD = f"translate(lower({{}}), '{T.ACCENTED}', '{_PLAIN}')"
+_TOKENS = f"list_distinct([w for w in regexp_extract_all({_FOLD.format('name')}, '[a-z0-9]+') if length(w) > 2 AND NOT list_contains({_DULL}, w)])"
+_PRICE = r"(\d[\d.,]{2,})\s*(?:₫|đ|vnd|vnđ)"
+
+
+def _price_of(x: str) -> str:
+    amount = f"CASE WHEN regexp_matches({x}, '(?i){_PRICE}') THEN regexp_extract({x}, '(?i){_PRICE}', 1) ELSE {x} END"
+    value = f"try_cast(regexp_replace({amount}, '[^0-9]', '', 'g') AS DOUBLE)"
+    return f"CASE WHEN {value} > 0 THEN {value} END"
+
+
+_HOST = "regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
+_PATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+
+
+def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = listings(spark, sf_dir)
+    return rows.withColumns({"npk": T.parse_npk(F.col("name")), "pack_kg": T.parse_pack_kg(F.col("name"), F.col("description")), "unit": T.parse_unit(F.col("name"))})
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.comparable(parsed(spark, sf_dir))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload.hosts(table(spark, sf_dir, "pages"))
+
+
+# --- scalar parsers --------------------------------------------------------------------
+
+
+@query("sc1_price", f"SELECT item_id, price_text, {_price_of('price_text')} AS value FROM ({LISTINGS_SQL})")
+def sc1(spark, sf_dir):
+    return listings(spark, sf_dir).select("item_id", "price_text", T.parse_price(F.col("price_text")).alias("value"))
+
+
+@query("sc2_npk", f"SELECT item_id, {_npk('name')} AS npk FROM ({LISTINGS_SQL})")
+def sc2(spark, sf_dir):
+    return listings(spark, sf_dir).select("item_id", T.parse_npk(F.col("name")).alias("npk"))
+
+
+@query("sc3_unit", f"SELECT item_id, CASE WHEN regexp_matches(name, '(?i){_UNIT}') THEN trim(regexp_extract(name, '(?i){_UNIT}', 0)) END AS unit FROM ({LISTINGS_SQL})")
+def sc3(spark, sf_dir):
+    return listings(spark, sf_dir).select("item_id", T.parse_unit(F.col("name")).alias("unit"))
+
+
+@query("sc4_pack_kg", f"SELECT item_id, pack_kg FROM ({_PARSED})")
+def sc4(spark, sf_dir):
+    return parsed(spark, sf_dir).select("item_id", "pack_kg")
+
+
+@query("sc5_fold", f"SELECT doc_id, md5({_FOLD.format('text')}) AS folded_md5 FROM documents")
+def sc5(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.fold(F.col("text"))).alias("folded_md5"))
+
+
+@query("sc6_slug", f"SELECT page_id, substr(trim(regexp_replace({_FOLD.format('url')}, '[^a-z0-9]+', '_', 'g'), '_'), 1, 40) AS slug FROM pages")
+def sc6(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.slug(F.col("url")).alias("slug"))
+
+
+@query("sc7_tokens", f"SELECT item_id, array_to_string(list_sort({_TOKENS}), ' ') AS tokens FROM ({LISTINGS_SQL})")
+def sc7(spark, sf_dir):
+    return listings(spark, sf_dir).select("item_id", F.array_join(F.array_sort(T.name_tokens(F.col("name"))), " ").alias("tokens"))
+
+
+_MONEY = "CASE WHEN try_cast({0} AS DOUBLE) / 100 > 0 THEN try_cast({0} AS DOUBLE) / 100 END"
+_DIGITS = "regexp_extract(props, '[0-9]+', 0)"
+
+
+@query("sc8_money", f"SELECT event_id, {_MONEY.format(_DIGITS)} AS from_text, {_MONEY.format('props')} AS from_json FROM events")
+def sc8(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", T.money(F.regexp_extract("props", "[0-9]+", 0), 100).alias("from_text"), T.money(F.col("props"), 100).alias("from_json"))
+
+
+@query("sc9_clean", r"SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&[a-z]+;|&#\d+;', ' ', 'g'), '\s+', ' ', 'g'))) AS cleaned_md5 FROM pages")
+def sc9(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.clean_markup(F.col("html"))).alias("cleaned_md5"))
+
+
+_PLATFORM = (
+    r"CASE WHEN regexp_matches(html, '(?i)haravan|hstatic\.net|bizweb\.dktcdn|cdn\.shopify\.com|shopify\.theme') THEN 'haravan' "
+    r"""WHEN regexp_matches(html, '(?i)woocommerce') THEN 'woocommerce' WHEN regexp_matches(html, '"@type"\s*:\s*"Product"') THEN 'jsonld' ELSE 'html' END"""
+)
+
+
+@query("sc10_platform", f"SELECT page_id, {_PLATFORM} AS platform FROM pages")
+def sc10(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.platform_of(F.col("html")).alias("platform"))
+
+
+@query(
+    "sc11_api_urls",
+    "SELECT item_id, concat(rtrim(split_part(url, '?', 1), '/'), '.js') AS haravan, "
+    "concat(regexp_extract(url, '^[a-z]+://[^/]*', 0), '/wp-json/wc/store/v1/products?slug=', CAST(item_id AS VARCHAR)) AS woo, "
+    "concat(regexp_extract(url, '^[a-z]+://[^/]*', 0), '/wp-json/wc/store/v1/products/reviews?product_id=', CAST(item_id AS VARCHAR), '&per_page=10') AS reviews "
+    f"FROM ({LISTINGS_SQL})",
+)
+def sc11(spark, sf_dir):
+    url = F.col("url")
+    return listings(spark, sf_dir).select("item_id", T.haravan_api(url).alias("haravan"), T.woo_api(url).alias("woo"), T.woo_reviews_api(url, F.col("item_id")).alias("reviews"))
+
+
+_LABELS = " ".join(f"WHEN regexp_matches({{0}}, '(?i){p}') THEN '{k}'" for k, p in T.SECTION_LABELS)
+
+
+@query("sc12_label", f"SELECT item_id, CASE {_LABELS.format('label')} END AS key FROM (SELECT item_id, replace(coalesce(section, name), '_', ' ') AS label FROM ({CATALOGUE_SQL}))")
+def sc12(spark, sf_dir):
+    label = F.replace(F.coalesce("section", "name"), F.lit("_"), F.lit(" "))
+    return catalogue(spark, sf_dir).select("item_id", T.label_key(label).alias("key"))
+
+
+# --- sources and sinks -----------------------------------------------------------------
+
+
+@query("io1_migrate", f"SELECT item_id, source, url, name, price, CAST(NULL AS VARCHAR) AS npk, CAST(NULL AS DOUBLE) AS rating FROM ({LISTINGS_SQL})")
+def io1(spark, sf_dir):
+    whole = tables.with_all_columns(listings(spark, sf_dir))
+    return whole.select("item_id", "source", "url", "name", "price", "npk", "rating")
+
+
+@query("io2_upsert", f"SELECT seq, url, source, price FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS k FROM ({CRAWLS_SQL})) WHERE k = 1")
+def io2(spark, sf_dir):
+    rows = crawls(spark, sf_dir).select("seq", "url", "source", "price")
+    cut = rows.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    existing = upsert.last_of_each(rows.filter(F.col("seq") <= cut))
+    return upsert.upsert(existing, rows.filter(F.col("seq") > cut))
+
+
+@query(
+    "io3_copy",
+    f"WITH s AS (SELECT DISTINCT url FROM ({CRAWLS_SQL}) WHERE source = 'click'), t AS (SELECT DISTINCT url FROM ({CRAWLS_SQL}) WHERE source <> 'click') "
+    "SELECT (SELECT count(*) FROM t) AS before, (SELECT count(*) FROM s) AS pushed, (SELECT count(*) FROM (SELECT url FROM s UNION SELECT url FROM t)) AS after",
+)
+def io3(spark, sf_dir):
+    rows = crawls(spark, sf_dir)
+    return upsert.copy_counts(rows.filter("source = 'click'"), rows.filter("source <> 'click'"))
+
+
+@query(
+    "io5_json_text",
+    f"SELECT item_id, CAST(CASE WHEN n_images > 0 THEN n_images ELSE 0 END AS BIGINT) AS n_images, section AS section_key FROM ({CATALOGUE_SQL})",
+)
+def io5(spark, sf_dir):
+    rows = catalogue(spark, sf_dir).select("item_id", "images", "sections")
+    back = tables.from_json_text(tables.to_json_text(rows))
+    return back.select("item_id", F.coalesce(F.size("images"), F.lit(0)).cast("long").alias("n_images"), F.get(F.map_keys("sections"), 0).alias("section_key"))
+
+
+# --- pages -----------------------------------------------------------------------------
+
+_HREFS = r"""regexp_extract_all(html, '<a href="([^"]*)"', 1)"""
+_LINKS = (
+    "SELECT page_id, url AS page_url, host, min(pos) AS pos, link FROM (SELECT page_id, url, host, pos, concat(regexp_extract(url, '^[a-z]+://[^/?#]*', 0), href) AS link FROM "
+    f"(SELECT page_id, url, {_HOST} AS host, unnest({_HREFS}) AS href, unnest(range(len({_HREFS}))) AS pos FROM pages) WHERE href <> '' AND href[1] <> '#') "
+    "GROUP BY page_id, url, host, link"
+)
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyfield.functions import dom
+
+    def f(host, url, root):
+        return [(host, url, k, x) for k, x in enumerate(dom.links(root, url, "a"))]
+
+    return onboard._emit(pages(spark, sf_dir), f, "host string, page_url string, pos int, link string")
+
+
+@query("ex1_links", f"SELECT page_url, CAST(count(*) AS BIGINT) AS n_links, md5(string_agg(link, ' ' ORDER BY pos)) AS links_md5 FROM ({_LINKS}) GROUP BY page_id, page_url")
+def ex1(spark, sf_dir):
+    rows = page_links(spark, sf_dir)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "link"))), lambda s: s["link"]), " ")
+    return rows.groupBy("page_url").agg(F.count("*").alias("n_links"), F.md5(joined).alias("links_md5"))
+
+
+_SELECTORS = {"": {"name": "h1", "description": "title", "content": "article", "category": "nav a", "brand": ".ad"}}
+
+
+def page_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.page_facts(table(spark, sf_dir, "pages").select("url", F.lit("").alias("source"), "html"), _SELECTORS)
+
+
+_DECODED = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+_INNER = r"trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<{0}[^>]*>(.*?)</{0}>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+def _inner(tag: str) -> str:
+    return _DECODED.format(_INNER.format(tag))
+
+
+@query("ex2_pick", f"SELECT url, {_inner('h1')} AS h1, {_inner('title')} AS title FROM pages")
+def ex2(spark, sf_dir):
+    return page_facts(spark, sf_dir).select("url", F.col("name").alias("h1"), F.col("description").alias("title"))
+
+
+@query("ex4_content", f"SELECT url, CAST(length(substr({_inner('article')}, 1, 20000)) AS BIGINT) AS n_chars, md5(substr({_inner('article')}, 1, 20000)) AS content_md5 FROM pages")
+def ex4(spark, sf_dir):
+    content = F.substring("content", 1, extract.MAX_CONTENT)
+    return page_facts(spark, sf_dir).select("url", F.length(content).cast("long").alias("n_chars"), F.md5(content).alias("content_md5"))
+
+
+@query("ex10_products", f"SELECT url, {_inner('h1')} AS name, 'VND' AS currency, substr({_inner('title')}, 1, 2000) AS description FROM pages WHERE {_inner('h1')} <> ''")
+def ex10(spark, sf_dir):
+    return extract.products(page_facts(spark, sf_dir)).select("url", "name", "currency", "description")
+
+
+@query("ex3_ex9_rich")
+def ex_rich(spark, sf_dir):
+    """Photos, videos, specs and sections of a detail page built from each listing."""
+    rows = listings(spark, sf_dir)
+    html = F.concat(
+        F.lit('<html><head><meta property="og:image" content="/product/'), "item_id", F.lit('-300x300.jpg"></head><body><h1>'), "name",
+        F.lit('</h1><div class="rte"><h3>Thành phần</h3><p>'), "name", F.lit('</p><h3>Khác</h3><p>abc</p><b>Hướng dẫn sử dụng</b> pha 5g cho 1 lít nước</div><img data-src="/product/'),
+        "item_id", F.lit('.jpg"><table><tr><td>Quy cách</td><td>bao 50kg</td></tr><tr><td>Thông số</td><td>x</td></tr></table><iframe src="https://youtu.be/abcdefghijk"></iframe></body></html>'),
+    )
+    found = extract.products(extract.page_facts(rows.select("url", F.lit("").alias("source"), html.alias("html")), {"": {"name": "h1"}}))
+    return found.select("url", "name", "npk", "unit", "images", "videos", F.to_json("specs").alias("specs"), F.to_json("sections").alias("sections"), F.length("content").alias("n_chars"))
+
+
+@query("ex6_image_key", f"SELECT page_id, concat(url, '.jpg') AS key FROM (SELECT page_id, rtrim(split_part(url, '?', 1), '/') AS url FROM pages)")
+def ex6(spark, sf_dir):
+    base = F.rtrim(F.split_part("url", F.lit("?"), F.lit(1)), F.lit("/"))
+    suffix = F.element_at(F.array(*map(F.lit, ("-300x300.jpg?v=1", "_grande.jpg", ".jpg", "_1024x1024.jpg"))), (F.col("page_id") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", T.image_key(F.concat(base, suffix)).alias("key"))
+
+
+# --- payloads --------------------------------------------------------------------------
+
+
+@query(
+    "js1_haravan",
+    f"SELECT item_id, name, CASE WHEN price / 100 > 0 THEN price / 100 END AS price, CAST(item_id % 7 AS BIGINT) AS stock, concat('S', CAST(item_id AS VARCHAR)) AS sku, concat('https://', regexp_extract(url, '://([^/]*)', 1), '/i/', CAST(item_id AS VARCHAR), '.jpg') AS image FROM ({LISTINGS_SQL})",
+)
+def js1(spark, sf_dir):
+    body = F.to_json(F.expr("named_struct('title', name, 'price', price, 'variants', array(named_struct('sku', '', 'inventory_quantity', -3), named_struct('sku', concat('S', item_id), 'inventory_quantity', item_id % 7)), 'images', array(concat('/i/', item_id, '.jpg')))"))
+    rows = listings(spark, sf_dir).select("item_id", payload.parse_haravan(body, F.col("url")).alias("d"))
+    return rows.select("item_id", "d.name", "d.price", F.col("d.stock_qty").cast("long").alias("stock"), "d.sku", F.get("d.images", 0).alias("image"))
+
+
+@query(
+    "js2_woo",
+    f"SELECT item_id, CASE WHEN price IS NULL THEN NULL ELSE CAST(CAST(price * 100 AS BIGINT) AS DOUBLE) / 100 END AS price, 0.0::DOUBLE AS rating, CAST(item_id % 3 AS BIGINT) AS n_reviews, CASE WHEN item_id % 3 > 0 THEN 1 ELSE 0 END::BIGINT AS n_texts, 'x / y' AS variation FROM ({LISTINGS_SQL})",
+)
+def js2(spark, sf_dir):
+    body = F.to_json(
+        F.expr(
+            "array(named_struct('id', item_id, 'name', name, 'average_rating', '0.00', 'review_count', item_id % 3, 'prices', named_struct('price', cast(cast(round(price * 100) as bigint) as string), 'currency_minor_unit', 2), "
+            "'variations', array(named_struct('id', item_id, 'attributes', array(named_struct('value', 'x'), named_struct('value', 'y'))))))"
+        )
+    )
+    said = F.to_json(F.expr("array(named_struct('reviewer', '<b>A</b>', 'rating', 5, 'date_created', '2024-01-01', 'review', name))"))
+    rows = listings(spark, sf_dir).select("item_id", payload.parse_woo(body).alias("d"), payload.parse_woo_reviews(said, body).alias("r"))
+    return rows.select("item_id", "d.price", "d.rating", F.col("d.review_count").cast("long").alias("n_reviews"), F.coalesce(F.size("r"), F.lit(0)).cast("long").alias("n_texts"), F.get("d.variants", 0)["title"].alias("variation"))
+
+
+@query("js4_jsonld", f"SELECT item_id, name, CASE WHEN price > 0 THEN price END AS price, item_id % 2 = 0 AS in_stock, 'B' AS vendor FROM ({LISTINGS_SQL})")
+def js4(spark, sf_dir):
+    stock = F.expr("if(item_id % 2 = 0, 'https://schema.org/InStock', 'https://schema.org/OutOfStock')")
+    offer = F.struct(F.col("price").alias("price"), stock.alias("availability"))
+    product = F.struct(F.lit("Product").alias("@type"), "name", F.struct(F.lit("B").alias("name")).alias("brand"), offer.alias("offers"))
+    graph = F.to_json(F.struct(F.array(F.struct(F.lit("WebSite").alias("@type"), F.lit("w").alias("name"))).alias("@graph")))
+    block = lambda x: F.concat(F.lit('<script type="application/ld+json">'), x, F.lit("</script>"))
+    html = F.concat(block(F.lit("{bad")), block(graph), block(F.to_json(product)))
+    rows = listings(spark, sf_dir).select("item_id", payload.parse_jsonld(html).alias("d"))
+    return rows.select("item_id", "d.name", "d.price", "d.in_stock", "d.vendor")
+
+
+_COUNT = "CAST(len(regexp_extract_all(html, '{}')) AS BIGINT)".format
+
+
+@query(
+    "js5_embedded",
+    "SELECT url, marker, n FROM (" + " UNION ALL ".join(f"SELECT url, '{k}' AS marker, {_COUNT(p.replace(chr(39), chr(39) * 2))} AS n FROM pages" for k, p in payload.EMBEDDED) + ") WHERE n > 0",
+)
+def js5(spark, sf_dir):
+    return payload.embedded_census(table(spark, sf_dir, "pages"))
+
+
+# --- merge, frontier, re-derivation ----------------------------------------------------
+
+_D = "item_id % 3 <> 0"
+
+
+@query(
+    "mg1_merge",
+    f"SELECT item_id, CASE WHEN {_D} AND item_id % 2 = 1 AND p2 <> 0 THEN p2 ELSE price END AS price, CASE WHEN {_D} THEN NULL ELSE sku END AS sku, "
+    f"CASE WHEN {_D} AND item_id % 4 = 1 THEN 'V' ELSE 'B' END AS brand, CASE WHEN {_D} THEN CAST(item_id % 2 AS INTEGER) ELSE CAST(coalesce(in_stock, -1) AS INTEGER) END AS in_stock, 'haravan' AS platform "
+    f"FROM (SELECT *, price + 1 AS p2 FROM ({CATALOGUE_SQL}))",
+)
+def mg1(spark, sf_dir):
+    rows = catalogue(spark, sf_dir)
+    record = tables.with_all_columns(rows.drop("reviews", "variants").withColumn("brand", F.lit("B")))
+    given = {
+        "price": F.when(F.col("item_id") % 2 == 1, F.col("price") + 1),
+        "vendor": F.when(F.col("item_id") % 4 == 1, "V").otherwise(""),
+        "in_stock": F.col("item_id") % 2 == 1,
+    }
+    over = rows.select("url", F.lit("haravan").alias("platform"), payload._record(F.col("item_id") % 3 != 0, **given).alias("d"), F.lit(None).cast("array<string>").alias("reviews"))
+    merged = merge.merge_structured(record, over.withColumn("reviews", F.lit(None).cast(tables.PRODUCTS["reviews"].dataType)))
+    return merged.select("item_id", "price", "sku", "brand", F.coalesce("in_stock", F.lit(-1)).alias("in_stock"), "platform")
+
+
+@query("mg2_ladder", f"SELECT item_id, CASE WHEN item_id % 2 = 0 THEN 'h' WHEN item_id % 3 = 0 THEN 'w' WHEN item_id % 5 = 0 THEN 'j' END AS chosen FROM ({LISTINGS_SQL})")
+def mg2(spark, sf_dir):
+    when = lambda k, x: F.when(F.col("item_id") % k == 0, x)
+    return listings(spark, sf_dir).select("item_id", merge.choose_payload(when(2, "h"), when(3, "w"), when(5, "j")).alias("chosen"))
+
+
+@query("mg3_platform", f"SELECT source, arg_min(platform, page_id) AS platform FROM (SELECT {_HOST} AS source, page_id, {_PLATFORM} AS platform FROM pages) GROUP BY source")
+def mg3(spark, sf_dir):
+    rows = pages(spark, sf_dir).select(F.col("host").alias("source"), F.col("page_id").alias("seq"), "html", F.lit(True).alias("is_product"))
+    return merge.site_platforms(rows)
+
+
+def _frontier_rows(spark, sf_dir):
+    rows = page_links(spark, sf_dir).join(table(spark, sf_dir, "pages").select(F.col("url").alias("page_url"), "page_id"), "page_url")
+    links = rows.select(F.col("host").alias("source"), F.col("page_id").alias("listing"), "pos", F.col("link").alias("url"))
+    final = F.lower("url")  # pages that differ in case only are one page here
+    return links, links.select("url").distinct().select("url", final.alias("final_url"), F.lit(True).alias("ok"))
+
+
+@query("fr1_frontier", f"SELECT host AS source, lower(link) AS final_url, CAST(min(page_id) AS BIGINT) AS listing FROM ({_LINKS}) GROUP BY host, lower(link)")
+def fr1(spark, sf_dir):
+    return frontier.frontier(*_frontier_rows(spark, sf_dir)).select("source", "final_url", "listing")
+
+
+@query("fr1_frontier_limited")
+def fr1_limited(spark, sf_dir):
+    return frontier.frontier(*_frontier_rows(spark, sf_dir), limit=3)
+
+
+@query("fr2_robots", f"SELECT {_HOST} AS host, url, CASE WHEN length({_HOST}) % 2 = 0 THEN NOT starts_with({_PATH}, '/p') ELSE true END AS allowed, CASE WHEN length({_HOST}) % 2 = 0 THEN 3.0 ELSE 1.5 END::DOUBLE AS delay FROM pages")
+def fr2(spark, sf_dir):
+    rows = pages(spark, sf_dir)
+    robots = rows.select("host").distinct().filter(F.length("host") % 2 == 0).withColumn("robots_txt", F.lit("User-agent: *\nDisallow: /p\nCrawl-delay: 3"))
+    return frontier.robots_filter(rows.select("host", "url"), robots)
+
+
+_FETCHES = "SELECT page_id, url, CASE WHEN page_id % 7 = 0 THEN 404 ELSE 200 END AS status, CASE WHEN page_id % 5 = 0 THEN 'image/png' ELSE 'text/html; charset=utf-8' END AS content_type, page_id % 11 <> 0 AS allowed FROM pages"
+
+
+@query(
+    "fr3_admission",
+    f"SELECT CAST(count(*) FILTER (allowed AND status = 200 AND content_type LIKE '%html%') AS BIGINT) AS n_ok, CAST(count(*) FILTER (allowed AND NOT (status = 200 AND content_type LIKE '%html%')) AS BIGINT) AS n_failed, CAST(count(*) FILTER (NOT allowed) AS BIGINT) AS n_blocked FROM ({_FETCHES})",
+)
+def fr3(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").selectExpr("url", "if(page_id % 7 = 0, 404, 200) as status", "if(page_id % 5 = 0, 'image/png', 'text/html; charset=utf-8') as content_type", "page_id % 11 <> 0 as allowed")
+    return frontier.fetch_counts(rows)
+
+
+@query(
+    "fr4_fresh_links",
+    f"WITH o AS (SELECT DISTINCT host AS listing, page_id % 5 AS page, link FROM ({_LINKS})), m AS (SELECT listing, link, min(page) AS page FROM o GROUP BY listing, link), "
+    "f AS (SELECT o.listing, o.page, count(DISTINCT o.link) AS n_links, count(DISTINCT m.link) AS n_fresh FROM o LEFT JOIN m ON o.listing = m.listing AND o.page = m.page AND o.link = m.link GROUP BY o.listing, o.page), "
+    "s AS (SELECT *, coalesce(max(CASE WHEN n_fresh = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY listing ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped FROM f) "
+    "SELECT listing, CAST(page AS BIGINT) AS page, CAST(n_links AS BIGINT) AS n_links, CAST(n_fresh AS BIGINT) AS n_fresh FROM s WHERE stopped = 0",
+)
+def fr4(spark, sf_dir):
+    links, _ = _frontier_rows(spark, sf_dir)
+    return frontier.fresh_links(links.select(F.col("source").alias("listing"), (F.col("listing") % 5).alias("page"), "url"))
+
+
+_STORED = f"SELECT *, CASE WHEN item_id % 4 = 0 THEN NULL ELSE npk END AS old_npk, CASE WHEN item_id % 6 = 0 THEN NULL ELSE pack_kg END AS old_kg FROM ({_PARSED})"
+
+
+def stored(spark, sf_dir):
+    rows = parsed(spark, sf_dir)
+    return rows.withColumns({"npk": F.when(F.col("item_id") % 4 != 0, F.col("npk")), "pack_kg": F.when(F.col("item_id") % 6 != 0, F.col("pack_kg"))})
+
+
+@query(
+    "rd1_reparse",
+    f"SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (npk IS DISTINCT FROM old_npk OR pack_kg IS DISTINCT FROM old_kg) AS BIGINT) AS updated, "
+    f"CAST(count(*) FILTER (old_kg IS NULL AND pack_kg IS NOT NULL) AS BIGINT) AS newly_parsed FROM ({_STORED})",
+)
+def rd1(spark, sf_dir):
+    return merge.reparse_counts(merge.reparse(stored(spark, sf_dir)))
+
+
+@query("rd1_reparsed_rows", f"SELECT item_id, npk, pack_kg FROM ({_PARSED})")
+def rd1_rows(spark, sf_dir):
+    return merge.reparse(stored(spark, sf_dir)).select("item_id", "npk", "pack_kg")
+
+
+@query(
+    "rd2_run_summary",
+    f"SELECT s.source, CAST(coalesce(n, 0) AS BIGINT) AS n_saved, s.source = 'shop1' AS failed, coalesce(n, 0) = 0 AS empty FROM (SELECT DISTINCT source FROM ({LISTINGS_SQL}) UNION SELECT 'shop99') s "
+    f"LEFT JOIN (SELECT source, count(*) AS n FROM ({LISTINGS_SQL}) WHERE price IS NOT NULL AND source <> 'shop1' GROUP BY source) c ON s.source = c.source",
+)
+def rd2(spark, sf_dir):
+    rows = listings(spark, sf_dir)
+    sites = rows.select("source").distinct().union(spark.createDataFrame([("shop99",)], "source string"))
+    return reports.run_summary(sites, rows.filter("price is not null and source <> 'shop1'"), sites.filter("source = 'shop1'"))
+
+
+# --- price comparison ------------------------------------------------------------------
+
+
+@query("cp1_items", f"SELECT item_id, source, price, pack_kg, per_kg FROM ({_ITEMS})")
+def cp1(spark, sf_dir):
+    return items(spark, sf_dir).select("item_id", "source", "price", "pack_kg", "per_kg")
+
+
+@query(
+    "cp2_same_formula",
+    f"WITH i AS (SELECT * FROM ({_ITEMS}) WHERE npk IS NOT NULL), g AS (SELECT npk, count(*) AS n, min(per_kg) AS best, arg_min(item_id, (per_kg, item_id)) AS best_id FROM i GROUP BY npk HAVING count(DISTINCT source) > 1) "
+    "SELECT i.npk, CAST(n AS BIGINT) AS n_items, item_id, source, name, price, pack_kg, per_kg, best AS best_per_kg, (per_kg / best - 1) * 100 AS gap_pct, item_id = best_id AS cheapest FROM i JOIN g ON i.npk = g.npk",
+)
+def cp2(spark, sf_dir):
+    return compare.same_formula(items(spark, sf_dir))
+
+
+_ORDERED = (
+    f"i AS (SELECT *, {_TOKENS} AS tokens FROM ({_ITEMS})), "
+    "p AS (SELECT a.item_id AS a_id, b.item_id AS b_id, a.source AS source_a, b.source AS source_b, coalesce(a.npk = b.npk, false) AS same, len(list_intersect(a.tokens, b.tokens)) AS score "
+    "FROM i a JOIN i b ON a.source <> b.source AND (a.npk IS NULL OR b.npk IS NULL OR a.npk = b.npk) AND greatest(a.per_kg, b.per_kg) / least(a.per_kg, b.per_kg) <= 4), "
+    "q AS (SELECT *, score + CASE WHEN same THEN 5 ELSE 0 END AS rank FROM p WHERE score >= CASE WHEN same THEN 1 ELSE 3 END), "
+    "m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a_id, source_b ORDER BY rank DESC, b_id) AS k FROM q) WHERE k = 1)"
+)
+
+
+def matched(spark, sf_dir):
+    return compare.matches(items(spark, sf_dir))
+
+
+@query("cp3_cp4_matches", f"WITH {_ORDERED} SELECT a_id, b_id, source_a, source_b, same, CAST(score AS BIGINT) AS score FROM q WHERE source_a < source_b")
+def cp34(spark, sf_dir):
+    return matched(spark, sf_dir)
+
+
+@query("cp5_best_matches", f"WITH {_ORDERED} SELECT a_id, source_a, source_b, b_id, CAST(rank AS BIGINT) AS rank, CAST(score AS BIGINT) AS score FROM m")
+def cp5(spark, sf_dir):
+    return compare.best_matches(matched(spark, sf_dir))
+
+
+@query("cp6_mutual", f"WITH {_ORDERED} SELECT x.a_id, x.b_id, x.source_a, x.source_b, CAST(x.score AS BIGINT) AS score FROM m x JOIN m y ON x.a_id = y.b_id AND x.b_id = y.a_id WHERE x.source_a < x.source_b")
+def cp6(spark, sf_dir):
+    return compare.mutual_pairs(compare.best_matches(matched(spark, sf_dir)))
+
+
+def _report(spark, sf_dir):
+    rows = items(spark, sf_dir)
+    return cluster.cluster_report(cluster.clusters(compare.mutual_pairs(compare.best_matches(compare.matches(rows)))), rows)
+
+
+@query("cp7_clusters")
+def cp7(spark, sf_dir):
+    return cluster.clusters(compare.mutual_pairs(compare.best_matches(matched(spark, sf_dir))))
+
+
+@query("cp8_cp9_report")
+def cp89(spark, sf_dir):
+    return _report(spark, sf_dir)
+
+
+@query("cp9_totals")
+def cp9(spark, sf_dir):
+    return cluster.cluster_totals(_report(spark, sf_dir))
+
+
+@query("cp10_header", f"SELECT source, CAST(count(*) FILTER (price > 0 AND pack_kg > 0) AS BIGINT) AS n_comparable, CAST(count(*) AS BIGINT) AS n_products FROM ({_PARSED}) GROUP BY ROLLUP (source)")
+def cp10(spark, sf_dir):
+    return compare.header(parsed(spark, sf_dir))
+
+
+# --- reports ---------------------------------------------------------------------------
+
+_N = "CAST(count(*) AS BIGINT) AS n"
+_IF = "CAST(count(*) FILTER ({}) AS BIGINT) AS {}".format
+_UNIT_OF = f"CASE WHEN regexp_matches(name, '(?i){_UNIT}') THEN trim(regexp_extract(name, '(?i){_UNIT}', 0)) END"
+
+
+@query("rp1_by_source", f"SELECT source, {_N} FROM ({LISTINGS_SQL}) GROUP BY source")
+def rp1(spark, sf_dir):
+    return reports.rows_per_source(listings(spark, sf_dir))
+
+
+@query("rp2_listing", f"SELECT item_id, source, name, price, {_UNIT_OF} AS unit, npk FROM ({_PARSED})")
+def rp2(spark, sf_dir):
+    return reports.listing(parsed(spark, sf_dir))
+
+
+@query("rp2_counts", f"SELECT {_N}, {_IF('price <> 0', 'n_priced')}, {_IF('npk IS NOT NULL', 'n_npk')} FROM ({_PARSED})")
+def rp2_counts(spark, sf_dir):
+    return reports.listing_counts(parsed(spark, sf_dir))
+
+
+_FULL = f"{_IF('n_images > 0', 'n_images')}, {_IF('n_videos > 0', 'n_videos')}, {_IF('n_specs > 0', 'n_specs')}, {_IF(chr(99) + 'ontent <> ' + chr(39) * 2, 'n_content')}"
+
+
+@query("rp3_coverage", f"SELECT source, {_N}, {_FULL} FROM ({CATALOGUE_SQL}) GROUP BY ROLLUP (source)")
+def rp3(spark, sf_dir):
+    return reports.coverage(catalogue(spark, sf_dir))
+
+
+@query("rp4_sections", " UNION ALL ".join(f"SELECT '{s}' AS section, CAST(count(*) FILTER (section = '{s}') AS BIGINT) AS n FROM ({CATALOGUE_SQL})" for s in reports.SECTIONS))
+def rp4(spark, sf_dir):
+    return reports.section_coverage(catalogue(spark, sf_dir))
+
+
+@query("rp5_photos", f"SELECT {_IF('n_images > 0', 'n')} FROM ({CATALOGUE_SQL})")
+def rp5(spark, sf_dir):
+    return reports.with_photo(catalogue(spark, sf_dir))
+
+
+@query("rp6_freshness", f"SELECT source, {_N}, min(crawled_at) AS oldest, max(crawled_at) AS newest FROM ({CRAWLS_SQL}) GROUP BY source")
+def rp6(spark, sf_dir):
+    return reports.freshness(crawls(spark, sf_dir))
+
+
+@query(
+    "rp7_stock",
+    f"SELECT coalesce(platform, '-') AS platform, source, {_N}, {_IF(chr(115) + 'ku <> ' + chr(39) * 2, 'n_sku')}, {_IF('in_stock IS NOT NULL', 'n_stock_known')}, {_IF('stock_qty IS NOT NULL', 'n_qty')}, {_IF('item_id % 3 <> 0', 'n_variants')}, {_IF('review_count > 0', 'n_reviewed')}, {_IF('price_max IS NOT NULL', 'n_ranged')} FROM ({CATALOGUE_SQL}) GROUP BY 1, 2",
+)
+def rp7(spark, sf_dir):
+    return reports.stock_yield(catalogue(spark, sf_dir))
+
+
+_SHARE = "round(count(*) FILTER ({}) * 100.0::DOUBLE / count(*), 6) AS {}".format
+
+
+@query("rp8_sanity", f"SELECT {_N}, {_IF('price > 0', 'n_priced')}, {_IF('npk IS NOT NULL', 'n_npk')}, {_IF('unit IS NOT NULL', 'n_unit')}, {_SHARE('price > 0', 'priced_pct')}, {_SHARE('npk IS NOT NULL', 'npk_pct')}, {_SHARE('unit IS NOT NULL', 'unit_pct')} FROM (SELECT *, {_UNIT_OF} AS unit FROM ({_PARSED}))")
+def rp8(spark, sf_dir):
+    return reports.sanity(parsed(spark, sf_dir))
+
+
+@query("rp9_duplicates", "SELECT p_name AS name, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, name LIMIT 5")
+def rp9(spark, sf_dir):
+    return reports.duplicate_names(table(spark, sf_dir, "part").select(F.col("p_name").alias("name")))
+
+
+@query("rp10_prices", f"SELECT min(price) AS lowest, max(price) AS highest, round(avg(price), 4) AS mean FROM ({LISTINGS_SQL}) WHERE price > 0")
+def rp10(spark, sf_dir):
+    return reports.price_range(listings(spark, sf_dir))
+
+
+@query("rp11_formulas", f"SELECT npk, {_N} FROM ({_PARSED}) WHERE npk IS NOT NULL GROUP BY npk ORDER BY n DESC, npk LIMIT 8")
+def rp11(spark, sf_dir):
+    return reports.top_formulas(parsed(spark, sf_dir))
+
+
+@query("rp12_reviews", f"SELECT item_id, source, name, CAST(review_count AS BIGINT) AS review_count, concat('a', CAST(k AS VARCHAR)) AS author, CAST(k AS INTEGER) AS stars, '2024-01-02' AS day, substr(name, 1, 100) AS text FROM (SELECT *, unnest(range(1, review_count + 1)) AS k FROM ({CATALOGUE_SQL}) WHERE review_count > 0)")
+def rp12(spark, sf_dir):
+    return reports.reviews(catalogue(spark, sf_dir).withColumn("rating", F.lit(None).cast("double")))
+
+
+@query("rp13_first", f"SELECT source, min(item_id) AS item_id, arg_min(url, item_id) AS url FROM ({LISTINGS_SQL}) GROUP BY source")
+def rp13(spark, sf_dir):
+    return reports.first_per_source(listings(spark, sf_dir))
+
+
+@query("rp14_latest", f"SELECT seq, url, source, price FROM ({CRAWLS_SQL}) WHERE contains(lower(source), 'click') ORDER BY crawled_at DESC, seq DESC LIMIT 1")
+def rp14(spark, sf_dir):
+    rows = crawls(spark, sf_dir).withColumns({"item_id": F.col("seq"), "name": F.col("source")})
+    return reports.latest(rows, "CLICK").select("seq", "url", "source", "price")
+
+
+@query("rp15_search", f"SELECT item_id, source, name, price, pack_kg, pack_kg AS reparsed_kg FROM ({_PARSED}) WHERE contains(name, 'NPK 1') ORDER BY item_id LIMIT 5")
+def rp15(spark, sf_dir):
+    return reports.search(parsed(spark, sf_dir), "NPK 1")
+
+
+@query(
+    "rp16_richness",
+    f"SELECT source, item_id, CAST(coalesce(n_images, 0) AS BIGINT) AS n_images, CAST(n_videos AS BIGINT) AS n_videos, CAST(coalesce(CASE WHEN n_specs > 0 THEN 1 ELSE n_specs END, 0) AS BIGINT) AS n_specs, coalesce(section, '') AS sections, "
+    f"CAST(coalesce(length(content), 0) AS BIGINT) AS n_chars, coalesce(n_images, 0) = 0 AND coalesce(length(content), 0) = 0 AS poor FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY item_id) AS k FROM ({CATALOGUE_SQL})) WHERE k = 1",
+)
+def rp16(spark, sf_dir):
+    return reports.richness(catalogue(spark, sf_dir))
+
+
+# --- onboarding ------------------------------------------------------------------------
+
+
+@query("ob1_sitemaps", f"SELECT {_HOST} AS host, url FROM pages")
+def ob1(spark, sf_dir):
+    maps = pages(spark, sf_dir).select("host", F.concat(F.lit("<url><loc>"), "url", F.lit("</loc></url>")).alias("xml"))
+    return onboard.sitemap_locations(maps).select("host", "url")
+
+
+_HINTS = ("th", "an")
+_LINK_PATH = "regexp_extract(link, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+
+
+@query(
+    "ob2_categories",
+    f"SELECT host, url, CAST(k AS INTEGER) AS rank FROM (SELECT host, link AS url, row_number() OVER (PARTITION BY host ORDER BY length(p), link) AS k FROM (SELECT DISTINCT host, link, {_LINK_PATH} AS p, lower(trim({_LINK_PATH}, '/')) AS path FROM ({_LINKS})) "
+    "WHERE path <> '' AND (contains(path, 'th') OR contains(path, 'an')) AND NOT contains(path, '/') AND NOT contains(path, 'news') AND NOT contains(path, 'blog')) WHERE k <= 12",
+)
+def ob2(spark, sf_dir):
+    return onboard.category_candidates(page_links(spark, sf_dir).select("host", F.col("link").alias("url")), _HINTS)
+
+
+@query("ob3_collections", f"SELECT DISTINCT link AS url FROM ({_LINKS}) WHERE contains(link, '/e') AND (contains(lower(link), 'th') OR contains(lower(link), 'an'))")
+def ob3(spark, sf_dir):
+    return onboard.collections(page_links(spark, sf_dir).select(F.col("link").alias("url")), _HINTS, "/e")
+
+
+@query(
+    "ob4_prefixes",
+    f"SELECT host, prefix, n FROM (SELECT host, prefix, n, row_number() OVER (PARTITION BY host ORDER BY n DESC, prefix) AS k FROM (SELECT host, concat('/', split_part(ltrim(p, '/'), '/', 1)) AS prefix, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT {_HOST} AS host, url, {_PATH} AS p FROM pages) WHERE trim(p, '/') <> '' GROUP BY 1, 2)) WHERE k <= 12",
+)
+def ob4(spark, sf_dir):
+    return onboard.prefix_census(pages(spark, sf_dir))
+
+
+_OB_SELECTORS = ("a[href*='a']", "nav a", ".ad a")
+
+
+@query("ob5_link_selectors")
+def ob5(spark, sf_dir):
+    return onboard.best_link_selector(onboard.selector_links(pages(spark, sf_dir), _OB_SELECTORS))
+
+
+def _cards(spark, sf_dir):
+    """Listing pages with a card for each listing of a shop, twenty to a page."""
+    rows = listings(spark, sf_dir)
+    card = F.concat(F.lit('<div class="card x"><a class="name" href="'), "url", F.lit('">'), "name", F.lit('</a><span class="price">'), "price_text", F.lit("</span></div>"))
+    page = F.floor(F.col("item_id") / 180)
+    grouped = rows.groupBy("source", page.alias("page")).agg(F.array_join(F.array_sort(F.collect_list(card)), "").alias("html"))
+    return grouped.select(F.concat("source", F.lit(".example")).alias("host"), F.concat(F.lit("https://"), "source", F.lit(".example/phan-"), "page").alias("url"), "html")
+
+
+@query("ob6_cards")
+def ob6(spark, sf_dir):
+    return onboard.card_census(_cards(spark, sf_dir))
+
+
+def _details(spark, sf_dir):
+    rows = listings(spark, sf_dir)
+    html = F.concat(F.lit("<h1>"), "name", F.lit('</h1><p class="price">'), "price_text", F.lit('</p><div class="rte">'), "name", F.lit("</div>"))
+    return rows.select(F.concat("source", F.lit(".example")).alias("host"), "url", html.alias("html"))
+
+
+@query("ob7_product_selectors")
+def ob7(spark, sf_dir):
+    details = _details(spark, sf_dir)
+    return onboard.product_selectors(onboard.selector_texts(details), details)
+
+
+@query("ob8_sites")
+def ob8(spark, sf_dir):
+    listed, details = _cards(spark, sf_dir), _details(spark, sf_dir)
+    links = onboard.best_link_selector(onboard.selector_links(listed, (".card a", *onboard.LINK_SELECTORS)))
+    found = onboard.product_selectors(onboard.selector_texts(details), details)
+    names = spark.createDataFrame([("shop0",)], "name string")
+    return onboard.site_entries(onboard.category_candidates(listed), links, found, spark.createDataFrame([("shop8.example",)], "host string"), names)
+
+
+@query("ob9_priced", f"SELECT source AS listing, CAST(count(*) AS BIGINT) AS n, CAST(count(v) AS BIGINT) AS n_priced, avg(CASE WHEN v IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE) AS ratio FROM (SELECT source, {_price_of('price_text')} AS v, row_number() OVER (PARTITION BY source ORDER BY item_id) AS k FROM ({LISTINGS_SQL})) WHERE k <= 8 GROUP BY source")
+def ob9(spark, sf_dir):
+    return onboard.priced_ratio(listings(spark, sf_dir).select(F.col("source").alias("listing"), F.col("item_id").alias("pos"), "price_text"))
+
+
+@query(
+    "ob10_selector_census",
+    r"""SELECT selector, CAST(sum(n) AS BIGINT) AS n_hits, CAST(count(*) AS BIGINT) AS n_pages FROM (SELECT 'h1' AS selector, len(regexp_extract_all(html, '<h1[ >]')) AS n FROM pages UNION ALL SELECT '.ad', len(regexp_extract_all(html, 'class="ad"')) FROM pages) WHERE n > 0 GROUP BY selector""",
+)
+def ob10(spark, sf_dir):
+    return onboard.selector_census(pages(spark, sf_dir), ("h1", ".ad")).drop("sample")
+
+
+@query("ob11_money_paths")
+def ob11(spark, sf_dir):
+    return onboard.money_paths(_cards(spark, sf_dir))
+
+
+@query("ob12_survey")
+def ob12(spark, sf_dir):
+    return onboard.rich_survey(_details(spark, sf_dir))
+
+
+# --- streaming -------------------------------------------------------------------------
+
+
+@query("st1_stream_upsert", f"SELECT seq, url, source, price FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY crawled_at DESC, seq DESC) AS k FROM ({CRAWLS_SQL})) WHERE k = 1")
+def st1(spark, sf_dir):
+    """The events as a stream of files; the table after the last batch."""
+    source, target = scratch_path(spark, "arrivals"), scratch_path(spark, "upserts")
+    crawls(spark, sf_dir).select("seq", "url", "source", "price", "crawled_at").repartition(4).write.parquet(source)
+    stream = spark.readStream.schema("seq long, url string, source string, price double, crawled_at timestamp").option("maxFilesPerTrigger", 2).parquet(source)
+    running = upserts.start_upserts(stream, target, scratch_path(spark, "progress"), once=True)
+    running.awaitTermination()
+    return upserts.latest_version(spark, target, running).select("seq", "url", "source", "price")
