@@ -63,14 +63,26 @@ def _seeds(words: np.ndarray, starts: np.ndarray, window: int, seed_words: int):
     return (hashes[at[new]], seed_text, np.arange(len(before)) - before), (first, text, place, np.cumsum(new) - 1)
 
 
+def _alike(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings a text's equal hashes together, and where in it each group begins."""
+    order = np.argsort(h, kind="stable")  # texts stay in order among equal hashes
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (text[order][1:] != text[order][:-1])
+    return order, new
+
+
 def _emit_seeds(window, seed_words):
+    """Each text's distinct seeds, with the ordinal of the first; what recurs within a text it sees itself."""
+
     def run(batches, schema):
         def pieces():
             for batch in batches:
                 rows = [x for x in zip(batch.column(0).to_pylist(), S.texts_of(batch), strict=True) if None not in x]
                 for ids, words, starts in S.hashed_texts([x[0] for x in rows], [x[1] for x in rows]):
                     (h, text, ordinal), _ = _seeds(words, starts, window, seed_words)
-                    yield S.signed(h), np.asarray(ids, np.int64)[text], ordinal.astype(np.int32)
+                    order, new = _alike(h, text)
+                    once = order[new]
+                    yield S.signed(h[once]), np.asarray(ids, np.int64)[text[once]], ordinal[once].astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
@@ -91,12 +103,16 @@ def _emit_phrases(window, seed_words):
         def pieces():
             for batch in batches:
                 rows = zip(batch.column("doc_id").to_pylist(), batch.column("ordinals").to_pylist(), S.texts_of(batch), strict=True)
-                rows = [x for x in rows if None not in x]
+                rows = [x for x in rows if x[0] is not None and x[2]]
                 for known, words, starts in S.hashed_texts([x[:2] for x in rows], [x[2] for x in rows]):
                     (chosen, seed_text, _), (first, text, place, seed) = _seeds(words, starts, window, seed_words)
                     base = np.searchsorted(seed_text, np.arange(len(known)))
                     recurs = np.zeros(len(chosen), bool)
-                    recurs[np.concatenate([b + np.asarray(x[1], np.int64) for b, x in zip(base, known, strict=True)])] = True
+                    recurs[np.concatenate([b + np.asarray(x[1] or [], np.int64) for b, x in zip(base, known, strict=True)])] = True
+                    order, new = _alike(chosen, seed_text)
+                    group = np.cumsum(new) - 1
+                    some = (np.bincount(group, recurs[order]) > 0) | (np.bincount(group) > 1)
+                    recurs[order] = some[group]
                     ok = recurs[seed]
                     first, text, at = first[ok], text[ok], place[ok]
                     one, two = (S.window_hashes(words, window, salt)[first] for salt in (0, 1))
