@@ -39,6 +39,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 NOISE = frozenset("nav footer aside form script style noscript template iframe svg button select textarea dialog menu head title object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+UNSEEN = frozenset(("script", "style", "template"))
 PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
@@ -113,7 +114,7 @@ def text_nodes(html: str) -> list[tuple[_Element, str, int]]:
                 out.append((here, "<", block))
             continue
         tag = m[2].lower()
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSEEN:
             block += 1
         if m[1]:
             up = here

@@ -39,8 +39,9 @@ KINDS = {
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
     "date": r"(?<![\w/.-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[/.]\d\d[/.](?:19|20)\d\d)(?![\w/-]|\.\d)",
     "ssn": _LEFT + r"\d{3}-\d{2}-\d{4}(?![\w-])",
-    "card": _LEFT + r"\d(?:[\x20-]?\d){12,18}(?![\w-])",
-    "phone": r"(?<![\w.@-])(?:\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}|\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])",
+    "card": _LEFT + r"(?:\d{13,19}|\d{4}(?:-\d{4}){3}(?:-\d{3})?|\d{4}(?:\x20\d{4}){3}|\d{4}[\x20-]\d{6}[\x20-]\d{5})(?![\w-])",
+    "phone": r"(?<![\w.@-])(?:\+\d{1,3}[\x20.-]?\(\d{1,4}\)[\x20.-]?\d{2,4}[\x20.-]?\d{2,4}(?:[.-]?\d{2,4})?|\+\d{1,3}(?:[\x20.-]?\d{2,4}){2,5}"
+    r"|\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])",
 }
 PATTERN = "|".join(KINDS.values())
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)  # 73,049 days to the end of 2099

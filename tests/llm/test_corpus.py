@@ -1,0 +1,475 @@
+"""Corpus operators against plain brute force, and on nulls, empties, ties, repeats and clashing names."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfield.llm import (
+    _shared,
+    components,
+    decontamination,
+    html_extraction,
+    language,
+    line_dedup,
+    mixing,
+    ngram_jaccard,
+    pii,
+    quality,
+    substring_dedup,
+    token_output,
+)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+VOCABULARY = ["the", "of", "Thing", "éa", "naïve", "x,", "end.", "日本", "#*$", "a", "bb", "Ccc", "dddd", " z"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 3}", len(t or "")) for i, t in rows], DOCS)
+
+
+def corpus(seed, n=60):
+    """Random texts with copies, near copies, shared passages, repeats within, nulls and odd white space."""
+    r = random.Random(seed)
+    text = lambda k: "".join(r.choice(VOCABULARY) + r.choice([" ", "  ", "\n", "\t", " \x0b"]) for _ in range(k))
+    passage, out = text(45), []
+    for i in range(n):
+        kind = r.randrange(8)
+        if kind == 0 and out:
+            t = r.choice(out)[1]
+        elif kind == 1 and out and (old := r.choice(out)[1]):
+            words = old.split(" ")
+            words[r.randrange(len(words))] = "changed"
+            t = " ".join(words)
+        elif kind == 2:
+            t = text(r.randrange(30)) + passage + text(r.randrange(30))
+        elif kind == 3:
+            t = "ab cd " * r.randrange(40)
+        elif kind == 4:
+            t = r.choice([None, "", " \n ", "one", "one two three"])
+        else:
+            t = text(r.randrange(120))
+        out.append((i, t))
+    return out
+
+
+def words_of(t):
+    return WORD.findall(t or "")
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+# --- op1 -------------------------------------------------------------------------------
+
+
+def brute_substring(rows, k=20):
+    seen, out = {}, {}
+    for i, t in sorted(rows):
+        w = words_of(t)
+        gone = [False] * len(w)
+        for p in range(len(w) - k + 1):
+            key = tuple(w[p : p + k])
+            if key in seen:
+                gone[p : p + k] = [True] * k
+            seen.setdefault(key, (i, p))
+        kept = [x for x, g in zip(w, gone, strict=True) if not g]
+        out[i] = (len(w), sum(gone), " ".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_substring_dedup(spark, seed):
+    rows = corpus(seed)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert got == brute_substring(rows)
+
+
+def test_substring_spans_point_at_equal_words(spark):
+    rows = corpus(5)
+    text = {i: words_of(t) for i, t in rows}
+    spans = [(r.doc_id, s) for r in substring_dedup.substring_dedup(frame(spark, rows)).collect() for s in r.spans]
+    assert spans
+    for i, s in spans:
+        n = s.end - s.start
+        assert n >= 20 and text[i][s.start : s.end] == text[s.src_doc][s.src_start : s.src_start + n] and (s.src_doc, s.src_start) < (i, s.start)
+
+
+def test_substring_long_repetition_and_repeated_ids(spark):
+    long = "a b " * 5000
+    rows = [(1, long), (2, long), (2, long), (None, long), (3, "x " * 20)]
+    got = sorted(((r.doc_id or 0), r.n_words, r.n_removed) for r in substring_dedup.substring_dedup(frame(spark, rows)).collect())
+    assert got == [(0, 10000, 0), (1, 10000, 9998), (2, 10000, 10000), (2, 10000, 10000), (3, 20, 0)]
+
+
+# --- op2 -------------------------------------------------------------------------------
+
+
+def brute_groups(rows):
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(w[p : p + 5]) for p in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    of = {i: i for i in sets}
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                m, n = sorted((root(a), root(b)))
+                of[n] = m
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+@pytest.mark.parametrize("seed,small", [(6, 32), (7, 2)])
+def test_jaccard_groups(spark, seed, small, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "SMALL_GROUP", small)
+    rows = corpus(seed, 80)
+    base = [f"w{k}" for k in range(60)]  # a large group of near copies, some of which link through others only
+    for k in range(30):
+        w = base[:]
+        for j in range(k % 4):
+            w[(7 * k + 13 * j) % 60] = f"z{k}{j}"
+        rows.append((100 + k, " ".join(w)))
+    rows += [(200 + k, " ".join(base[k : k + 40])) for k in range(0, 20, 2)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_groups(frame(spark, rows)).collect()}
+    assert got == brute_groups(rows)
+
+
+def test_jaccard_thresholds():
+    for n in range(1, 60):
+        assert ngram_jaccard.spare(n, 75) == n - -(-75 * n // 100)
+        for m in range(1, 60):
+            need = ngram_jaccard.needed(n, m, 75)
+            ok = [i for i in range(min(n, m) + 1) if 100 * i >= 75 * (n + m - i)]
+            assert not ok or ok[0] == need
+
+
+def test_jaccard_odd_rows(spark):
+    rows = [(None, "a b c"), (1, "A b C"), (2, "a B c"), (2, "a B c"), (3, None), (4, "")]
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_groups(frame(spark, rows)).collect())
+    assert got == [("1", 1, 1), ("2", 1, 1), ("2", 1, 1), ("3", 0, 3), ("4", 0, 4), ("None", 1, None)]
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 100)], "a long, b long")
+    assert {r.component for r in components.components(edges, "a", "b").collect()} == {0}
+
+
+# --- op3 -------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("delta", [False, True])
+def test_token_round_trip(spark, tmp_path, delta):
+    from tokenizers import Tokenizer
+
+    path = token_output.tokenizer_path()
+    tokenizer = Tokenizer.from_file(path)
+    odd = ["don't I'M", "J̌ ä İ", "<|endoftext|>x <|ENDOFTEXT|>", "a\x85b　c .'s", "ΑΣ ΣΑΣ.", "²³ ½ 12 a1"]
+    rows = corpus(8, 40) + [(90 + k, t) for k, t in enumerate(odd)]
+    docs = frame(spark, rows).repartition(3)
+    token_output.write_tokens(docs, f"{tmp_path}/t", path, delta=delta)
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_output.read_index(spark, f"{tmp_path}/t").collect()}
+    at, want = 0, {}
+    for i, t in sorted(rows):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        want[i] = (at, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+        at += len(ids)
+    assert got == want
+    stored = {r.doc_id: r.ids for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    assert all(stored[i] == [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows)
+
+
+def test_token_files_have_page_indexes(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    token_output.write_tokens(frame(spark, corpus(9, 30)), f"{tmp_path}/t", token_output.tokenizer_path())
+    column = next(c for f in glob.glob(f"{tmp_path}/t/*.parquet") for c in [pq.ParquetFile(f).metadata.row_group(0).column(4)])
+    assert column.has_column_index and column.has_offset_index and "RLE_DICTIONARY" in column.encodings or "PLAIN_DICTIONARY" in column.encodings
+
+
+# --- op4 -------------------------------------------------------------------------------
+
+PAGES = {
+    "<article><h1>T &amp; u</h1><p>One,  two.<br>three</p><p><b>x<br><p>y</article><nav><a>menu</a></nav>": "T & u One, two. three x y",
+    "<body><header><h1>Site</h1></header><div class='sidebar'><p>Very long sidebar text, indeed, with points. And more.</p></div><main><h1>Head</h1><p>Long enough text, with marks.</p>"
+    "<div class='ad-box'>Buy, now.</div><section id='comments'><p>Nice, one.</p></section></main><footer>f</footer></body>": "Head Long enough text, with marks.",
+    "<div class='cookie notice'>We use cookies, ok.</div><article>a<script>var x='</p>'</script><style>p{}</style><form><p>f</p></form>b</article>": "a b",
+    "<article>a<script>var x='</p>'</script>b<template><p>t</p></template>c</article>": "abc",
+    "<div id='c'><h2>Head</h2><p>Some text, here.</p><p>Other text, there.</p></div><ul class='menu'><li>m</ul>": "Head Some text, here. Other text, there.",
+    "<p>1 < 2 and &lt;b&gt;</p>": "1 < 2 and <b>",
+    "": "", "<html><head><title>t</title></head><body></body></html>": "",
+}
+
+
+def test_html_extraction(spark):
+    rows = [(k, f"u{k}", h) for k, h in enumerate(PAGES)] + [(None, None, None), (0, "u0", next(iter(PAGES)))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    got = [(r.page_id, r.text, r.n_chars) for r in html_extraction.extract(pages).collect()]
+    want = [(k, t, len(t)) for k, t in enumerate(PAGES.values())] + [(None, "", 0), (0, next(iter(PAGES.values())), len(next(iter(PAGES.values()))))]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_html_whole_table(spark, sf):
+    import html
+
+    for r in html_extraction.query(spark, sf).join(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)[1]
+        assert r.text == " ".join(html.unescape(re.sub("<[^>]+>", " ", inner)).split())
+
+
+# --- op5 -------------------------------------------------------------------------------
+
+
+def brute_lines(rows, least=10):
+    strip = " \t\n\x0b\x0c\r"
+    key = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in x.strip(strip))
+    first, docs = {}, {}
+    for i, t in sorted(rows):
+        for x in (t or "").split("\n"):
+            first.setdefault(key(x), i)
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < least or first[key(x)] == i]
+        docs[i] = (len(lines), len(lines) - len(kept), "\n".join(kept))
+    return docs
+
+
+@pytest.mark.parametrize("batches,fanout", [(1, 2), (4, 2), (7, 3)])
+def test_line_dedup(spark, batches, fanout):
+    rows = corpus(10, 50) + [(60, "A Long Line, here\nshort\n a long line, here \t\nshort"), (61, "x\nA LONG LINE, HERE\n\n"), (62, "A LONG LINE, HERE")]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(frame(spark, rows), batches=batches, fanout=fanout).collect()}
+    assert got == brute_lines(rows)
+
+
+def test_line_runs_are_compacted(spark):
+    runs = line_dedup.LineRuns(2)
+    for k in range(4):
+        runs.add(spark.createDataFrame([(k, k)], "h long, h2 long"))
+    assert [len(x) for x in runs.levels] == [0, 0, 1] and runs.seen().count() == 4
+
+
+def test_line_dedup_odd_rows(spark):
+    line = "the same long line"
+    rows = [(None, line), (1, line), (1, line), (2, line), (3, None)]
+    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
+    assert got == [("1", 1, 0), ("1", 1, 0), ("2", 1, 1), ("3", 1, 0), ("None", 1, 0)]
+
+
+# --- op6 -------------------------------------------------------------------------------
+
+
+def brute_targets(size):
+    names = sorted((s for s in size if s is not None)) + [s for s in size if s is None]
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    left, free, target = 1.5 * sum(size.values()), set(names), {}
+    while free:
+        share = left / sum(weight[s] for s in free)
+        over = {s for s in free if share * weight[s] > 2 * size[s]}
+        if not over:
+            return target | {s: share * weight[s] for s in free}
+        for s in over:
+            target[s] = 2.0 * size[s]
+            left -= target[s]
+        free -= over
+    return target
+
+
+def test_mixing(spark):
+    r = random.Random(11)
+    rows = [(k, "w " * r.choice([0, 1, 5, 40]), None, r.choice(["a", "b", "é", "Z", None]), 0) for k in range(400)]
+    rows += [(1000 + k, "w " * 3, None, "only-a-few", 0) for k in range(2)] + [(1, "w", None, "a", 0)] * 2 + [(None, "w w", None, "b", 0), (7777, None, None, "empty", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = mixing.mix(docs).collect()
+    assert len(found) == len(rows)
+    size = {}
+    for _, t, _, s, _ in rows:
+        size[s] = size.get(s, 0) + len((t or "").split())
+    want = brute_targets(size)
+    taken = {}
+    for x in found:
+        assert x.source_size == size[x.source] and x.target == pytest.approx(want[x.source])
+        assert 0 <= x.taken <= 2 * x.size and (not x.size or x.taken % x.size == 0)
+        taken[x.source] = taken.get(x.source, 0) + x.taken
+    assert all(abs(taken[s] - want[s]) <= 20 for s in size)
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
+# --- op7 -------------------------------------------------------------------------------
+
+
+def test_language_held_out(spark, sf):
+    truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = language.query(spark, sf).join(truth, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_language_odd_rows(spark):
+    rows = [(1, "abc abc abc", "x"), (2, "xyz xyz", "y"), (3, None, "x"), (4, "123 !?", None), (None, "abc", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("held_out", F.lit(False))
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, language.learn(docs)).collect()}
+    assert got == {1: "x", 2: "y", 3: "und", 4: "und", None: "x"}
+    assert {r.lang_pred for r in language.predict(docs, language.learn(docs.limit(0))).collect()} == {"und"}
+
+
+def test_ngrams_have_word_ends():
+    text = lambda c: "".join("_" if x == 1 else chr(x) for x in (int(c) >> 42, int(c) >> 21 & 0x1FFFFF, int(c) & 0x1FFFFF) if x)
+    assert sorted(map(text, language.ngrams("Ab, c"))) == sorted(["a", "b", "c", "_a", "ab", "b_", "_c", "c_", "_ab", "ab_", "_c_"])
+
+
+# --- op8 -------------------------------------------------------------------------------
+
+
+def test_decontamination(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
+    items = [(k, " ".join(word() for _ in range(30))) for k in range(12)] + [(50, "too short"), (51, None)]
+    filler = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], {}
+    for k in range(12):
+        leak = items[k][1]
+        if k % 3 == 1:
+            leak = leak.upper().replace(" ", ",\n ")
+        if k % 3 == 2:  # a few edits
+            leak = leak[:20] + "q" + leak[20:50] + leak[52:]
+        rows.append((k, f"{filler(k * 30)} {leak} {filler(20)}"))
+        want[k] = [k]
+    rows += [(20 + k, filler(300)) for k in range(20)] + [(60, None), (61, ""), (None, items[0][1]), (62, "too short"), (63, items[0][1][:60])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in decontamination.leaks(frame(spark, rows), benchmark).collect()}
+    assert got == {i: want.get(i, [0] if i is None else []) for i, _ in rows}
+    clean = decontamination.clean(frame(spark, rows), benchmark)
+    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 13
+
+
+def test_decontamination_in_blocks(spark, sf):
+    docs, benchmark = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    norm = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
+    texts = {r.item_id: norm(r.text) for r in benchmark.collect()}
+    want = {r.doc_id: {i for i, b in texts.items() if b in norm(r.text)} for r in docs.collect()}
+    one = {r.doc_id: r["items"] for r in decontamination.leaks(docs, benchmark).collect()}
+    assert all(want[i] <= set(one[i]) for i in want)
+    blocks = list(decontamination.blocks(benchmark, 2000))
+    assert len(blocks) > 1
+    for r in docs.collect():
+        assert sorted(x for b in blocks for x in b.items_in([r.text])[0]) == one[r.doc_id]
+
+
+# --- op9 -------------------------------------------------------------------------------
+
+
+def luhn(s):
+    d = [int(c) * (1 + k % 2) for k, c in enumerate(reversed(re.sub(r"\D", "", s)))]
+    return sum(x - 9 * (x > 9) for x in d) % 10 == 0
+
+
+def test_pii(spark):
+    text = (
+        "bosbt.42@mail8.example.com 4041894974608795 1219538112535716 4041-8949-7460-8795 42.144.35.254 999.1.1.1 +1 (487) 555-7209 487-555-7209 123-45-6789 "
+        'born 1999-02-28 or 28/02/1999, never 31.02.2001; password=b7db7aa4a5fcc78305 token = "ce0cc631f6559e74" v1.2.3.4.5'
+    )
+    rows = [(1, text), (2, f"x {text}\n"), (3, None), (4, ""), (None, "plain text"), (1, text)]
+    got = pii.pseudonymise(frame(spark, rows)).collect()
+    by = {r.doc_id: r for r in got}
+    new = by[1].text
+    assert by[2].text == f"x {new}\n" and by[3].text is None and by[4].text == "" and by[None].text == "plain text" and by[None].n_replaced == 0 and len(got) == len(rows)
+    for gone in ("bosbt.42", "4041894974608795", "42.144.35.254", "555-7209", "123-45-6789", "1999-02-28", "28/02/1999", "b7db7aa4", "ce0cc631"):
+        assert gone not in new
+    for stays in ("@mail8.example.com", "1219538112535716", "999.1.1.1", "31.02.2001", "v1.2.3.4.5", "+1 (", "password=", 'token = "'):
+        assert stays in new
+    cards = re.findall(r"\b4[\d-]{15,18}\b", new)
+    assert len(cards) == 2 and all(map(luhn, cards)) and re.sub(r"\D", "", cards[1]) == cards[0]
+    iso, day_first = re.search(r"born (\S+) or (\S+),", new).groups()
+    assert iso.split("-")[::-1] == day_first.split("/")
+    assert by[1].n_replaced == 11 and sorted(by[1].kinds) == list(by[1].kinds)
+    other = pii.pseudonymise(frame(spark, rows[:1]), key="k2").first().text
+    assert other != new and len(other) == len(new)
+
+
+def test_permutations(spark):
+    n = spark.range(0, 73049).select(pii.permuted_number(F.col("id"), 17, 4297, "k").alias("y"))
+    assert tuple(n.agg(F.count_distinct("y"), F.min("y"), F.max("y")).first()) == (73049, 0, 73048)
+    t = spark.range(0, 1000).select(pii.permuted_text(F.concat(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("-x")), "k").alias("y"))
+    assert t.distinct().count() == 1000 and t.filter(~F.col("y").rlike("^[0-9]{3}-[a-z]$")).count() == 0
+
+
+# --- op10 ------------------------------------------------------------------------------
+
+
+def brute_base(t):
+    w = words_of(t)
+    lines = [x for x in (t or "").split("\n") if words_of(x)]
+    grams = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+    hit = {p for k, g in enumerate(grams) if grams.count(g) > 1 for p in (k, k + 1, k + 2)}
+    failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), sum(x in lines[:k] for k, x in enumerate(lines)), len(hit), failed
+
+
+def test_quality(spark):
+    import zstandard
+
+    rows = corpus(13, 60) + [(90, "word " * 500), (91, "".join(random.Random(1).choice("0123456789abcdefABCDEF+/") + (" " if k % 37 == 0 else "") for k in range(4000)))]
+    got = {r.doc_id: r for r in quality.judge(frame(spark, rows)).collect()}
+    packer = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for i, t in rows:
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_base(t), i
+        raw = (t or "").encode()
+        ratio, outside = quality.compression(raw, packer)
+        assert r.kept == (not r.base_failed and quality.in_band(len(raw), ratio) and outside <= quality.CHUNKS_OUTSIDE)
+    assert not got[90].kept
+
+
+def test_quality_keeps_columns(spark):
+    docs = frame(spark, corpus(14, 30)).withColumn("kept", F.lit("mine")).withColumn("ratio", F.lit(1))
+    kept = quality.passing(docs)
+    want = {r.doc_id for r in quality.judge(docs).filter("kept").collect()}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+
+
+# --- all -------------------------------------------------------------------------------
+
+OPERATORS = {
+    "substring": substring_dedup.substring_dedup,
+    "jaccard": ngram_jaccard.jaccard_groups,
+    "tokens": token_output.token_output,
+    "lines": line_dedup.dedup_lines,
+    "mix": mixing.mix,
+    "pii": pii.pseudonymise,
+    "quality": quality.judge,
+    "leaks": lambda d: decontamination.leaks(d, d.select(F.col("doc_id").alias("item_id"), "text")),
+    "language": lambda d: language.predict(d.withColumn("held_out", F.lit(False)), language.learn(d)),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table_and_clashing_columns(spark, name):
+    clash = {c: F.lit(1) for c in ("h", "ordinal", "n", "at", "src", "grams", "items", "start", "size", "copies", "component", "kept", "found", "rank", "bucket")}
+    assert OPERATORS[name](frame(spark, []).withColumns(clash)).collect() == []
+    rows = frame(spark, corpus(15, 12)).withColumns(clash)
+    assert OPERATORS[name](rows).count() == 12
+
+
+def test_long_word_and_pieces(monkeypatch):
+    import numpy as np
+
+    text = ("ab  cd\n" * 50 + "x" * 300 + " end ").encode()
+    whole = _shared.word_hashes(text)
+    monkeypatch.setattr(_shared, "CHUNK", 64)
+    assert np.array_equal(_shared.word_hashes(text), whole) and len(whole) == 102
