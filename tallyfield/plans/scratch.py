@@ -8,12 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names (own folder if unset)."""
+    """A new path in the shared folder that spark.checkpoint.dir names.
+
+    Where that is unset, as in tests on one machine, a temporary folder of this session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tallyfield-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="tallyfield-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
