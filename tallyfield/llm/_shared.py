@@ -7,42 +7,34 @@ sorting and shuffling.  A word is ``[^\\x20\\x09-\\x0D]+``, which is what
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from tallyfield.plans.scratch import scratch_path, stage  # noqa: F401
 from tallyfield.plans.ship import ship
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 20
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SPACES = tuple(bytes([c]) for c in b" \t\n\x0b\x0c\r")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names (own folder if unset)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tallyfield-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: the lineage ends there."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def mix(h: np.ndarray) -> np.ndarray:
+    """Finishing steps of splitmix64."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
 #: A random value for each byte, and powers (and their inverses) of the multiplier.
-_BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
 _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
 _powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
 
@@ -108,13 +100,6 @@ def hashed_texts(ids: list, texts: list[bytes]) -> Iterator[tuple[list, np.ndarr
         k = j
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """Finishing steps of splitmix64."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of k consecutive word hashes (empty if there are fewer), by doubling."""
     if len(words) < k or k < 1:
@@ -238,10 +223,16 @@ def repeats(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list
 
 
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    """mapInArrow with f(batches, arrow schema); the schema is DDL."""
+    """mapInArrow with f(batches, arrow schema); the schema is DDL.
+
+    Where the session leaves Arrow's batches at 10,000 rows, it gets BATCH_ROWS: a batch is
+    held several times over in a task, as columns, as texts and as results."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(lambda batches: f(batches, arrow), schema)

@@ -1,45 +1,5 @@
-"""Connected components of a graph whose edges are a DataFrame."""
+"""Connected components, as the catalogue's clusters use them."""
 
-from __future__ import annotations
+from tallyfield.operators.graph import components
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from . import _shared as S
-
-
-def _print_of(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v")))
-
-
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component): the least node that each node of an edge can reach.
-
-    Alternates the large-star and small-star steps (Kiveris et al. 2014), each round
-    written to the shared folder, until the edges no longer change.  The number of
-    rounds grows with the logarithm of the graph; each row stays one edge, whatever
-    the size of a component.  Nulls and loops are no edges.
-    """
-    now = edges.filter(F.col(a) != F.col(b))
-    now = S.stage(now.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    before = _print_of(now)
-    while before[0]:
-        now = S.stage(_small_star(_large_star(now).distinct()).distinct(), "edges")
-        after = _print_of(now)
-        if after == before:
-            break
-        before = after
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+__all__ = ["components"]

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import _shared as S
 
 END_ID = 1
-HELD, HELD_CORES = 1_000_000, 100_000
+HELD, HELD_CORES = 400_000, 50_000
 #: Parquet's bytes of a row group and a page, and most rows of a page.
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 1 << 18, 2000
 #: Marks that part from the word before them.
@@ -150,7 +150,7 @@ def _encode(path, end_id):
             k = 0
             while k < len(texts):
                 j, size = k + 1, len(texts[k])
-                while j < len(texts) and size + len(texts[j]) < 2 * S.CHUNK:
+                while j < len(texts) and size + len(texts[j]) < S.CHUNK:
                     size += len(texts[j])
                     j += 1
                 flat, lengths = encoder.encode(texts[k:j], end_id)
