@@ -59,6 +59,7 @@ NOISE_WORDS = frozenset(
     "comment comments disqus reply replies respond sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related "
     "popup modal overlay widget widgets toolbar pagination pager login signup paywall alert".split()
 )
+COMMENTS = frozenset(("comment", "comments", "reply", "replies"))
 CONTENT = frozenset(("article", "main"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+)|<", re.S)
@@ -78,16 +79,23 @@ class _Element:
 def _is_noise(tag: str, attributes: str, parent: _Element) -> bool:
     if tag in NOISE:
         return True
+    inside = _within_content(parent)
     if tag == "header":
-        return not _within_content(parent)
-    if tag in CONTENT and tag == "main" or tag in ("body", "html") or not attributes:
+        return not inside
+    if tag in ("html", "body", "main") or not attributes:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and not NOISE_WORDS.isdisjoint(_WORDS.split(value)):
-            return tag != "article" or not NOISE_WORDS.isdisjoint(("comment", "comments", "reply")) and bool({"comment", "comments", "reply"} & set(_WORDS.split(value)))
+        if name in ("class", "id"):
+            words = NOISE_WORDS.intersection(_WORDS.split(value))
+            if tag == "article":
+                words &= COMMENTS
+            if inside:
+                words -= {"header"}  # an article's own heading
+            if words:
+                return True
     return False
 
 

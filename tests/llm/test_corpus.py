@@ -210,6 +210,7 @@ PAGES = {
     "<div class='cookie notice'>We use cookies, ok.</div><article>a<script>var x='</p>'</script><style>p{}</style><form><p>f</p></form>b</article>": "a b",
     "<article>a<script>var x='</p>'</script>b<template><p>t</p></template>c</article>": "abc",
     "<div id='c'><h2>Head</h2><p>Some text, here.</p><p>Other text, there.</p></div><ul class='menu'><li>m</ul>": "Head Some text, here. Other text, there.",
+    "<article class='post'><div class='post-header'><h1>H</h1></div><p>Body, text.</p><article class='comment'>No, no.</article><div id=share-box>s</div></article>": "H Body, text.",
     "<p>1 < 2 and &lt;b&gt;</p>": "1 < 2 and <b>",
     "": "", "<html><head><title>t</title></head><body></body></html>": "",
 }
