@@ -36,7 +36,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = stage(now.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     before = _print_of(now)
     while before[0]:
-        now = stage(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = stage(_small_star(_large_star(now)).distinct(), "edges")
         after = _print_of(now)
         if after == before:
             break
