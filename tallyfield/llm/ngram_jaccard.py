@@ -238,16 +238,15 @@ def _links(pairs: DataFrame, sets: DataFrame, t: int, name: str) -> DataFrame:
     return S.stage(S.map_arrow(both, _verify(t), "a long, b long"), name)
 
 
-def _labelled(hot: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(hot: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the groups that still hold several components, with their component."""
-    found = components(links, "a", "b").withColumnRenamed("node", "doc_id")
-    rows = hot.join(found, "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
+    rows = hot.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
     mixed = rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h")
     return S.stage(rows.join(mixed, "h"), "groups")
 
 
-def similar_links(sets: DataFrame, t: int) -> DataFrame:
-    """Links (a, b) between sets (doc_id, grams), enough of them to give all components."""
+def similar_components(sets: DataFrame, t: int) -> DataFrame:
+    """(node, component) of the sets (doc_id, grams) that have a link."""
     pair = "a long, b long"
     grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams, "h long, doc_id long, ordinal int")
     often = S.map_arrow(grams.repartition("h").sortWithinPartitions("h"), _frequencies, "doc_id long, ordinal int, df int")
@@ -264,12 +263,13 @@ def similar_links(sets: DataFrame, t: int) -> DataFrame:
         return S.map_arrow(rows.select(*in_order).repartition("h").sortWithinPartitions("h", *order), _pairs_with_pivot(t), pair)
 
     links = _links(pairs.union(with_pivot(hot.withColumn("label", F.col("doc_id")), "doc_id")), sets, t, "links")
+    found = S.stage(components(links, "a", "b"), "components")
     if hot.isEmpty():
-        return links
+        return found
     for k in range(PIVOT_ROUNDS + 1):
-        hot = _labelled(hot.drop("label"), links)
+        hot = _labelled(hot.drop("label"), found)
         if hot.isEmpty():
-            return links
+            break
         if k < PIVOT_ROUNDS:  # another component of each group gives the pivot in each round
             pairs = with_pivot(hot, F.xxhash64("label", F.lit(k)), "doc_id")
         else:
@@ -281,8 +281,10 @@ def similar_links(sets: DataFrame, t: int) -> DataFrame:
             meet &= (small_n * 100 >= t * large_n) & (left >= need)
             pairs = x.join(y, meet).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         more = _links(pairs, sets, t, "links")
-        links = links.union(more)
-    return links
+        if not more.isEmpty():  # each component is a star by now
+            known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = S.stage(components(known.union(more), "a", "b"), "components")
+    return found
 
 
 def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -297,7 +299,7 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = TH
     classes = sets.filter("n > 0").groupBy(*print_of).agg(F.min("doc_id").alias("class_id"))
     chosen = sets.filter("grams is not null").join(classes.filter("class_id is not null"), print_of).filter("doc_id = class_id")
     chosen = S.stage(chosen.select("doc_id", "grams"), "classes")
-    found = components(similar_links(chosen, threshold), "a", "b").withColumnRenamed("node", "class_id")
+    found = similar_components(chosen, threshold).withColumnRenamed("node", "class_id")
     of_class = classes.join(found, "class_id", "left").select(*print_of, F.coalesce("component", "class_id").alias("component_id"))
     out = sets.select("doc_id", *print_of).join(of_class, print_of, "left")
     whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
