@@ -38,17 +38,16 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it."""
     key = ["doc_id", "source", "size"]
     taken = _shared.stage(mixing.mix(docs).select(*key, "copies"), "copies")
-    sized = docs.withColumn("size_of", mixing.n_words())
-    on = sized["doc_id"].eqNullSafe(taken["doc_id"]) & sized["source"].eqNullSafe(taken["source"]) & (sized["size_of"] == taken["size"])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("source").cast("string").alias("of"), mixing.n_words().alias("words"))
+    on = rows["id"].eqNullSafe(taken["doc_id"]) & rows["of"].eqNullSafe(taken["source"]) & (rows["words"] == taken["size"])
     if not taken.groupBy(*key).count().filter("count > 1").isEmpty():
         # rows with one key meet one to one
         taken = taken.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("copies")))
-        sized = sized.withColumn("nth_of", F.row_number().over(Window.partitionBy("doc_id", "source", "size_of").orderBy("text")))
-        on = sized["doc_id"].eqNullSafe(taken["doc_id"]) & sized["source"].eqNullSafe(taken["source"])
-        on &= (sized["size_of"] == taken["size"]) & (sized["nth_of"] == taken["nth"])
-    rows = sized.join(taken.filter("copies > 0"), on).select(*(sized[c] for c in docs.columns), taken["copies"].alias("copies_of"))
-    again = rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies_of").cast("int"))).alias("copy_of"))
-    return again.drop("copy_of")
+        rows = rows.withColumn("nth_row", F.row_number().over(Window.partitionBy("id", "of", "words").orderBy("row.text")))
+        on = rows["id"].eqNullSafe(taken["doc_id"]) & rows["of"].eqNullSafe(taken["source"])
+        on &= (rows["words"] == taken["size"]) & (rows["nth_row"] == taken["nth"])
+    chosen = rows.join(taken.filter("copies > 0"), on).select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return chosen.select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
