@@ -444,6 +444,18 @@ def test_quality_keeps_columns(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
 
 
+@pytest.mark.parametrize("n_bytes, junk, good", [(1131, 0.47, 0.52), (2262, 0.445, 0.48), (3100, 0.44, 0.465), (6000, 0.418, 0.445)])
+def test_quality_band_follows_the_length(n_bytes, junk, good):
+    assert quality.in_band(n_bytes, good) and not quality.in_band(n_bytes, junk)
+
+
+def test_quality_on_labels(spark, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = quality.query(spark, sf).filter("not base_failed").join(labels, "doc_id").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert good and all(good) and bad and sum(bad) <= len(bad) / 2
+
+
 # --- all -------------------------------------------------------------------------------
 
 OPERATORS = {
