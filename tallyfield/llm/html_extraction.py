@@ -8,10 +8,13 @@ around it; all its text goes out in page order, headings and short paragraphs to
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments have no score and are left out wherever they stand, told by tag, role or the
-words of class and id.  White space is what Unicode calls so, no-break spaces included.
+words of class and id.  A form or a class that holds the page rather than a part of it is
+a wrapper and no noise (see _unwrap).  White space is what Unicode calls so, no-break
+spaces included.
 
 Defined cases: null or empty html, or a page without text, gives an empty text; unclosed
-and stray tags are repaired as far as implied end tags go; ids and urls are passed
+and stray tags are repaired as far as implied end tags go, a head ends at the first thing
+that can't be in it; ids and urls are passed
 through, null or repeated; extra columns are ignored.
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,8 @@ from . import _shared as S
 THRESHOLD = 0.5
 #: Share of the marked text that the content block holds at least.
 HELD = 0.8
+#: Share of the page's text that a wrapper around its article, or around its only text, holds at least.
+WRAPS = 0.5
 #: Weights for smoothing over neighbouring nodes.
 SMOOTH = (0.25, 0.5, 0.25)
 
@@ -38,6 +44,7 @@ SMOOTH = (0.25, 0.5, 0.25)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
 NOISE = frozenset("nav footer aside form script style noscript template iframe svg button select textarea dialog menu head title object canvas audio video".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 UNSEEN = frozenset(("script", "style", "template"))
 PARAGRAPH_ENDS = frozenset(
@@ -69,25 +76,29 @@ _PUNCTUATION = re.compile(r"[.,;:!?…、。，]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "noise", "path", "weight", "heads")
+    __slots__ = ("tag", "parent", "noise", "soft", "path", "weight")
 
-    def __init__(self, tag, parent, noise):
-        self.tag, self.parent, self.noise, self.weight = tag, parent, noise, 0
+    def __init__(self, tag, parent, noise, soft=""):
+        self.tag, self.parent, self.noise, self.soft, self.weight = tag, parent, noise, soft, 0
         self.path = f"{parent.path}/{tag}" if parent else tag
 
 
-def _is_noise(tag: str, attributes: str, parent: _Element) -> bool:
-    if tag in NOISE:
+def _is_noise(tag: str, attributes: str, parent: _Element) -> bool | str:
+    """True, False, or what may turn out as a wrapper: "form", "comments", "words"."""
+    if tag in NOISE and tag != "form":
         return True
     inside = _within_content(parent)
     if tag == "header":
         return not inside
+    soft = "form" if tag == "form" else ""
     if tag in ("html", "body", "main") or not attributes:
-        return False
+        return soft or False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES - {"form"}:
             return True
+        if name == "role" and value == "form":
+            soft = soft or "form"
         if name in ("class", "id"):
             words = NOISE_WORDS.intersection(_WORDS.split(value))
             if tag == "article":
@@ -95,8 +106,8 @@ def _is_noise(tag: str, attributes: str, parent: _Element) -> bool:
             if inside:
                 words -= {"header"}  # an article's own heading
             if words:
-                return True
-    return False
+                soft = "comments" if words & COMMENTS or soft == "comments" else "words"
+    return soft or False
 
 
 def _within_content(element: _Element | None) -> bool:
@@ -107,6 +118,63 @@ def _within_content(element: _Element | None) -> bool:
     return False
 
 
+def _above(element: _Element | None):
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _unwrap(nodes: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
+    """The nodes outside noise, where a form or class word doesn't count on a wrapper.
+
+    Other noise within it or beside it stays noise.  An element that isn't in an article is a wrapper
+
+    - around a main or just one outermost article, if it has WRAPS of the text outside other noise
+      and no other article has text (nor a title, if the words are those of comments)
+    - around an h1, if it has HELD of that text and no main or article has text elsewhere
+    - around the only text, if it has WRAPS of all text and no main, article or h1 has text
+      elsewhere: a form with punctuation, others with two such texts, but not comments
+    """
+    if not any(e.soft for x in nodes for e in _above(x[0])):
+        return nodes
+    refused: set[_Element] = set()
+    while True:
+        held: dict[_Element | None, list] = {None: []}  # by the innermost soft element
+        for x in nodes:
+            if x[1].strip():
+                held.setdefault(next((e for e in _above(x[0]) if e.soft), None), []).append(x)
+        size = {e: sum(len(x[1].strip()) for x in some) for e, some in held.items()}
+        total = sum(size.values())
+        # the largest first
+        for element in sorted(held.keys() - refused - {None}, key=size.get, reverse=True):
+            if _wraps(element, held, size, total):
+                element.soft = ""
+                refused -= set(_above(element))
+                break
+            refused.add(element)
+        else:
+            return [x for x in nodes if not any(e.soft for e in _above(x[0]))]
+
+
+def _wraps(element: _Element, held: dict, size: dict, total: int) -> bool:
+    above = list(_above(element.parent))
+    others = [None, *(e for e in above if e.soft)]
+    share = size[element] / (size[element] + sum(size.get(e, 0) for e in others))
+    if share < WRAPS or any(e.tag == "article" for e in (element, *above)):
+        return False
+    outside = {e for o in others for x in held.get(o, ()) for e in _above(x[0])}
+    elsewhere = {e for e in outside if e.tag in CONTENT}
+    titled = bool(elsewhere) or any(e.tag == "h1" for e in outside)
+    inside = [list(takewhile(lambda e: e is not element, _above(x[0]))) for x in held[element]]
+    outermost = {next(e for e in reversed(path) if e.tag in CONTENT) for path in inside if any(e.tag in CONTENT for e in path)}
+    texts = sum(bool(_PUNCTUATION.search(x[1])) for x in held[element])
+    if len(outermost) == 1 or any(e.tag == "main" for e in outermost):
+        return elsewhere <= set(above) and not (titled and element.soft == "comments")
+    if share >= HELD and any(e.tag == "h1" for path in inside for e in path):
+        return not elsewhere
+    return not titled and size[element] >= WRAPS * total and texts >= {"form": 1, "words": 2}.get(element.soft, texts + 1)
+
+
 def text_nodes(html: str) -> list[tuple[_Element, str, int]]:
     """(element, decoded text, number of its block) of the text nodes outside noise."""
     root = _Element("#root", None, False)
@@ -114,6 +182,8 @@ def text_nodes(html: str) -> list[tuple[_Element, str, int]]:
     while m := _TOKEN.match(html, at):
         at = m.end()
         if m[4] is not None:
+            if here.tag == "head" and not m[4].isspace():
+                here = here.parent
             if not here.noise:
                 out.append((here, unescape(m[4]), block))
             continue
@@ -131,19 +201,24 @@ def text_nodes(html: str) -> list[tuple[_Element, str, int]]:
             if up is not root:
                 here = up.parent
             continue
+        if here.tag == "head" and tag not in IN_HEAD:
+            here = here.parent
+        if tag == "head" and here.tag not in ("#root", "html"):
+            continue  # only a page has a head
         if tag in PARAGRAPH_ENDS:
             here = _closed(here, root, {"p"}, {"button", "td", "th", "caption", "li"} | CONTENT)
         if tag in IMPLIED:
             here = _closed(here, root, *IMPLIED[tag])
         if tag in VOID or m[3].endswith("/") and tag in ("svg", "path"):
             continue
-        element = _Element(tag, here, here.noise or _is_noise(tag, m[3], here))
+        noise = here.noise or _is_noise(tag, m[3], here)
+        element = _Element(tag, here, noise is True, noise if isinstance(noise, str) else "")
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
         else:
             here = element
-    return out
+    return _unwrap(out)
 
 
 def _closed(here: _Element, root: _Element, tags: set, bounds: set) -> _Element:

@@ -232,6 +232,36 @@ def test_html_whole_table(spark, sf):
         assert r.text == " ".join(html.unescape(re.sub("<[^>]+>", " ", inner)).split())
 
 
+_BODY = "<h1>Head</h1><p>Long enough text, with marks.</p><p>Other text, as long.</p>"
+_TEXT = "Head Long enough text, with marks. Other text, as long."
+WRAPPED = {
+    f"<html><head><title>t</title><meta charset=utf-8><body><article>{_BODY}</article>": _TEXT,
+    f"<html><head><title>t</title><div>{_BODY}</div>": _TEXT,
+    "<html><head><title>t</title>Text only.": "Text only.",
+    f"<body><form action=x><nav>menu</nav><article>{_BODY}</article><select><option>o</select></form>": _TEXT,
+    f"<body><form role=form><div>{_BODY}</div><div class=sidebar>Aside, a.</div></form>": _TEXT,
+    "<body><form><table><tr><td>Some text, here.<td>Other text, there.</table></form>": "Some text, here. Other text, there.",
+    f"<form><article>{_BODY}</article><div id=comments><article>{'A long comment, indeed. ' * 20}</article></div></form>": _TEXT,
+    # wrappers that are no noise, with noise inside
+    **{f"<div class='layout {c}'><article>{_BODY}</article><div class=sidebar>Aside, a. Aside, b.</div></div>": _TEXT for c in ("has-sidebar", "no-sidebar", "with-menu", "with-comments")},
+    f"<div class='no-sidebar'><div>{_BODY}</div></div>": _TEXT,
+    "<div class='no-sidebar'><p>Some text, here.</p><p>Other text, there.</p></div>": "Some text, here. Other text, there.",
+    f"<main><p>Lead, first.</p><div class='with-menu'><article>{_BODY}</article></div></main>": f"Lead, first. {_TEXT}",
+    # noise that stays, however long
+    f"<article>{_BODY}</article><div class=related><article>{'A teaser, long. ' * 20}</article></div>": _TEXT,
+    f"<article>{_BODY}<section id=comments><article>{'A comment, long. ' * 20}</article></section></article>": _TEXT,
+    f"<div>{_BODY}</div><div class=comments>{'<p>A comment, long.</p>' * 20}</div>": _TEXT,
+    f"<div>{_BODY}</div><div class=consent>{'<p>We use cookies, ok.</p>' * 20}</div>": _TEXT,
+    "<ul class=menu><li>a<li>b</ul><div class=cookie>We use cookies, ok.</div>": "",
+    "<form><label>User</label><label>Password</label></form>": "",
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_html_wrappers(page):
+    assert html_extraction.main_text(page) == WRAPPED[page]
+
+
 # --- op5 -------------------------------------------------------------------------------
 
 
