@@ -2,9 +2,11 @@
 
 Each text node has a path, the tags from the root to it.  For each path of a page, text
 length and punctuation per node are aggregated, smoothed over the page's order, fused into
-one score, and paths above a threshold mark content nodes.  The content block is the
-deepest element that holds most of the marked text, widened to the article or main element
-around it; all its text goes out in page order, headings and short paragraphs too.
+one score, and paths above a threshold mark content nodes; the page's h1 counts as marked.
+If articles and main elements hold most of the marked text, all text of those that hold any
+goes out, and the marked paragraphs outside.  Otherwise it is all text of the deepest element
+that holds all marked text, widened to the article, main or box around it.  All is in page
+order, headings and short paragraphs too; what is marked is never left out.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments have no score and are left out wherever they stand, told by tag, role or the
@@ -33,7 +35,7 @@ from . import _shared as S
 
 #: A path's score must reach this share of the page's mean.
 THRESHOLD = 0.5
-#: Share of the marked text that the content block holds at least.
+#: Share of the marked text that articles hold at least, if they are to be the content.
 HELD = 0.8
 #: Share of the page's text that a wrapper around its article, or around its only text, holds at least.
 WRAPS = 0.5
@@ -68,6 +70,7 @@ NOISE_WORDS = frozenset(
 )
 COMMENTS = frozenset(("comment", "comments", "reply", "replies"))
 CONTENT = frozenset(("article", "main"))
+BOXES = frozenset(("div", "section", "td", "body", "html", "#root"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+)|<", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -253,31 +256,26 @@ def main_text(html: str | None) -> str:
         return ""
     scores = path_scores([x[0].path for x in full], [x[1] for x in full])
     content = scores >= THRESHOLD * scores.mean()
-    total = 0
-    for (element, text, _), marked in zip(full, content, strict=True):
-        if marked:
-            total += len(text)
-            while element is not None:
-                element.weight += len(text)
-                element = element.parent
-    # from the heaviest text upwards, the first element that holds enough
-    block = max((x for x, marked in zip(full, content, strict=True) if marked), key=lambda x: x[0].weight)[0]
-    while block.weight < HELD * total:
-        block = block.parent
-    outer, up = block, block
-    while up is not None:
-        if up.tag in CONTENT:
-            outer = up
-        up = up.parent
-    if outer is block and block.tag not in CONTENT:
-        while outer.parent is not None and outer.tag not in ("body", "html", "#root") and outer.tag not in ("div", "section", "td"):
-            outer = outer.parent
+    marked = [x for x, y in zip(full, content, strict=True) if y or any(e.tag == "h1" for e in _above(x[0]))]
+    total = in_content = 0
+    blocks: set[_Element] = set()
+    for element, text, _ in marked:
+        total += len(text)
+        outer = None
+        for e in _above(element):
+            e.weight += len(text)
+            outer = e if e.tag in CONTENT else outer
+        if outer is not None:
+            in_content += len(text)
+            blocks.add(outer)
+    paragraphs = {x[2] for x in marked}
+    if in_content < HELD * total:
+        block = next(e for e in _above(marked[0][0]) if e.weight == total)
+        outer = next((e for e in reversed(list(_above(block))) if e.tag in CONTENT), None)
+        blocks = {outer or next((e for e in _above(block) if e.tag in BOXES), block)}
     parts: dict[int, list[str]] = {}
     for element, text, number in nodes:
-        up = element
-        while up is not None and up is not outer:
-            up = up.parent
-        if up is not None:
+        if number in paragraphs or any(e in blocks for e in _above(element)):
             parts.setdefault(number, []).append(text)
     return " ".join(" ".join("".join(x) for x in parts.values()).split())
 

@@ -262,6 +262,30 @@ def test_html_wrappers(page):
     assert html_extraction.main_text(page) == WRAPPED[page]
 
 
+def _prose(n, word="word"):
+    return " ".join(f"{word} {k}, and so on." for k in range(n))
+
+
+def _paragraphs(*texts):
+    return "".join(f"<p>{x}</p>" for x in texts)
+
+
+_LONG, _INTRO, _END = _prose(40), _prose(9, "intro"), _prose(9, "end")
+SECTIONS = {
+    f"<body><div><h1>Title</h1></div><div id=intro>{_INTRO}</div><div id=body>{_LONG}</div><footer>f</footer></body>": f"Title {_INTRO} {_LONG}",
+    f"<body><nav>menu</nav><div><h1>Title</h1></div><div id=body>{_paragraphs(_LONG, 'Short.', _LONG)}</div></body>": f"Title {_LONG} Short. {_LONG}",
+    f"<body><section>{_paragraphs(_INTRO)}</section><section><h2>Two</h2>{_paragraphs(_LONG, _LONG)}</section><div class=ad>Buy, now.</div><section>{_paragraphs('Short.', _END)}</section></body>":
+    f"{_INTRO} Two {_LONG} {_LONG} Short. {_END}",
+    f"<article>{_paragraphs(_LONG, _LONG)}</article><aside>x</aside><article>{_paragraphs(_END, 'Short.')}</article>": f"{_LONG} {_LONG} {_END} Short.",
+    f"<div><h1>Title <i>of</i> it</h1><p>{_INTRO}</p></div><article>{_paragraphs(_LONG, _LONG)}</article>": f"Title of it {_INTRO} {_LONG} {_LONG}",
+}
+
+
+@pytest.mark.parametrize("page", SECTIONS, ids=range(len(SECTIONS)))
+def test_html_sections(page):
+    assert html_extraction.main_text(page) == SECTIONS[page]
+
+
 # --- op5 -------------------------------------------------------------------------------
 
 
