@@ -10,7 +10,9 @@ values stay different:
 - e-mail addresses: the local part; letters stay letters, digits digits, the domain stays
 - IPv4 addresses with octets up to 255: permuted as 32-bit numbers
 - calendar dates of 1900 to 2099, ISO or day first: permuted as day numbers, same notation
-- values after password, token, secret, api key: letters and digits within their kind
+- values after password, token, secret, api key, of any length, up to the closing quote on their
+  line or else to white space (or to a comma before a quote): ASCII letters and digits within
+  their kind, other signs stay.  What follows without white space counts as the value
 
 Strings use an alternating Feistel network on their two halves, each character shifted
 within its class by a keyed hash of the other half; numbers use one modulo both factors of
@@ -34,7 +36,8 @@ KEY = "change-this-key"
 # What counts as a candidate, most specific first.
 _LEFT, _RIGHT = r"(?<![\w.@+-])", r"(?![\w@])"
 KINDS = {
-    "secret": r"(?i:(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)\b[\x20\"']{0,3}[=:]\x20?[\"']?)[A-Za-z0-9_+/-]{6,200}",
+    "secret": r"(?i:(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)\b[\x20\"']{0,3}[=:]{1,2}>?\x20?)"
+    r"(?:\"(?![\"\r\n])[^\r\n]*?(?<!(?<!\\)\\)\"|'(?!['\r\n])[^\r\n]*?(?<!(?<!\\)\\)'|\S+?(?=\s|\z|,[\"']))",
     "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
     "date": r"(?<![\w/.-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d[/.]\d\d[/.](?:19|20)\d\d)(?![\w/-]|\.\d)",
@@ -73,12 +76,12 @@ def permuted_number(x: Column, a: int, b: int, key: str) -> Column:
 def _shifted(half: Column, stream: Column) -> Column:
     """Each letter or digit of half moved within its class by the stream's four hex digits for its place."""
 
-    def moved(c: Column, i: Column) -> Column:
-        by = F.conv(F.substr(stream, (i % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int") + F.floor(i / 16).cast("int") * 7
+    def moved(c: Column, i: Column, once: Column) -> Column:
+        by = F.conv(F.substr(once, (i % 16) * 4 + 1, F.lit(4)), 16, 10).cast("int") + F.floor(i / 16).cast("int") * 7
         within = lambda low, n: F.char(F.lit(ord(low)) + (F.ascii(c) - ord(low) + by) % n)
         return F.when(c.between("0", "9"), within("0", 10)).when(c.between("a", "z"), within("a", 26)).when(c.between("A", "Z"), within("A", 26)).otherwise(c)
 
-    return F.array_join(F.transform(F.split(half, ""), moved), "")
+    return _let(stream, lambda once: F.array_join(F.transform(F.split(half, ""), lambda c, i: moved(c, i, once)), ""))
 
 
 def permuted_text(x: Column, key: str) -> Column:
@@ -136,8 +139,21 @@ def _date(x: Column, key: str) -> Column:
 
 
 def _secret(x: Column, key: str) -> Column:
-    stays = F.regexp_extract(x, r"^.*?[=:]\x20?[\"']?", 0)
-    return F.concat(stays, permuted_text(F.substr(x, F.length(stays) + 1, F.length(x)), key))
+    """The letters and digits of the value, permuted as one text, so that signs at its ends don't matter."""
+    stays = F.regexp_extract(x, r"^[^=:]*[=:]+", 0)
+    value = F.substr(x, F.length(stays) + 1, F.length(x))
+
+    def put(s: Column, pair: Column) -> Column:
+        n = F.length(pair["word"])
+        return F.struct(F.concat(s["out"], pair["sign"], F.substr(s["rest"], F.lit(1), n)).alias("out"), F.substr(s["rest"], n + 1, F.length(s["rest"])).alias("rest"))
+
+    def new(v: Column) -> Column:
+        signs, words = F.split(v, "[A-Za-z0-9]+", -1), F.regexp_extract_all(v, F.lit("[A-Za-z0-9]+"), F.lit(0))
+        pairs = F.zip_with(signs, words, lambda a, b: F.struct(a.alias("sign"), F.coalesce(b, F.lit("")).alias("word")))
+        start = F.struct(F.lit("").alias("out"), permuted_text(F.array_join(words, ""), key).alias("rest"))
+        return F.when(v.rlike("[A-Za-z0-9]"), F.aggregate(pairs, start, put, lambda s: s["out"])).otherwise(v)
+
+    return F.concat(stays, _let(value, new))
 
 
 def _phone(x: Column, key: str) -> Column:

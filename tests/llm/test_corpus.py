@@ -457,6 +457,40 @@ def test_pii(spark):
     assert other != new and len(other) == len(new)
 
 
+SECRETS = {
+    'token = "%s" end': "".join(random.Random(k).choice("abcXYZ019") for k in range(300)),
+    "token: %s end": "".join(random.Random(k).choice("abcXYZ019") for k in range(20000)),
+    "secret=%s\nend": "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4fw",
+    "password=%s end": "abc!defgh=ijk'lmn",
+    "passwd: %s end": "q1w2e",
+    "api_key='%s', end": "two words, or more",
+    '{"token":"%s","end":1}': 'a1b2\\"c3d4e5',
+    '{"token":%s,"end":1}': "1234567",
+    'password="%s end': "unclosed12",
+}
+
+
+def test_pii_whole_secrets(spark):
+    rows = [(k, form % value) for k, (form, value) in enumerate(SECRETS.items())] + [(90, 'token="" and "x"')]
+    got = {r.doc_id: r for r in pii.pseudonymise(frame(spark, rows)).collect()}
+    for k, (form, value) in enumerate(SECRETS.items()):
+        before, after = form.split("%s")
+        text = got[k].text
+        assert text.startswith(before) and text.endswith(after) and len(text) == len(form % value) and got[k].kinds == ["secret"], form
+        new = text[len(before) : len(text) - len(after)]
+        shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", s)))
+        assert shape(new) == shape(value), form
+        words = lambda s: re.findall("[A-Za-z0-9]{4,}", s)
+        assert not set(words(new)) & set(words(value)) and new[-5:] != value[-5:], form
+    assert got[90].text == rows[-1][1]
+
+
+def test_pii_equal_secrets(spark):
+    rows = [(1, "password=abc123xyz, x"), (2, 'token: "abc123xyz"'), (3, "secret=abc123xyz")]
+    texts = [r.text for r in pii.pseudonymise(frame(spark, rows)).collect()]
+    assert len({re.search("[a-z]{3}[0-9]{3}[a-z]{3}", x)[0] for x in texts} - {"abc123xyz"}) == 1
+
+
 def test_permutations(spark):
     n = spark.range(0, 73049).select(pii.permuted_number(F.col("id"), 17, 4297, "k").alias("y"))
     assert tuple(n.agg(F.count_distinct("y"), F.min("y"), F.max("y")).first()) == (73049, 0, 73048)
