@@ -1,283 +1,313 @@
 """HTML extraction by tag-path ratios (after Wu et al. 2013, "Web news extraction via tag path feature fusion").
 
-Each text node has a path, the tags from the root to it.  For each path of a page, text
-length and punctuation per node are aggregated, smoothed over the page's order, fused into
-one score, and paths above a threshold mark content nodes; the page's h1 counts as marked.
-If articles and main elements hold most of the marked text, all text of those that hold any
-goes out, and the marked paragraphs outside.  Otherwise it is all text of the deepest element
-that holds all marked text, widened to the article, main or box around it.  All is in page
-order, headings and short paragraphs too; what is marked is never left out.
-
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments have no score and are left out wherever they stand, told by tag, role or the
-words of class and id.  A form or a class that holds the page rather than a part of it is
-a wrapper and no noise (see _unwrap).  White space is what Unicode calls so, no-break
-spaces included.
-
-Defined cases: null or empty html, or a page without text, gives an empty text; unclosed
-and stray tags are repaired as far as implied end tags go, a head ends at the first thing
-that can't be in it; ids and urls are passed
-through, null or repeated; extra columns are ignored.
+A block is the text between two tags that part blocks; its path, the tags from the root to
+it.  For each path of a page, text length and punctuation per block are aggregated (links
+count for neither), smoothed over the page's order and fused into one score.  The paths that
+reach a share of the page's mean score select the content blocks.
+
+Class words lower a score and delete nothing: an element named after a menu, header, footer,
+sidebar, notice, advert, form or reader comment parts its path from others and costs all in
+it a factor of COST (comments, adverts and cookie notices its square).  As the threshold is
+relative, a page whose whole text stands in such an element keeps it.  An element that holds
+half the page's text and its title or main article is a wrapper and costs nothing.  What
+stands in an article or main element counts twice.  Tags that can't be an article's text
+(nav, footer, aside, script, form controls; header outside articles) are left out by name.
+
+Beside the selected blocks go out, in page order, if no more words of noise than the core's
+are on their path (the core is the box around the deepest element that holds most of the
+selected text):
+
+- blocks of the core that have text outside links
+- blocks between two selected ones (outside the core, if they have text outside links)
+- headings right before the first selected block, and from the page's title, or a heading that
+  is no site header, on to it
+
+Defined cases: null or empty html, or a page without text, gives an empty text; unclosed and
+stray tags are repaired as far as implied end tags go, a head ends at the first thing that
+can't be in it; tags with broken quotes end at their first ">"; paths with equal scores go out
+together; long and deeply nested pages take time and memory in proportion to their length;
+white space is what Unicode calls so, no-break spaces included; ids and urls are passed
+through, null or repeated; extra columns are ignored, whatever their names; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
 from html import unescape
-from itertools import takewhile
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfield.functions import markup
+
 from . import _shared as S
 
-#: A path's score must reach this share of the page's mean.
-THRESHOLD = 0.5
-#: Share of the marked text that articles hold at least, if they are to be the content.
+#: A path's score must reach this share of the page's mean score (weighted by the scores themselves), and FLOOR.
+THRESHOLD = 0.4
+FLOOR = 0.05
+#: What a name that speaks of noise costs all in its element.
+COST = 50.0
+#: Share of the selected text that the core holds, and of the page's text that a wrapper holds, at least.
 HELD = 0.8
-#: Share of the page's text that a wrapper around its article, or around its only text, holds at least.
 WRAPS = 0.5
-#: Weights for smoothing over neighbouring nodes.
+#: Weights for smoothing over neighbouring blocks.
 SMOOTH = (0.25, 0.5, 0.25)
+#: What standing in an article is worth.
+IN_ARTICLE = 2.0
 
-# Tags by kind.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Tags by kind, and words of class and id.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
-NOISE = frozenset("nav footer aside form script style noscript template iframe svg button select textarea dialog menu head title object canvas audio video".split())
+NOISE = frozenset("nav footer aside script style noscript template iframe svg button select textarea dialog menu head title object canvas audio video".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 UNSEEN = frozenset(("script", "style", "template"))
+CONTENT = frozenset(("article", "main"))
+BOXES = frozenset(("article", "main", "div", "section", "td", "body", "html", "#root"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
-#: A start tag ends these elements, up to the bounds after them.
-IMPLIED = {
-    "li": ({"li"}, {"ul", "ol", "menu"}),
-    "dt": ({"dt", "dd"}, {"dl"}),
-    "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-    "option": ({"option"}, {"select"}),
-}
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-NOISE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices newsletter subscribe subscription "
-    "comment comments disqus reply replies respond sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing social related "
-    "popup modal overlay widget widgets toolbar pagination pager login signup paywall alert".split()
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+#: Words that cost COST twice, and once.
+STRONG_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments disqus reply replies respond".split())
+WEAK_WORDS = frozenset(
+    "promo promotion banner notice notices newsletter subscribe subscription sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead "
+    "share sharing social related popup modal overlay widget widgets toolbar pagination pager login signup paywall alert".split()
 )
 COMMENTS = frozenset(("comment", "comments", "reply", "replies"))
-CONTENT = frozenset(("article", "main"))
-BOXES = frozenset(("div", "section", "td", "body", "html", "#root"))
+OWN_WORDS = frozenset("article body content entry page post story text title".split())
+#: A start tag ends the element of a group that is open, unless one of the bounds was opened in it.
+CLOSES = {"li": ("li",), "dt": ("d",), "dd": ("d",), "tr": ("cell", "tr"), "td": ("cell",), "th": ("cell",), "option": ("option",)}
+GROUPS = {
+    "p": (frozenset(("p",)), frozenset(("button", "td", "th", "caption", "li", "article", "main"))),
+    "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))),
+    "d": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "tr": (frozenset(("tr",)), frozenset(("table",))),
+    "cell": (frozenset(("td", "th")), frozenset(("table", "tr"))),
+    "option": (frozenset(("option",)), frozenset(("select",))),
+}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+)|<", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAMED = re.compile(r"class|id|role|hidden", re.I)
 _WORDS = re.compile(r"[^a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，]")
 
 
-class _Element:
-    __slots__ = ("tag", "parent", "noise", "soft", "path", "weight")
-
-    def __init__(self, tag, parent, noise, soft=""):
-        self.tag, self.parent, self.noise, self.soft, self.weight = tag, parent, noise, soft, 0
-        self.path = f"{parent.path}/{tag}" if parent else tag
-
-
-def _is_noise(tag: str, attributes: str, parent: _Element) -> bool | str:
-    """True, False, or what may turn out as a wrapper: "form", "comments", "words"."""
-    if tag in NOISE and tag != "form":
-        return True
-    inside = _within_content(parent)
-    if tag == "header":
-        return not inside
-    soft = "form" if tag == "form" else ""
-    if tag in ("html", "body", "main") or not attributes:
-        return soft or False
-    for m in _ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES - {"form"}:
-            return True
-        if name == "role" and value == "form":
-            soft = soft or "form"
-        if name in ("class", "id"):
-            words = NOISE_WORDS.intersection(_WORDS.split(value))
-            if tag == "article":
-                words &= COMMENTS
-            if inside:
-                words -= {"header"}  # an article's own heading
-            if words:
-                soft = "comments" if words & COMMENTS or soft == "comments" else "words"
-    return soft or False
-
-
-def _within_content(element: _Element | None) -> bool:
-    while element is not None:
-        if element.tag in CONTENT:
-            return True
-        element = element.parent
-    return False
-
-
-def _above(element: _Element | None):
-    while element is not None:
-        yield element
-        element = element.parent
-
-
-def _unwrap(nodes: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
-    """The nodes outside noise, where a form or class word doesn't count on a wrapper.
-
-    Other noise within it or beside it stays noise.  An element that isn't in an article is a wrapper
-
-    - around a main or just one outermost article, if it has WRAPS of the text outside other noise
-      and no other article has text (nor a title, if the words are those of comments)
-    - around an h1, if it has HELD of that text and no main or article has text elsewhere
-    - around the only text, if it has WRAPS of all text and no main, article or h1 has text
-      elsewhere: a form with punctuation, others with two such texts, but not comments
-    """
-    if not any(e.soft for x in nodes for e in _above(x[0])):
-        return nodes
-    refused: set[_Element] = set()
-    while True:
-        held: dict[_Element | None, list] = {None: []}  # by the innermost soft element
-        for x in nodes:
-            if x[1].strip():
-                held.setdefault(next((e for e in _above(x[0]) if e.soft), None), []).append(x)
-        size = {e: sum(len(x[1].strip()) for x in some) for e, some in held.items()}
-        total = sum(size.values())
-        # the largest first
-        for element in sorted(held.keys() - refused - {None}, key=size.get, reverse=True):
-            if _wraps(element, held, size, total):
-                element.soft = ""
-                refused -= set(_above(element))
-                break
-            refused.add(element)
+class _Page:
+    """Elements in page order, a parent before its children, and the blocks of text outside NOISE."""
+
+    def __init__(self):
+        self.tag, self.parent = ["#root"], [0]
+        self.noise, self.words = [False], [0]  # left out; how often its names cost COST
+        self.holder, self.link, self.within = [0], [False], [False]  # innermost element that is no inline one; in a link; in an article
+        self.blocks: list[tuple[int, list[str]]] = []
+        self.free: list[list[str]] = []  # of each block, what is outside links
+
+    def add(self, tag: str, parent: int, attributes: str) -> int:
+        noise, words = _named(tag, attributes, self.within[parent])
+        e = len(self.tag)
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.noise.append(self.noise[parent] or noise)
+        self.words.append(words)
+        self.holder.append(self.holder[parent] if tag in INLINE else e)
+        self.link.append(self.link[parent] or tag == "a")
+        self.within.append(self.within[parent] or tag in CONTENT)
+        return e
+
+
+def _named(tag: str, text: str, inside: bool) -> tuple[bool, int]:
+    """(whether an element is noise by tag or role, how often its names cost COST)."""
+    if tag in NOISE or tag == "header" and not inside:
+        return True, 0
+    words = 1 if tag in ("form", "label") else 0
+    if tag in ("html", "body", "main") or not text or not _NAMED.search(text):
+        return False, words
+    names = markup.attributes(text)
+    role = names.get("role", "").lower()
+    if "hidden" in names or names.get("aria-hidden", "").lower() == "true" or role in ROLES:
+        return True, 0
+    if role == "form":
+        words = 1
+    own = False
+    for name in f"{names.get('class', '')} {names.get('id', '')}".lower().split():
+        parts = set(_WORDS.split(name))
+        if inside or parts & OWN_WORDS:
+            parts.discard("header")  # an article's own heading
+        strong, weak = parts & STRONG_WORDS, parts & WEAK_WORDS
+        if tag == "article":
+            strong, weak = strong & COMMENTS, set()
+        if strong or weak:
+            words = max(words, 2 if strong else 1)
         else:
-            return [x for x in nodes if not any(e.soft for e in _above(x[0]))]
-
-
-def _wraps(element: _Element, held: dict, size: dict, total: int) -> bool:
-    above = list(_above(element.parent))
-    others = [None, *(e for e in above if e.soft)]
-    share = size[element] / (size[element] + sum(size.get(e, 0) for e in others))
-    if share < WRAPS or any(e.tag == "article" for e in (element, *above)):
-        return False
-    outside = {e for o in others for x in held.get(o, ()) for e in _above(x[0])}
-    elsewhere = {e for e in outside if e.tag in CONTENT}
-    titled = bool(elsewhere) or any(e.tag == "h1" for e in outside)
-    inside = [list(takewhile(lambda e: e is not element, _above(x[0]))) for x in held[element]]
-    outermost = {next(e for e in reversed(path) if e.tag in CONTENT) for path in inside if any(e.tag in CONTENT for e in path)}
-    texts = sum(bool(_PUNCTUATION.search(x[1])) for x in held[element])
-    if len(outermost) == 1 or any(e.tag == "main" for e in outermost):
-        return elsewhere <= set(above) and not (titled and element.soft == "comments")
-    if share >= HELD and any(e.tag == "h1" for path in inside for e in path):
-        return not elsewhere
-    return not titled and size[element] >= WRAPS * total and texts >= {"form": 1, "words": 2}.get(element.soft, texts + 1)
-
-
-def text_nodes(html: str) -> list[tuple[_Element, str, int]]:
-    """(element, decoded text, number of its block) of the text nodes outside noise."""
-    root = _Element("#root", None, False)
-    here, block, out, at = root, 0, [], 0
-    while m := _TOKEN.match(html, at):
-        at = m.end()
-        if m[4] is not None:
-            if here.tag == "head" and not m[4].isspace():
-                here = here.parent
-            if not here.noise:
-                out.append((here, unescape(m[4]), block))
+            own = own or bool(parts & OWN_WORDS)
+    # "content related": one name speaks for the element, another against it
+    return False, 0 if own and words == 1 and tag != "form" else words
+
+
+def read(html: str) -> _Page:
+    page = _Page()
+    stack, open_tags = [0], {"#root": 1}
+    nearest = [{}]  # of each open element: the innermost open element of each group in GROUPS
+    fresh = True  # the next text starts a block
+
+    def up_to(e: int) -> None:
+        """Close the element e and all in it."""
+        while stack[-1] != e:
+            open_tags[page.tag[stack.pop()]] -= 1
+            nearest.pop()
+        open_tags[page.tag[stack.pop()]] -= 1
+        nearest.pop()
+
+    for kind, name, rest in markup.tokens(html, RAW):
+        here = stack[-1]
+        if kind == markup.TEXT:
+            if page.tag[here] == "head" and not name.isspace():
+                up_to(here)
+                here = stack[-1]
+            if page.noise[here]:
+                continue
+            text = unescape(name)
+            if fresh:
+                page.blocks.append((page.holder[here], []))
+                page.free.append([])
+                fresh = False
+            page.blocks[-1][1].append(text)
+            if not page.link[here]:
+                page.free[-1].append(text)
             continue
-        if m[2] is None:
-            if m[0] == "<" and not here.noise:  # a stray sign
-                out.append((here, "<", block))
+        if kind == markup.RAW_TEXT:
             continue
-        tag = m[2].lower()
-        if tag not in INLINE and tag not in UNSEEN:
-            block += 1
-        if m[1]:
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                here = up.parent
+        if name not in INLINE and name not in UNSEEN:
+            fresh = True
+        if kind == markup.END:
+            if open_tags.get(name):
+                while page.tag[stack[-1]] != name:
+                    up_to(stack[-1])
+                up_to(stack[-1])
             continue
-        if here.tag == "head" and tag not in IN_HEAD:
-            here = here.parent
-        if tag == "head" and here.tag not in ("#root", "html"):
+        if page.tag[here] == "head" and name not in IN_HEAD:
+            up_to(here)
+        if name == "head" and page.tag[stack[-1]] not in ("#root", "html"):
             continue  # only a page has a head
-        if tag in PARAGRAPH_ENDS:
-            here = _closed(here, root, {"p"}, {"button", "td", "th", "caption", "li"} | CONTENT)
-        if tag in IMPLIED:
-            here = _closed(here, root, *IMPLIED[tag])
-        if tag in VOID or m[3].endswith("/") and tag in ("svg", "path"):
+        for group in (("p",) if name in PARAGRAPH_ENDS else ()) + CLOSES.get(name, ()):
+            found = nearest[-1].get(group)
+            if found:
+                up_to(found)
+        if name in markup.VOID or rest.endswith("/") and name in ("svg", "path"):
             continue
-        noise = here.noise or _is_noise(tag, m[3], here)
-        element = _Element(tag, here, noise is True, noise if isinstance(noise, str) else "")
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
-        else:
-            here = element
-    return _unwrap(out)
-
-
-def _closed(here: _Element, root: _Element, tags: set, bounds: set) -> _Element:
-    """Where we are after the outermost of `tags` that is open within `bounds` has ended."""
-    found, up = None, here
-    while up is not root and up.tag not in bounds:
-        if up.tag in tags:
-            found = up
-        up = up.parent
-    return found.parent if found else here
-
-
-def path_scores(paths: list[str], texts: list[str]) -> np.ndarray:
-    """The fused score of each text node's path."""
-    length = np.array([len(x.strip()) for x in texts], float)
-    marks = np.array([len(_PUNCTUATION.findall(x)) for x in texts], float)
+        e = page.add(name, stack[-1], rest)
+        stack.append(e)
+        open_tags[name] = open_tags.get(name, 0) + 1
+        now = nearest[-1]
+        for group, (tags, bounds) in GROUPS.items():
+            if name in tags:
+                now = {**now, group: e}
+            elif name in bounds and now.get(group):
+                now = {**now, group: 0}
+        nearest.append(now)
+    return page
+
+
+def _sums(page: _Page, values: list[int]) -> list[int]:
+    """What each element holds of the blocks' values."""
+    out = [0] * len(page.tag)
+    for (e, _), v in zip(page.blocks, values, strict=True):
+        out[e] += v
+    for e in range(len(out) - 1, 0, -1):
+        out[page.parent[e]] += out[e]
+    return out
+
+
+def _levels(page: _Page) -> list[int]:
+    """Of each element, how often names on its path cost COST."""
+    out = [0] * len(page.tag)
+    for e in range(1, len(out)):
+        out[e] = out[page.parent[e]] + page.words[e]
+    return out
+
+
+def _unwrap(page: _Page, sizes: list[int]) -> int:
+    """Clear the words of wrappers; returns the page's title (0: none)."""
+    held, levels = _sums(page, sizes), _levels(page)
+    titles = [e for e in range(1, len(held)) if page.tag[e] == "h1" and held[e]]
+    articles = [e for e in range(1, len(held)) if page.tag[e] in CONTENT and not page.within[page.parent[e]] and held[e]]
+    title = min(titles, key=levels.__getitem__, default=0)
+    best = max(articles, key=lambda e: log(held[e], COST) - levels[e], default=0)
+    up = title if title and (page.within[title] or not best) else best
+    while up:
+        if page.words[up] and held[up] >= WRAPS * held[0]:
+            page.words[up] = 0
+        up = page.parent[up]
+    return title
+
+
+def _paths(page: _Page) -> list[int]:
+    """A number for the path of each element: tags, and how much an element's names cost, from the root."""
+    known: dict[tuple, int] = {}
+    out = [0] * len(page.tag)
+    for e in range(1, len(out)):
+        out[e] = known.setdefault((out[page.parent[e]], page.tag[e], page.words[e]), len(known) + 1)
+    return out
+
+
+def path_scores(paths: list[int], lengths: list[int], marks: list[int], weights: list[float]) -> np.ndarray:
+    """The fused score of each block's path; weights are equal for blocks of one path."""
     _, which, n = np.unique(np.array(paths), return_inverse=True, return_counts=True)
     ratios = []
-    for value in (length, marks):
-        ratio = (np.bincount(which, value) / n)[which]
+    for value in (lengths, marks):
+        ratio = (np.bincount(which, np.array(value, float)) / n)[which]
         padded = np.pad(ratio, 1, mode="edge")
         ratios.append(sum(w * padded[k : k + len(ratio)] for k, w in enumerate(SMOOTH)))
-    fused = np.sqrt(ratios[0]) * (1 + ratios[1])
-    return (np.bincount(which, fused) / n)[which]
+    fused = np.sqrt(ratios[0] * (1 + ratios[1]))
+    return (np.bincount(which, fused) / n)[which] * np.array(weights)
 
 
 def main_text(html: str | None) -> str:
-    nodes = text_nodes(html or "")
-    nodes = [x for x in nodes if x[1]]
-    full = [x for x in nodes if not x[1].isspace()]
-    if not full:
+    page = read(html or "")
+    texts = [" ".join("".join(parts).split()) for _, parts in page.blocks]
+    page.blocks, page.free, texts = ([x for x, t in zip(some, texts, strict=True) if t] for some in (page.blocks, page.free, texts))
+    if not texts:
+        return ""
+    free = ["".join(x).strip() for x in page.free]
+    title = _unwrap(page, [len(x) for x in texts])
+    levels, paths, of = _levels(page), _paths(page), [e for e, _ in page.blocks]
+    weights = [COST ** -levels[e] * (IN_ARTICLE if page.within[e] else 1.0) for e in of]
+    scores = path_scores([paths[e] for e in of], [len(x) for x in free], [len(_PUNCTUATION.findall(x)) for x in free], weights)
+    prose = np.array([page.tag[e] not in HEADINGS for e in of])
+    if prose.any():  # headings follow the text they head
+        scores = np.where(prose, scores, 0.0)
+    mean = (scores**2).sum() / scores.sum() if scores.any() else 0.0
+    chosen = np.flatnonzero((scores >= THRESHOLD * mean) & (scores >= FLOOR)).tolist()
+    if not chosen:
         return ""
-    scores = path_scores([x[0].path for x in full], [x[1] for x in full])
-    content = scores >= THRESHOLD * scores.mean()
-    marked = [x for x, y in zip(full, content, strict=True) if y or any(e.tag == "h1" for e in _above(x[0]))]
-    total = in_content = 0
-    blocks: set[_Element] = set()
-    for element, text, _ in marked:
-        total += len(text)
-        outer = None
-        for e in _above(element):
-            e.weight += len(text)
-            outer = e if e.tag in CONTENT else outer
-        if outer is not None:
-            in_content += len(text)
-            blocks.add(outer)
-    paragraphs = {x[2] for x in marked}
-    if in_content < HELD * total:
-        block = next(e for e in _above(marked[0][0]) if e.weight == total)
-        outer = next((e for e in reversed(list(_above(block))) if e.tag in CONTENT), None)
-        blocks = {outer or next((e for e in _above(block) if e.tag in BOXES), block)}
-    parts: dict[int, list[str]] = {}
-    for element, text, number in nodes:
-        if number in paragraphs or any(e in blocks for e in _above(element)):
-            parts.setdefault(number, []).append(text)
-    return " ".join(" ".join("".join(x) for x in parts.values()).split())
+    marked = [0] * len(texts)
+    for k in chosen:
+        marked[k] = len(texts[k])
+    held = _sums(page, marked)
+    core = max(e for e in range(len(held)) if held[e] >= HELD * held[0])
+    while page.tag[core] not in BOXES:
+        core = page.parent[core]
+    inside = [False] * len(page.tag)
+    for e in range(core, len(inside)):
+        inside[e] = e == core or inside[page.parent[e]]
+    base = min(levels[core], *(levels[of[k]] for k in chosen))
+    first, last = chosen[0], chosen[-1]
+    lead = first
+    while lead and page.tag[of[lead - 1]] in HEADINGS and levels[of[lead - 1]] <= base:
+        lead -= 1
+    if title:
+        lead = min([lead, *(k for k in range(first) if of[k] == title and levels[title] <= base)])
+    out = []
+    for k, text in enumerate(texts):
+        e = of[k]
+        fits = levels[e] <= base
+        if marked[k] or fits and (inside[e] and (free[k] or first < k < last) or lead <= k < last and (free[k] or k < first and page.tag[e] in HEADINGS)):
+            out.append(text)
+    return " ".join(out)
 
 
 def _extract(batches, schema):

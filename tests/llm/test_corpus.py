@@ -286,6 +286,78 @@ def test_html_sections(page):
     assert html_extraction.main_text(page) == SECTIONS[page]
 
 
+_MANY = _paragraphs(_LONG, _LONG)
+WORDED = {
+    # no article or main, told by the paths alone
+    f"<body><div class=x><a href=a>One</a> <a href=b>Two</a></div><div><span>Site</span></div><div><div><h2>Head</h2>{_MANY}<p>Short.</p></div></div><div>Tel. 1</div></body>": f"Head {_LONG} {_LONG} Short.",
+    f"<table><tr><td><a href=a>One</a><td><h1>Head</h1>{_MANY}<tr><td>Right, all.</table>": f"Head {_LONG} {_LONG}",
+    f"<body><div><a>{_LONG}</a></div><div>{_MANY}</div></body>": f"{_LONG} {_LONG}",  # links aren't content, however long
+    # class words delete nothing
+    f"<h1>Head</h1><div class='content related-story'>{_MANY}</div>": f"Head {_LONG} {_LONG}",
+    f"<div class='content related-story'>{_MANY}</div><div class=related>Some other, here.</div>": f"{_LONG} {_LONG}",
+    f"<div class='article-body share'>{_MANY}</div>": f"{_LONG} {_LONG}",
+    f"<h1>Head</h1><div class=share>{_MANY}</div>": f"Head {_LONG} {_LONG}",
+    # broken quotes
+    f'<article><p class="x>{_LONG}</p><p class="y">{_END}</p></article>': f"{_LONG} {_END}",
+    f"<article><p title=it's>{_LONG}</p><p>{_END}</article>": f"{_LONG} {_END}",
+    f"<article><p title='a > b' data-x=\"<p>\">{_LONG}</p>a<b and 1 < 2</article>": f"{_LONG} a<b and 1 < 2",
+}
+
+
+@pytest.mark.parametrize("page", WORDED, ids=range(len(WORDED)))
+def test_html_names_and_quotes(page):
+    assert html_extraction.main_text(page) == WORDED[page]
+
+
+def brute_path_scores(blocks):
+    """Scores of (path, length, marks, weight), by the formula, path by path."""
+    ratio = lambda path, k: sum(b[k] for b in blocks if b[0] == path) / sum(b[0] == path for b in blocks)
+    at = lambda i, k: ratio(blocks[min(max(i, 0), len(blocks) - 1)][0], k)
+    smooth = lambda i, k: at(i - 1, k) / 4 + at(i, k) / 2 + at(i + 1, k) / 4
+    fused = [(smooth(i, 1) * (1 + smooth(i, 2))) ** 0.5 for i in range(len(blocks))]
+    return [b[3] * sum(f for f, c in zip(fused, blocks, strict=True) if c[0] == b[0]) / sum(c[0] == b[0] for c in blocks) for b in blocks]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_html_path_scores(seed):
+    r = random.Random(seed)
+    blocks = [(p := r.randrange(6), r.randrange(300), r.randrange(9), 1 / (1 + p % 2)) for _ in range(r.randint(1, 40))]
+    assert html_extraction.path_scores(*zip(*blocks, strict=True)).tolist() == pytest.approx(brute_path_scores(blocks))
+
+
+def test_html_scores_decide(spark, sf, monkeypatch):
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    right = [html_extraction.main_text(x) for x in pages]
+    true = html_extraction.path_scores
+    for wrong in (lambda s: s[::-1], lambda s: s.max() - s, lambda s: s * 0 + 1):
+        monkeypatch.setattr(html_extraction, "path_scores", lambda *x, f=wrong: f(true(*x)))
+        assert sum(html_extraction.main_text(x) == y for x, y in zip(pages, right, strict=True)) < len(pages) / 10
+
+
+LARGE = {
+    "<div>" * 100_000 + "deep, text.": "deep, text.",
+    '<p class="x>one, two. ' * 100_000: " ".join(["one, two."] * 100_000),
+    "<ul><li>x, y. " * 30_000 + "</span>" * 100_000: " ".join(["x, y."] * 30_000),
+    f"<article><p>{'word, ' * 200_000}end.</p></article>": f"{'word, ' * 200_000}end.",
+    "<!x" * 100_000: "<!x" * 100_000,
+}
+
+
+@pytest.mark.parametrize("page", LARGE, ids=range(len(LARGE)))
+def test_html_large_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    assert html_extraction.main_text(page) == LARGE[page]
+    assert time.process_time() - began < 20
+
+
+def test_html_empty_table_and_ties(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars string")
+    assert html_extraction.extract(pages).collect() == []
+    assert html_extraction.main_text("<div>Alike, one.</div><section>Alike, two.</section>") == "Alike, one. Alike, two."
+
+
 # --- op5 -------------------------------------------------------------------------------
 
 
