@@ -466,7 +466,7 @@ def test_ngrams_have_word_ends():
 def test_decontamination(spark):
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8)))
-    items = [(k, " ".join(word() for _ in range(30))) for k in range(12)] + [(50, "too short"), (51, None)]
+    items = [(k, " ".join(word() for _ in range(30))) for k in range(12)] + [(50, "Quite short?"), (51, None), (52, "?!"), (53, "")]
     filler = lambda n: " ".join(word() for _ in range(n))
     rows, want = [], {}
     for k in range(12):
@@ -477,12 +477,102 @@ def test_decontamination(spark):
             leak = leak[:20] + "q" + leak[20:50] + leak[52:]
         rows.append((k, f"{filler(k * 30)} {leak} {filler(20)}"))
         want[k] = [k]
-    rows += [(20 + k, filler(300)) for k in range(20)] + [(60, None), (61, ""), (None, items[0][1]), (62, "too short"), (63, items[0][1][:60])]
+    rows += [(20 + k, filler(300)) for k in range(20)] + [(60, None), (61, ""), (None, items[0][1]), (62, "it is quite  short: yes"), (63, items[0][1][:60]), (64, "requite shorty")]
+    want[62] = [50]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: r["items"] for r in decontamination.leaks(frame(spark, rows), benchmark).collect()}
     assert got == {i: want.get(i, [0] if i is None else []) for i, _ in rows}
     clean = decontamination.clean(frame(spark, rows), benchmark)
-    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 13
+    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 14
+    assert decontamination.leaks(frame(spark, rows), benchmark.limit(0)).filter("contaminated").count() == 0
+    assert decontamination.leaks(frame(spark, []), benchmark).collect() == []
+    again = decontamination.with_items(frame(spark, rows).select("doc_id", "text"), benchmark, size=300)  # in several blocks
+    assert {r.doc_id: r["items"] for r in again.collect()} == got
+
+
+def edits_within(segment, text):
+    """Fewest edits between a segment and any stretch of a text (Sellers)."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(segment):
+        new = [i + 1]
+        for j, d in enumerate(text):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def brute_leaks(rows, items):
+    plain = lambda s: " ".join(re.findall(r"[^\W_]+", (s or "").lower()))
+    out = {}
+    for i, t in rows:
+        text, out[i] = f"{plain(t)} ", []  # a blank after each word
+        for item, b in items:
+            b = plain(b)
+            m = min(96, len(b))
+            segments = {b[k : k + m] for k in (*range(0, len(b) - m + 1, 48), len(b) - m)}
+            near = any(s in text or edits_within(s, text) <= m * 5 // 100 for s in segments)
+            if near if m >= 24 else m and f" {b} " in f" {text}":
+                out[i].append(item)
+    return out
+
+
+@pytest.mark.parametrize("seed, hits", [(30, 2_000_000), (31, 300)])
+def test_decontamination_brute_force(spark, seed, hits, monkeypatch):
+    """Leaks with more and fewer edits than allowed, short and long items, alike items, one common line."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdef") for _ in range(r.randint(1, 6)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    line = words(16)
+    items = [(k, words(n)) for k, n in enumerate([2, 3, 5, 7, 9, 12, 20, 30, 60])]
+    items += [(20 + k, f"{line} {words(8)}") for k in range(4)] + [(30, items[6][1]), (31, "é " * 20)]
+    rows = [(100, f"{words(5)} {line}. {words(5)}"), (101, "é " * 19), (102, "é " * 30), (103, ""), (104, "a" * 400)]
+    for k in range(14):
+        leak = list(r.choice(items)[1])
+        for _ in range(r.randint(0, 7)):
+            at = r.randrange(len(leak))
+            leak[at : at + 1] = r.choice([[], [leak[at], "x"], ["y"]])
+        rows.append((k, f"{words(r.randrange(6))} {''.join(leak)} {words(r.randrange(6))}"))
+    monkeypatch.setattr(decontamination, "HITS", hits)
+    index = decontamination.Index([(i, " ".join(re.findall(r"[^\W_]+", b.lower()))) for i, b in items])
+    assert dict(zip([i for i, _ in rows], index.items_in([t for _, t in rows]), strict=True)) == brute_leaks(rows, items)
+    frame_of = spark.createDataFrame(items, "item_id long, text string")
+    assert {x.doc_id: x["items"] for x in decontamination.leaks(frame(spark, rows), frame_of).collect()} == brute_leaks(rows, items)
+
+
+def test_decontamination_long_texts_in_pieces(monkeypatch):
+    r = random.Random(32)
+    words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(1, 7))) for _ in range(n))
+    items = [(0, words(40)), (1, words(40)), (2, "ab cde"), (3, "".join(r.choice("abcdefgh") for _ in range(900)))]
+    texts = [words(k) + f" {items[k % 3][1]} " + words(80) for k in range(0, 300, 7)] + [items[3][1], words(60) + items[3][1][:500] + words(60)]
+    index = decontamination.Index(items)
+    whole = index.items_in(texts)
+    assert {x for some in whole for x in some} == {0, 1, 2, 3}
+    monkeypatch.setattr(_shared, "CHUNK", 400)
+    assert index.items_in(texts) == whole
+
+
+def test_decontamination_long_items_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PIECE_CHARS", 500)
+    r = random.Random(33)
+    item = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(1, 7))) for _ in range(900))
+    benchmark = spark.createDataFrame([(7, item), (7, item)], "item_id long, text string")
+    rows = [(k, item[k : k + 200]) for k in range(0, len(item) - 200, 150)]
+    assert all(x["items"] == [7] for x in decontamination.leaks(frame(spark, rows), benchmark).collect())
+
+
+def test_decontamination_memory():
+    """A text of 1 MB against 1,000 items that share a line with it, many times over."""
+    import tracemalloc
+
+    r = random.Random(34)
+    words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
+    line = words(7)
+    index = decontamination.Index([(k, f"{words(3 + k % 9)} {line} {words(9)}") for k in range(1000)])
+    text = " ".join(f"{line} {words(200)}" for _ in range(1000))
+    assert len(text) > 1_000_000
+    tracemalloc.start()
+    assert index.items_in([text]) == [[]]
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
 
 
 def test_decontamination_in_blocks(spark, sf):
@@ -495,7 +585,7 @@ def test_decontamination_in_blocks(spark, sf):
     blocks = list(decontamination.blocks(benchmark, 2000))
     assert len(blocks) > 1
     for r in docs.collect():
-        assert sorted(x for b in blocks for x in b.items_in([r.text])[0]) == one[r.doc_id]
+        assert sorted({x for b in blocks for x in b.items_in([r.text])[0]}) == one[r.doc_id]
 
 
 # --- op9 -------------------------------------------------------------------------------
