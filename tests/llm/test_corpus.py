@@ -672,6 +672,62 @@ def brute_base(t):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), sum(x in lines[:k] for k, x in enumerate(lines)), len(hit), failed
 
 
+def brute_verdict(raw, packer):
+    """The compression bands, read off the tables by hand."""
+    from math import log2
+
+    ratio = lambda x: len(packer.compress(x)) / len(x)
+    n = log2(len(raw))
+    (x0, *a), (x1, *b) = next(((p, q) for p, q in zip(quality.BANDS, quality.BANDS[1:], strict=False) if p[0] <= n <= q[0]), (quality.BANDS[-1],) * 2)
+    low, high = (u + (v - u) * ((n - x0) / (x1 - x0) if x1 > x0 else 0) for u, v in zip(a, b, strict=True))
+    chunks = [raw[k : k + 1024] for k in range(0, len(raw), 1024)]
+    if len(raw) < 1024:
+        chunks = []
+    elif len(chunks[-1]) < 1024:
+        chunks[-1] = raw[-1024:]
+    bad = sum(not quality.CHUNK_BAND[0] <= ratio(x) <= quality.CHUNK_BAND[1] for x in chunks)
+    return low <= ratio(raw) <= high and bad <= 0.2 * len(chunks)
+
+
+@pytest.fixture(scope="module")
+def good_text(spark, sf):
+    """Long text of documents labelled good."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1")
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("lang = 'en'").join(labels, "doc_id").orderBy("doc_id").collect()
+    return " ".join(r.text for r in rows if len(r.text) > 2000)[:60_000]
+
+
+def test_quality_each_rule_rejects(good_text):
+    """Above the whole band, below it, and good on the average but bad in places, the end included."""
+    import zstandard
+
+    packer, r = zstandard.ZstdCompressor(level=quality.LEVEL), random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    noise = lambda n: "".join(r.choice(letters) if r.random() < 0.9 else " " for _ in range(n))
+    dull = lambda n: " ".join(f"item {k} of {k + 1}" for k in range(1000, 1000 + n))[:n]
+    whole = lambda t: quality.in_band(len(t), quality.compression(t, packer)[0])
+    chunks = lambda t: quality.compression(t, packer)[1] <= quality.CHUNKS_OUTSIDE
+    good, junk = good_text[:8192].encode(), noise(4000).encode()
+    assert whole(good) and chunks(good)
+    n = len(junk)
+    assert not whole(junk) and len(packer.compress(junk)) / n > 0.6  # incompressible
+    assert not whole(dull(4000).encode())
+    some = [(good_text[:2048] + noise(1024) + dull(k)).encode() for k in range(1200, 2100, 200)]
+    mixed = [x for x in some if whole(x)]  # noise and repetition even out
+    assert mixed and not any(map(chunks, mixed))
+    ending = (good_text[:2048] + noise(700)).encode()  # 700 bytes at the end, in no whole chunk
+    assert quality.compression(ending, packer)[1] > quality.CHUNKS_OUTSIDE
+
+
+def test_quality_long_text(spark, good_text):
+    import zstandard
+
+    long = " ".join(f"{good_text[k:k + 9000]} {k}" for k in range(0, 50_000, 400))
+    r = quality.judge(frame(spark, [(1, long)])).first()
+    assert len(long) > 1_000_000 and r.n_words == len(words_of(long)) and r.word_chars == sum(map(len, words_of(long)))
+    assert r.kept == (not r.base_failed and brute_verdict(long.encode(), zstandard.ZstdCompressor(level=quality.LEVEL)))
+
+
 def test_quality(spark):
     import zstandard
 
@@ -681,10 +737,9 @@ def test_quality(spark):
     for i, t in rows:
         r = got[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute_base(t), i
-        raw = (t or "").encode()
-        ratio, outside = quality.compression(raw, packer)
-        assert r.kept == (not r.base_failed and quality.in_band(len(raw), ratio) and outside <= quality.CHUNKS_OUTSIDE)
-    assert not got[90].kept
+        assert r.kept == (not r.base_failed and brute_verdict((t or "").encode(), packer)), i
+    assert not got[90].kept and not got[91].kept
+    assert quality.judge(frame(spark, [])).collect() == []
 
 
 def test_quality_keeps_columns(spark):
