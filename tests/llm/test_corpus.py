@@ -436,6 +436,43 @@ def test_mixing(spark):
     assert sorted(map(str, again)) == sorted(map(str, found))
 
 
+def brute_inclusion(sizes, missing):
+    """Probabilities in proportion to sizes, one at most, whose expected words are those missing."""
+    certain = []
+    while True:
+        free = [x for x in sizes if x not in certain]
+        c = (missing - sum(x for x in sizes if x in certain)) / sum(x * x for x in free)
+        if c * max(free) <= 1:
+            return {x: 1 if x in certain else c * x for x in sizes}
+        certain.append(max(free))
+
+
+def test_mixing_inclusion_frequencies(spark):
+    """Many alike sources stand for many seeds: how often a size is in the sample follows its odds."""
+    sizes, n = [10, 12, 15, 20, 25, 30, 40, 50, 70, 90, 11, 13, 16, 18, 22, 28], 600
+    rows = [(100 * s + k, "w " * x, None, f"s{s:04d}", 0) for s in range(n) for k, x in enumerate(sizes)]
+    found = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    for weight in (1, 2):
+        some = [x for x in found if (3, 1, 2)[int(x.source[1:]) % 3] == weight]
+        target, total = some[0].target, sum(sizes)
+        whole = int(target // total)
+        want = brute_inclusion(sizes, target - whole * total)
+        assert len(some) == len(sizes) * n // 3 and (min(want.values()) < 0.75 < max(want.values()))
+        for size in sizes:
+            got = [x.copies - whole for x in some if x.size == size]
+            assert set(got) <= {0, 1} and sum(got) / len(got) == pytest.approx(want[size], abs=0.1), (weight, size)
+
+
+def test_mixing_certain_documents_and_odd_tables(spark):
+    rows = [(k, "w " * (1000 if k == 7 else 3), None, s, 0) for s in ("a", "b", "c") for k in range(40)]
+    big = [x for x in mixing.mix(spark.createDataFrame(rows, DOCS)).collect() if x.size == 1000]
+    assert len(big) == 3 and all(x.copies >= 1 for x in big)  # b is due less than once, and its odds are certain
+    assert mixing.mix(spark.createDataFrame([], DOCS)).collect() == []
+    lone = mixing.mix(spark.createDataFrame([(1, None, None, None, 0), (2, "", None, None, 0)], DOCS)).collect()
+    assert [(x.target, x.taken) for x in lone] == [(0.0, 0), (0.0, 0)]
+    assert mixing.mix(spark.createDataFrame([(1, "w " * 400_000, None, "a", 0)], DOCS)).first().size == 400_000
+
+
 # --- op7 -------------------------------------------------------------------------------
 
 
