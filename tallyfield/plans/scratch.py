@@ -7,17 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _own: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that spark.checkpoint.dir names.
 
-    Where that is unset, as in tests on one machine, a temporary folder of this session."""
+    Where that is unset, a temporary folder of this session if it runs on one machine, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        app = spark.sparkContext.applicationId
+        app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = _own[app] = _own.get(app) or tempfile.mkdtemp(prefix="tallyfield-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -27,3 +28,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing will read again."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete what `stage` wrote for a table that nothing will read again."""
+    for folder in {x.rsplit("/", 1)[0] for x in staged.inputFiles()}:
+        remove(staged.sparkSession, folder)
