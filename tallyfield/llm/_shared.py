@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyfield.plans.scratch import scratch_path, stage  # noqa: F401
+from tallyfield.plans.scratch import exists, remove, scratch_path, stage, unstage  # noqa: F401
 from tallyfield.plans.ship import ship
 
 WORD = r"[^\x20\x09-\x0D]+"

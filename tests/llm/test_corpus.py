@@ -375,25 +375,54 @@ def brute_lines(rows, least=10):
     return docs
 
 
-@pytest.mark.parametrize("batches,fanout", [(1, 2), (4, 2), (7, 3)])
-def test_line_dedup(spark, batches, fanout):
+@pytest.mark.parametrize("first,fanout", [(1 << 18, 2), (60, 2), (9, 3)])
+def test_line_dedup(spark, first, fanout, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT", 20)
+    monkeypatch.setattr(line_dedup, "BUCKET_LINES", 100)
     rows = corpus(10, 50) + [(60, "A Long Line, here\nshort\n a long line, here \t\nshort"), (61, "x\nA LONG LINE, HERE\n\n"), (62, "A LONG LINE, HERE")]
-    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(frame(spark, rows), batches=batches, fanout=fanout).collect()}
+    rows += [(70 + k, f"one line that all have\nsome own line {k}\nseldom said {k % 5}") for k in range(40)]
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(frame(spark, rows), first_lines=first, fanout=fanout).collect()}
     assert got == brute_lines(rows)
 
 
-def test_line_runs_are_compacted(spark):
-    runs = line_dedup.LineRuns(2)
-    for k in range(4):
-        runs.add(spark.createDataFrame([(k, k)], "h long, h2 long"))
-    assert [len(x) for x in runs.levels] == [0, 0, 1] and runs.seen().count() == 4
+def test_line_runs_are_compacted_and_need_no_shuffle(spark):
+    runs = line_dedup.LineRuns(spark, buckets=3)
+    with runs.settings():
+        for k in range(5):
+            runs.add(spark.createDataFrame([(k, k), (k + 10, 1)], "h long, h2 long").repartition(3, "h", "h2"))
+        assert [len(x) for x in runs.levels] == [1, 0, 1]
+        seen = {tuple(r) for run in runs.runs() for r in runs.read(run).collect()}
+        assert seen == {(k, k) for k in range(5)} | {(k + 10, 1) for k in range(5)}
+        marked = runs.marked(spark.createDataFrame([(1, 1), (1, 2), (14, 1)], "h long, h2 long"))
+        assert {(r.h, r.h2, r.old) for r in marked.collect()} == {(1, 1, True), (1, 2, False), (14, 1, True)}
+        plan = runs.read(runs.levels[2][0]).join(runs.read(runs.levels[0][0]).hint("merge"), ["h", "h2"], "full")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    runs.close()
+
+
+def test_line_runs_are_kept_from_job_to_job(spark, tmp_path):
+    rows = corpus(12, 40) + [(90, "A long line, here\nanother long line"), (91, "another long line\nand one that is new")]
+    first, second = rows[:25], rows[25:]
+    out = {}
+    for some in (first, second):
+        for attempt in range(2):  # an attempt that isn't committed leaves no trace
+            runs = line_dedup.LineRuns.open(spark, f"{tmp_path}/store", buckets=3)
+            assert len(runs.runs()) == (0 if some is first else 1)
+            got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(frame(spark, some), runs=runs).collect()}
+        runs.commit()
+        runs.close()
+        out |= got
+    assert out == brute_lines(rows) and line_dedup.LineRuns.open(spark, f"{tmp_path}/store").version == 2
 
 
 def test_line_dedup_odd_rows(spark):
     line = "the same long line"
-    rows = [(None, line), (1, line), (1, line), (2, line), (3, None)]
-    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
-    assert got == [("1", 1, 0), ("1", 1, 0), ("2", 1, 1), ("3", 1, 0), ("None", 1, 0)]
+    rows = [(None, line), (1, line), (1, line), (2, line), (3, None), (4, f"a longer text\n{line}"), (4, "x")]
+    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
+    assert got == [("1", 1, 0, line), ("1", 1, 0, line), ("2", 1, 1, ""), ("3", 1, 0, ""), ("4", 1, 0, "x"), ("4", 2, 1, "a longer text"), ("None", 1, 0, line)]
+    long = "\n".join(f"line number {k % 70000}" for k in range(100_000))
+    found = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, [(1, long), (2, long), (3, "x" * 2_000_000)])).collect()}
+    assert found == {1: (100_000, 0), 2: (100_000, 100_000), 3: (1, 0)}
 
 
 # --- op6 -------------------------------------------------------------------------------
