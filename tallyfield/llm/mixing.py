@@ -112,6 +112,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: int =
     near = near.withColumn("missing", F.col("missing") - F.col("before")).select("source", "fine", "missing", "size")
     fine = S.stage(_edge(near, "fine").withColumnRenamed("edge", "cut").withColumnRenamed("before", "within"), "fine")
     ends = coarse.join(fine.withColumnRenamed("of", "too"), F.col("of").eqNullSafe(F.col("too"))).select("of", "cut", (F.col("before") + F.col("within")).alias("before"))
+    ends = S.stage(ends, "ends")  # of known size: the documents aren't shuffled to meet it
     docs = docs.join(ends, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     at_cut = F.coalesce(F.col("fine") == F.col("cut"), F.lit(False))
     clear = docs.filter(~at_cut).withColumn("extra", (F.col("rank").isNotNull() & (F.col("cut").isNull() | (F.col("fine") < F.col("cut")))).cast("long"))
