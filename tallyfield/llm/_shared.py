@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from tallyfield.plans.scratch import exists, remove, scratch_path, stage, unstage  # noqa: F401
 from tallyfield.plans.ship import ship
@@ -236,3 +237,20 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     return df.mapInArrow(lambda batches: f(batches, arrow), schema)
+
+
+def apart(documents: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text) of every row, and a factor, 1 unless rows share a doc_id and differ in text.
+
+    Such rows become documents of their own, in order of their texts' hashes: their doc_ids are
+    multiplied by the factor and numbered within it, which keeps the order of doc_ids."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    mark = F.xxhash64("text")
+    several = docs.filter("doc_id is not null").select("doc_id", mark.alias("mark")).groupBy("doc_id").agg(F.min("mark").alias("x"), F.max("mark").alias("y")).filter("x <> y").select("doc_id")
+    if several.isEmpty():
+        return docs, 1
+    kinds = docs.join(several, "doc_id").select("doc_id", mark.alias("mark")).distinct()
+    kinds = stage(kinds.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("mark")) - 1), "kinds")
+    factor = kinds.agg(F.max("nth")).first()[0] + 1
+    rows = docs.withColumn("mark", mark).join(kinds, ["doc_id", "mark"], "left")
+    return rows.select((F.col("doc_id") * factor + F.coalesce("nth", F.lit(0))).alias("doc_id"), "text"), factor

@@ -1,27 +1,34 @@
 """Substring dedup by relative Lempel-Ziv parsing.
 
-The reference is the corpus itself, indexed in blocks: each shuffle partition is one
-block of the phrase index and holds, for every phrase of ``window`` words hashed to
-it, the phrase's first place.  Every phrase of every document is sought in the block
-that would hold it, so each document is factored against every indexed block.
+The reference is the corpus itself, indexed in blocks: each shuffle partition is one block
+of the phrase index and holds, for every phrase of ``window`` words hashed to it, the
+phrase's first place.  Every phrase of every document is sought in the block that would hold
+it, so each document is factored against every indexed block.
 
 1. Seeds.  Of every window's seeds (``seed_words`` consecutive words) the one with the
    least hash stands for the window.  Equal windows have equal seeds, so a window can
    only recur if its seed does.  This leaves about 1/6 of the positions to shuffle.
 2. Phrases.  Only windows with a recurring seed are hashed as a whole (96 bits) and
-   sought in the index, which answers with the first place of the same phrase.
-3. Parsing.  Left to right, a factor grows while the next phrase continues at the next
-   place of the same source; at a factor boundary the phrases that cross it have been
-   sought in the index on their own, so a repeat cut by the parse is still found.
-   Factors of ``window`` words or more are the duplicate spans.
-
-Rows of a phrase are streamed in sorted order, one row held at a time, so a passage
-that a third of the corpus shares costs no memory.
+   sought in the index, which answers with an earlier place of the same phrase.
+3. Parsing.  Phrases that continue each other in one source are one match.  The parse goes
+   from left to right: a factor is the match that reaches farthest, and words without a match
+   are literals.  At a factor's end, the matches that cross it are checked, and the one that
+   reaches farthest gives the next factor, so a repeat that the parse would cut is found.
+   Every match has ``window`` words at least, and the factors are the duplicate spans.
+
+What recurs within some megabytes of texts that a task holds is settled there: of a seed or
+phrase that many of them share, one row only is sought in the index, the first, and the
+others take its place as their source.  So a passage that a third of the corpus shares sends
+one row for each of these portions of texts to its block, not one for each document.  Rows
+of a phrase are streamed in sorted order, one row held at a time.
 
 Defined cases: null or empty text has no words and loses none; a null doc_id has no
 place in the order, so such a row loses nothing and removes nothing; rows that repeat
-a doc_id with equal text share one place, so neither is earlier than the other; extra
-columns are ignored.
+a doc_id with equal text share one place, so neither is earlier than the other; rows that
+share a doc_id and differ in text are documents of their own, in order of their texts'
+hashes; of equal phrases the first start wins (ties); long texts are hashed in pieces and
+parsed whole; extra columns are ignored, whatever their names; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -72,7 +79,8 @@ def _alike(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit_seeds(window, seed_words):
-    """Each text's distinct seeds, with the ordinal of the first; what recurs within a text it sees itself."""
+    """(h, doc, ordinal of the first of a text's equal seeds, sure): of the seeds that texts at hand share,
+    one is sought and known to recur; the others have a key of their own and need no answer."""
 
     def run(batches, schema):
         def pieces():
@@ -81,8 +89,17 @@ def _emit_seeds(window, seed_words):
                 for ids, words, starts in S.hashed_texts([x[0] for x in rows], [x[1] for x in rows]):
                     (h, text, ordinal), _ = _seeds(words, starts, window, seed_words)
                     order, new = _alike(h, text)
-                    once = order[new]
-                    yield S.signed(h[once]), np.asarray(ids, np.int64)[text[once]], ordinal[once].astype(np.int32)
+                    once = order[new]  # by hash, then text
+                    h, ordinal, doc = h[once], ordinal[once].astype(np.int32), np.asarray(ids, np.int64)[text[once]]
+                    again = np.zeros(len(h), bool)
+                    again[1:] = h[1:] == h[:-1]
+                    other = np.zeros(len(h), bool)  # than the document before it
+                    other[1:] = doc[1:] != doc[:-1]
+                    again &= other
+                    sure = again.copy()
+                    sure[:-1] |= again[1:]
+                    key = np.where(again, S.mix(h + doc.astype(np.uint64)), h)
+                    yield S.signed(key), doc, ordinal, sure
 
         yield from S.batches_of(schema, pieces())
 
@@ -92,12 +109,12 @@ def _emit_seeds(window, seed_words):
 def _recurring(batches, schema):
     """(doc_id, ordinal) of rows whose hash has another row."""
     found = S.run_lengths(batches, 1, 2)
-    yield from S.batches_of(schema, ((doc[n > 1], ordinal[n > 1]) for (_, doc, ordinal), n in found))
+    yield from S.batches_of(schema, ((doc[k], ordinal[k]) for (_, doc, ordinal, sure), n in found for k in [(n > 1) | sure]))
 
 
 def _emit_phrases(window, seed_words):
-    """(hashes, doc, at, src_at, n): n = 0 for a document's first window of a phrase, to be sought in
-    the index; n > 0 for n windows on end that have come before in the same document, from src_at on."""
+    """(hashes, doc, at, src, src_at, n): n = 0 for a phrase that no text at hand has earlier, to be sought
+    in the index; n > 0 for n windows on end that the document src, at hand too, has from src_at on."""
 
     def run(batches, schema):
         def pieces():
@@ -114,24 +131,27 @@ def _emit_phrases(window, seed_words):
                     some = (np.bincount(group, recurs[order]) > 0) | (np.bincount(group) > 1)
                     recurs[order] = some[group]
                     ok = recurs[seed]
-                    first, text, at = first[ok], text[ok], place[ok]
+                    first, text, at = first[ok], text[ok], place[ok].astype(np.int64)
                     one, two = (S.window_hashes(words, window, salt)[first] for salt in (0, 1))
                     doc = np.array([x[0] for x in known], np.int64)[text]
-                    order = np.argsort(one, kind="stable")  # texts, and places in them, stay in order
-                    same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]) & (text[order][1:] == text[order][:-1])
-                    before = np.full(len(one), -1)
-                    before[order[1:][same]] = at[order[:-1][same]]
-                    free = np.flatnonzero(before < 0)
-                    zero = np.zeros(len(free), np.int32)
-                    yield S.signed(one[free]), (two[free] & np.uint64(0x7FFFFFFF)).astype(np.int32), doc[free], at[free].astype(np.int32), zero, zero
-                    again = np.flatnonzero(before >= 0)
-                    d, a, b = doc[again], at[again], before[again]
+                    # of each phrase's places, the first by document, then by place
+                    order = np.lexsort((at, doc, two, one))
+                    new = np.ones(len(order), bool)
+                    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+                    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                    src, src_at = np.empty_like(doc), np.empty_like(at)
+                    src[order], src_at[order] = doc[head], at[head]
+                    free = np.flatnonzero((src == doc) & (src_at == at))
+                    zero = np.zeros(len(free), np.int64)
+                    yield S.signed(one[free]), (two[free] & np.uint64(0x7FFFFFFF)).astype(np.int32), doc[free], at[free].astype(np.int32), zero, zero.astype(np.int32), zero.astype(np.int32)
+                    again = np.flatnonzero((src != doc) | (src_at != at))
+                    t, d, a, b, c = text[again], doc[again], at[again], src_at[again], src[again]
                     new = np.ones(len(again), bool)
-                    new[1:] = (text[again][1:] != text[again][:-1]) | (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1)
+                    new[1:] = (t[1:] != t[:-1]) | (a[1:] != a[:-1] + 1) | (b[1:] != b[:-1] + 1) | (c[1:] != c[:-1])
                     runs = np.flatnonzero(new)
                     n = np.diff(np.append(runs, len(new)))
-                    d, a, b = d[runs], a[runs], b[runs]
-                    yield S.signed(S.mix(d.astype(np.uint64) + a.astype(np.uint64))), np.zeros(len(d), np.int32), d, a.astype(np.int32), b.astype(np.int32), n.astype(np.int32)
+                    d, a, b, c = d[runs], a[runs], b[runs], c[runs]
+                    yield S.signed(S.mix(d.astype(np.uint64) + a.astype(np.uint64))), np.zeros(len(d), np.int32), d, a.astype(np.int32), c, b.astype(np.int32), n.astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
@@ -142,14 +162,14 @@ def _packed(at: np.ndarray, src_at: np.ndarray) -> np.ndarray:
     return (at.astype(np.int64) << 32) | src_at.astype(np.int64)
 
 
-def _first_places(batches, schema):
+def _earlier_places(batches, schema):
     """(doc, place and source place, source, n windows) of the windows that have come before."""
 
     def sought():
         for batch in batches:
             known = batch.column("n").to_numpy() > 0
-            doc, at, src_at, n = (batch.column(k).to_numpy()[known] for k in ("doc_id", "at", "src_at", "n"))
-            done.append((doc, _packed(at, src_at), doc, n))
+            doc, at, src, src_at, n = (batch.column(k).to_numpy()[known] for k in ("doc_id", "at", "src", "src_at", "n"))
+            done.append((doc, _packed(at, src_at), src, n))
             yield batch.select(["h", "h2", "doc_id", "at"]).filter(pa.array(~known))
 
     done: list[tuple] = []
@@ -165,8 +185,8 @@ def _first_places(batches, schema):
     yield from S.batches_of(schema, pieces())
 
 
-def factors(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Greedy factors of a document: (start, end, source doc, source start), in words."""
+def matches(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """(start, end, source, source start), in words, of the windows that continue each other in one source; by start."""
     order = np.argsort(at, kind="stable")
     at, src, src_at, n = at[order], src[order], src_at[order], n[order]
     new = np.ones(len(at), bool)
@@ -176,6 +196,27 @@ def factors(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, n: np.ndarray,
     return at[starts], at[last] + n[last] - 1 + window, src[starts], src_at[starts]
 
 
+def factors(at: np.ndarray, src: np.ndarray, src_at: np.ndarray, n: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """The greedy parse of a document: (start, end, source doc, source start) of its factors, in words.
+
+    A factor may begin before the one before it ends, by less than a window: there its match
+    crossed the boundary."""
+    out, done = [], 0
+    found = list(zip(*(x.tolist() for x in matches(at, src, src_at, n, window)), strict=True))
+    k = 0
+    while k < len(found):
+        best, k = found[k], k + 1
+        if best[1] <= done:
+            continue
+        # from the boundary, or after literals from the next match on
+        boundary = max(done, best[0])
+        while k < len(found) and found[k][0] <= boundary:
+            best, k = max(best, found[k], key=lambda x: x[1]), k + 1
+        out.append(best)
+        done = best[1]
+    return out
+
+
 def _cut(window):
     def run(batches, schema):
         for batch in batches:
@@ -187,9 +228,9 @@ def _cut(window):
                 if places:
                     both = np.asarray(places, np.int64)
                     found = factors(both >> 32, np.asarray(src, np.int64), both & 0xFFFFFFFF, np.asarray(n, np.int64), window)
-                    np.add.at(edges, found[0], 1)
-                    np.add.at(edges, found[1], -1)
-                    spans = [dict(zip(("start", "end", "src_doc", "src_start"), map(int, x), strict=True)) for x in zip(*found, strict=True)]
+                    np.add.at(edges, [x[0] for x in found], 1)
+                    np.add.at(edges, [x[1] for x in found], -1)
+                    spans = [dict(zip(("start", "end", "src_doc", "src_start"), x, strict=True)) for x in found]
                 kept = list(compress(words, (np.cumsum(edges)[:-1] == 0).tolist())) if places else words
                 out.append((doc, len(words), len(words) - len(kept), b" ".join(kept), spans))
             columns = list(zip(*out, strict=True)) or [()] * 5
@@ -202,18 +243,23 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, seed_words: int
     """doc_id, n_words, n_removed, kept (text), spans (array of start, end, src_doc, src_start)."""
     if not 1 <= seed_words <= window:
         raise ValueError("seed_words lies between 1 and window")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int")
+    docs, factor = S.apart(documents)
+    seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int, sure boolean")
     again = S.map_arrow(seeds.repartition("h").sortWithinPartitions("h"), _recurring, "doc_id long, ordinal int")
     again = again.groupBy("doc_id").agg(F.collect_set("ordinal").alias("ordinals"))
     sought = docs.join(again.hint("shuffle_hash"), "doc_id", "left")
-    phrases = S.map_arrow(sought, _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int, src_at int, n int")
+    phrases = S.map_arrow(sought, _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int, src long, src_at int, n int")
     in_order = phrases.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "at")
-    known = S.map_arrow(in_order, _first_places, "doc_id long, place long, src long, n int")
+    known = S.map_arrow(in_order, _earlier_places, "doc_id long, place long, src long, n int")
     # lists of one aggregation have one order
     known = known.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("src").alias("src"), F.collect_list("n").alias("n"))
     spans = "array<struct<start:long,end:long,src_doc:long,src_start:long>>"
-    return S.map_arrow(docs.join(known.hint("shuffle_hash"), "doc_id", "left"), _cut(window), f"doc_id long, n_words long, n_removed long, kept string, spans {spans}")
+    out = S.map_arrow(docs.join(known.hint("shuffle_hash"), "doc_id", "left"), _cut(window), f"doc_id long, n_words long, n_removed long, kept string, spans {spans}")
+    if factor == 1:
+        return out
+    whole = lambda c: F.floor(c / factor)
+    back = F.transform("spans", lambda x: x.withField("src_doc", whole(x["src_doc"])))
+    return out.withColumns({"doc_id": whole(F.col("doc_id")), "spans": back})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,48 @@ def test_substring_spans_point_at_equal_words(spark):
         assert n >= 20 and text[i][s.start : s.end] == text[s.src_doc][s.src_start : s.src_start + n] and (s.src_doc, s.src_start) < (i, s.start)
 
 
+def greedy_parse(window_of, size, window):
+    """Factors of a text by plain steps: window_of[p] is the source place of the window at p.  Literals are one word."""
+    def reach(p):
+        m = 0
+        while p + m in window_of and window_of[p + m] == (window_of[p][0], window_of[p][1] + m):
+            m += 1
+        return p + m - 1 + window
+
+    out, e = [], 0
+    while e < size:
+        ends = [reach(p) for p in range(e + 1) if p in window_of]
+        if ends and max(ends) > e:
+            out.append((e, max(ends)))
+            e = max(ends)
+        else:
+            e += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_substring_factors_are_the_greedy_parse(seed):
+    import numpy as np
+
+    r = random.Random(seed)
+    window, size, rows, p = 4, 120, [], 0
+    while p < size - window:  # runs of windows with one source, broken and continued at random
+        n = r.randint(1, 9)
+        if r.random() < 0.6:
+            rows += [(p + j, r_src, r_at + j) for r_src, r_at in [(r.randrange(3), r.randrange(50))] for j in range(n) if p + j <= size - window]
+        p += n
+    window_of = {a: (b, c) for a, b, c in rows}
+    r.shuffle(rows)
+    columns = [np.array(x, np.int64) for x in zip(*rows, strict=True)] if rows else [np.empty(0, np.int64)] * 3
+    found = substring_dedup.factors(*columns, np.ones(len(rows), np.int64), window)
+    edges = [0, *(f[1] for f in found)]
+    assert [(max(f[0], e), f[1]) for f, e in zip(found, edges, strict=False)] == greedy_parse(window_of, size, window)
+    covered = {x for f in found for x in range(f[0], f[1])}
+    assert covered == {x for a in window_of for x in range(a, a + window)}
+    for start, end, src, src_at in found:  # a factor copies one place of its source
+        assert end - start >= window and all(window_of[start + j] == (src, src_at + j) for j in range(end - start - window + 1))
+
+
 def test_substring_long_repetition_and_repeated_ids(spark):
     long = "a b " * 5000
     rows = [(1, long), (2, long), (2, long), (None, long), (3, "x " * 20)]
@@ -107,6 +149,24 @@ def test_substring_long_repetition_and_repeated_ids(spark):
     assert got == [(0, 10000, 0), (1, 10000, 9998), (2, 10000, 10000), (2, 10000, 10000), (3, 20, 0)]
 
 
+def test_substring_one_id_with_two_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(300))
+    got = substring_dedup.substring_dedup(frame(spark, [(5, a), (5, b), (7, f"{a} and {b}"), (-3, None)])).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept == "and") for r in got) == [(-3, 0, 0, False), (5, 30, 0, False), (5, 300, 0, False), (7, 331, 330, True)]
+    assert {s.src_doc for r in got for s in r.spans} == {5}
+
+
+def test_substring_hot_passage(spark):
+    """What most documents share is settled among the texts at hand; few rows go to the index."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, f"x{k} {passage} y{k}") for k in range(300)]
+    docs = frame(spark, rows).repartition(3)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup.substring_dedup(docs).collect()}
+    assert got == brute_substring(rows)
+    seeds = _shared.map_arrow(docs.select("doc_id", "text"), substring_dedup._emit_seeds(20, 8), "h long, doc_id long, ordinal int, sure boolean")
+    assert seeds.groupBy("h").count().agg(F.max("count")).first()[0] <= 3
+
+
 # --- op2 -------------------------------------------------------------------------------
 
 
