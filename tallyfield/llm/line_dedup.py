@@ -7,8 +7,8 @@ to tell old from new (runs need no shuffle and no sort, as their buckets are tho
 join), and what is new becomes a run of level 0.  When a level holds FANOUT runs they are
 merged, bucket by bucket, into one of the next level.
 
-The first batch has FIRST_LINES lines about, each further one as many as came before it, so
-the number of batches grows with the logarithm of the table and the work with the table.
+The first batch has one of FIRST_SHARE lines of the table (FIRST_LINES at least), each further
+one as many as came before it: the work grows with the table, whatever its size.
 `LineRuns.open` keeps runs under a path: what a job commits there, the next job's batches
 are held against, so new documents lose the lines of earlier jobs.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from . import _shared as S
 
 MIN_CHARS = 10
-FIRST_LINES = 1 << 18
+FIRST_LINES, FIRST_SHARE = 1 << 16, 8
 FANOUT = 2
 #: Lines of a bucket, about, and most lines of a batch that are joined by broadcast.
 BUCKET_LINES, HOT = 1 << 18, 10_000
@@ -172,9 +172,9 @@ def repeated_lines(batch: DataFrame, runs: LineRuns) -> DataFrame:
 
 
 def _cuts(lines: DataFrame, first: int) -> tuple[list, int]:
-    """(doc_ids that end a batch, lines in all): each batch as large as what came before, the first one about `first` lines."""
+    """(doc_ids that end a batch, lines in all): each batch as large as what came before, the first one `first` lines at least."""
     total = lines.count()
-    shares, done = [], first
+    shares, done = [], max(first, total // FIRST_SHARE)
     while done < total:
         shares.append(done / total)
         done *= 2
