@@ -13,18 +13,28 @@ both prefixes.
 4. Candidates.  Prefix rows meet on their n-gram; length and positional filters apply.
    N-grams in more than SMALL_GROUP sets pair each set with one pivot of the group only:
    sets that link to it are in one component and need no pairs among them.  Pairs across
-   components are then sought with new pivots, and after PIVOT_ROUNDS by a join of
-   those that are left, so no link between components is lost.
+   components are then sought with new pivots, and after PIVOT_ROUNDS by a join of those
+   that are left on n-gram and size class, so no link between components is lost.
 5. Verification.  Each distinct pair once: suffix filter, then the exact overlap.
 6. Components of the verified links.
 
+Frequent n-grams are no hot keys: what texts at hand share in step 1 is settled there; in
+step 3 the n-grams that a sample of the documents shows to be frequent (HOT_GRAMS at most)
+get one frequency, known to all tasks, and aren't shuffled; the groups of step 4 are dealt
+in blocks, other ones in each round, each with a pivot of its own.
+
 Defined cases: without words (or text) a set is empty and links with nothing; with fewer
 than n words the whole sequence is the one n-gram; a null doc_id links with nothing and
-has a null component; rows of one doc_id are one node; extra columns are ignored.
+has a null component; rows that share a doc_id are one node if their texts are equal and
+otherwise documents of their own; equal frequencies (ties) go by hash; long texts are taken
+whole, hashed in pieces; extra columns are ignored, whatever their names; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +49,10 @@ SAMPLED = 3  # one of so many n-grams is counted to see who is in play
 SMALL_GROUP = 32
 FREQUENCY_CAP = 100_000
 PIVOT_ROUNDS = 3
+#: One of so many documents is counted to find frequent n-grams, and so many n-grams are called frequent at most.
+COUNTED, HOT_GRAMS = 16, 20_000
+#: Groups of more sets are dealt in so many blocks.
+LARGE_GROUP, BLOCKS = 4096, 64
 
 
 def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +79,9 @@ def needed(a, b, t: int):
 
 
 def _emit_sampled(n):
+    """(h, doc, known): n-grams to be counted; of those that texts at hand share one is counted, known to
+    recur (1), and each document has the number of its others under a key of its own."""
+
     def run(batches, schema):
         def pieces():
             for batch in batches:
@@ -77,7 +94,14 @@ def _emit_sampled(n):
                     h, text = h[order], text[order]
                     new = np.ones(len(h), bool)
                     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-                    yield S.signed(h[new]), np.asarray(ids, np.int64)[text[new]]
+                    h, doc = h[new], np.asarray(ids, np.int64)[text[new]]
+                    again = np.zeros(len(h), bool)
+                    again[1:] = (h[1:] == h[:-1]) & (doc[1:] != doc[:-1])
+                    known = np.zeros(len(h), np.int32)
+                    known[:-1] = again[1:]
+                    yield S.signed(h[~again]), doc[~again], known[~again]
+                    doc, n_again = np.unique(doc[again], return_counts=True)
+                    yield S.signed(S.mix(doc.astype(np.uint64))), doc, n_again.astype(np.int32)
 
         yield from S.batches_of(schema, pieces())
 
@@ -86,8 +110,8 @@ def _emit_sampled(n):
 
 def _count_recurring(batches, schema):
     def pieces():
-        for (_, doc), n in S.run_lengths(batches, 1, 2):
-            yield np.unique(doc[n > 1], return_counts=True)
+        for (_, doc, known), n in S.run_lengths(batches, 1, 2):
+            yield doc, np.maximum(known, n > 1).astype(np.int64)
 
     yield from S.batches_of(schema, pieces())
 
@@ -98,41 +122,67 @@ def _emit_sets(n, t):
     def run(batches, schema):
         for batch in batches:
             out = []
-            rows = list(zip(batch.column("doc_id").to_pylist(), batch.column("again").to_pylist(), strict=True))
+            rows = list(zip(*(batch.column(k).to_pylist() for k in ("doc_id", "again", "print")), strict=True))
             for known, words, starts in S.hashed_texts(rows, [(x or b"").lower() for x in S.texts_of(batch)]):
                 all_h, text = shingles(words, starts, n)
                 edges = np.searchsorted(text, np.arange(len(known) + 1))
-                for (doc, again), low, high in zip(known, edges, edges[1:], strict=False):
+                for (doc, again, mark), low, high in zip(known, edges, edges[1:], strict=False):
                     h = np.unique(all_h[low:high])
                     one, two = (int(S.mix(h ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) if len(h) else 0 for k in (1, 2))
                     alone = int(np.count_nonzero(h % np.uint64(SAMPLED) == 0)) - (again or 0)
                     play = doc is not None and len(h) > 0 and alone <= spare(len(h), t)
-                    out.append((doc, len(h), one, two, h.tobytes() if play else None))
-            columns = list(zip(*out, strict=True)) or [()] * 5
+                    out.append((doc, mark, len(h), one, two, h.tobytes() if play else None))
+            columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, schema.types, strict=True)], schema=schema)
 
     return run
 
 
-def _emit_grams(batches, schema):
+def _emit_grams(frequent: np.ndarray):
+    """(h, doc, ordinal, df): n-grams to be counted (df 0); the frequent ones, in ascending order, need no count."""
+
+    def run(batches, schema):
+        def pieces():
+            for batch in batches:
+                for doc, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    h = np.frombuffer(grams, np.int64)
+                    k = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
+                    known = frequent[k] == h if len(frequent) else np.zeros(len(h), bool)
+                    key = np.where(known, S.signed(S.mix(h.view(np.uint64) + np.uint64(doc & 0xFFFFFFFFFFFFFFFF))), h)
+                    yield key, np.full(len(h), doc, np.int64), np.arange(len(h), dtype=np.int32), np.where(known, FREQUENCY_CAP, 0).astype(np.int32)
+
+        yield from S.batches_of(schema, pieces())
+
+    return run
+
+
+def _only_grams(batches, schema):
     def pieces():
         for batch in batches:
-            for doc, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = np.frombuffer(grams, np.int64)
-                yield h, np.full(len(h), doc, np.int64), np.arange(len(h), dtype=np.int32)
+            for grams in batch.column(0).to_pylist():
+                yield (np.frombuffer(grams, np.int64),)
 
     yield from S.batches_of(schema, pieces())
 
 
 def _frequencies(batches, schema):
     def pieces():
-        for (_, doc, ordinal), n in S.run_lengths(batches, 1, FREQUENCY_CAP):
+        for (_, doc, ordinal, df), n in S.run_lengths(batches, 1, FREQUENCY_CAP):
+            n = np.maximum(n, df)
             keep = n > 1
             yield doc[keep], ordinal[keep], n[keep].astype(np.int32)
 
     yield from S.batches_of(schema, pieces())
 
 
+def frequent_grams(sets: DataFrame) -> np.ndarray:
+    """The n-grams that are frequent in one of COUNTED documents; HOT_GRAMS at most.  They only save work: any set of n-grams gives the same links."""
+    some = sets.filter(F.pmod(F.xxhash64("doc_id"), F.lit(COUNTED)) == 0)
+    counts = S.stage(S.map_arrow(some.select("grams"), _only_grams, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(f"n > {SMALL_GROUP}"), "frequent")
+    least = max(SMALL_GROUP, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_GRAMS)
+    return np.sort(np.array([r.h for r in counts.filter(F.col("n") > least).select("h").collect()], np.int64))  # each counts for 1/HOT_GRAMS of the sum
+
+
 def _emit_prefixes(t):
     """(n-gram, doc, size, place in the order, frequency) of prefix n-grams that others have too."""
 
@@ -195,7 +245,7 @@ def _pairs_with_pivot(t):
 
     def run(batches, schema):
         def pieces():
-            for (_, label, n, doc, at), later, (_, plabel, pn, pdoc, pat) in S.repeats(batches, 1):
+            for (_, _, label, n, doc, at), later, (_, _, plabel, pn, pdoc, pat) in S.repeats(batches, 2):
                 ok = later & (doc != pdoc) & (label != plabel) & _may_link(n, at, pn, pat, t)
                 yield np.minimum(doc, pdoc)[ok], np.maximum(doc, pdoc)[ok]
 
@@ -241,14 +291,15 @@ def _links(pairs: DataFrame, sets: DataFrame, t: int, name: str) -> DataFrame:
 def _labelled(hot: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the groups that still hold several components, with their component."""
     rows = hot.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
-    mixed = rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h")
+    rows = S.stage(rows, "labels")
+    mixed = S.stage(rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h"), "mixed")
     return S.stage(rows.join(mixed, "h"), "groups")
 
 
 def similar_components(sets: DataFrame, t: int) -> DataFrame:
     """(node, component) of the sets (doc_id, grams) that have a link."""
     pair = "a long, b long"
-    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams, "h long, doc_id long, ordinal int")
+    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams(frequent_grams(sets)), "h long, doc_id long, ordinal int, df int")
     often = S.map_arrow(grams.repartition("h").sortWithinPartitions("h"), _frequencies, "doc_id long, ordinal int, df int")
     often = often.groupBy("doc_id").agg(F.collect_list(F.struct("ordinal", "df")).alias("p"))
     often = often.select("doc_id", F.col("p.ordinal").alias("ordinals"), F.col("p.df").alias("df"))
@@ -256,13 +307,14 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
     prefixes = S.stage(prefixes, "prefixes")
     small = prefixes.filter(F.col("df") <= SMALL_GROUP).repartition("h").sortWithinPartitions("h", "n", "doc_id")
     pairs = S.map_arrow(small, _pairs_of_small(t), pair)
-    hot = prefixes.filter(F.col("df") > SMALL_GROUP).select("h", "n", "doc_id", "at").distinct()
-    in_order = ("h", "label", "n", "doc_id", "at")
+    hot = prefixes.filter(F.col("df") > SMALL_GROUP).select("h", "n", "doc_id", "at", "df").distinct()
 
-    def with_pivot(rows: DataFrame, *order) -> DataFrame:
-        return S.map_arrow(rows.select(*in_order).repartition("h").sortWithinPartitions("h", *order), _pairs_with_pivot(t), pair)
+    def with_pivot(rows: DataFrame, k: int, *order) -> DataFrame:
+        block = F.when(F.col("df") > LARGE_GROUP, F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(BLOCKS))).otherwise(0).cast("int")
+        dealt = rows.select("h", block.alias("block"), "label", "n", "doc_id", "at").repartition("h", "block").sortWithinPartitions("h", "block", *order)
+        return S.map_arrow(dealt, _pairs_with_pivot(t), pair)
 
-    links = _links(pairs.union(with_pivot(hot.withColumn("label", F.col("doc_id")), "doc_id")), sets, t, "links")
+    links = _links(pairs.union(with_pivot(hot.withColumn("label", F.col("doc_id")), -1, "doc_id")), sets, t, "links")
     found = S.stage(components(links, "a", "b"), "components")
     if hot.isEmpty():
         return found
@@ -271,13 +323,15 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
         if hot.isEmpty():
             break
         if k < PIVOT_ROUNDS:  # another component of each group gives the pivot in each round
-            pairs = with_pivot(hot, F.xxhash64("label", F.lit(k)), "doc_id")
+            pairs = with_pivot(hot, k, F.xxhash64("label", F.lit(k)), "doc_id")
         else:
-            x, y = hot.alias("x"), hot.alias("y")
+            # sets that link are of one size class or of two that adjoin
+            classed = hot.withColumn("class", F.floor(F.log("n") / -math.log(t / 100)))
+            x, y = classed.alias("x"), classed.withColumn("near", F.explode(F.array(*(F.col("class") + d for d in (-1, 0, 1))))).alias("y")
             small_n, large_n = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
             left = F.least(F.expr("x.n - x.at"), F.expr("y.n - y.at"))
             need = F.floor((t * (F.col("x.n") + F.col("y.n")) + 99 + t) / (100 + t))
-            meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label"))
+            meet = (F.col("x.h") == F.col("y.h")) & (F.col("x.class") == F.col("y.near")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.label") != F.col("y.label"))
             meet &= (small_n * 100 >= t * large_n) & (left >= need)
             pairs = x.join(y, meet).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         more = _links(pairs, sets, t, "links")
@@ -288,26 +342,27 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
 
 
 def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links), for every row."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sampled = S.map_arrow(docs, _emit_sampled(words), "h long, doc_id long")
+    """doc_id, print (hash of the text), n_shingles, component_id (smallest doc_id reachable by links), for every row."""
+    docs, factor = S.apart(documents)
+    sampled = S.map_arrow(docs, _emit_sampled(words), "h long, doc_id long, known int")
     again = S.map_arrow(sampled.repartition("h").sortWithinPartitions("h"), _count_recurring, "doc_id long, again long")
     again = again.groupBy("doc_id").agg(F.sum("again").alias("again"))
-    sets = S.map_arrow(docs.join(again.hint("shuffle_hash"), "doc_id", "left"), _emit_sets(words, threshold), "doc_id long, n long, s1 long, s2 long, grams binary")
+    joined = docs.join(again.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "again", "text", F.xxhash64("text").alias("print"))
+    sets = S.map_arrow(joined, _emit_sets(words, threshold), "doc_id long, print long, n long, s1 long, s2 long, grams binary")
     sets = S.stage(sets, "sets")
     print_of = ["n", "s1", "s2"]
     classes = sets.filter("n > 0").groupBy(*print_of).agg(F.min("doc_id").alias("class_id"))
     chosen = sets.filter("grams is not null").join(classes.filter("class_id is not null"), print_of).filter("doc_id = class_id")
-    chosen = S.stage(chosen.select("doc_id", "grams"), "classes")
+    chosen = S.stage(chosen.select("doc_id", "grams").dropDuplicates(["doc_id"]), "classes")  # rows of one id are alike here
     found = similar_components(chosen, threshold).withColumnRenamed("node", "class_id")
     of_class = classes.join(found, "class_id", "left").select(*print_of, F.coalesce("component", "class_id").alias("component_id"))
-    out = sets.select("doc_id", *print_of).join(of_class, print_of, "left")
+    out = sets.select("doc_id", "print", *print_of).join(of_class, print_of, "left")
     whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), whole.alias("component_id"))
+    return out.select(F.floor(F.col("doc_id") / factor).alias("doc_id") if factor > 1 else "doc_id", "print", F.col("n").alias("n_shingles"), (F.floor(whole / factor) if factor > 1 else whole).alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("print")
 
 
 SQL = r"""

@@ -195,6 +195,9 @@ def brute_groups(rows):
 @pytest.mark.parametrize("seed,small", [(6, 32), (7, 2)])
 def test_jaccard_groups(spark, seed, small, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "SMALL_GROUP", small)
+    if small == 2:  # n-grams that are called frequent, large groups in blocks
+        for name, value in {"COUNTED": 2, "HOT_GRAMS": 50, "LARGE_GROUP": 5, "BLOCKS": 3}.items():
+            monkeypatch.setattr(ngram_jaccard, name, value)
     rows = corpus(seed, 80)
     base = [f"w{k}" for k in range(60)]  # a large group of near copies, some of which link through others only
     for k in range(30):
@@ -222,6 +225,28 @@ def test_jaccard_odd_rows(spark):
     assert got == [("1", 1, 1), ("2", 1, 1), ("2", 1, 1), ("3", 0, 3), ("4", 0, 4), ("None", 1, None)]
 
 
+def test_jaccard_one_id_with_two_texts_and_long_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(9))
+    long = " ".join(f"w{k % 50_000}" for k in range(200_000))
+    rows = [(5, a), (5, b), (5, b), (7, b), (3, f"{a} more"), (8, long), (9, f"{long} end")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard.jaccard_groups(frame(spark, rows)).collect())
+    assert got == [(3, 27, 3), (5, 5, 5), (5, 5, 5), (5, 26, 3), (7, 5, 5), (8, 50_000, 8), (9, 50_001, 8)]
+
+
+@pytest.mark.parametrize("seed", [40, 41])
+def test_jaccard_hot_group_that_does_not_link(spark, seed, monkeypatch):
+    """A passage that all hold, of which some link by chains only: the join that follows the pivots finds them all."""
+    monkeypatch.setattr(ngram_jaccard, "PIVOT_ROUNDS", seed - 40)
+    r = random.Random(seed)
+    passage = " ".join(f"p{k}" for k in range(70))
+    rows, tails = [], [[f"t{k}{j}" for j in range(40)] for k in range(6)]
+    for k in range(70):
+        tail = tails[k % 6][: r.choice([17, 20, 24, 30, 40])]
+        rows.append((k, f"{passage} {' '.join(tail)} x{k}"))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard.jaccard_groups(frame(spark, rows)).collect()}
+    assert got == brute_groups(rows) and len({c for _, c in got.values()}) > 1
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 100)], "a long, b long")
     assert {r.component for r in components.components(edges, "a", "b").collect()} == {0}
@@ -435,8 +460,9 @@ def brute_lines(rows, least=10):
     return docs
 
 
-@pytest.mark.parametrize("first,fanout", [(1 << 18, 2), (60, 2), (9, 3)])
-def test_line_dedup(spark, first, fanout, monkeypatch):
+@pytest.mark.parametrize("first,share,fanout", [(1 << 16, 8, 2), (10, 8, 2), (3, 64, 3)])
+def test_line_dedup(spark, first, share, fanout, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FIRST_SHARE", share)
     monkeypatch.setattr(line_dedup, "HOT", 20)
     monkeypatch.setattr(line_dedup, "BUCKET_LINES", 100)
     rows = corpus(10, 50) + [(60, "A Long Line, here\nshort\n a long line, here \t\nshort"), (61, "x\nA LONG LINE, HERE\n\n"), (62, "A LONG LINE, HERE")]
