@@ -5,7 +5,8 @@ was given; the last one returns the token index.  `run` writes what each stage r
 reads it again, so a later failure never costs an earlier stage.
 
 Defined cases, beyond those of the operators: a row with null doc_id is in no group, so
-the near-duplicate stage keeps it; of rows that repeat a doc_id it keeps one; the mix
+the near-duplicate stage keeps it; of rows that repeat a doc_id and are their groups' first it
+keeps one, the least by hash of text and row, so reruns agree; the mix
 repeats a row as often as the copies it takes, and leaves rows out that it takes none of.
 """
 
@@ -22,12 +23,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_jaccard.jaccard_groups(docs)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi")
-    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names, strict=True))
+    rows = docs.toDF(*names).withColumns({"key": F.col(of["doc_id"]).cast("long"), "print": F.xxhash64(F.col(of["text"]).cast("string"))})
+    first = ngram_jaccard.jaccard_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("key"), "print").distinct()
+    kept = rows.filter("key is not null").join(first, ["key", "print"], "left_semi")
+    if not kept.groupBy("key").count().filter("count > 1").isEmpty():
+        # of rows that share a doc_id and a component the least stays
+        kept = kept.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("print", F.xxhash64(*names)))).filter("nth = 1")
+    return kept.unionByName(rows.filter("key is null"), allowMissingColumns=True).select(*names).toDF(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
