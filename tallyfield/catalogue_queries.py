@@ -487,22 +487,22 @@ def cp34(spark, sf_dir):
 
 @query("cp5_best_matches", f"WITH {_ORDERED} SELECT a_id, source_a, source_b, b_id, CAST(rank AS BIGINT) AS rank, CAST(score AS BIGINT) AS score FROM m")
 def cp5(spark, sf_dir):
-    return compare.best_matches(matched(spark, sf_dir))
+    return compare.best_matches(items(spark, sf_dir))
 
 
 @query("cp6_mutual", f"WITH {_ORDERED} SELECT x.a_id, x.b_id, x.source_a, x.source_b, CAST(x.score AS BIGINT) AS score FROM m x JOIN m y ON x.a_id = y.b_id AND x.b_id = y.a_id WHERE x.source_a < x.source_b")
 def cp6(spark, sf_dir):
-    return compare.mutual_pairs(compare.best_matches(matched(spark, sf_dir)))
+    return compare.mutual_pairs(compare.best_matches(items(spark, sf_dir)))
 
 
 def _report(spark, sf_dir):
     rows = items(spark, sf_dir)
-    return cluster.cluster_report(cluster.clusters(compare.mutual_pairs(compare.best_matches(compare.matches(rows)))), rows)
+    return cluster.cluster_report(cluster.clusters(compare.mutual_pairs(compare.best_matches(rows))), rows)
 
 
 @query("cp7_clusters")
 def cp7(spark, sf_dir):
-    return cluster.clusters(compare.mutual_pairs(compare.best_matches(matched(spark, sf_dir))))
+    return cluster.clusters(compare.mutual_pairs(compare.best_matches(items(spark, sf_dir))))
 
 
 @query("cp8_cp9_report")

@@ -54,7 +54,7 @@ def test_reparse_is_a_fixed_point(spark):
 def items_of(spark, seed, n=60):
     r = random.Random(seed)
     words = ["dau", "trau", "sao", "vang", "lua", "xanh", "hoa", "qua1", "npk"]
-    rows = [(k, f"shop{r.randrange(4)}", " ".join(r.sample(words, r.randint(1, 6))), r.choice([None, "16-16-8", "20-20-15", "7-7-7"]), r.choice([10.0, 20.0, 40.0, 41.0, 100.0])) for k in range(n)]
+    rows = [(k, f"shop{r.randrange(4)}", " ".join(r.sample(words, r.randint(1, 9))), r.choice([None, "16-16-8", "20-20-15", "7-7-7"]), r.choice([10.0, 20.0, 40.0, 41.0, 100.0])) for k in range(n)]
     return rows, spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double")
 
 
@@ -71,7 +71,7 @@ def brute_matches(rows):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_matching_equals_brute_force(spark, seed):
     rows, df = items_of(spark, seed)
     want = brute_matches(rows)
@@ -86,7 +86,9 @@ def test_matching_equals_brute_force(spark, seed):
             if key not in best or (rank, -y) > (best[key][0], -best[key][1]):
                 best[key] = (rank, y)
     mutual = sorted((a, b) for (a, b) in want if best[a, source[b]][1] == b and best[b, source[a]][1] == a)
-    pairs = compare.mutual_pairs(compare.best_matches(found))
+    chosen = compare.best_matches(df)
+    assert {((r.a_id, r.source_b), (r.rank, r.b_id)) for r in chosen.collect()} == set(best.items())
+    pairs = compare.mutual_pairs(chosen)
     got_pairs = [(r.a_id, r.b_id, r.score, r.source_a, r.source_b) for r in pairs.collect()]
     assert sorted(p[:2] for p in got_pairs) == mutual
     # component by component equals all at once
