@@ -194,6 +194,18 @@ def io3(spark, sf_dir):
     return upsert.copy_counts(rows.filter("source = 'click'"), rows.filter("source <> 'click'"))
 
 
+@query("io4_sites", "SELECT s_name AS name, concat('platform', CAST(s_nationkey % 3 AS VARCHAR)) AS platform, concat('https://shop', CAST(s_suppkey AS VARCHAR), '.example/phan') AS list_url, '.price' AS price_selector FROM supplier WHERE s_nationkey % 4 <> 0")
+def io4(spark, sf_dir):
+    """Enabled sites of a configuration file written from the suppliers; a third say nothing about it."""
+    rows = table(spark, sf_dir, "supplier").selectExpr(
+        "s_name as name", "case when s_nationkey % 4 = 0 then false when s_nationkey % 3 = 0 then true end as enabled", "concat('platform', s_nationkey % 3) as platform",
+        "array(concat('https://shop', s_suppkey, '.example/phan')) as list_urls", "map('price', '.price') as selectors",
+    )
+    path = scratch_path(spark, "sites")
+    rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns)))).coalesce(1).write.text(path)  # one list, as the file has it
+    return tables.read_sites(spark, path).select("name", "platform", F.get("list_urls", 0).alias("list_url"), F.element_at("selectors", "price").alias("price_selector"))
+
+
 @query(
     "io5_json_text",
     f"SELECT item_id, CAST(CASE WHEN n_images > 0 THEN n_images ELSE 0 END AS BIGINT) AS n_images, section AS section_key FROM ({CATALOGUE_SQL})",
@@ -261,17 +273,37 @@ def ex10(spark, sf_dir):
     return extract.products(page_facts(spark, sf_dir)).select("url", "name", "currency", "description")
 
 
-@query("ex3_ex9_rich")
+_ORIGIN = "regexp_extract(url, '^[a-z]+://[^/]*', 0)"
+_SPEC_TEXT = "concat(name, ' bao 50kg')"
+
+
+@query(
+    "ex3_ex9_rich",
+    f"SELECT url, name, {_npk(_SPEC_TEXT)} AS npk, CASE WHEN regexp_matches({_SPEC_TEXT}, '(?i){_UNIT}') THEN trim(regexp_extract({_SPEC_TEXT}, '(?i){_UNIT}', 0)) END AS unit, "
+    f"concat({_ORIGIN}, '/product/', CAST(item_id AS VARCHAR), '-300x300.jpg', CASE WHEN item_id % 2 = 0 THEN concat(' ', {_ORIGIN}, '/product/', CAST(item_id AS VARCHAR), 'b.png') ELSE '' END) AS images, "
+    f"concat('https://www.youtube.com/watch?v=abcdefghijk', CASE WHEN item_id % 3 = 0 THEN concat(' https://player.vimeo.com/', CAST(item_id AS VARCHAR)) ELSE '' END) AS videos, "
+    """concat('{"quy_cach":"bao 50kg","thong_so":"', CAST(item_id AS VARCHAR), '"', CASE WHEN item_id % 5 = 0 THEN ',"xuat_xu":"VN"' ELSE '' END, '}') AS specs, """
+    """concat('{"thanh_phan":"', name, ' Khác abc","huong_dan":"pha 5g cho 1 lít nước', CASE WHEN item_id % 7 = 0 THEN ' tưới đều gốc' ELSE '' END, '"}') AS sections, """
+    """CASE WHEN item_id % 5 = 0 THEN 'VN' END AS brand, """
+    f"CAST(length(concat('Thành phần ', name, ' Khác abc Hướng dẫn sử dụng pha 5g cho 1 lít nước', CASE WHEN item_id % 7 = 0 THEN ' Cách dùng tưới đều gốc' ELSE '' END)) AS INTEGER) AS n_chars FROM ({LISTINGS_SQL})",
+)
 def ex_rich(spark, sf_dir):
-    """Photos, videos, specs and sections of a detail page built from each listing."""
+    """Photos, videos, specs, sections and the longest description of a detail page built from each listing."""
     rows = listings(spark, sf_dir)
+    if_ = lambda k, *x: F.when(F.col("item_id") % k == 0, F.concat(*x)).otherwise("")
+    item = F.col("item_id").cast("string")
     html = F.concat(
-        F.lit('<html><head><meta property="og:image" content="/product/'), "item_id", F.lit('-300x300.jpg"></head><body><h1>'), "name",
-        F.lit('</h1><div class="rte"><h3>Thành phần</h3><p>'), "name", F.lit('</p><h3>Khác</h3><p>abc</p><b>Hướng dẫn sử dụng</b> pha 5g cho 1 lít nước</div><img data-src="/product/'),
-        "item_id", F.lit('.jpg"><table><tr><td>Quy cách</td><td>bao 50kg</td></tr><tr><td>Thông số</td><td>x</td></tr></table><iframe src="https://youtu.be/abcdefghijk"></iframe></body></html>'),
+        F.lit('<html><head><meta property="og:image" content="/product/'), item, F.lit('-300x300.jpg"></head><body><h1>'), "name",
+        F.lit('</h1><div class="product-summary">short</div><div class="rte"><h3>Thành phần</h3><p>'), "name", F.lit('</p><h3>Khác</h3><p>abc</p><b>Hướng dẫn sử dụng</b> pha 5g cho 1 lít nước'),
+        if_(7, F.lit("<h4>Cách dùng</h4>tưới đều gốc")), F.lit('</div><img data-src="/product/'), item, F.lit('.jpg"><img src="/logo.png"><img src="/other/'), item, F.lit('.jpg">'),
+        if_(2, F.lit('<img data-large_image="../product/'), item, F.lit('b.png" src="data:x">')),
+        F.lit('<table><tr><td>Quy cách</td><td>bao 50kg</td></tr><tr><td>Quy cách</td><td>khác</td></tr><tr><td>Thông số</td><td>'), item, F.lit("</td></tr></table>"),
+        if_(5, F.lit("<dl><dt>Xuất xứ</dt><dd>VN</dd></dl>")), F.lit('<iframe src="https://youtu.be/abcdefghijk"></iframe>'), if_(3, F.lit('<iframe src="https://player.vimeo.com/'), item, F.lit('"></iframe>')),
+        F.lit("</body></html>"),
     )
     found = extract.products(extract.page_facts(rows.select("url", F.lit("").alias("source"), html.alias("html")), {"": {"name": "h1"}}))
-    return found.select("url", "name", "npk", "unit", "images", "videos", F.to_json("specs").alias("specs"), F.to_json("sections").alias("sections"), F.length("content").alias("n_chars"))
+    joined = [F.array_join(c, " ").alias(c) for c in ("images", "videos")]
+    return found.select("url", "name", "npk", "unit", *joined, F.to_json("specs").alias("specs"), F.to_json("sections").alias("sections"), "brand", F.length("content").alias("n_chars"))
 
 
 @query("ex6_image_key", f"SELECT page_id, concat(url, '.jpg') AS key FROM (SELECT page_id, rtrim(split_part(url, '?', 1), '/') AS url FROM pages)")
@@ -323,44 +355,82 @@ def js4(spark, sf_dir):
 
 
 _COUNT = "CAST(len(regexp_extract_all(html, '{}')) AS BIGINT)".format
+#: Pages with the data that shops embed, by page_id.
+_EMBEDDED = (
+    "CASE WHEN page_id % 2 = 0 THEN '<script type=\"application/ld+json\">{\"@type\": \"Product\", \"@type\":\"Product\"}</script>' ELSE '' END",
+    "CASE WHEN page_id % 3 = 0 THEN '<script id=__NEXT_DATA__>window.product = {\"variants\": [{\"inventory_quantity\":1,\"available\":true},{\"inventory_quantity\":2,\"available\" : false}]}</script>' ELSE '' END",
+    "CASE WHEN page_id % 5 = 0 THEN '<script>var  product = 1; window.__NUXT__={}</script><b itemprop=\"price\">1</b>' ELSE '' END",
+)
+_WITH_DATA = f"concat(html, {', '.join(_EMBEDDED)})"
 
 
 @query(
     "js5_embedded",
-    "SELECT url, marker, n FROM (" + " UNION ALL ".join(f"SELECT url, '{k}' AS marker, {_COUNT(p.replace(chr(39), chr(39) * 2))} AS n FROM pages" for k, p in payload.EMBEDDED) + ") WHERE n > 0",
-)
+    f"WITH p AS (SELECT url, {_WITH_DATA} AS html FROM pages) SELECT url, marker, n FROM ("
+    + " UNION ALL ".join(f"SELECT url, '{k}' AS marker, {_COUNT(p.replace(chr(39), chr(39) * 2))} AS n FROM p" for k, p in payload.EMBEDDED) + ") WHERE n > 0",
+)
 def js5(spark, sf_dir):
-    return payload.embedded_census(table(spark, sf_dir, "pages"))
+    return payload.embedded_census(table(spark, sf_dir, "pages").selectExpr("url", f"{_WITH_DATA} as html"))
 
 
 # --- merge, frontier, re-derivation ----------------------------------------------------
 
 _D = "item_id % 3 <> 0"
+_PAGE_IMAGES = "CASE WHEN coalesce(n_images, 0) = 0 THEN NULL ELSE concat(url, '/1.jpg') END"
 
 
 @query(
     "mg1_merge",
-    f"SELECT item_id, CASE WHEN {_D} AND item_id % 2 = 1 AND p2 <> 0 THEN p2 ELSE price END AS price, CASE WHEN {_D} THEN NULL ELSE sku END AS sku, "
-    f"CASE WHEN {_D} AND item_id % 4 = 1 THEN 'V' ELSE 'B' END AS brand, CASE WHEN {_D} THEN CAST(item_id % 2 AS INTEGER) ELSE CAST(coalesce(in_stock, -1) AS INTEGER) END AS in_stock, 'haravan' AS platform "
+    f"SELECT item_id, CASE WHEN {_D} AND item_id % 2 = 1 AND p2 <> 0 THEN p2 ELSE price END AS price, CASE WHEN {_D} THEN CASE WHEN item_id % 2 = 0 THEN 'API' END ELSE sku END AS sku, "
+    f"CASE WHEN {_D} AND item_id % 4 = 1 THEN 'V' ELSE 'B' END AS brand, CASE WHEN {_D} AND item_id % 5 = 0 THEN 'T' ELSE 'C' END AS category, "
+    f"CASE WHEN {_D} THEN CAST(item_id % 2 AS INTEGER) ELSE CAST(coalesce(in_stock, -1) AS INTEGER) END AS in_stock, 'haravan' AS platform, "
+    f"CASE WHEN {_D} THEN CASE WHEN item_id % 7 < 3 THEN CAST(item_id % 7 AS INTEGER) END ELSE CAST(stock_qty AS INTEGER) END AS stock_qty, "
+    f"CASE WHEN {_D} THEN CASE WHEN item_id % 4 = 0 THEN 4.5::DOUBLE END END AS rating, CASE WHEN {_D} THEN CAST(item_id % 3 AS INTEGER) ELSE CAST(review_count AS INTEGER) END AS review_count, "
+    f"CASE WHEN {_D} THEN price * 2 ELSE price_max END AS price_max, CASE WHEN {_D} AND item_id % 3 = 1 THEN 'a,b' END AS tags, "
+    f"CASE WHEN {_D} THEN CASE WHEN item_id % 2 = 0 THEN 'v1' END WHEN item_id % 3 <> 0 THEN name END AS variant, CASE WHEN {_D} AND item_id % 5 < 2 THEN 'good' END AS review, "
+    f"CASE WHEN {_D} AND item_id % 4 = 2 THEN 'https://api/1.jpg' ELSE {_PAGE_IMAGES} END AS image, CASE WHEN {_D} AND item_id % 4 = 2 THEN 12 ELSE greatest(coalesce(n_images, 0), 0) END::INTEGER AS n_images, "
+    f"CASE WHEN item_id % 2 = 0 THEN '1-1-1' WHEN {_D} THEN '9-8-7' END AS npk, CASE WHEN item_id % 5 = 0 THEN 3.0::DOUBLE WHEN {_D} THEN 25.0::DOUBLE END AS pack_kg "
     f"FROM (SELECT *, price + 1 AS p2 FROM ({CATALOGUE_SQL}))",
 )
 def mg1(spark, sf_dir):
+    """All rules of a merge: a payload for two of three items, with fields that are there, missing or empty by item."""
     rows = catalogue(spark, sf_dir)
-    record = tables.with_all_columns(rows.drop("reviews", "variants").withColumn("brand", F.lit("B")))
+    kept = rows.drop("reviews", "variants").withColumns({"brand": F.lit("B"), "category": F.lit("C"), "npk": F.expr("if(item_id % 2 = 0, '1-1-1', '')"), "pack_kg": F.expr("if(item_id % 5 = 0, 3.0d, null)")})
+    record = tables.with_all_columns(kept)
     given = {
-        "price": F.when(F.col("item_id") % 2 == 1, F.col("price") + 1),
-        "vendor": F.when(F.col("item_id") % 4 == 1, "V").otherwise(""),
-        "in_stock": F.col("item_id") % 2 == 1,
-    }
-    over = rows.select("url", F.lit("haravan").alias("platform"), payload._record(F.col("item_id") % 3 != 0, **given).alias("d"), F.lit(None).cast("array<string>").alias("reviews"))
-    merged = merge.merge_structured(record, over.withColumn("reviews", F.lit(None).cast(tables.PRODUCTS["reviews"].dataType)))
-    return merged.select("item_id", "price", "sku", "brand", F.coalesce("in_stock", F.lit(-1)).alias("in_stock"), "platform")
+        "name": F.lit("NPK 9-8-7 bao 25kg"), "price": F.expr("if(item_id % 2 = 1, price + 1, 0)"), "price_max": F.expr("price * 2"), "sku": F.expr("if(item_id % 2 = 0, 'API', null)"),
+        "vendor": F.expr("if(item_id % 4 = 1, 'V', '')"), "product_type": F.expr("if(item_id % 5 = 0, 'T', '')"), "in_stock": F.expr("item_id % 2 = 1"),
+        "stock_qty": F.expr("if(item_id % 7 < 3, item_id % 7, null)"), "rating": F.expr("if(item_id % 4 = 0, 4.5d, null)"), "review_count": F.expr("item_id % 3"),
+        "tags": F.expr("if(item_id % 3 = 1, array('a', 'b'), array())"), "variants": F.expr("if(item_id % 2 = 0, array(named_struct('title', 'v1', 'sku', null, 'price', null, 'compare_at', null, 'available', null, 'stock', null, 'id', null)), null)"),
+        "images": F.expr("if(item_id % 4 = 2, transform(sequence(1, 20), k -> concat('https://api/', k, '.jpg')), array(''))"),
+    }
+    reviews = F.expr("if(item_id % 5 < 2, array(named_struct('author', 'a', 'rating', 5.0d, 'date', null, 'text', 'good')), array())").cast(tables.PRODUCTS["reviews"].dataType)
+    over = rows.select("url", F.lit("haravan").alias("platform"), payload._record(F.col("item_id") % 3 != 0, **given).alias("d"), reviews.alias("reviews"))
+    merged = merge.merge_structured(record, over)
+    first = lambda c, f: F.get(c, 0)[f]
+    return merged.select(
+        "item_id", "price", "sku", "brand", "category", F.coalesce("in_stock", F.lit(-1)).alias("in_stock"), "platform", "stock_qty", "rating", "review_count", "price_max",
+        F.array_join("tags", ",").alias("tags"), first("variants", "title").alias("variant"), first("reviews", "text").alias("review"), F.get("images", 0).alias("image"),
+        F.coalesce(F.size("images"), F.lit(0)).alias("n_images"), F.nullif("npk", F.lit("")).alias("npk"), "pack_kg",
+    )
 
 
-@query("mg2_ladder", f"SELECT item_id, CASE WHEN item_id % 2 = 0 THEN 'h' WHEN item_id % 3 = 0 THEN 'w' WHEN item_id % 5 = 0 THEN 'j' END AS chosen FROM ({LISTINGS_SQL})")
+@query(
+    "mg2_ladder",
+    "SELECT item_id, CASE WHEN item_id % 2 = 0 THEN concat('h ', name) WHEN item_id % 3 = 0 THEN concat('w ', name) WHEN item_id % 5 = 0 THEN concat('j ', name) END AS chosen, "
+    f"CASE WHEN item_id % 2 = 0 THEN concat('h ', name) WHEN item_id % 3 = 0 THEN concat('w ', name) END AS without_jsonld FROM ({LISTINGS_SQL})",
+)
 def mg2(spark, sf_dir):
-    when = lambda k, x: F.when(F.col("item_id") % k == 0, x)
-    return listings(spark, sf_dir).select("item_id", merge.choose_payload(when(2, "h"), when(3, "w"), when(5, "j")).alias("chosen"))
+    """Payloads of three kinds, parsed; each shop has some, the first kind counts."""
+    one = lambda kind: F.concat(F.lit(f"{kind} "), "name")
+    bodies = {
+        "h": F.when(F.col("item_id") % 2 == 0, F.to_json(F.struct(one("h").alias("title"), F.array(F.struct(F.lit("s").alias("sku"))).alias("variants")))).otherwise('{"title":"no variants"}'),
+        "w": F.when(F.col("item_id") % 3 == 0, F.to_json(F.array(F.struct(one("w").alias("name"))))).otherwise("[]"),
+        "j": F.when(F.col("item_id") % 5 == 0, F.concat(F.lit('<script type="application/ld+json">'), F.to_json(F.struct(F.lit("Product").alias("@type"), one("j").alias("name"))), F.lit("</script>"))).otherwise("<p>none</p>"),
+    }
+    parsed_ = listings(spark, sf_dir).select("item_id", payload.parse_haravan(bodies["h"], F.col("url")).alias("h"), payload.parse_woo(bodies["w"]).alias("w"), payload.parse_jsonld(bodies["j"]).alias("j"))
+    some = [F.col(c) for c in "hwj"]
+    return parsed_.select("item_id", merge.choose_payload(*some)["name"].alias("chosen"), merge.choose_payload(*some, use_jsonld=False)["name"].alias("without_jsonld"))
 
 
 @query("mg3_platform", f"SELECT source, arg_min(platform, page_id) AS platform FROM (SELECT {_HOST} AS source, page_id, {_PLATFORM} AS platform FROM pages) GROUP BY source")
@@ -381,7 +451,15 @@ def fr1(spark, sf_dir):
     return frontier.frontier(*_frontier_rows(spark, sf_dir)).select("source", "final_url", "listing")
 
 
-@query("fr1_frontier_limited")
+@query(
+    "fr1_frontier_limited",
+    f"WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY listing, pos, url) AS i FROM (SELECT host AS source, page_id AS listing, pos, link AS url, lower(link) AS final_url FROM ({_LINKS}))), "
+    "s AS (SELECT source, 0::BIGINT AS i, NULL::BIGINT AS listing, 0 AS taken, false AS kept, ['']::VARCHAR[] AS seen FROM (SELECT DISTINCT source FROM r) "
+    "UNION ALL SELECT source, i, listing, before + fetched::INTEGER, fetched AND NOT list_contains(seen, final_url), CASE WHEN fetched AND NOT list_contains(seen, final_url) THEN list_concat(seen, [url, final_url]) ELSE seen END "
+    "FROM (SELECT r.source, r.i, r.listing, r.url, r.final_url, s.seen, CASE WHEN s.listing = r.listing THEN s.taken ELSE 0 END AS before, "
+    "CASE WHEN s.listing = r.listing THEN s.taken ELSE 0 END < 3 AND NOT list_contains(s.seen, r.url) AS fetched FROM s JOIN r ON r.source = s.source AND r.i = s.i + 1)) "
+    "SELECT r.source, CAST(r.listing AS BIGINT) AS listing, CAST(pos AS INTEGER) AS pos, url, final_url FROM s JOIN r ON r.source = s.source AND r.i = s.i WHERE kept",
+)
 def fr1_limited(spark, sf_dir):
     return frontier.frontier(*_frontier_rows(spark, sf_dir), limit=3)
 
@@ -664,9 +742,13 @@ def ob4(spark, sf_dir):
 _OB_SELECTORS = ("a[href*='a']", "nav a", ".ad a")
 
 
-@query("ob5_link_selectors")
+@query(
+    "ob5_link_selectors",
+    f"SELECT host, url, CASE WHEN n_a = n THEN 'a[href*=''a'']' ELSE 'nav a' END AS selector, CAST(n AS BIGINT) AS n_links FROM (SELECT host, page_url AS url, count(*) AS n, "
+    f"count(*) FILTER (contains({_LINK_PATH}, 'a')) AS n_a FROM ({_LINKS}) WHERE trim({_LINK_PATH}, '/') <> '' GROUP BY page_id, host, page_url)",
+)
 def ob5(spark, sf_dir):
-    return onboard.best_link_selector(onboard.selector_links(pages(spark, sf_dir), _OB_SELECTORS))
+    return onboard.best_link_selector(onboard.selector_links(pages(spark, sf_dir), _OB_SELECTORS)).drop("links")
 
 
 def _cards(spark, sf_dir):
@@ -678,7 +760,7 @@ def _cards(spark, sf_dir):
     return grouped.select(F.concat("source", F.lit(".example")).alias("host"), F.concat(F.lit("https://"), "source", F.lit(".example/phan-"), "page").alias("url"), "html")
 
 
-@query("ob6_cards")
+@query("ob6_cards", f"SELECT '.card.x' AS container, 'a.name' AS link, 'a.name' AS selector, CAST(count(*) AS BIGINT) AS n FROM ({LISTINGS_SQL}) WHERE price_text <> 'lien he'")
 def ob6(spark, sf_dir):
     return onboard.card_census(_cards(spark, sf_dir))
 
@@ -689,19 +771,40 @@ def _details(spark, sf_dir):
     return rows.select(F.concat("source", F.lit(".example")).alias("host"), "url", html.alias("html"))
 
 
-@query("ob7_product_selectors")
+_SAMPLED = (
+    f"c AS (SELECT source, item_id // 180 AS page, url, name, {_price_of('price_text')} AS price, row_number() OVER (PARTITION BY source, item_id // 180 ORDER BY url) AS k, count(*) OVER (PARTITION BY source, item_id // 180) AS n FROM ({LISTINGS_SQL})), "
+    "g AS (SELECT *, concat('https://', source, '.example/phan-', CAST(page AS VARCHAR)) AS category FROM (SELECT source, page, max(n) AS n FROM c GROUP BY source, page)), "
+    "o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY length(CAST(page AS VARCHAR)), category) AS rank FROM g), "
+    "t AS (SELECT concat(o.source, '.example') AS host, o.category, o.rank, count(*) AS n_pages, count(DISTINCT name) AS n_names, count(price) AS n_priced, count(*) FILTER (length(name) > 25) AS n_long "
+    "FROM o JOIN c ON o.source = c.source AND o.page = c.page WHERE o.rank <= 4 AND o.n >= 4 AND c.k <= 4 GROUP BY o.source, o.category, o.rank), "
+    "a AS (SELECT host, category, CAST(rank AS INTEGER) AS rank, CAST(n_pages AS BIGINT) AS n_pages, 'h1' AS name, 'p.price' AS price, CASE WHEN n_long >= 2 THEN '.rte' END AS description, "
+    "CAST(n_priced AS DOUBLE) / n_pages AS priced_ratio FROM t WHERE n_pages >= 2 AND n_names = n_pages AND n_priced >= n_pages * 0.6)"
+)
+
+
+def _sampled(spark, sf_dir):
+    """(candidates, links, selectors) of the shops' listing pages and the product pages sampled from them."""
+    listed = _cards(spark, sf_dir)
+    candidates, links = onboard.category_candidates(listed), onboard.best_link_selector(onboard.selector_links(listed))
+    return candidates, links, onboard.product_selectors(onboard.sampled_pages(candidates, links, _details(spark, sf_dir)))
+
+
+@query("ob7_product_selectors", f"WITH {_SAMPLED} SELECT * FROM a")
 def ob7(spark, sf_dir):
-    details = _details(spark, sf_dir)
-    return onboard.product_selectors(onboard.selector_texts(details), details)
+    return _sampled(spark, sf_dir)[2]
 
 
-@query("ob8_sites")
+@query(
+    "ob8_sites",
+    f"WITH {_SAMPLED}, f AS (SELECT host, min(rank) AS rank FROM a GROUP BY host), b AS (SELECT a.* FROM a JOIN f ON a.host = f.host AND a.rank = f.rank), "
+    "l AS (SELECT b.host, o.category, row_number() OVER (PARTITION BY b.host ORDER BY CASE WHEN o.category = b.category THEN 0 ELSE o.rank END) AS k FROM b JOIN o ON concat(o.source, '.example') = b.host WHERE o.rank <= 12 AND o.n >= 4) "
+    "SELECT split_part(b.host, '.', 1) AS name, b.host, string_agg(l.category, ' ' ORDER BY k) AS list_urls, 'a[href*=''/products/'']' AS product_link, b.name AS name_selector, b.price AS price_selector, b.description "
+    "FROM b JOIN l ON b.host = l.host WHERE k <= 6 AND b.host NOT IN ('shop8.example', 'shop0.example') GROUP BY b.host, b.name, b.price, b.description",
+)
 def ob8(spark, sf_dir):
-    listed, details = _cards(spark, sf_dir), _details(spark, sf_dir)
-    links = onboard.best_link_selector(onboard.selector_links(listed, (".card a", *onboard.LINK_SELECTORS)))
-    found = onboard.product_selectors(onboard.selector_texts(details), details)
     names = spark.createDataFrame([("shop0",)], "name string")
-    return onboard.site_entries(onboard.category_candidates(listed), links, found, spark.createDataFrame([("shop8.example",)], "host string"), names)
+    sites = onboard.site_entries(*_sampled(spark, sf_dir), spark.createDataFrame([("shop8.example",)], "host string"), names)
+    return sites.withColumn("list_urls", F.array_join("list_urls", " "))
 
 
 @query("ob9_priced", f"SELECT source AS listing, CAST(count(*) AS BIGINT) AS n, CAST(count(v) AS BIGINT) AS n_priced, avg(CASE WHEN v IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE) AS ratio FROM (SELECT source, {_price_of('price_text')} AS v, row_number() OVER (PARTITION BY source ORDER BY item_id) AS k FROM ({LISTINGS_SQL})) WHERE k <= 8 GROUP BY source")
@@ -717,12 +820,15 @@ def ob10(spark, sf_dir):
     return onboard.selector_census(pages(spark, sf_dir), ("h1", ".ad")).drop("sample")
 
 
-@query("ob11_money_paths")
+@query(
+    "ob11_money_paths",
+    f"SELECT concat(source, '.example') AS host, 'span.price < div.card.x' AS path, CAST(count(DISTINCT item_id // 180) AS BIGINT) AS n_pages FROM ({LISTINGS_SQL}) WHERE price_text <> 'lien he' GROUP BY source",
+)
 def ob11(spark, sf_dir):
     return onboard.money_paths(_cards(spark, sf_dir))
 
 
-@query("ob12_survey")
+@query("ob12_survey", f"SELECT 'block' AS kind, '.rte' AS what, CAST(count(*) AS BIGINT) AS n, CAST(max(length(name)) AS BIGINT) AS most FROM ({LISTINGS_SQL})")
 def ob12(spark, sf_dir):
     return onboard.rich_survey(_details(spark, sf_dir))
 

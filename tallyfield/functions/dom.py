@@ -13,11 +13,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 from urllib.parse import urljoin, urlparse
 
+from tallyfield.functions import markup
+
 # Element kinds and the places where shops keep content.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select div body html td th tr".split())
@@ -63,49 +64,49 @@ def text_of(node: Node | None) -> str:
     return " ".join(" ".join(node.pieces()).split()) if node is not None else ""
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("#root", {}, None)
-
-    def _end(self, tags: set[str], bounds) -> None:
-        up, found = self.here, None
-        while up is not self.root and up.tag not in bounds:
-            if up.tag in tags:
-                found = up
-            up = up.parent
-        if found is not None:
-            self.here = found.parent
-
-    def handle_starttag(self, tag, attrs):
-        if tag in BLOCKS:
-            self._end({"p"}, ("td", "th", "li", "div", "body"))
-        if tag in SIBLINGS:
-            self._end(SIBLINGS[tag], SCOPES - SIBLINGS[tag])
-        node = Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.here)
-        self.here.children.append(node)
-        if tag not in VOID:
-            self.here = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        up = self.here
-        while up is not self.root and up.tag != tag:
-            up = up.parent
-        if up is not self.root:
-            self.here = up.parent
-
-    def handle_data(self, data):
-        self.here.children.append(data)
-
-
 def parse(html: str | None) -> Node:
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+    root = here = Node("#root", {}, None)
+    open_tags: dict[str, int] = {}  # how many of each are open
+
+    def close(to: Node) -> Node:
+        """Close `to` and all in it; returns where we are then."""
+        up = here
+        while up is not to:
+            open_tags[up.tag] -= 1
+            up = up.parent
+        open_tags[to.tag] -= 1
+        return to.parent
+
+    def outermost(tags: set[str], bounds) -> Node | None:
+        up, found = here, None
+        if any(open_tags.get(t) for t in tags):
+            while up is not root and up.tag not in bounds:
+                found = up if up.tag in tags else found
+                up = up.parent
+        return found
+
+    for kind, name, rest in markup.tokens(html or ""):
+        if kind == markup.TEXT:
+            here.children.append(unescape(name))
+        elif kind == markup.RAW_TEXT:
+            here.children.append(name if rest in ("script", "style") else unescape(name))
+        elif kind == markup.END:
+            if open_tags.get(name):
+                up = here
+                while up.tag != name:
+                    up = up.parent
+                here = close(up)
+        else:
+            if name in BLOCKS and (found := outermost({"p"}, ("td", "th", "li", "div", "body"))):
+                here = close(found)
+            if name in SIBLINGS and (found := outermost(SIBLINGS[name], SCOPES - SIBLINGS[name])):
+                here = close(found)
+            node = Node(name, {k: unescape(v) for k, v in markup.attributes(rest).items()}, here)
+            here.children.append(node)
+            if name not in markup.VOID:
+                here = node
+                open_tags[name] = open_tags.get(name, 0) + 1
+    return root
 
 
 _PART = re.compile(r"""([a-zA-Z][\w-]*|\*)|\.([\w-]+)|\#([\w-]+)|\[([\w-]+)(?:(\*?=)['"]?([^'"\]]*)['"]?)?\]""")
@@ -205,7 +206,15 @@ def image_candidates(root: Node, base: str, gallery: str | None) -> list[str]:
     out = [og.attrs.get("content", "")] if og is not None else []
     nodes = [i for scope in select(root, gallery) for i in select(scope, "img")] if gallery else select(root, "img")
     out += [next((v for a in IMAGE_ATTRIBUTES if (v := n.attrs.get(a))), "") for n in nodes]
-    return [urljoin(base, x.strip()) for x in out if x and not x.startswith("data:")]
+    return [url for x in out if x and not x.startswith("data:") and (url := absolute(base, x))]
+
+
+def absolute(base: str, address: str) -> str | None:
+    """The address as seen from base; None if it can't be read."""
+    try:
+        return urljoin(base, address.strip())
+    except ValueError:
+        return None
 
 
 def video_frames(root: Node) -> list[str]:
@@ -230,20 +239,17 @@ def spec_rows(root: Node) -> list[tuple[str, str]]:
 def section_parts(block: Node | None) -> list[tuple[str, str]]:
     """(heading, text up to the next heading) in order; headings within headings are text."""
     parts: list[list] = []
-
-    def visit(node: Node, inside: bool) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                if parts:
-                    parts[-1][0 if inside else 1].append(child)
-            elif child.tag in HEADINGS and not inside:
-                parts.append([[], []])
-                visit(child, True)
-            elif child.tag not in ("script", "style"):
-                visit(child, inside)
-
-    if block is not None:
-        visit(block, False)
+    todo = [(child, False) for child in reversed(block.children)] if block is not None else []
+    while todo:
+        x, inside = todo.pop()
+        if isinstance(x, str):
+            if parts:
+                parts[-1][0 if inside else 1].append(x)
+        elif x.tag in HEADINGS and not inside:
+            parts.append([[], []])
+            todo += [(child, True) for child in reversed(x.children)]
+        elif x.tag not in ("script", "style"):
+            todo += [(child, inside) for child in reversed(x.children)]
     return [tuple(" ".join(" ".join(x).split()) for x in p) for p in parts]
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfield.plans.ship import ship
-
 DELAY_SECONDS = 1.5
 AGENT = "*"
 
@@ -19,27 +18,32 @@ def frontier(links: DataFrame, fetches: DataFrame, limit: int | None = None) ->
 
     links: source, listing (number), pos, url; fetches: url, final_url, ok.  Without a limit
     each final url counts once, where it comes first, by aggregation.  With one, at most
-    `limit` fetches of a listing succeed, those that land on known pages included, and the
-    sources are folded one by one over slim rows.
+    `limit` fetches of a listing succeed, those that land on known pages included: each
+    source's links are walked in order, holding what was seen and nothing else.
     """
     rows = links.join(fetches, "url").filter("ok").select("source", "listing", "pos", "url", "final_url")
     if limit is None:
         first = F.min(F.struct("listing", "pos", "url")).alias("m")
         return rows.groupBy("source", "final_url").agg(first).select("source", "m.listing", "m.pos", "m.url", "final_url")
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        seen, taken, out = set(), {}, []
-        for row in group.sort_values(["listing", "pos"]).itertuples(index=False):
-            if taken.get(row.listing, 0) >= limit or row.url in seen:
-                continue
-            taken[row.listing] = taken.get(row.listing, 0) + 1
-            if row.final_url not in seen:
-                seen |= {row.url, row.final_url}
-                out.append(row)
-        return pd.DataFrame(out, columns=group.columns)
-
-    ship(links.sparkSession)
-    return rows.groupBy("source").applyInPandas(fold, rows.schema)
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        source, listing, taken, seen = None, None, 0, set()
+        for batch in batches:
+            keep = []
+            for row in batch.itertuples(index=False):
+                if row.source != source:
+                    source, listing, seen = row.source, None, set()
+                if row.listing != listing:
+                    listing, taken = row.listing, 0
+                fetched = taken < limit and row.url not in seen
+                taken += fetched
+                keep.append(fetched and row.final_url not in seen)
+                if keep[-1]:
+                    seen |= {row.url, row.final_url}
+            yield batch[keep]
+
+    in_order = rows.repartition("source").sortWithinPartitions("source", "listing", "pos", "url")
+    return in_order.mapInPandas(walk, rows.schema)
 
 
 def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT, delay: float = DELAY_SECONDS) -> DataFrame:

@@ -26,6 +26,7 @@ TOPICS = (
 )
 BLOCK_SELECTORS = (".rte", ".product-description", ".tab-content", ".product-summary", ".woocommerce-product-details__short-description", "#tab-description", ".product-content", ".entry-content")
 MIN_LINKS, MIN_PRICED, MAX_CATEGORIES, MAX_CONFIRMED = 4, 0.6, 12, 6
+TRIED_CATEGORIES, SAMPLED_PAGES = 4, 4
 
 
 def sitemap_locations(sitemaps: DataFrame) -> DataFrame:
@@ -86,24 +87,34 @@ def _with_path(url: str) -> bool:
 
 
 def selector_links(pages: DataFrame, selectors=LINK_SELECTORS) -> DataFrame:
-    """(host, url, place, selector, n): links with a path that each selector finds on each listing page."""
+    """(host, url, place, selector, n, links): links with a path that each selector finds on each listing page, in page order."""
 
     def f(host, url, root):
-        found = [(k, s, sum(map(_with_path, dom.links(root, url, s)))) for k, s in enumerate(selectors)]
-        cards: dict[str, int] = {}
-        for _, _, selector in dom.card_selectors(root):
-            cards[selector] = cards.get(selector, 0) + 1
-        best = sorted(cards, key=lambda s: -cards[s])[:3] if max((n for *_, n in found), default=0) < MIN_LINKS else []
-        found += [(len(selectors) + k, s, sum(map(_with_path, dom.links(root, url, s)))) for k, s in enumerate(best)]
-        return [(host, url, k, s, n) for k, s, n in found]
+        some = [(k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(selectors)]
+        if max((len(x) for *_, x in some), default=0) < MIN_LINKS:
+            cards: dict[str, int] = {}
+            for _, _, selector in dom.card_selectors(root):
+                cards[selector] = cards.get(selector, 0) + 1
+            best = sorted(cards, key=lambda s: -cards[s])[:3]
+            some += [(len(selectors) + k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(best)]
+        return [(host, url, k, s, len(x), x) for k, s, x in some]
 
-    return _emit(pages, f, "host string, url string, place int, selector string, n long")
+    return _emit(pages, f, "host string, url string, place int, selector string, n long, links array<string>")
 
 
 def best_link_selector(counts: DataFrame) -> DataFrame:
-    """(host, url, selector, n_links): the selector with most links, the earlier of equals; none without links."""
-    best = F.max(F.struct("n", (-F.col("place")).alias("minus"), "selector")).alias("b")
-    return counts.groupBy("host", "url").agg(best).filter("b.n > 0").select("host", "url", F.col("b.selector").alias("selector"), F.col("b.n").alias("n_links"))
+    """(host, url, selector, n_links, links): the selector with most links, the earlier of equals; none without links."""
+    best = F.max_by(F.struct("n", "selector", "links"), F.struct("n", -F.col("place"))).alias("b")
+    return counts.groupBy("host", "url").agg(best).filter("b.n > 0").select("host", "url", F.col("b.selector").alias("selector"), F.col("b.n").alias("n_links"), "b.links")
+
+
+def sampled_pages(candidates: DataFrame, links: DataFrame, pages: DataFrame, tried: int = TRIED_CATEGORIES, k: int = SAMPLED_PAGES) -> DataFrame:
+    """(host, category, rank, url, html): the first k product pages of each of a host's first categories.
+
+    candidates: host, url, rank; links: of best_link_selector; pages: url, html (what could be fetched)."""
+    listed = candidates.filter(F.col("rank") <= tried).join(links.filter(F.col("n_links") >= MIN_LINKS), ["host", "url"])
+    chosen = listed.select("host", F.col("url").alias("category"), "rank", F.explode(F.slice("links", 1, k)).alias("url"))
+    return chosen.join(pages.select("url", "html"), "url").select("host", "category", "rank", "url", "html")
 
 
 def card_census(pages: DataFrame) -> DataFrame:
@@ -121,42 +132,48 @@ def selector_texts(pages: DataFrame, selectors=NAME_SELECTORS + PRICE_SELECTORS
     return _emit(pages, f, "host string, url string, selector string, text string")
 
 
-def product_selectors(texts: DataFrame, pages: DataFrame) -> DataFrame:
-    """(host, n_pages, name, price, description, priced_ratio) of hosts whose sampled pages can be read.
+def product_selectors(samples: DataFrame) -> DataFrame:
+    """(host, category, rank, n_pages, name, price, description, priced_ratio) of the categories whose sampled pages can be read.
 
-    The name differs on every page; the price with most hits covers 60 %; two pages at least."""
-    n_pages = pages.groupBy("host").agg(F.count_distinct("url").alias("n_pages")).filter("n_pages >= 2")
-    rows = texts.groupBy("host", "selector").agg(
+    samples: of sampled_pages.  The name differs on every page; the price with most hits covers 60 %; two pages at least."""
+    key = ["host", "category", "rank"]
+    n_pages = samples.groupBy(*key).agg(F.count_distinct("url").alias("n_pages")).filter("n_pages >= 2")
+    texts = selector_texts(samples.select("host", "url", "html").dropDuplicates(["host", "url"]))
+    rows = samples.select(*key, "url").join(texts, ["host", "url"]).groupBy(*key, "selector").agg(
         F.count_distinct("text").alias("n_texts"),
         F.count_if((F.length("text") > 2) & (F.length("text") < 200)).alias("n_fit"),
         F.count_if(T.parse_price(F.col("text")).isNotNull()).alias("n_priced"),
         F.count_if(F.length("text") > 25).alias("n_long"),
     )
-    rows = rows.join(n_pages, "host")
+    rows = rows.join(n_pages, key)
     place = lambda selectors: F.array_position(F.array(*map(F.lit, selectors)), F.col("selector"))
     among = lambda selectors: F.col("selector").isin(*selectors)
     first = lambda ok, selectors: F.min(F.when(ok & among(selectors), F.struct(place(selectors).alias("k"), "selector")))["selector"]
     price = F.max(F.when(among(PRICE_SELECTORS) & (F.col("n_priced") > 0), F.struct("n_priced", (-place(PRICE_SELECTORS)).alias("k"), "selector")))
-    out = rows.groupBy("host", "n_pages").agg(
+    out = rows.groupBy(*key, "n_pages").agg(
         first((F.col("n_texts") == F.col("n_pages")) & (F.col("n_fit") == F.col("n_pages")), NAME_SELECTORS).alias("name"),
         price.alias("p"),
         first(F.col("n_long") >= 2, DESCRIPTION_SELECTORS).alias("description"),
     )
-    out = out.select("host", "n_pages", "name", F.col("p.selector").alias("price"), "description", (F.col("p.n_priced") / F.col("n_pages")).alias("priced_ratio"))
+    out = out.select(*key, "n_pages", "name", F.col("p.selector").alias("price"), "description", (F.col("p.n_priced") / F.col("n_pages")).alias("priced_ratio"))
     return out.filter(F.col("name").isNotNull() & (F.col("priced_ratio") >= MIN_PRICED))
 
 
 def site_entries(candidates: DataFrame, links: DataFrame, selectors: DataFrame, known_hosts: DataFrame, known_names: DataFrame) -> DataFrame:
-    """New sites: name, host, list_urls (the first listing, then confirmed ones), selectors.
-
-    candidates: host, url, rank; links: host, url, selector, n_links; selectors: of product_selectors."""
-    listed = candidates.join(links, ["host", "url"]).filter(F.col("n_links") >= MIN_LINKS)
-    first = listed.filter(F.col("rank") <= 4).groupBy("host").agg(F.min(F.struct("rank", "url", "selector")).alias("f"))
-    rows = listed.join(first, "host").groupBy("host", "f").agg(F.array_sort(F.collect_list(F.when(F.col("url") != F.col("f.url"), F.struct("rank", "url")))).alias("others"))
-    urls = F.slice(F.concat(F.array("f.url"), F.col("others.url")), 1, MAX_CONFIRMED)  # at most MAX_CATEGORIES rows of a host
-    named = rows.join(selectors, "host").withColumn("name_of", F.replace(F.split_part("host", F.lit("."), F.lit(1)), F.lit("-"), F.lit("")))
-    new = named.join(known_hosts.select("host"), "host", "left_anti").join(known_names.select(F.col("name").alias("name_of")), "name_of", "left_anti")
-    return new.select(F.col("name_of").alias("name"), "host", urls.alias("list_urls"), F.col("f.selector").alias("product_link"), F.col("name").alias("name_selector"), F.col("price").alias("price_selector"), "description")
+    """New sites: name, host, list_urls (the first category that can be read, then confirmed ones), selectors.
+
+    candidates: host, url, rank; links: of best_link_selector; selectors: of product_selectors."""
+    chosen = selectors.groupBy("host").agg(F.min_by(F.struct("category", "name", "price", "description"), "rank").alias("f"))
+    listed = candidates.join(links.filter(F.col("n_links") >= MIN_LINKS), ["host", "url"]).select("host", "url", "rank", "selector")
+    is_first = F.col("url") == F.col("f.category")
+    rows = listed.join(chosen, "host").groupBy("host", "f").agg(
+        F.max(F.when(is_first, F.col("selector"))).alias("product_link"),
+        F.array_sort(F.collect_list(F.when(~is_first, F.struct("rank", "url")))).alias("others"),
+    )
+    urls = F.slice(F.concat(F.array("f.category"), F.col("others.url")), 1, MAX_CONFIRMED)  # at most MAX_CATEGORIES rows of a host
+    named = rows.withColumn("name", F.replace(F.split_part("host", F.lit("."), F.lit(1)), F.lit("-"), F.lit("")))
+    new = named.join(known_hosts.select("host"), "host", "left_anti").join(known_names.select("name"), "name", "left_anti")
+    return new.select("name", "host", urls.alias("list_urls"), "product_link", F.col("f.name").alias("name_selector"), F.col("f.price").alias("price_selector"), F.col("f.description").alias("description"))
 
 
 def priced_ratio(samples: DataFrame, price_text: str = "price_text", k: int = 8) -> DataFrame:

@@ -29,16 +29,26 @@ EMBEDDED = (
 _LD = r"(?si)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 
 
+def _without_dots(url: Column) -> Column:
+    """url with the . and .. segments of its path resolved."""
+    site, path, rest = (F.regexp_extract(url, r"^([A-Za-z][\w+.-]*://[^/?#]*)([^?#]*)(.*)$", k) for k in (1, 2, 3))
+    parts = F.split(F.substr(path, F.lit(2), F.length(path)), "/")
+    none = F.array().cast("array<string>")
+    fold = F.aggregate(parts, none, lambda s, p: F.when(p == "..", F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))).when(p == ".", s).otherwise(F.concat(s, F.array(p))))
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.concat(site, F.lit("/"), F.array_join(fold, "/"), end, rest)).otherwise(url)
+
+
 def absolute_url(base: Column, url: Column) -> Column:
-    """url as seen from base (without dot segments)."""
+    """url as seen from base."""
     site = F.regexp_extract(base, r"^([A-Za-z][\w+.-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(base, r"^([A-Za-z][\w+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
     return (
         F.when(url.rlike(r"^[A-Za-z][\w+.-]*:"), url)
         .when(url.startswith("//"), F.concat(F.regexp_extract(base, "^([^:]+:)", 1), url))
-        .when(url.startswith("/"), F.concat(site, url))
-        .otherwise(F.concat(folder, url))
+        .when(url.startswith("/"), _without_dots(F.concat(site, url)))
+        .otherwise(_without_dots(F.concat(folder, url)))
     )
 
 

@@ -58,20 +58,66 @@ def test_videos(spark):
     assert r.videos == ["https://www.youtube.com/watch?v=abcdefghijk", "https://player.vimeo.com/1"]
 
 
-def test_site_found_from_samples(spark):
-    cards = "".join(f'<div class="card"><a class="n" href="/san/{k}">p</a><span>1{k}.000 đ</span></div>' for k in range(5))
-    pages = spark.createDataFrame([("a-b.vn", "https://a-b.vn/phan", cards)], "host string, url string, html string")
+def site_of(spark, categories, details):
+    pages = spark.createDataFrame(categories, "host string, url string, html string")
     links = onboard.best_link_selector(onboard.selector_links(pages))
-    assert [tuple(r)[2:] for r in links.collect()] == [("a.n", 5)]
-    details = spark.createDataFrame([("a-b.vn", f"https://a-b.vn/san/{k}", f"<h1>name {k}</h1><p class='price'>1{k}.000 đ</p>") for k in range(3)], pages.schema)
-    found = onboard.product_selectors(onboard.selector_texts(details), details)
-    row = found.first()
-    assert (row["name"], row.price, row.description, row.priced_ratio) == ("h1", "p.price", None, 1.0)
+    fetched = spark.createDataFrame(details, "url string, html string")
+    candidates = onboard.category_candidates(pages)
+    found = onboard.product_selectors(onboard.sampled_pages(candidates, links, fetched))
     none = spark.createDataFrame([], "host string"), spark.createDataFrame([], "name string")
-    site = onboard.site_entries(onboard.category_candidates(pages), links, found, *none).first()
+    return links, found, onboard.site_entries(candidates, links, found, *none)
+
+
+def test_site_found_from_samples(spark):
+    cards = "".join(f'<div class="card"><a class="n" href="/san/{k}">p</a><span>1{k}.000 đ</span></div>' for k in range(9))
+    # from the fifth on all have one name, and the second can't be fetched
+    details = [(f"https://a-b.vn/san/{k}", f"<h1>name {min(k, 4)}</h1><p class='price'>1{k}.000 đ</p>") for k in range(9) if k != 1]
+    links, found, sites = site_of(spark, [("a-b.vn", "https://a-b.vn/phan", cards)], details)
+    assert [(r.selector, r.n_links) for r in links.collect()] == [("a.n", 9)]
+    (row,) = found.collect()
+    assert (row["name"], row.price, row.description, row.priced_ratio, row.n_pages) == ("h1", "p.price", None, 1.0, 3)
+    site = sites.first()
     assert (site["name"], site.list_urls, site.product_link) == ("ab", ["https://a-b.vn/phan"], "a.n")
 
 
+def test_site_takes_the_first_category_that_can_be_read(spark):
+    page = lambda c: "".join(f'<a href="/products/{c}{k}">p</a>' for k in range(4))
+    categories = [("s.vn", f"https://s.vn/phan{x}", page(c)) for x, c in (("", "a"), ("-b", "b"), ("-cc", "c"))] + [("s.vn", "https://s.vn/phan-long", '<a href="/products/x">x</a>')]
+    prices = {"a": "liên hệ", "b": "12.000 đ", "c": "15.000 đ"}
+    details = [(f"https://s.vn/products/{c}{k}", f"<h1>name {c}{k}</h1><p class='price'>{p}</p>") for c, p in prices.items() for k in range(4)]
+    _, found, sites = site_of(spark, categories, details)
+    assert sorted(r.category for r in found.collect()) == ["https://s.vn/phan-b", "https://s.vn/phan-cc"]
+    assert sites.first().list_urls == ["https://s.vn/phan-b", "https://s.vn/phan", "https://s.vn/phan-cc"]
+
+
+def test_bad_addresses_and_deep_pages(spark):
+    html = "<h1>n</h1><img src='http://[x/a.jpg'><img src='/product/b.jpg'><a href='http://[x'>x</a><div class=rte><h3>Công dụng</h3>" + "<b><i>" * 3000 + "deep text" + "</b>" * 9000
+    (r,) = records(spark, html)
+    assert r.images == ["https://s.vn/product/b.jpg"] and r.sections == {"cong_dung": "deep text"}
+    assert dom.links(dom.parse(html), "https://s.vn", "a") == []
+    broken = dom.parse('<p class="x>one</p><p title=it\'s>two')
+    assert dom.text_of(broken) == "one two" and len(dom.select(broken, "p")) == 2
+
+
+def test_addresses_with_dots(spark):
+    from tallyfield.operators.payload import absolute_url
+
+    cases = {"../i/a.jpg": "https://s.vn/i/a.jpg", "./b.jpg?x=../y": "https://s.vn/p/b.jpg?x=../y", "/c/../../d.jpg": "https://s.vn/d.jpg", "e/..": "https://s.vn/p/", "//h/x": "https://h/x", "f.jpg": "https://s.vn/p/f.jpg"}
+    rows = spark.createDataFrame([("https://s.vn/p/q", u) for u in cases], "base string, u string")
+    assert {r.u: r.x for r in rows.select("u", absolute_url(F.col("base"), F.col("u")).alias("x")).collect()} == cases
+
+
+def test_enabled_sites(spark, tmp_path):
+    import json
+
+    from tallyfield.sources import products as tables
+
+    sites = [{"name": "a", "enabled": True, "list_urls": ["u"], "selectors": {"name": "h1", "brand": None}}, {"name": "b", "enabled": False}, {"name": "c"}]
+    (tmp_path / "sites.json").write_text(json.dumps(sites, indent=1))
+    rows = {r["name"]: r for r in tables.read_sites(spark, f"{tmp_path}/sites.json").collect()}
+    assert set(rows) == {"a", "c"} and rows["a"].selectors == {"name": "h1", "brand": None} and rows["c"].list_urls is None
+
+
 def test_robots_sitemap_lines(spark):
     rows = spark.createDataFrame([("h", "User-agent: *\nSitemap: https://h/s.xml\nsitemap: https://h/t.xml")], "host string, robots_txt string")
     assert [r.url for r in onboard.robots_sitemaps(rows).orderBy("pos").collect()] == ["https://h/s.xml", "https://h/t.xml"]
