@@ -52,7 +52,7 @@ PIVOT_ROUNDS = 3
 #: One of so many documents is counted to find frequent n-grams, and so many n-grams are called frequent at most.
 COUNTED, HOT_GRAMS = 16, 20_000
 #: Groups of more sets are dealt in so many blocks.
-LARGE_GROUP, BLOCKS = 4096, 64
+LARGE_GROUP, BLOCKS = 1 << 16, 64
 
 
 def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,8 +79,8 @@ def needed(a, b, t: int):
 
 
 def _emit_sampled(n):
-    """(h, doc, known): n-grams to be counted; of those that texts at hand share one is counted, known to
-    recur (1), and each document has the number of its others under a key of its own."""
+    """(h, 2 * doc + known): n-grams to be counted; of those that texts at hand share one is counted, known
+    to recur, and the others, known too, have keys of their own."""
 
     def run(batches, schema):
         def pieces():
@@ -97,11 +97,9 @@ def _emit_sampled(n):
                     h, doc = h[new], np.asarray(ids, np.int64)[text[new]]
                     again = np.zeros(len(h), bool)
                     again[1:] = (h[1:] == h[:-1]) & (doc[1:] != doc[:-1])
-                    known = np.zeros(len(h), np.int32)
-                    known[:-1] = again[1:]
-                    yield S.signed(h[~again]), doc[~again], known[~again]
-                    doc, n_again = np.unique(doc[again], return_counts=True)
-                    yield S.signed(S.mix(doc.astype(np.uint64))), doc, n_again.astype(np.int32)
+                    known = again.copy()
+                    known[:-1] |= again[1:]
+                    yield S.signed(np.where(again, S.mix(h + doc.astype(np.uint64)), h)), 2 * doc + known
 
         yield from S.batches_of(schema, pieces())
 
@@ -110,8 +108,8 @@ def _emit_sampled(n):
 
 def _count_recurring(batches, schema):
     def pieces():
-        for (_, doc, known), n in S.run_lengths(batches, 1, 2):
-            yield doc, np.maximum(known, n > 1).astype(np.int64)
+        for (_, doc), n in S.run_lengths(batches, 1, 2):
+            yield np.unique((doc >> 1)[(n > 1) | (doc & 1 > 0)], return_counts=True)
 
     yield from S.batches_of(schema, pieces())
 
@@ -139,7 +137,8 @@ def _emit_sets(n, t):
 
 
 def _emit_grams(frequent: np.ndarray):
-    """(h, doc, ordinal, df): n-grams to be counted (df 0); the frequent ones, in ascending order, need no count."""
+    """(h, doc, ordinal): n-grams to be counted; the frequent ones, given in ascending order, need no count and
+    have keys of their own and ordinals below zero."""
 
     def run(batches, schema):
         def pieces():
@@ -149,7 +148,8 @@ def _emit_grams(frequent: np.ndarray):
                     k = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
                     known = frequent[k] == h if len(frequent) else np.zeros(len(h), bool)
                     key = np.where(known, S.signed(S.mix(h.view(np.uint64) + np.uint64(doc & 0xFFFFFFFFFFFFFFFF))), h)
-                    yield key, np.full(len(h), doc, np.int64), np.arange(len(h), dtype=np.int32), np.where(known, FREQUENCY_CAP, 0).astype(np.int32)
+                    at = np.arange(len(h), dtype=np.int32)
+                    yield key, np.full(len(h), doc, np.int64), np.where(known, -1 - at, at)
 
         yield from S.batches_of(schema, pieces())
 
@@ -167,8 +167,9 @@ def _only_grams(batches, schema):
 
 def _frequencies(batches, schema):
     def pieces():
-        for (_, doc, ordinal, df), n in S.run_lengths(batches, 1, FREQUENCY_CAP):
-            n = np.maximum(n, df)
+        for (_, doc, ordinal), n in S.run_lengths(batches, 1, FREQUENCY_CAP):
+            n = np.where(ordinal < 0, FREQUENCY_CAP, n)
+            ordinal = np.where(ordinal < 0, -1 - ordinal, ordinal)
             keep = n > 1
             yield doc[keep], ordinal[keep], n[keep].astype(np.int32)
 
@@ -180,7 +181,9 @@ def frequent_grams(sets: DataFrame) -> np.ndarray:
     some = sets.filter(F.pmod(F.xxhash64("doc_id"), F.lit(COUNTED)) == 0)
     counts = S.stage(S.map_arrow(some.select("grams"), _only_grams, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(f"n > {SMALL_GROUP}"), "frequent")
     least = max(SMALL_GROUP, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_GRAMS)
-    return np.sort(np.array([r.h for r in counts.filter(F.col("n") > least).select("h").collect()], np.int64))  # each counts for 1/HOT_GRAMS of the sum
+    found = np.sort(np.array([r.h for r in counts.filter(F.col("n") > least).select("h").collect()], np.int64))  # each counts for 1/HOT_GRAMS of the sum
+    S.unstage(counts)
+    return found
 
 
 def _emit_prefixes(t):
@@ -291,15 +294,14 @@ def _links(pairs: DataFrame, sets: DataFrame, t: int, name: str) -> DataFrame:
 def _labelled(hot: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the groups that still hold several components, with their component."""
     rows = hot.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
-    rows = S.stage(rows, "labels")
-    mixed = S.stage(rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h"), "mixed")
+    mixed = rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h")
     return S.stage(rows.join(mixed, "h"), "groups")
 
 
 def similar_components(sets: DataFrame, t: int) -> DataFrame:
     """(node, component) of the sets (doc_id, grams) that have a link."""
     pair = "a long, b long"
-    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams(frequent_grams(sets)), "h long, doc_id long, ordinal int, df int")
+    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams(frequent_grams(sets)), "h long, doc_id long, ordinal int")
     often = S.map_arrow(grams.repartition("h").sortWithinPartitions("h"), _frequencies, "doc_id long, ordinal int, df int")
     often = often.groupBy("doc_id").agg(F.collect_list(F.struct("ordinal", "df")).alias("p"))
     often = often.select("doc_id", F.col("p.ordinal").alias("ordinals"), F.col("p.df").alias("df"))
@@ -344,7 +346,7 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
 def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, print (hash of the text), n_shingles, component_id (smallest doc_id reachable by links), for every row."""
     docs, factor = S.apart(documents)
-    sampled = S.map_arrow(docs, _emit_sampled(words), "h long, doc_id long, known int")
+    sampled = S.map_arrow(docs, _emit_sampled(words), "h long, doc_id long")
     again = S.map_arrow(sampled.repartition("h").sortWithinPartitions("h"), _count_recurring, "doc_id long, again long")
     again = again.groupBy("doc_id").agg(F.sum("again").alias("again"))
     joined = docs.join(again.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "again", "text", F.xxhash64("text").alias("print"))
