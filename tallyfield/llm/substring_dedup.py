@@ -79,8 +79,8 @@ def _alike(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit_seeds(window, seed_words):
-    """(h, doc, ordinal of the first of a text's equal seeds, sure): of the seeds that texts at hand share,
-    one is sought and known to recur; the others have a key of their own and need no answer."""
+    """(h, doc, ordinal of the first of a text's equal seeds): of the seeds that texts at hand share one is
+    sought and known to recur; the others, known too, have keys of their own.  Known ones have ordinals below zero."""
 
     def run(batches, schema):
         def pieces():
@@ -99,7 +99,7 @@ def _emit_seeds(window, seed_words):
                     sure = again.copy()
                     sure[:-1] |= again[1:]
                     key = np.where(again, S.mix(h + doc.astype(np.uint64)), h)
-                    yield S.signed(key), doc, ordinal, sure
+                    yield S.signed(key), doc, np.where(sure, -1 - ordinal, ordinal)
 
         yield from S.batches_of(schema, pieces())
 
@@ -109,12 +109,12 @@ def _emit_seeds(window, seed_words):
 def _recurring(batches, schema):
     """(doc_id, ordinal) of rows whose hash has another row."""
     found = S.run_lengths(batches, 1, 2)
-    yield from S.batches_of(schema, ((doc[k], ordinal[k]) for (_, doc, ordinal, sure), n in found for k in [(n > 1) | sure]))
+    yield from S.batches_of(schema, ((doc[k], np.maximum(ordinal, -1 - ordinal)[k]) for (_, doc, ordinal), n in found for k in [(n > 1) | (ordinal < 0)]))
 
 
 def _emit_phrases(window, seed_words):
-    """(hashes, doc, at, src, src_at, n): n = 0 for a phrase that no text at hand has earlier, to be sought
-    in the index; n > 0 for n windows on end that the document src, at hand too, has from src_at on."""
+    """(h, second hash and n, doc, place and source place, src): n = 0 for a phrase that no text at hand has earlier,
+    to be sought in the index; n > 0 for n windows on end that the document src, at hand too, has from the source place on."""
 
     def run(batches, schema):
         def pieces():
@@ -143,7 +143,7 @@ def _emit_phrases(window, seed_words):
                     src[order], src_at[order] = doc[head], at[head]
                     free = np.flatnonzero((src == doc) & (src_at == at))
                     zero = np.zeros(len(free), np.int64)
-                    yield S.signed(one[free]), (two[free] & np.uint64(0x7FFFFFFF)).astype(np.int32), doc[free], at[free].astype(np.int32), zero, zero.astype(np.int32), zero.astype(np.int32)
+                    yield S.signed(one[free]), _packed(two[free] & np.uint64(0x7FFFFFFF), zero), doc[free], _packed(at[free], zero), zero
                     again = np.flatnonzero((src != doc) | (src_at != at))
                     t, d, a, b, c = text[again], doc[again], at[again], src_at[again], src[again]
                     new = np.ones(len(again), bool)
@@ -151,7 +151,7 @@ def _emit_phrases(window, seed_words):
                     runs = np.flatnonzero(new)
                     n = np.diff(np.append(runs, len(new)))
                     d, a, b, c = d[runs], a[runs], b[runs], c[runs]
-                    yield S.signed(S.mix(d.astype(np.uint64) + a.astype(np.uint64))), np.zeros(len(d), np.int32), d, a.astype(np.int32), c, b.astype(np.int32), n.astype(np.int32)
+                    yield S.signed(S.mix(d.astype(np.uint64) + a.astype(np.uint64))), n.astype(np.int64), d, _packed(a, b), c
 
         yield from S.batches_of(schema, pieces())
 
@@ -167,17 +167,17 @@ def _earlier_places(batches, schema):
 
     def sought():
         for batch in batches:
-            known = batch.column("n").to_numpy() > 0
-            doc, at, src, src_at, n = (batch.column(k).to_numpy()[known] for k in ("doc_id", "at", "src", "src_at", "n"))
-            done.append((doc, _packed(at, src_at), src, n))
-            yield batch.select(["h", "h2", "doc_id", "at"]).filter(pa.array(~known))
+            n = batch.column("h2n").to_numpy() & 0xFFFFFFFF
+            known = n > 0
+            done.append((*(batch.column(k).to_numpy()[known] for k in ("doc_id", "place", "src")), n[known].astype(np.int32)))
+            yield batch.select(["h", "h2n", "doc_id", "place"]).filter(pa.array(~known))
 
     done: list[tuple] = []
 
     def pieces():
         for (_, _, doc, at), later, (_, _, src, src_at) in S.repeats(sought(), 2):
             later &= (doc != src) | (at != src_at)  # a row that repeats a doc_id
-            yield doc[later], _packed(at, src_at)[later], src[later], np.ones(int(later.sum()), np.int32)
+            yield doc[later], (at | src_at >> 32)[later], src[later], np.ones(int(later.sum()), np.int32)
             yield from done
             done.clear()
         yield from done
@@ -244,12 +244,12 @@ def substring_dedup(documents: DataFrame, window: int = WINDOW, seed_words: int
     if not 1 <= seed_words <= window:
         raise ValueError("seed_words lies between 1 and window")
     docs, factor = S.apart(documents)
-    seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int, sure boolean")
+    seeds = S.map_arrow(docs, _emit_seeds(window, seed_words), "h long, doc_id long, ordinal int")
     again = S.map_arrow(seeds.repartition("h").sortWithinPartitions("h"), _recurring, "doc_id long, ordinal int")
     again = again.groupBy("doc_id").agg(F.collect_set("ordinal").alias("ordinals"))
     sought = docs.join(again.hint("shuffle_hash"), "doc_id", "left")
-    phrases = S.map_arrow(sought, _emit_phrases(window, seed_words), "h long, h2 int, doc_id long, at int, src long, src_at int, n int")
-    in_order = phrases.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "at")
+    phrases = S.map_arrow(sought, _emit_phrases(window, seed_words), "h long, h2n long, doc_id long, place long, src long")
+    in_order = phrases.repartition("h").sortWithinPartitions("h", "h2n", "doc_id", "place")
     known = S.map_arrow(in_order, _earlier_places, "doc_id long, place long, src long, n int")
     # lists of one aggregation have one order
     known = known.groupBy("doc_id").agg(F.collect_list("place").alias("places"), F.collect_list("src").alias("src"), F.collect_list("n").alias("n"))
