@@ -844,4 +844,4 @@ def st1(spark, sf_dir):
     stream = spark.readStream.schema("seq long, url string, source string, price double, crawled_at timestamp").option("maxFilesPerTrigger", 2).parquet(source)
     running = upserts.start_upserts(stream, target, scratch_path(spark, "progress"), once=True)
     running.awaitTermination()
-    return upserts.latest_version(spark, target, running).select("seq", "url", "source", "price")
+    return upserts.read_table(spark, target).select("seq", "url", "source", "price")

@@ -13,12 +13,17 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once a session, unless they find it by PYTHONPATH or working folder."""
+    """Send the package to the executors once a session.
+
+    Not where driver and executors are one process that finds it by PYTHONPATH or working folder."""
     root, name = os.path.split(PACKAGE)
-    paths = [os.path.realpath(x) for x in os.environ.get("PYTHONPATH", "").split(os.pathsep) if x]
-    app = spark.sparkContext.applicationId
-    if app in _shipped or root in paths or os.path.isdir(os.path.join(os.getcwd(), name)):
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if app in _shipped:
         return
+    _shipped.add(app)
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        paths = [os.path.realpath(x) for x in os.environ.get("PYTHONPATH", "").split(os.pathsep) if x]
+        if root in paths or os.path.isdir(os.path.join(os.getcwd(), name)):
+            return
     base = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="ship-")), name)
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, name))
-    _shipped.add(app)

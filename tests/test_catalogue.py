@@ -156,12 +156,34 @@ def test_tolerant_schema_and_json_text(spark):
     assert back.images == ["i"] and back.specs is None
 
 
+ARRIVALS = "url string, crawled_at string, seq long, price double"
+
+
+def arrive(spark, path, rows, **options):
+    """Let a stream over the files under path take rows, a file each."""
+    for row in rows:
+        spark.createDataFrame([row], ARRIVALS).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    running = upserts.start_upserts(stream, f"{path}/out", f"{path}/ck", once=True, **options)
+    running.awaitTermination()
+    return sorted((r.url, r.price) for r in upserts.read_table(spark, f"{path}/out").collect())
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_stream_state_does_not_depend_on_batches(spark, tmp_path, files):
     rows = [("u", "2024-01-02", 2, 1.0), ("u", "2024-01-01", 9, 2.0), ("v", "2024-01-01", 1, 3.0), ("u", "2024-01-02", 3, 4.0)]
-    df = spark.createDataFrame(rows, "url string, crawled_at string, seq long, price double")
-    df.repartition(files).write.parquet(f"{tmp_path}/in")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-    running = upserts.start_upserts(stream, f"{tmp_path}/out", f"{tmp_path}/ck", once=True)
-    running.awaitTermination()
-    assert sorted((r.url, r.price) for r in upserts.latest_version(spark, f"{tmp_path}/out", running).collect()) == [("u", 4.0), ("v", 3.0)]
+    spark.createDataFrame(rows, ARRIVALS).repartition(files).write.parquet(f"{tmp_path}/in")
+    assert arrive(spark, tmp_path, []) == [("u", 4.0), ("v", 3.0)]
+
+
+def test_stream_rewrites_touched_buckets_only_and_goes_on_after_a_stop(spark, tmp_path):
+    first = [(f"u{k}", "2024-01-01", k, float(k)) for k in range(4)]
+    table = arrive(spark, tmp_path, first, buckets=4)
+    assert table == [(r[0], r[3]) for r in first]
+    more = [("u1", "2024-01-02", 9, 11.0), ("u1", "2024-01-03", 10, 12.0), ("w", "2024-01-01", 11, 13.0)]
+    assert arrive(spark, tmp_path, more, buckets=4) == sorted({**dict(table), "u1": 12.0, "w": 13.0}.items())
+    now = upserts._manifest(spark, f"{tmp_path}/out")
+    kept = sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out" / "rows").glob("v*/bucket=*"))
+    before = upserts._manifest(spark, f"{tmp_path}/out", max(now.values()))
+    assert set(kept) == {f"rows/v{v}/bucket={b}" for m in (now, before) for b, v in m.items()} and len(set(now.values())) > 1
+    assert len(list((tmp_path / "out" / "manifest").iterdir())) <= 3
