@@ -9,7 +9,9 @@ rows, reaches the driver.
 Defined cases: null text, or text without a letter, is ``und`` with score 0, and so is
 everything if nothing could be learnt; rows with null lang aren't learnt from; a null
 doc_id counts as the empty string in the hold-out rule; ids are passed through, null or
-repeated; ties between languages go to the first by code point; extra columns are ignored.
+repeated; ties between languages go to the first by code point, between n-grams to the lower
+code; long texts are counted whole, in pieces; extra columns are ignored, whatever their
+names; an empty table gives an empty table.
 """
 
 from __future__ import annotations

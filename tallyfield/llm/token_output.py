@@ -12,8 +12,13 @@ Encoding is by distinct word: none of the tokenizer's rules looks across white s
 text's ids are its words' ids one after the other.  Only words that a worker doesn't hold
 yet (it holds about HELD) go through the tokenizer.
 
+`read_index` gives each document's place and `read_tokens` the ids of some documents: the
+filter on doc_id reaches the scan, which skips row groups and pages by their indexes.
+
 Defined cases: null or empty text is the end id alone; null doc_ids come first; rows that
-repeat a doc_id each stay, in any order among themselves; extra columns are ignored.
+repeat a doc_id each stay, in any order among themselves (ties); long texts are encoded whole,
+one at a time; extra columns are ignored, whatever their names; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -201,10 +206,19 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return found.join(starts(spark, path), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_output(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """doc_id, n_tokens, ids of some documents; reads the pages that may hold them."""
+    rows = spark.read.schema(SCHEMA).parquet(path).select("doc_id", "n_tokens", "ids")
+    if not doc_ids:
+        return rows.filter("false")
+    return rows.filter(F.col("doc_id").between(min(doc_ids), max(doc_ids)) & F.col("doc_id").isin(*doc_ids))
+
+
+def token_output(documents: DataFrame, tokenizer: str | None = None, delta: bool = False) -> DataFrame:
+    """The index of the table that is written for documents."""
     spark = documents.sparkSession
     path = S.scratch_path(spark, "tokens")
-    write_tokens(documents, path, tokenizer or tokenizer_path())
+    write_tokens(documents, path, tokenizer or tokenizer_path(), delta=delta)
     return read_index(spark, path)
 
 

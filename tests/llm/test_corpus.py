@@ -286,6 +286,38 @@ def test_token_files_have_page_indexes(spark, tmp_path):
     assert column.has_column_index and column.has_offset_index and "RLE_DICTIONARY" in column.encodings or "PLAIN_DICTIONARY" in column.encodings
 
 
+@pytest.mark.parametrize("delta", [False, True])
+def test_token_reads_of_some_documents(spark, tmp_path, delta, monkeypatch):
+    """The filter reaches the scan, and pages without the documents aren't read."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_output, "PAGE_ROWS", 50)
+    path = token_output.tokenizer_path()
+    rows = [(k, f"text of number {k} " * 20) for k in range(3000)]
+    token_output.write_tokens(frame(spark, rows).coalesce(1), f"{tmp_path}/t", path, delta=delta)
+    some = token_output.read_tokens(spark, f"{tmp_path}/t", [7, 2000, 2001, 5000])
+    got = {r.doc_id: r.ids for r in some.collect()}
+    tokenizer = Tokenizer.from_file(path)
+    assert got == {k: [*tokenizer.encode(rows[k][1], add_special_tokens=False).ids, 1] for k in (7, 2000, 2001)}
+    plan = some._jdf.queryExecution().executedPlan()
+    assert "In(doc_id" in plan.toString()
+    one = token_output.read_tokens(spark, f"{tmp_path}/t", [2000])
+    one.collect()
+    leaves = one._jdf.queryExecution().executedPlan().collectLeaves()
+    read = sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+    assert 1 <= read <= 400  # of 3,000 rows
+    assert token_output.read_tokens(spark, f"{tmp_path}/t", []).collect() == []
+
+
+def test_token_output_of_a_long_text(spark):
+    from tokenizers import Tokenizer
+
+    text = " ".join(f"word{k % 997}," for k in range(300_000))
+    (r,) = token_output.token_output(frame(spark, [(1, text)])).collect()
+    ids = [*Tokenizer.from_file(token_output.tokenizer_path()).encode(text, add_special_tokens=False).ids, 1]
+    assert (r.start, r.n_tokens, r.ids_crc32) == (0, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
 # --- op4 -------------------------------------------------------------------------------
 
 PAGES = {
@@ -607,6 +639,50 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.predict(docs, language.learn(docs.limit(0))).collect()} == {"und"}
 
 
+def brute_language(rows, size=400):
+    """Rank-order profiles by plain counting: {lang: profile}, and the language of a text."""
+    from collections import Counter
+
+    def counts(text):
+        word = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        grams = Counter()
+        padded = "_" + "_".join(word) + "_" if word else ""
+        for n in (1, 2, 3):
+            for k in range(len(padded) - n + 1):
+                g = padded[k : k + n]
+                if g != "_" and "_" not in g[1:-1]:
+                    grams[g] += 1
+        return grams
+
+    code = lambda g: tuple([0] * (3 - len(g)) + [1 if c == "_" else ord(c) for c in g])
+    rank = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], code(x[0])))][:size]
+    total = {}
+    for text, lang in rows:
+        total.setdefault(lang, Counter()).update(counts(text))
+    profiles = {lang: {g: k for k, g in enumerate(rank(c))} for lang, c in total.items()}
+
+    def language_of(text):
+        own = rank(counts(text))
+        if not own:
+            return "und"
+        return min(sorted(profiles), key=lambda lang: sum(abs(profiles[lang][g] - k) if g in profiles[lang] else size for k, g in enumerate(own)))
+
+    return language_of
+
+
+def test_language_brute_force(spark):
+    r = random.Random(17)
+    alphabets = {"x": "aabcde", "y": "abbcdé", "z": "абвгд"}
+    text = lambda lang, n: " ".join("".join(r.choice(alphabets[lang]) for _ in range(r.randint(1, 6))) for _ in range(n)) + r.choice([".", " 12!", ""])
+    known = [(text(lang, r.randint(1, 40)), lang) for lang in alphabets for _ in range(12)]
+    tried = [text(r.choice("xyz"), r.randint(1, 8)) for _ in range(60)] + ["", "7", "A", text("x", 100_000)]
+    rows = [(k, t, lang, False) for k, (t, lang) in enumerate(known)] + [(100 + k, t, None, True) for k, t in enumerate(tried)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out boolean")
+    want = brute_language(known)
+    got = {x.doc_id: x.lang_pred for x in language.predict(docs, language.learn(docs.filter("not held_out"))).collect()}
+    assert got == {i: want(t) for i, t, *_ in rows}
+
+
 def test_ngrams_have_word_ends():
     text = lambda c: "".join("_" if x == 1 else chr(x) for x in (int(c) >> 42, int(c) >> 21 & 0x1FFFFF, int(c) & 0x1FFFFF) if x)
     assert sorted(map(text, language.ngrams("Ab, c"))) == sorted(["a", "b", "c", "_a", "ab", "b_", "_c", "c_", "_ab", "ab_", "_c_"])
