@@ -134,13 +134,13 @@ def _emit_phrases(window, seed_words):
                     first, text, at = first[ok], text[ok], place[ok].astype(np.int64)
                     one, two = (S.window_hashes(words, window, salt)[first] for salt in (0, 1))
                     doc = np.array([x[0] for x in known], np.int64)[text]
-                    # of each phrase's places, the first by document, then by place
+                    # of each phrase's places, in order of document and place, the one before
                     order = np.lexsort((at, doc, two, one))
                     new = np.ones(len(order), bool)
                     new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-                    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                    before = order[np.arange(len(order)) - ~new]
                     src, src_at = np.empty_like(doc), np.empty_like(at)
-                    src[order], src_at[order] = doc[head], at[head]
+                    src[order], src_at[order] = doc[before], at[before]
                     free = np.flatnonzero((src == doc) & (src_at == at))
                     zero = np.zeros(len(free), np.int64)
                     yield S.signed(one[free]), _packed(two[free] & np.uint64(0x7FFFFFFF), zero), doc[free], _packed(at[free], zero), zero
