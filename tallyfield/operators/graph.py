@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.plans.scratch import stage
+from tallyfield.plans.scratch import stage, unstage
 
 
 def _print_of(edges: DataFrame) -> tuple:
@@ -36,7 +36,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = stage(now.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     before = _print_of(now)
     while before[0]:
-        now = stage(_small_star(_large_star(now)).distinct(), "edges")
+        old, now = now, stage(_small_star(_large_star(now)).distinct(), "edges")
+        unstage(old)
         after = _print_of(now)
         if after == before:
             break
