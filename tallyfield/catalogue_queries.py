@@ -573,22 +573,57 @@ def cp6(spark, sf_dir):
     return compare.mutual_pairs(compare.best_matches(items(spark, sf_dir)))
 
 
+def _clusters(spark, sf_dir):
+    """Clusters, named after their members."""
+    found = cluster.clusters(compare.mutual_pairs(compare.best_matches(items(spark, sf_dir))))
+    whole = found.groupBy("cluster_id").agg(F.array_sort(F.collect_list("item_id")).alias("members"), F.max("worst").alias("worst"))  # one of each shop at most
+    return whole.select(F.array_join(F.col("members").cast("array<string>"), "-").alias("cluster_id"), F.explode("members").alias("item_id"), "worst")
+
+
 def _report(spark, sf_dir):
-    rows = items(spark, sf_dir)
-    return cluster.cluster_report(cluster.clusters(compare.mutual_pairs(compare.best_matches(rows))), rows)
+    return cluster.cluster_report(_clusters(spark, sf_dir), items(spark, sf_dir))
+
+
+#: The greedy rule, pair by pair: c holds the clusters so far, p all mutual pairs as one number each.
+_IN = "(list_contains(c[j], a) OR list_contains(c[j], b))"
+_FOREIGN = "(NOT list_contains(c[j], {0}) AND NOT list_contains(p, {0} * 1000000000 + m))".format
+_GREEDY = (
+    f"WITH RECURSIVE {_ORDERED}, x AS (SELECT x.a_id AS a, x.b_id AS b, x.score, row_number() OVER (ORDER BY x.score DESC, x.source_a, x.source_b, x.a_id) AS i "
+    "FROM m x JOIN m y ON x.a_id = y.b_id AND x.b_id = y.a_id WHERE x.source_a < x.source_b), "
+    "l AS (SELECT list(a * 1000000000 + b) || list(b * 1000000000 + a) AS p FROM x), "
+    "s AS (SELECT 0::BIGINT AS i, CAST([] AS BIGINT[][]) AS c UNION ALL SELECT i, CASE "
+    "WHEN k IS NOT NULL THEN [CASE WHEN j = k THEN list_concat(c[j], [n for n in [a, b] if NOT list_contains(c[j], n)]) ELSE c[j] END for j in range(1, len(c) + 1)] "
+    "WHEN placed THEN c ELSE list_append(c, [a, b]) END FROM (SELECT x.i, c, a, b, "
+    f"list_extract([j for j in range(1, len(c) + 1) if {_IN} AND len([m for m in c[j] if {_FOREIGN('a')} OR {_FOREIGN('b')}]) = 0], 1) AS k, "
+    f"len([j for j in range(1, len(c) + 1) if {_IN}]) > 0 AS placed FROM s JOIN x ON x.i = s.i + 1 CROSS JOIN l)), "
+    "g AS (SELECT array_to_string(list_sort(members), '-') AS cluster_id, members FROM (SELECT unnest(c) AS members FROM s WHERE i = (SELECT max(i) FROM s))), "
+    "u AS (SELECT cluster_id, unnest(members) AS item_id FROM g), "
+    "w AS (SELECT u.cluster_id, min(x.score) AS worst FROM u JOIN u v ON u.cluster_id = v.cluster_id JOIN x ON x.a = u.item_id AND x.b = v.item_id GROUP BY u.cluster_id)"
+)
+_REPORTED = (
+    _GREEDY + ", r AS (SELECT u.cluster_id, u.item_id, w.worst, i.source, i.name, i.npk, i.per_kg FROM u JOIN w ON u.cluster_id = w.cluster_id JOIN i ON i.item_id = u.item_id), "
+    "t AS (SELECT cluster_id, CASE WHEN count(npk) = count(*) AND min(npk) = max(npk) OR max(worst) >= 5 THEN 'HIGH' ELSE 'CHECK' END AS confidence, count(DISTINCT source) AS n_shops, max(per_kg) / min(per_kg) AS spread, "
+    "min(per_kg) AS best, arg_min(item_id, (per_kg, item_id)) AS best_id FROM r GROUP BY cluster_id HAVING count(DISTINCT source) > 1)"
+)
 
 
-@query("cp7_clusters")
+@query("cp7_clusters", f"{_GREEDY} SELECT u.cluster_id, u.item_id, CAST(worst AS BIGINT) AS worst FROM u JOIN w ON u.cluster_id = w.cluster_id")
 def cp7(spark, sf_dir):
-    return cluster.clusters(compare.mutual_pairs(compare.best_matches(items(spark, sf_dir))))
+    return _clusters(spark, sf_dir)
 
 
-@query("cp8_cp9_report")
+@query(
+    "cp8_cp9_report",
+    f"{_REPORTED} SELECT r.cluster_id, confidence, CAST(n_shops AS BIGINT) AS n_shops, n_shops >= 3 AS many_shops, spread, item_id, source, name, per_kg, (per_kg / best - 1) * 100 AS gap_pct, item_id = best_id AS cheapest FROM r JOIN t ON r.cluster_id = t.cluster_id",
+)
 def cp89(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
-@query("cp9_totals")
+@query(
+    "cp9_totals",
+    f"{_REPORTED} SELECT CAST(count(*) AS BIGINT) AS n_clusters, CAST(count(*) FILTER (confidence = 'HIGH') AS BIGINT) AS n_high, CAST(count(*) FILTER (confidence = 'CHECK') AS BIGINT) AS n_check, CAST(count(*) FILTER (n_shops >= 3) AS BIGINT) AS n_many_shops FROM t",
+)
 def cp9(spark, sf_dir):
     return cluster.cluster_totals(_report(spark, sf_dir))
 
