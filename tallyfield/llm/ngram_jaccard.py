@@ -318,10 +318,10 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
 
     links = _links(pairs.union(with_pivot(hot.withColumn("label", F.col("doc_id")), -1, "doc_id")), sets, t, "links")
     found = S.stage(components(links, "a", "b"), "components")
-    if hot.isEmpty():
-        return found
-    for k in range(PIVOT_ROUNDS + 1):
+    done = [prefixes, links]  # written tables that nothing reads again after this
+    for k in range(0 if hot.isEmpty() else PIVOT_ROUNDS + 1):
         hot = _labelled(hot.drop("label"), found)
+        done.append(hot)
         if hot.isEmpty():
             break
         if k < PIVOT_ROUNDS:  # another component of each group gives the pivot in each round
@@ -337,9 +337,13 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
             meet &= (small_n * 100 >= t * large_n) & (left >= need)
             pairs = x.join(y, meet).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
         more = _links(pairs, sets, t, "links")
+        done.append(more)
         if not more.isEmpty():  # each component is a star by now
             known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            done.append(found)
             found = S.stage(components(known.union(more), "a", "b"), "components")
+    for table in done:
+        S.unstage(table)
     return found
 
 
@@ -357,6 +361,7 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = TH
     chosen = sets.filter("grams is not null").join(classes.filter("class_id is not null"), print_of).filter("doc_id = class_id")
     chosen = S.stage(chosen.select("doc_id", "grams").dropDuplicates(["doc_id"]), "classes")  # rows of one id are alike here
     found = similar_components(chosen, threshold).withColumnRenamed("node", "class_id")
+    S.unstage(chosen)
     of_class = classes.join(found, "class_id", "left").select(*print_of, F.coalesce("component", "class_id").alias("component_id"))
     out = sets.select("doc_id", "print", *print_of).join(of_class, print_of, "left")
     whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

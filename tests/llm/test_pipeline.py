@@ -56,9 +56,21 @@ def test_odd_rows(spark, sf, name):
     clash = {c: F.lit(1) for c in ("row", "id", "of", "words", "size", "copies", "nth", "kept", "items", "component_id", "n_shingles", "part", "start")}
     empty = frame(spark, []).withColumns(clash)
     assert STAGES[name](spark, empty, sf).collect() == []
-    rows = corpus(21, 20) + [(3, "twice " * 60), (3, "twice " * 60), (None, "no id " * 60), (None, None)]
+    long = " ".join(f"word{k % 5003} of {k}" for k in range(60_000))
+    rows = corpus(21, 20) + [(3, "twice " * 60), (3, "twice " * 60), (None, "no id " * 60), (None, None), (77, long)]
     odd = frame(spark, rows).withColumns(clash)
     out = STAGES[name](spark, odd, sf)
     if name != "token-ID output":
         assert out.columns == odd.columns
     out.collect()
+
+
+def test_one_of_each_group_by_id_and_text(spark, sf):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (7, f"{b} more"), (3, f"{a} more"), (9, c), (None, c), (None, None)]
+    docs = frame(spark, rows).withColumn("n_chars", F.monotonically_increasing_id())
+    for again in (docs, docs.repartition(5)):
+        kept = STAGES["n-gram Jaccard join"](spark, again, sf)
+        assert kept.columns == docs.columns
+        # 5's first text is in the group of 3, its second one leads a group
+        assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, [(3, f"{a} more"), (5, b), (9, c), (None, c), (None, None)]))
