@@ -118,11 +118,19 @@ def test_report_confidence(spark):
     assert (rows[1].confidence, rows[3].confidence, rows[2].gap_pct, rows[1].cheapest, rows[4].cheapest) == ("CHECK", "HIGH", 100.0, True, False)
 
 
-def test_components(spark):
-    edges = [(1, 2), (2, 3), (9, 8), (5, 5), (7, 3)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 7: 1, 8: 8, 9: 8}
-    assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+@pytest.mark.parametrize("small", [0, 1000])
+def test_components(spark, small):
+    found = lambda edges: {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b", small).collect()}
+    assert found([(1, 2), (2, 3), (9, 8), (5, 5), (7, 3), (None, 1)]) == {1: 1, 2: 1, 3: 1, 7: 1, 8: 8, 9: 8}
+    assert found([]) == {} and found([(4, 4)]) == {}
+    r = random.Random(small)
+    edges = [(r.randrange(80), r.randrange(80)) for _ in range(55)] + [(k, k + 1) for k in range(100, 130)]
+    of = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in of:
+        for a, b in edges:
+            if a != b:
+                of[a] = of[b] = min(of[a], of[b])
+    assert found(edges) == of
 
 
 def test_upsert_is_idempotent(spark):
