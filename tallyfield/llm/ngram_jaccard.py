@@ -295,7 +295,10 @@ def _labelled(hot: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of the groups that still hold several components, with their component."""
     rows = hot.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component")
     mixed = rows.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("h")
-    return S.stage(rows.join(mixed, "h"), "groups")
+    mixed = S.stage(mixed, "mixed")  # of known size: rows aren't dealt by n-gram to meet it, if it is small
+    out = S.stage(rows.join(mixed, "h"), "groups")
+    S.unstage(mixed)
+    return out
 
 
 def similar_components(sets: DataFrame, t: int) -> DataFrame:
