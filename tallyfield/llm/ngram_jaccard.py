@@ -18,10 +18,9 @@ both prefixes.
 5. Verification.  Each distinct pair once: suffix filter, then the exact overlap.
 6. Components of the verified links.
 
-Frequent n-grams are no hot keys: what texts at hand share in step 1 is settled there; in
-step 3 the n-grams that a sample of the documents shows to be frequent (HOT_GRAMS at most)
-get one frequency, known to all tasks, and aren't shuffled; the groups of step 4 are dealt
-in blocks, other ones in each round, each with a pivot of its own.
+Of a frequent n-gram, what texts at hand share in step 1 is settled there, and very large
+groups of step 4 are dealt in blocks, other ones in each round, each with a pivot of its own.
+In step 3 the rows of one n-gram (16 bytes a class) are counted by one task.
 
 Defined cases: without words (or text) a set is empty and links with nothing; with fewer
 than n words the whole sequence is the one n-gram; a null doc_id links with nothing and
@@ -49,8 +48,6 @@ SAMPLED = 3  # one of so many n-grams is counted to see who is in play
 SMALL_GROUP = 32
 FREQUENCY_CAP = 100_000
 PIVOT_ROUNDS = 3
-#: One of so many documents is counted to find frequent n-grams, and so many n-grams are called frequent at most.
-COUNTED, HOT_GRAMS = 16, 20_000
 #: Groups of more sets are dealt in so many blocks.
 LARGE_GROUP, BLOCKS = 1 << 16, 64
 
@@ -136,31 +133,12 @@ def _emit_sets(n, t):
     return run
 
 
-def _emit_grams(frequent: np.ndarray):
-    """(h, doc, ordinal): n-grams to be counted; the frequent ones, given in ascending order, need no count and
-    have keys of their own and ordinals below zero."""
-
-    def run(batches, schema):
-        def pieces():
-            for batch in batches:
-                for doc, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    h = np.frombuffer(grams, np.int64)
-                    k = np.minimum(np.searchsorted(frequent, h), max(0, len(frequent) - 1))
-                    known = frequent[k] == h if len(frequent) else np.zeros(len(h), bool)
-                    key = np.where(known, S.signed(S.mix(h.view(np.uint64) + np.uint64(doc & 0xFFFFFFFFFFFFFFFF))), h)
-                    at = np.arange(len(h), dtype=np.int32)
-                    yield key, np.full(len(h), doc, np.int64), np.where(known, -1 - at, at)
-
-        yield from S.batches_of(schema, pieces())
-
-    return run
-
-
-def _only_grams(batches, schema):
+def _emit_grams(batches, schema):
     def pieces():
         for batch in batches:
-            for grams in batch.column(0).to_pylist():
-                yield (np.frombuffer(grams, np.int64),)
+            for doc, grams in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h = np.frombuffer(grams, np.int64)
+                yield h, np.full(len(h), doc, np.int64), np.arange(len(h), dtype=np.int32)
 
     yield from S.batches_of(schema, pieces())
 
@@ -168,24 +146,12 @@ def _only_grams(batches, schema):
 def _frequencies(batches, schema):
     def pieces():
         for (_, doc, ordinal), n in S.run_lengths(batches, 1, FREQUENCY_CAP):
-            n = np.where(ordinal < 0, FREQUENCY_CAP, n)
-            ordinal = np.where(ordinal < 0, -1 - ordinal, ordinal)
             keep = n > 1
             yield doc[keep], ordinal[keep], n[keep].astype(np.int32)
 
     yield from S.batches_of(schema, pieces())
 
 
-def frequent_grams(sets: DataFrame) -> np.ndarray:
-    """The n-grams that are frequent in one of COUNTED documents; HOT_GRAMS at most.  They only save work: any set of n-grams gives the same links."""
-    some = sets.filter(F.pmod(F.xxhash64("doc_id"), F.lit(COUNTED)) == 0)
-    counts = S.stage(S.map_arrow(some.select("grams"), _only_grams, "h long").groupBy("h").agg(F.count("*").alias("n")).filter(f"n > {SMALL_GROUP}"), "frequent")
-    least = max(SMALL_GROUP, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_GRAMS)
-    found = np.sort(np.array([r.h for r in counts.filter(F.col("n") > least).select("h").collect()], np.int64))  # each counts for 1/HOT_GRAMS of the sum
-    S.unstage(counts)
-    return found
-
-
 def _emit_prefixes(t):
     """(n-gram, doc, size, place in the order, frequency) of prefix n-grams that others have too."""
 
@@ -304,7 +270,7 @@ def _labelled(hot: DataFrame, found: DataFrame) -> DataFrame:
 def similar_components(sets: DataFrame, t: int) -> DataFrame:
     """(node, component) of the sets (doc_id, grams) that have a link."""
     pair = "a long, b long"
-    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams(frequent_grams(sets)), "h long, doc_id long, ordinal int")
+    grams = S.map_arrow(sets.select("doc_id", "grams"), _emit_grams, "h long, doc_id long, ordinal int")
     often = S.map_arrow(grams.repartition("h").sortWithinPartitions("h"), _frequencies, "doc_id long, ordinal int, df int")
     often = often.groupBy("doc_id").agg(F.collect_list(F.struct("ordinal", "df")).alias("p"))
     often = often.select("doc_id", F.col("p.ordinal").alias("ordinals"), F.col("p.df").alias("df"))

@@ -195,8 +195,8 @@ def brute_groups(rows):
 @pytest.mark.parametrize("seed,small", [(6, 32), (7, 2)])
 def test_jaccard_groups(spark, seed, small, monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "SMALL_GROUP", small)
-    if small == 2:  # n-grams that are called frequent, large groups in blocks
-        for name, value in {"COUNTED": 2, "HOT_GRAMS": 50, "LARGE_GROUP": 5, "BLOCKS": 3}.items():
+    if small == 2:  # large groups in blocks
+        for name, value in {"LARGE_GROUP": 5, "BLOCKS": 3}.items():
             monkeypatch.setattr(ngram_jaccard, name, value)
     rows = corpus(seed, 80)
     base = [f"w{k}" for k in range(60)]  # a large group of near copies, some of which link through others only
