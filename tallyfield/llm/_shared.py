@@ -34,18 +34,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-#: A random value for each byte, and powers (and their inverses) of the multiplier.
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
-_INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
-_powers = {m: np.ones(1, np.uint64) for m in (_MULTIPLIER, _INVERSE)}
-
-
-def _powers_of(m: np.uint64, n: int) -> np.ndarray:
-    if len(_powers[m]) < n:
-        p = np.full(n, m, np.uint64)
-        p[0] = 1
-        _powers[m] = np.cumprod(p, dtype=np.uint64)
-    return _powers[m][:n]
+#: What is kept of eight bytes of which so many belong to the word.
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -56,16 +46,34 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
 
 
+def word_lanes(data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the words, eight at a time as integers, a word's last ones padded by zeros; how many of these each word has)."""
+    n = (ends - starts + 7) >> 3
+    at = np.repeat(starts - 8 * (np.cumsum(n) - n), n) + 8 * np.arange(int(n.sum()))
+    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+    return eights[at] & _KEPT[np.minimum(np.repeat(ends, n) - at, 8)], n
+
+
+def hash_lanes(lanes: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A word's hash: the sum of its lanes, each mixed by itself and again with its place, mixed with the word's size.
+
+    No sum of powers: those are alike, whatever the base, for long words of two letters in some orders."""
+    if not len(n):
+        return np.empty(0, np.uint64)
+    first = np.cumsum(n) - n
+    place = np.arange(len(lanes)) - np.repeat(first, n)
+    parts = mix(mix(lanes + _GOLDEN) ^ (place.astype(np.uint64) * _MULTIPLIER))
+    return mix(np.add.reduceat(parts, first) + sizes.astype(np.uint64) * _GOLDEN)
+
+
 def hash_words(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the words that lie between starts and ends, by prefix sums over all bytes."""
-    b = np.frombuffer(data, np.uint8)
-    sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * _powers_of(_MULTIPLIER, len(b)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(b))[starts])
+    """Hashes of the words that lie between starts and ends."""
+    lanes, n = word_lanes(data, starts, ends)
+    return hash_lanes(lanes, n, ends - starts)
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hash of each word of a text: a polynomial over its bytes, by prefix sums.
+    """64-bit hash of each word of a text.
 
     A long text is hashed in pieces cut at white space, so memory follows CHUNK."""
     out, at = [], 0

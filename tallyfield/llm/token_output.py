@@ -61,8 +61,20 @@ def _byte_letters() -> list[str]:
     return [chr(c) if c in set(own) else chr(next(free)) for c in range(256)]
 
 
+def _same_words(some: tuple, others: tuple, which: np.ndarray) -> bool:
+    """Whether words, given as (lanes, first lane, size), are equal to those of others that which names."""
+    lanes, at, sizes = some
+    if not np.array_equal(sizes, others[2][which]):
+        return False
+    n = (sizes + 7) >> 3
+    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return np.array_equal(lanes[np.repeat(at, n) + k], others[0][np.repeat(others[1][which], n) + k])
+
+
 class WordEncoder:
-    """Ids of words, looked up by the words' 64-bit hashes; unknown words go to the tokenizer."""
+    """Ids of words; unknown words go to the tokenizer.
+
+    Words are looked up by 64-bit hash and compared with the word that is held, byte by byte."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,6 +88,7 @@ class WordEncoder:
         self.cores: dict[str, list[int]] = {}
         self.hashes, self.ids = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.at, self.n = np.empty(0, np.int64), np.empty(0, np.int64)  # the k-th hash's ids: ids[at[k] : at[k] + n[k]]
+        self.lanes, self.word_at, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)  # and its word
 
     @staticmethod
     def lower(text: bytes) -> bytes:
@@ -111,29 +124,47 @@ class WordEncoder:
             out[k] = found.ids
         return out
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with the end id; how many each has)."""
-        texts = [self.lower(x) for x in texts]
-        data = b" ".join(texts)
-        starts, ends = S.word_bounds(data)
-        hashes, first, which = np.unique(S.hash_words(data, starts, ends), return_index=True, return_inverse=True)
+    def _ids(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words, one after the other; where each word's ids start, and the end)."""
+        sizes, (lanes, n_lanes) = ends - starts, S.word_lanes(data, starts, ends)
+        lane_at = np.cumsum(n_lanes) - n_lanes
+        hashes, first, which = np.unique(S.hash_lanes(lanes, n_lanes, sizes), return_index=True, return_inverse=True)
         if len(self.hashes) > HELD:
             self.forget()
         at = np.searchsorted(self.hashes, hashes)
         new = np.ones(len(hashes), bool)
         inside = at < len(self.hashes)
         new[inside] = self.hashes[at[inside]] != hashes[inside]
+        known = first[~new]
+        if not (
+            _same_words((lanes, lane_at, sizes), (lanes, lane_at[first], sizes[first]), which)
+            and _same_words((lanes, lane_at[known], sizes[known]), (self.lanes, self.word_at, self.size), at[~new])
+        ):  # two words have one hash: without what is held
+            found = self.encode_words([data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+            return np.fromiter(chain.from_iterable(found), np.int32), np.cumsum([0, *map(len, found)])
         if new.any():
             found = self.encode_words([data[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
             n = np.fromiter(map(len, found), np.int64, len(found))
             more = len(self.ids) + np.cumsum(n) - n
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(n.sum()))])
+            own = n_lanes[first[new]]
+            ends_at = np.cumsum(own)
+            words_at = len(self.lanes) + ends_at - own
+            self.lanes = np.concatenate([self.lanes, lanes[np.repeat(lane_at[first[new]] - ends_at + own, own) + np.arange(own.sum())]])
             before = at[new]
-            self.hashes, self.at, self.n = (np.insert(x, before, y) for x, y in ((self.hashes, hashes[new]), (self.at, more), (self.n, n)))
+            held = (self.hashes, hashes[new]), (self.at, more), (self.n, n), (self.word_at, words_at), (self.size, sizes[first[new]])
+            self.hashes, self.at, self.n, self.word_at, self.size = (np.insert(x, before, y) for x, y in held)
             at = np.searchsorted(self.hashes, hashes)
         n = self.n[at][which]
         done = np.concatenate([[0], np.cumsum(n)])
-        flat = self.ids[np.repeat(self.at[at][which] - done[:-1], n) + np.arange(done[-1])]
+        return self.ids[np.repeat(self.at[at][which] - done[:-1], n) + np.arange(done[-1])], done
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id; how many each has)."""
+        texts = [self.lower(x) for x in texts]
+        data = b" ".join(texts)
+        starts, ends = S.word_bounds(data)
+        flat, done = self._ids(data, starts, ends)
         offsets = np.cumsum([0, *(len(x) + 1 for x in texts)])
         of_text = done[np.searchsorted(starts, offsets)]
         counts = np.diff(of_text)

@@ -1082,3 +1082,33 @@ def test_long_word_and_pieces(monkeypatch):
     whole = _shared.word_hashes(text)
     monkeypatch.setattr(_shared, "CHUNK", 64)
     assert np.array_equal(_shared.word_hashes(text), whole) and len(whole) == 102
+
+
+def thue_morse(k):
+    """Two words of 2^k letters whose sums of powers are equal modulo 2^64 for every odd base."""
+    swap, word = str.maketrans("ab", "ba"), "a"
+    for _ in range(k):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    one, other = thue_morse(10)
+    assert len(one) == len(other) == 1024 and one != other
+    tail = [f"w{k}" for k in range(19)]
+    rows = [(1, " ".join([one, *tail])), (2, " ".join([other, *tail])), (3, " ".join([one, *tail]))]
+    found = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert found == {1: 0, 2: 0, 3: 20}
+    short = [(1, f"{one} x y z u"), (2, f"{other} x y z u"), (3, f"{one} x y z u")]
+    groups = {r.doc_id: r.component_id for r in ngram_jaccard.jaccard_groups(frame(spark, short)).collect()}
+    assert groups == {1: 1, 2: 2, 3: 1}
+    crc = {r.doc_id: r.ids_crc32 for r in token_output.token_output(frame(spark, [(1, one), (2, other), (3, one)])).collect()}
+    assert crc[1] == crc[3] != crc[2]
+
+
+def test_token_ids_of_words_with_one_hash(monkeypatch):
+    monkeypatch.setattr(_shared, "mix", lambda h: h * 0)  # every word has the same hash
+    encoder = token_output.WordEncoder(token_output.tokenizer_path())
+    for text in ("one two one three", "four", "one two five fives", ""):
+        ids, n = encoder.encode([text.encode()], 1)
+        assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 1] and n.tolist() == [len(ids)]
