@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output
+from . import decontamination, fill_in_middle, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_decontamination": decontamination.query,
     "op9_pii": pii.query,
     "op10_quality": quality.query,
+    "op12_fill_in_middle": fill_in_middle.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
     "op2_ngram_jaccard": ngram_jaccard.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op6_mixing": mixing.SQL,
+    "op12_fill_in_middle": fill_in_middle.SQL,
 }
