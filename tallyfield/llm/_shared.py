@@ -165,6 +165,23 @@ def batches_of(schema: pa.Schema, pieces: Iterator[tuple[np.ndarray, ...]], rows
         yield flush()
 
 
+def sized_batches(rows: Iterator[tuple[int, tuple]], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches of (bytes, row), cut where the bytes reach `most`."""
+    held, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+    for n, row in rows:
+        held.append(row)
+        size += n
+        if size >= most:
+            yield flush()
+            held, size = [], 0
+    if held:
+        yield flush()
+
+
 def run_lengths(batches: Iterator[pa.RecordBatch], keys: int, cap: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Over rows sorted by their first `keys` columns: (columns, length of each row's run, cap at most).
 
@@ -262,3 +279,9 @@ def apart(documents: DataFrame) -> tuple[DataFrame, int]:
     factor = kinds.agg(F.max("nth")).first()[0] + 1
     rows = docs.withColumn("mark", mark).join(kinds, ["doc_id", "mark"], "left")
     return rows.select((F.col("doc_id") * factor + F.coalesce("nth", F.lit(0))).alias("doc_id"), "text"), factor
+
+
+def join_hot(rows: DataFrame, few: DataFrame, key: str, apart_by: str, salts: int = 16) -> DataFrame:
+    """rows left-joined to few, which has a row for a key at most; rows of one key are dealt over so many tasks, by a column."""
+    salted = rows.withColumn("salt_", F.pmod(F.xxhash64(apart_by), F.lit(salts).cast("long")))
+    return salted.join(few.withColumn("salt_", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), [key, "salt_"], "left").drop("salt_")

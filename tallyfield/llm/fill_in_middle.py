@@ -166,23 +166,6 @@ def original(form: str, text: FrameReader) -> Iterator[bytes]:
         yield from text.range(*parts[k])
 
 
-def _some(rows: Iterator[tuple], schema: pa.Schema, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Record batches of (size, row), cut where their sizes reach so many bytes."""
-    held, size = [], 0
-    for n, row in rows:
-        held.append(row)
-        size += n
-        if size >= most:
-            yield _batch(held, schema)
-            held, size = [], 0
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-
-
 _FIELDS = ("data", "at", "points", "units", "inside")
 
 
@@ -202,7 +185,7 @@ def _store(batches, schema):
                 marked = any(m in text for m in (PREFIX, SUFFIX, MIDDLE))
                 yield size, (doc_id, units, points, size, marked, _dicts(frames))
 
-    yield from _some(rows(), schema)
+    yield from S.sized_batches(rows(), schema)
 
 
 def _transform(salt):
@@ -230,7 +213,7 @@ def _transform(salt):
                     frames, size, _, _ = writer.frames(pieces())
                     yield size, (row["doc_id"], n, form, chars_a, chars_b - chars_a, size, _dicts(frames))
 
-        yield from _some(rows(), schema)
+        yield from S.sized_batches(rows(), schema)
 
     return run
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fill_in_middle, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output
+from . import decontamination, fill_in_middle, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_pii": pii.query,
     "op10_quality": quality.query,
     "op12_fill_in_middle": fill_in_middle.query,
+    "op13_warc": warc.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
@@ -23,4 +24,5 @@ ORACLES = {
     "op5_line_dedup": line_dedup.SQL,
     "op6_mixing": mixing.SQL,
     "op12_fill_in_middle": fill_in_middle.SQL,
+    "op13_warc": warc.SQL,
 }
