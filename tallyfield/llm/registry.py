@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, fill_in_middle, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output, warc
+from . import conversation_repair, decontamination, fill_in_middle, html_extraction, language, line_dedup, mixing, ngram_jaccard, pii, quality, substring_dedup, token_output, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontamination": decontamination.query,
     "op9_pii": pii.query,
     "op10_quality": quality.query,
+    "op11_conversation_repair": conversation_repair.query,
     "op12_fill_in_middle": fill_in_middle.query,
     "op13_warc": warc.query,
 }
@@ -23,6 +24,7 @@ ORACLES = {
     "op2_ngram_jaccard": ngram_jaccard.SQL,
     "op5_line_dedup": line_dedup.SQL,
     "op6_mixing": mixing.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
     "op12_fill_in_middle": fill_in_middle.SQL,
     "op13_warc": warc.SQL,
 }
