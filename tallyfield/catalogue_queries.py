@@ -6,11 +6,13 @@ driver's tables or from the views of `plans.views`, whole; the SQL starts from t
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.functions import text as T
-from tallyfield.operators import cluster, compare, extract, frontier, merge, onboard, payload, reports, upsert
+from tallyfield.operators import cluster, compare, extract, frontier, merge, onboard, payload, reports, sitemaps, upsert
 from tallyfield.plans.scratch import scratch_path
 from tallyfield.plans.views import CATALOGUE_SQL, CRAWLS_SQL, LISTINGS_SQL, catalogue, crawls, listings, table
 from tallyfield.sources import products as tables
@@ -37,7 +39,7 @@ _NPK = r"\b(\d{1,2})\s*[-:.]\s*(\d{1,2})\s*[-:.]\s*(\d{1,2})\b"
 _KG = r"(\d+(?:[.,]\d+)?)\s*(kg|kilogram|gr|gam|gram|g|tấn|tan)" + _END
 _PACK = r"(?:gói|goi|bao|túi|tui|chai|hũ|hu|lọ|lo|hộp|hop|can)\s*:?\s*" + _KG
 _UNIT = r"\b(?:bao|túi|chai|gói|kg|tấn|lít|ml|g)\s*\d*\s*(?:kg|g|lít|l|ml)?\b"
-_PLAIN = "".join("d" if c == "đ" else __import__("unicodedata").normalize("NFD", c)[0] for c in T.ACCENTED)
+_PLAIN = "".join("d" if c == "đ" else unicodedata.normalize("NFD", c)[0] for c in T.ACCENTED)
 
 
 def _npk(x: str) -> str:
@@ -655,7 +657,7 @@ def rp2_counts(spark, sf_dir):
     return reports.listing_counts(parsed(spark, sf_dir))
 
 
-_FULL = f"{_IF('n_images > 0', 'n_images')}, {_IF('n_videos > 0', 'n_videos')}, {_IF('n_specs > 0', 'n_specs')}, {_IF(chr(99) + 'ontent <> ' + chr(39) * 2, 'n_content')}"
+_FULL = f"{_IF('n_images > 0', 'n_images')}, {_IF('n_videos > 0', 'n_videos')}, {_IF('n_specs > 0', 'n_specs')}, {_IF("content <> ''", 'n_content')}"
 
 
 @query("rp3_coverage", f"SELECT source, {_N}, {_FULL} FROM ({CATALOGUE_SQL}) GROUP BY ROLLUP (source)")
@@ -680,7 +682,7 @@ def rp6(spark, sf_dir):
 
 @query(
     "rp7_stock",
-    f"SELECT coalesce(platform, '-') AS platform, source, {_N}, {_IF(chr(115) + 'ku <> ' + chr(39) * 2, 'n_sku')}, {_IF('in_stock IS NOT NULL', 'n_stock_known')}, {_IF('stock_qty IS NOT NULL', 'n_qty')}, {_IF('item_id % 3 <> 0', 'n_variants')}, {_IF('review_count > 0', 'n_reviewed')}, {_IF('price_max IS NOT NULL', 'n_ranged')} FROM ({CATALOGUE_SQL}) GROUP BY 1, 2",
+    f"SELECT coalesce(platform, '-') AS platform, source, {_N}, {_IF("sku <> ''", 'n_sku')}, {_IF('in_stock IS NOT NULL', 'n_stock_known')}, {_IF('stock_qty IS NOT NULL', 'n_qty')}, {_IF('item_id % 3 <> 0', 'n_variants')}, {_IF('review_count > 0', 'n_reviewed')}, {_IF('price_max IS NOT NULL', 'n_ranged')} FROM ({CATALOGUE_SQL}) GROUP BY 1, 2",
 )
 def rp7(spark, sf_dir):
     return reports.stock_yield(catalogue(spark, sf_dir))
@@ -748,6 +750,78 @@ def ob1(spark, sf_dir):
     return onboard.sitemap_locations(maps).select("host", "url")
 
 
+#: Addresses of suppliers' hosts, the map that lists each, the maps that indexes list, and robots lines: hosts by suppkey % 5 have
+#: a flat map; an index of thirteen maps, some of which can't be read; three robots lines of which the second is an index; two maps
+#: of which the first may be enough; none.
+_MAPPED = {
+    "host": "concat('h', cast(l_suppkey as varchar(20)), '.example')",
+    "file": "case l_suppkey % 5 when 0 then 'sitemap.xml' when 1 then concat('sub-', cast(l_orderkey % 13 as varchar(20)), '.xml') "
+    "when 2 then case when l_orderkey % 13 < 2 then 'a.xml' when l_orderkey % 13 = 12 then 'c.xml' else concat('collections-', cast(l_orderkey % 13 as varchar(20)), '.xml') end "
+    "when 3 then case when l_orderkey % 13 < 5 then 'a.xml' else 'b.xml' end else 'unlinked.xml' end",
+    "loc": "concat('https://h', cast(l_suppkey as varchar(20)), '.example/', case when l_partkey % 3 = 0 then 'collections/phan-' else 'p-' end, cast(l_partkey as varchar(20)))",
+}
+_LISTED = {
+    "host": "concat('h', cast(s_suppkey as varchar(20)), '.example')",
+    "file": "case s_suppkey % 5 when 1 then case when s_suppkey % 2 = 0 then 'sitemap.xml' else 'sitemap_index.xml' end when 2 then 'b.xml' end",
+    "loc": "concat('https://h', cast(s_suppkey as varchar(20)), '.example/', case when s_suppkey % 5 = 1 then 'sub-' else 'collections-' end, cast(k as varchar(20)), '.xml')",
+}
+_ROBOTS = (
+    "case s_suppkey % 5 when 1 then 'User-agent: *' when 2 then concat('User-agent: *', chr(10), 'Sitemap: https://h', cast(s_suppkey as varchar(20)), '.example/a.xml', chr(10), 'SITEMAP:https://h', cast(s_suppkey as varchar(20)), "
+    "'.example/b.xml', chr(10), 'sitemap: https://h', cast(s_suppkey as varchar(20)), '.example/c.xml') "
+    "when 3 then concat('Sitemap: https://h', cast(s_suppkey as varchar(20)), '.example/a.xml', chr(10), 'Sitemap: https://h', cast(s_suppkey as varchar(20)), '.example/b.xml') when 4 then '' end"
+)
+_UNREAD = "file = 'sub-3.xml'"
+_ENOUGH = 235
+
+
+def _columns(view: dict[str, str]) -> str:
+    return ", ".join(f"{e} AS {c}" for c, e in view.items())
+
+
+def _sitemaps(spark, sf_dir):
+    """(robots, fetched maps) of the suppliers' hosts."""
+    suppliers = table(spark, sf_dir, "supplier")
+    robots = suppliers.selectExpr(f"{_LISTED['host']} AS host", f"{_ROBOTS} AS robots_txt")
+    listed = suppliers.selectExpr("*", "explode(sequence(0, 12)) AS k").selectExpr(*(f"{e} AS {c}" for c, e in _LISTED.items())).filter("file is not null")
+    mapped = table(spark, sf_dir, "lineitem").selectExpr(*(f"{e} AS {c}" for c, e in _MAPPED.items())).filter(f"not ({_UNREAD})")
+    locs = F.transform(F.array_sort(F.collect_list("loc")), lambda x: F.concat(F.lit("<url><loc>"), x, F.lit("</loc></url>")))
+    maps = mapped.unionByName(listed).groupBy("host", "file").agg(F.array_join(locs, "\n").alias("xml"))
+    return robots, maps.select(F.concat(F.lit("https://"), "host", F.lit("/"), "file").alias("url"), "xml")
+
+
+_MAPS = (
+    f"s AS (SELECT * FROM supplier), r AS (SELECT {_LISTED['host']} AS host, s_suppkey % 5 AS kind FROM s), "
+    f"e AS (SELECT * FROM (SELECT {_columns(_MAPPED)} FROM lineitem) WHERE NOT ({_UNREAD}) UNION ALL SELECT * FROM (SELECT {_columns(_LISTED)} FROM s, range(13) AS g(k)) WHERE file IS NOT NULL), "
+    "f AS (SELECT concat('https://', host, '/', file) AS file, loc, row_number() OVER (PARTITION BY host, file ORDER BY loc) - 1 AS pos FROM e), "
+    "b AS (SELECT file, loc, row_number() OVER (PARTITION BY file ORDER BY pos) - 1 AS nth FROM f WHERE loc LIKE '%.xml')"
+)
+
+
+@query(
+    "ob1_index",
+    f"WITH RECURSIVE {_MAPS}, o AS (SELECT host, m AS map_no, concat('https://', host, '/', CASE WHEN kind IN (2, 3) THEN substr('ab', m + 1, 1) || '.xml' WHEN m = 0 THEN 'sitemap.xml' ELSE 'sitemap_index.xml' END) AS file FROM r, range(2) AS g(m)), "
+    "w AS (SELECT host, map_no, -1 AS sub, file, 0 AS level FROM o UNION ALL SELECT w.host, w.map_no, b.nth, b.loc, 1 FROM w JOIN b ON w.file = b.file WHERE level = 0 AND b.nth < 8), "
+    "l AS (SELECT w.host, w.map_no, w.sub, f.pos, f.loc FROM w JOIN f ON w.file = f.file WHERE level = 1 OR w.file NOT IN (SELECT file FROM b)), "
+    "t AS (SELECT host, map_no, count(*) AS n FROM l GROUP BY host, map_no), k AS (SELECT a.host, a.map_no FROM t a LEFT JOIN t c ON a.host = c.host AND c.map_no < a.map_no "
+    f"GROUP BY a.host, a.map_no HAVING coalesce(sum(c.n), 0) <= {_ENOUGH}) "
+    "SELECT l.host, CAST(l.map_no AS INTEGER) AS map_no, CAST(sub AS INTEGER) AS sub, CAST(pos AS INTEGER) AS pos, loc AS url FROM l JOIN k ON l.host = k.host AND l.map_no = k.map_no",
+)
+def ob1_index(spark, sf_dir):
+    found = sitemaps.expand(*_sitemaps(spark, sf_dir), enough=_ENOUGH)
+    return found.select("host", "map_no", F.coalesce(F.get("path", F.lit(0)), F.lit(-1)).alias("sub"), "pos", "url")
+
+
+@query(
+    "ob3_collection_maps",
+    f"WITH {_MAPS}, i AS (SELECT r.host, f.loc, f.pos, count(*) FILTER (contains(loc, 'collection')) OVER (PARTITION BY r.host) AS n FROM r JOIN f ON f.file = concat('https://', r.host, '/sitemap.xml')), "
+    "c AS (SELECT host, loc AS file FROM i WHERE CASE WHEN n > 0 THEN contains(loc, 'collection') ELSE pos < 4 END) "
+    "SELECT DISTINCT c.host, f.loc AS url FROM c JOIN f ON c.file = f.file WHERE contains(f.loc, '/collections/') AND contains(lower(f.loc), 'phan')",
+)
+def ob3_maps(spark, sf_dir):
+    robots, fetched = _sitemaps(spark, sf_dir)
+    return sitemaps.collection_addresses(robots.select("host"), fetched, ("phan", "npk"))
+
+
 _HINTS = ("th", "an")
 _LINK_PATH = "regexp_extract(link, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
 
