@@ -93,11 +93,7 @@ def test_matching_equals_brute_force(spark, seed):
     assert sorted(p[:2] for p in got_pairs) == mutual
     # component by component equals all at once
     ordered = sorted(got_pairs, key=lambda p: (-p[2], p[3], p[4], p[0]))
-    whole = sorted(sorted(c) for c, _ in cluster.greedy([p[:3] for p in ordered]))
-    split = {}
-    for r in cluster.clusters(pairs).collect():
-        split.setdefault(r.cluster_id, []).append(r.item_id)
-    assert sorted(sorted(c) for c in split.values()) == whole
+    assert clusters_of(pairs) == greedy([p[:3] for p in ordered])
 
 
 def test_price_ratio_limit(spark):
@@ -106,9 +102,51 @@ def test_price_ratio_limit(spark):
     assert sorted((r.a_id, r.b_id) for r in got) == [(1, 2), (2, 3)]
 
 
-def test_greedy_overlap():
-    assert [c for c, _ in cluster.greedy([(1, 2, 9), (3, 4, 8), (1, 3, 7), (2, 3, 6)])] == [[1, 2, 3], [3, 4]]
-    assert [c for c, _ in cluster.greedy([(1, 2, 5), (2, 3, 4)])] == [[1, 2]]
+def greedy(pairs):
+    """The rule, pair by pair: members and worst score of each cluster, pairs of (a, b, score) in order."""
+    score, clusters = {frozenset(p[:2]): p[2] for p in pairs}, []
+    for a, b, _ in pairs:
+        for c in clusters:
+            new = {a, b} - c
+            if len(new) < 2 and all(frozenset((n, m)) in score for n in new for m in c):
+                c |= new
+                break
+        else:
+            if not any({a, b} & c for c in clusters):
+                clusters.append({a, b})
+    return sorted((tuple(sorted(c)), min(score[frozenset(x)] for x in itertools.combinations(c, 2))) for c in clusters)
+
+
+def clusters_of(pairs):
+    found = {}
+    for r in cluster.clusters(pairs).collect():
+        found.setdefault((r.cluster_id, r.worst), []).append(r.item_id)
+    return sorted((tuple(sorted(items)), worst) for (_, worst), items in found.items())
+
+
+PAIRS = "a_id long, b_id long, score long, source_a string, source_b string"
+
+
+def test_clusters_overlap(spark):
+    rows = [(1, 2, 9), (3, 4, 8), (1, 3, 7), (2, 3, 6)]
+    assert greedy(rows) == [((1, 2, 3), 6), ((3, 4), 8)]
+    df = spark.createDataFrame([(a, b, s, f"s{a}", f"s{b}") for a, b, s in rows], PAIRS)
+    assert clusters_of(df) == greedy(rows)
+    assert {r.cluster_id for r in cluster.clusters(df).collect()} == {"1-2", "3-4"}
+    assert cluster.clusters(df.filter("false")).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_clusters_of_random_mutual_pairs(spark, seed):
+    """Matchings between shops, dense enough for one component with long chains of pairs that wait."""
+    r = random.Random(seed)
+    shops = {f"s{k}": list(range(100 * k, 100 * k + 25)) for k in range(5)}
+    pairs = []
+    for (s, left), (t, right) in itertools.combinations(shops.items(), 2):
+        size = r.randrange(10, 25)
+        pairs += [(a, b, r.randrange(1, 4), s, t) for a, b in zip(r.sample(left, size), r.sample(right, size), strict=True)]
+    ordered = sorted(pairs, key=lambda p: (-p[2], p[3], p[4], p[0]))
+    assert clusters_of(spark.createDataFrame(pairs, PAIRS)) == greedy([p[:3] for p in ordered])
 
 
 def test_report_confidence(spark):
