@@ -8,8 +8,9 @@ payloads of at least LEAST_BYTES the one with the smallest page_id is the respon
 are revisits that hold no payload and name it in WARC-Refers-To.
 
 Reading.  Spark's text reader cuts archives at "\r\n\r\nWARC/1.", one record (or a piece of
-one, where a payload holds that text) at a time; a record goes on until its Content-Length is
-met.  A task holds one record.  Archives are read from their start to their end, so gzipped
+one, where a payload holds that text; at times more than one, as the reader misses a cut that
+straddles two of its buffers); where a record ends is told by its Content-Length alone.  A task
+holds one record.  Archives are read from their start to their end, so gzipped
 ones, which Spark never splits, may have any size; a plain one must fit
 spark.sql.files.maxPartitionBytes, and reading fails where it is split.
 
@@ -145,10 +146,10 @@ def _parsed(file: str, head: bytes, block: bytes, whole: bool, payloads: bool) -
 
 def _records(payloads):
     def rows(batches) -> Iterator[tuple[int, tuple]]:
-        file, head, blocks, have, need = None, b"", [], 0, 0
+        file, head, blocks, have, need = None, None, [], 0, 0
 
         def finish() -> tuple[int, tuple]:
-            return _parsed(file, head, b"".join(blocks)[:need], have >= need, payloads)
+            return _parsed(file, head, b"".join(blocks), have >= need, payloads)
 
         for batch in batches:
             files, starts, values = (batch.column(c) for c in ("file", "start", "value"))
@@ -156,21 +157,28 @@ def _records(payloads):
                 value = values[k].as_py()
                 if starts[k].as_py():
                     raise ValueError(f"{files[k]} is read in pieces: gzip it or raise spark.sql.files.maxPartitionBytes")
-                if files[k].as_py() == file and have < need:  # the cut was inside a block
-                    blocks.append(_NEXT.encode() + value)
-                    have += len(blocks[-1])
-                    continue
-                if file is not None:
-                    yield finish()
-                if files[k].as_py() != file:
-                    file = files[k].as_py()
-                    if not value.startswith(b"WARC/1."):
-                        raise ValueError(f"{file} isn't a WARC archive")
-                    value = value[7:]
-                head, _, block = value.partition(b"\r\n\r\n")
-                length = dict(reversed(_headers(head))).get("content-length", "")
-                need = int(length) if length.isdigit() else len(block)
-                blocks, have = [block], len(block)
+                if files[k].as_py() == file:
+                    value = _NEXT.encode() + value
+                elif value.startswith(b"WARC/1."):
+                    if file is not None:
+                        yield finish()
+                    file, value, have, need = files[k].as_py(), END.encode() + value, 0, 0
+                    blocks, head = [], None
+                else:
+                    raise ValueError(f"{files[k]} isn't a WARC archive")
+                while True:
+                    left = need - have  # of the block; what follows it is the next record
+                    if left > 0:
+                        blocks.append(value[:left])
+                        have += len(blocks[-1])
+                        value = value[left:]
+                    if not value.startswith(_NEXT.encode()):
+                        break
+                    if head is not None:
+                        yield finish()
+                    head, _, value = value[len(_NEXT) :].partition(b"\r\n\r\n")
+                    length = dict(reversed(_headers(head))).get("content-length", "")
+                    blocks, have, need = [], 0, int(length) if length.isdigit() else len(value)
         if file is not None:
             yield finish()
 

@@ -89,6 +89,18 @@ def test_archives_of_others(spark, tmp_path):
     assert not rows["cut"].record.whole and rows["s"].record.whole and rows["cut"].record.payload_bytes == 34
 
 
+def test_cuts_at_every_place_of_the_readers_buffers(spark, tmp_path):
+    """A block that ends with line ends, laid so that the cut after it straddles the reader's 64 KiB in every way."""
+    folder = tmp_path / "w"
+    folder.mkdir()
+    size = len(record("request", "q", b"", [])) - 4
+    for k in range(40):
+        block = b"x" * (65536 - size - 20 + k - len(str(65000)) + 1 - 4) + b"\r\n\r\n"
+        (folder / f"{k}.warc.gz").write_bytes(gzip.compress(record("request", "q", block) + record("metadata", "m", b"end") + record("metadata", "n", b"")))
+    rows = warc.read_records(spark, str(folder)).collect()
+    assert Counter((r.record_id, r.payload_bytes if r.record_id != "<q>" else None, r.whole) for r in rows) == {("<q>", None, True): 40, ("<m>", 3, True): 40, ("<n>", 0, True): 40}
+
+
 def test_plain_archives_are_not_read_in_pieces(spark, tmp_path):
     (tmp_path / "big.warc").write_bytes(b"".join(record("resource", f"n{k}", b"x" * 1000) for k in range(2000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
