@@ -237,7 +237,7 @@ def archive(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     spark = pages.sparkSession
     path = S.scratch_path(spark, "warc")
     write_warc(pages, path, least_bytes)
-    return page_captures(captures(read_records(spark, path, payloads=False)))
+    return page_captures(captures(S.stage(read_records(spark, path, payloads=False), "records")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
