@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,10 +30,9 @@ _PICKED = ("name", "price", "description", "brand", "category")
 
 def _facts(url: str, source: str, html: str | None, selectors: dict[str, str]) -> tuple:
     root = dom.parse(html)
+    dom.prepare(root, (*selectors.values(), *dom.FACT_SELECTORS))
     picked = [dom.text_of(dom.first(root, selectors.get(k))) for k in _PICKED]
     block = dom.content_block(root, selectors.get("content"))
-    import re
-
     ids = list(dict.fromkeys(re.findall(YOUTUBE, html or "")))
     specs = [{"label": a, "value": b} for a, b in dom.spec_rows(root)]
     parts = [{"heading": a, "body": b} for a, b in dom.section_parts(block)]
