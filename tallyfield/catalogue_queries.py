@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import text as T
 from tallyfield.operators import cluster, compare, extract, frontier, merge, onboard, payload, reports, sitemaps, upsert
-from tallyfield.plans.scratch import scratch_path
+from tallyfield.plans.scratch import scratch_path, stage
 from tallyfield.plans.views import CATALOGUE_SQL, CRAWLS_SQL, LISTINGS_SQL, catalogue, crawls, listings, table
 from tallyfield.sources import products as tables
 from tallyfield.streaming import upserts
@@ -229,12 +229,7 @@ _LINKS = (
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallyfield.functions import dom
-
-    def f(host, url, root):
-        return [(host, url, k, x) for k, x in enumerate(dom.links(root, url, "a"))]
-
-    return onboard._emit(pages(spark, sf_dir), f, "host string, page_url string, pos int, link string")
+    return onboard.page_links(onboard.page_facts(pages(spark, sf_dir), links=(), texts=()))
 
 
 @query("ex1_links", f"SELECT page_url, CAST(count(*) AS BIGINT) AS n_links, md5(string_agg(link, ' ' ORDER BY pos)) AS links_md5 FROM ({_LINKS}) GROUP BY page_id, page_url")
@@ -308,6 +303,20 @@ def ex_rich(spark, sf_dir):
     return found.select("url", "name", "npk", "unit", *joined, F.to_json("specs").alias("specs"), F.to_json("sections").alias("sections"), "brand", F.length("content").alias("n_chars"))
 
 
+@query(
+    "ex9_misnested",
+    f"SELECT url, concat(name, ' năng suất ', CAST(item_id AS VARCHAR)) AS cong_dung, concat('bao ', CAST(item_id AS VARCHAR), 'kg') AS quy_cach FROM ({LISTINGS_SQL})",
+)
+def ex9_misnested(spark, sf_dir):
+    """Sections and specs of detail pages whose bold text goes on over a paragraph, and whose table holds text beside its cells."""
+    rows, item = listings(spark, sf_dir), F.col("item_id").cast("string")
+    html = F.concat(
+        F.lit("<h1>n</h1><div class=rte><b>Công dụng<p>"), "name", F.lit("</b> năng suất</p><table>"), item, F.lit("<tr><td><i>Quy cách<td><i>bao<p>"), item, F.lit("kg</i></table></div>")
+    )
+    found = extract.products(extract.page_facts(rows.select("url", F.lit("").alias("source"), html.alias("html")), {"": {"name": "h1"}}))
+    return found.select("url", F.regexp_replace(F.element_at("sections", "cong_dung"), " Quy cách bao .*$", "").alias("cong_dung"), F.regexp_replace(F.element_at("specs", "quy_cach"), "(bao [0-9]+) kg", "$1kg").alias("quy_cach"))
+
+
 @query("ex6_image_key", f"SELECT page_id, concat(url, '.jpg') AS key FROM (SELECT page_id, rtrim(split_part(url, '?', 1), '/') AS url FROM pages)")
 def ex6(spark, sf_dir):
     base = F.rtrim(F.split_part("url", F.lit("?"), F.lit(1)), F.lit("/"))
@@ -857,7 +866,7 @@ _OB_SELECTORS = ("a[href*='a']", "nav a", ".ad a")
     f"count(*) FILTER (contains({_LINK_PATH}, 'a')) AS n_a FROM ({_LINKS}) WHERE trim({_LINK_PATH}, '/') <> '' GROUP BY page_id, host, page_url)",
 )
 def ob5(spark, sf_dir):
-    return onboard.best_link_selector(onboard.selector_links(pages(spark, sf_dir), _OB_SELECTORS)).drop("links")
+    return onboard.best_link_selector(onboard.selector_links(onboard.page_facts(pages(spark, sf_dir), links=_OB_SELECTORS))).drop("links")
 
 
 def _cards(spark, sf_dir):
@@ -871,7 +880,7 @@ def _cards(spark, sf_dir):
 
 @query("ob6_cards", f"SELECT '.card.x' AS container, 'a.name' AS link, 'a.name' AS selector, CAST(count(*) AS BIGINT) AS n FROM ({LISTINGS_SQL}) WHERE price_text <> 'lien he'")
 def ob6(spark, sf_dir):
-    return onboard.card_census(_cards(spark, sf_dir))
+    return onboard.card_census(onboard.page_facts(_cards(spark, sf_dir)))
 
 
 def _details(spark, sf_dir):
@@ -894,7 +903,7 @@ _SAMPLED = (
 def _sampled(spark, sf_dir):
     """(candidates, links, selectors) of the shops' listing pages and the product pages sampled from them."""
     listed = _cards(spark, sf_dir)
-    candidates, links = onboard.category_candidates(listed), onboard.best_link_selector(onboard.selector_links(listed))
+    candidates, links = onboard.category_candidates(listed), onboard.best_link_selector(onboard.selector_links(onboard.page_facts(listed)))
     return candidates, links, onboard.product_selectors(onboard.sampled_pages(candidates, links, _details(spark, sf_dir)))
 
 
@@ -926,7 +935,7 @@ def ob9(spark, sf_dir):
     r"""SELECT selector, CAST(sum(n) AS BIGINT) AS n_hits, CAST(count(*) AS BIGINT) AS n_pages FROM (SELECT 'h1' AS selector, len(regexp_extract_all(html, '<h1[ >]')) AS n FROM pages UNION ALL SELECT '.ad', len(regexp_extract_all(html, 'class="ad"')) FROM pages) WHERE n > 0 GROUP BY selector""",
 )
 def ob10(spark, sf_dir):
-    return onboard.selector_census(pages(spark, sf_dir), ("h1", ".ad")).drop("sample")
+    return onboard.selector_census(onboard.page_facts(pages(spark, sf_dir), census=("h1", ".ad"))).drop("sample")
 
 
 @query(
@@ -934,12 +943,27 @@ def ob10(spark, sf_dir):
     f"SELECT concat(source, '.example') AS host, 'span.price < div.card.x' AS path, CAST(count(DISTINCT item_id // 180) AS BIGINT) AS n_pages FROM ({LISTINGS_SQL}) WHERE price_text <> 'lien he' GROUP BY source",
 )
 def ob11(spark, sf_dir):
-    return onboard.money_paths(_cards(spark, sf_dir))
+    return onboard.money_paths(onboard.page_facts(_cards(spark, sf_dir)))
 
 
 @query("ob12_survey", f"SELECT 'block' AS kind, '.rte' AS what, CAST(count(*) AS BIGINT) AS n, CAST(max(length(name)) AS BIGINT) AS most FROM ({LISTINGS_SQL})")
 def ob12(spark, sf_dir):
-    return onboard.rich_survey(_details(spark, sf_dir))
+    return onboard.rich_survey(onboard.page_facts(_details(spark, sf_dir)))
+
+
+@query(
+    "ob13_facts",
+    f"SELECT 'selector' AS kind, selector AS what, CAST(sum(n) AS BIGINT) AS n FROM (SELECT 'h1' AS selector, len(regexp_extract_all(html, '<h1[ >]')) AS n FROM pages UNION ALL SELECT '.ad', len(regexp_extract_all(html, 'class=\"ad\"')) FROM pages) GROUP BY selector "
+    f"UNION ALL SELECT 'host', host, CAST(count(*) AS BIGINT) FROM ({_LINKS}) GROUP BY host "
+    f"UNION ALL SELECT 'title', {_inner('h1')}, CAST(count(*) AS BIGINT) FROM pages WHERE {_inner('h1')} <> '' GROUP BY 2",
+)
+def ob13(spark, sf_dir):
+    """Hits, links and titles from one written parse of every page."""
+    facts = stage(onboard.page_facts(pages(spark, sf_dir), texts=("h1",), census=("h1", ".ad")), "facts")
+    hits = onboard.selector_census(facts).select(F.lit("selector").alias("kind"), F.col("selector").alias("what"), F.col("n_hits").alias("n"))
+    links = onboard.page_links(facts).groupBy(F.lit("host").alias("kind"), F.col("host").alias("what")).agg(F.count("*").alias("n"))
+    titles = onboard.selector_texts(facts).filter("text <> ''").groupBy(F.lit("title").alias("kind"), F.col("text").alias("what")).agg(F.count("*").alias("n"))
+    return hits.unionByName(links).unionByName(titles)
 
 
 # --- streaming -------------------------------------------------------------------------

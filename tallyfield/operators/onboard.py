@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,37 +69,83 @@ def prefix_census(urls: DataFrame, k: int = 12) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 
 
-def _emit(pages: DataFrame, f: Callable, schema: str) -> DataFrame:
-    """Rows that f(host, url, tree) gives for each page of (host, url, html)."""
-    ship(pages.sparkSession)
-    names = [c.split()[0] for c in schema.split(", ")]
+def _with_path(url: str) -> bool:
+    return bool(dom.urlparse(url).path.strip("/"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [r for host, url, html in zip(batch["host"], batch["url"], batch["html"], strict=True) for r in f(host, url, dom.parse(html))]
-            yield pd.DataFrame(rows, columns=names)
 
-    return pages.select("host", "url", "html").mapInPandas(run, schema)
+def _links_by_selector(root: dom.Node, url: str, selectors: tuple[str, ...]) -> list[tuple]:
+    some = [(k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(selectors)]
+    if max((len(x) for *_, x in some), default=0) < MIN_LINKS:
+        cards: dict[str, int] = {}
+        for _, _, selector in dom.card_selectors(root):
+            cards[selector] = cards.get(selector, 0) + 1
+        best = sorted(cards, key=lambda s: -cards[s])[:3]
+        dom.prepare(root, best)
+        some += [(len(selectors) + k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(best)]
+    return [(k, s, len(x), x) for k, s, x in some]
+
+
+def _marks(root: dom.Node) -> Iterator[tuple]:
+    for holder in dom.image_holders(root):
+        yield "image", holder, 1
+    for node in dom.select(root, _TITLES):
+        text = dom.text_of(node)
+        if text and len(text) < 90:
+            yield "heading", text, len(text)
+    for s in BLOCK_SELECTORS:
+        if (node := dom.first(root, s)) is not None:
+            yield "block", s, len(dom.text_of(node))
+
+
+_TITLES = "h2, h3, h4, strong, b"
+#: Of a page: links by selector, first texts and hits of selectors, cards around prices, paths of prices, what a rich survey counts.
+FACTS = (
+    "host string, url string, links array<struct<place: int, selector: string, n: long, links: array<string>>>, texts array<struct<selector: string, text: string>>, "
+    "hits array<struct<selector: string, n: long, text: string>>, cards array<struct<container: string, link: string, selector: string>>, "
+    "money array<string>, marks array<struct<kind: string, what: string, size: long>>, hrefs array<string>"
+)
 
 
-def _with_path(url: str) -> bool:
-    return bool(dom.urlparse(url).path.strip("/"))
+def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PRICE_SELECTORS + DESCRIPTION_SELECTORS, census=()) -> DataFrame:
+    """FACTS of each page of (host, url, html): one parse, and one walk for all selectors, whatever is asked of them later."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    ship(pages.sparkSession)
+    schema = to_arrow_schema(StructType.fromDDL(FACTS))
+    links, texts, census = tuple(links), tuple(dict.fromkeys(texts)), tuple(dict.fromkeys(census))
+    every = (*links, *texts, *census, *BLOCK_SELECTORS, _TITLES, "img", "a[href]", "a")
+
+    def of_page(host: str, url: str, html: str | None) -> tuple:
+        root = dom.parse(html)
+        dom.prepare(root, every)
+        some = [(s, dom.text_of(n)) for s in texts if (n := dom.first(root, s)) is not None]
+        counts = [(s, len(found), dom.text_of(found[0])[:80]) for s in census if (found := dom.select(root, s))]
+        return host, url, _links_by_selector(root, url, links), some, counts, dom.card_selectors(root), dom.money_paths(root), list(_marks(root)), dom.links(root, url, "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                rows = [of_page(*x) for x in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True)]
+                columns = []
+                for values, kind in zip(zip(*rows, strict=True), schema.types, strict=True):
+                    if pa.types.is_list(kind) and pa.types.is_struct(kind.value_type):
+                        names = [kind.value_type.field(i).name for i in range(kind.value_type.num_fields)]
+                        values = [[dict(zip(names, x, strict=True)) for x in cell] for cell in values]
+                    columns.append(pa.array(values, kind))
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
+    return pages.select("host", "url", "html").mapInArrow(run, FACTS)
 
-def selector_links(pages: DataFrame, selectors=LINK_SELECTORS) -> DataFrame:
-    """(host, url, place, selector, n, links): links with a path that each selector finds on each listing page, in page order."""
 
-    def f(host, url, root):
-        some = [(k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(selectors)]
-        if max((len(x) for *_, x in some), default=0) < MIN_LINKS:
-            cards: dict[str, int] = {}
-            for _, _, selector in dom.card_selectors(root):
-                cards[selector] = cards.get(selector, 0) + 1
-            best = sorted(cards, key=lambda s: -cards[s])[:3]
-            some += [(len(selectors) + k, s, list(filter(_with_path, dom.links(root, url, s)))) for k, s in enumerate(best)]
-        return [(host, url, k, s, len(x), x) for k, s, x in some]
+def page_links(facts: DataFrame) -> DataFrame:
+    """(host, page_url, pos, link): the distinct web addresses of a page's links, in page order."""
+    return facts.select("host", F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "link"))
 
-    return _emit(pages, f, "host string, url string, place int, selector string, n long, links array<string>")
+
+def selector_links(facts: DataFrame) -> DataFrame:
+    """(host, url, place, selector, n, links): links with a path that each selector finds on each listing page, in page order."""
+    return facts.select("host", "url", F.inline("links"))
 
 
 def best_link_selector(counts: DataFrame) -> DataFrame:
@@ -117,19 +163,15 @@ def sampled_pages(candidates: DataFrame, links: DataFrame, pages: DataFrame, tri
     return chosen.join(pages.select("url", "html"), "url").select("host", "category", "rank", "url", "html")
 
 
-def card_census(pages: DataFrame) -> DataFrame:
+def card_census(facts: DataFrame) -> DataFrame:
     """(container, link, selector, n) over all pages, most common first."""
-    rows = _emit(pages, lambda host, url, root: dom.card_selectors(root), "container string, link string, selector string")
+    rows = facts.select(F.inline("cards"))
     return rows.groupBy("container", "link", "selector").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "container", "link")
 
 
-def selector_texts(pages: DataFrame, selectors=NAME_SELECTORS + PRICE_SELECTORS + DESCRIPTION_SELECTORS) -> DataFrame:
+def selector_texts(facts: DataFrame) -> DataFrame:
     """(host, url, selector, text) of the first element of each selector that a page has."""
-
-    def f(host, url, root):
-        return [(host, url, s, dom.text_of(n)) for s in dict.fromkeys(selectors) if (n := dom.first(root, s)) is not None]
-
-    return _emit(pages, f, "host string, url string, selector string, text string")
+    return facts.select("host", "url", F.inline("texts"))
 
 
 def product_selectors(samples: DataFrame) -> DataFrame:
@@ -138,7 +180,7 @@ def product_selectors(samples: DataFrame) -> DataFrame:
     samples: of sampled_pages.  The name differs on every page; the price with most hits covers 60 %; two pages at least."""
     key = ["host", "category", "rank"]
     n_pages = samples.groupBy(*key).agg(F.count_distinct("url").alias("n_pages")).filter("n_pages >= 2")
-    texts = selector_texts(samples.select("host", "url", "html").dropDuplicates(["host", "url"]))
+    texts = selector_texts(page_facts(samples.select("host", "url", "html").dropDuplicates(["host", "url"]), links=()))
     rows = samples.select(*key, "url").join(texts, ["host", "url"]).groupBy(*key, "selector").agg(
         F.count_distinct("text").alias("n_texts"),
         F.count_if((F.length("text") > 2) & (F.length("text") < 200)).alias("n_fit"),
@@ -184,35 +226,19 @@ def priced_ratio(samples: DataFrame, price_text: str = "price_text", k: int = 8)
     return some.groupBy("listing").agg(F.count("*").alias("n"), F.count_if(ok).alias("n_priced"), F.avg(ok.cast("double")).alias("ratio"))
 
 
-def selector_census(pages: DataFrame, selectors) -> DataFrame:
+def selector_census(facts: DataFrame) -> DataFrame:
     """(selector, n_hits, n_pages, sample): over all pages, with the text of the first by address."""
-
-    def f(host, url, root):
-        return [(url, s, len(found), dom.text_of(found[0])[:80]) for s in selectors if (found := dom.select(root, s))]
-
-    rows = _emit(pages, f, "url string, selector string, n long, text string")
+    rows = facts.select("url", F.inline("hits"))
     return rows.groupBy("selector").agg(F.sum("n").alias("n_hits"), F.count("*").alias("n_pages"), F.min_by("text", "url").alias("sample"))
 
 
-def money_paths(pages: DataFrame) -> DataFrame:
-    rows = _emit(pages, lambda host, url, root: [(host, p) for p in dom.money_paths(root)], "host string, path string")
+def money_paths(facts: DataFrame) -> DataFrame:
+    rows = facts.select("host", F.explode("money").alias("path"))
     return rows.groupBy("host", "path").agg(F.count("*").alias("n_pages"))
 
 
-def rich_survey(pages: DataFrame) -> DataFrame:
+def rich_survey(facts: DataFrame) -> DataFrame:
     """(kind, what, n, most): image holders, headings on a topic, and lengths of content blocks."""
-
-    def f(host, url, root):
-        for holder in dom.image_holders(root):
-            yield "image", holder, 1
-        for node in dom.select(root, "h2, h3, h4, strong, b"):
-            text = dom.text_of(node)
-            if text and len(text) < 90:
-                yield "heading", text, len(text)
-        for s in BLOCK_SELECTORS:
-            if (node := dom.first(root, s)) is not None:
-                yield "block", s, len(dom.text_of(node))
-
-    rows = _emit(pages, f, "kind string, what string, size long")
+    rows = facts.select(F.inline("marks"))
     rows = rows.filter((F.col("kind") != "heading") | F.col("what").rlike(f"(?iu){TOPICS}"))
     return rows.groupBy("kind", "what").agg(F.count("*").alias("n"), F.max("size").alias("most"))

@@ -60,7 +60,7 @@ def test_videos(spark):
 
 def site_of(spark, categories, details):
     pages = spark.createDataFrame(categories, "host string, url string, html string")
-    links = onboard.best_link_selector(onboard.selector_links(pages))
+    links = onboard.best_link_selector(onboard.selector_links(onboard.page_facts(pages)))
     fetched = spark.createDataFrame(details, "url string, html string")
     candidates = onboard.category_candidates(pages)
     found = onboard.product_selectors(onboard.sampled_pages(candidates, links, fetched))
@@ -90,6 +90,25 @@ def test_site_takes_the_first_category_that_can_be_read(spark):
     assert sites.first().list_urls == ["https://s.vn/phan-b", "https://s.vn/phan", "https://s.vn/phan-cc"]
 
 
+def test_all_onboarding_facts_of_one_parse(spark):
+    html = '<div class="card"><a class="n" href="/phan">NPK</a> <b>Thành phần</b><img src="x.jpg"><p class="price">10.000 đ</p></div><a href="#x">y</a>'
+    pages = spark.createDataFrame([("h", "https://h/l", html), ("h", "https://h/m", None)], "host string, url string, html string")
+    facts = onboard.page_facts(pages, links=("a",), texts=("b", "i"), census=("p", "a", "i"))
+    assert [(r.url, r.selector, r.n, r.links) for r in onboard.selector_links(facts).collect()][:2] == [("https://h/l", "a", 1, ["https://h/phan"]), ("https://h/l", "a.n", 1, ["https://h/phan"])]
+    assert [tuple(r) for r in onboard.selector_texts(facts).collect()] == [("h", "https://h/l", "b", "Thành phần")]
+    assert {(r.selector, r.n_hits, r["sample"]) for r in onboard.selector_census(facts).collect()} == {("p", 1, "10.000 đ"), ("a", 2, "NPK")}
+    assert [tuple(r) for r in onboard.card_census(facts).collect()] == [(".card", "a.n", "a.n", 1)]
+    assert [tuple(r) for r in onboard.money_paths(facts).collect()] == [("h", "p.price < div.card", 1)]
+    assert {tuple(r) for r in onboard.rich_survey(facts).collect()} == {("image", ".card", 1, 1), ("heading", "Thành phần", 1, 10)}
+    assert [tuple(r) for r in onboard.page_links(facts).collect()] == [("h", "https://h/l", 0, "https://h/phan")]
+
+
+def test_misnested_sections(spark):
+    html = "<h1>n</h1><div class=rte><b>Công dụng<p>tăng</b> năng suất</p><table>lề<tr><td>Quy cách<td><i>bao<p>50kg</i></table></div>"
+    (r,) = records(spark, html)
+    assert r.sections == {"cong_dung": "tăng năng suất lề Quy cách bao 50kg"} and r.specs == {"quy_cach": "bao 50kg"}
+
+
 def test_bad_addresses_and_deep_pages(spark):
     html = "<h1>n</h1><img src='http://[x/a.jpg'><img src='/product/b.jpg'><a href='http://[x'>x</a><div class=rte><h3>Công dụng</h3>" + "<b><i>" * 3000 + "deep text" + "</b>" * 9000
     (r,) = records(spark, html)
