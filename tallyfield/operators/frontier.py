@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfield.plans.scratch import stage, unstage
+
 DELAY_SECONDS = 1.5
 AGENT = "*"
 
@@ -18,32 +20,42 @@ def frontier(links: DataFrame, fetches: DataFrame, limit: int | None = None) ->
 
     links: source, listing (number), pos, url; fetches: url, final_url, ok.  Without a limit
     each final url counts once, where it comes first, by aggregation.  With one, at most
-    `limit` fetches of a listing succeed, those that land on known pages included: each
-    source's links are walked in order, holding what was seen and nothing else.
+    `limit` fetches of a listing succeed, those that land on known pages included.
     """
     rows = links.join(fetches, "url").filter("ok").select("source", "listing", "pos", "url", "final_url")
     if limit is None:
         first = F.min(F.struct("listing", "pos", "url")).alias("m")
         return rows.groupBy("source", "final_url").agg(first).select("source", "m.listing", "m.pos", "m.url", "final_url")
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        source, listing, taken, seen = None, None, 0, set()
-        for batch in batches:
-            keep = []
-            for row in batch.itertuples(index=False):
-                if row.source != source:
-                    source, listing, seen = row.source, None, set()
-                if row.listing != listing:
-                    listing, taken = row.listing, 0
-                fetched = taken < limit and row.url not in seen
-                taken += fetched
-                keep.append(fetched and row.final_url not in seen)
-                if keep[-1]:
-                    seen |= {row.url, row.final_url}
-            yield batch[keep]
-
-    in_order = rows.repartition("source").sortWithinPartitions("source", "listing", "pos", "url")
-    return in_order.mapInPandas(walk, rows.schema)
+    return _limited(rows, limit)
+
+
+def _limited(rows: DataFrame, limit: int) -> DataFrame:
+    """What a source's crawl takes, by rounds over all links at once.
+
+    A link is fetched unless its url is known, and its page is taken unless the final url is;
+    known is what earlier links have taken, and the limit cuts each listing.  A round takes what
+    the round before has taken as known and judges every link anew.  Its verdicts on the first
+    links of a source are right, and with each round those of more; when no verdict changes they
+    are what the links taken one by one would give, since each rests on earlier ones only.  Few
+    links wait for long chains of others, so rounds are few.  Keys are urls and listings: a
+    source's links are spread over tasks, and a listing is one page's links."""
+    order = F.struct("listing", "pos", "url")
+    key = ["source", "listing", "pos", "url"]
+    within = Window.partitionBy("source", "listing").orderBy("pos", "url").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    now = stage(rows.withColumns({"kept": F.lit(True), "was": F.lit(False)}), "frontier")
+    while not now.filter("kept <> was").isEmpty():
+        entered = now.filter("kept").select("source", order.alias("at"), F.explode(F.array_distinct(F.array("url", "final_url"))).alias("known"))
+        first = stage(entered.groupBy("source", "known").agg(F.min("at").alias("first")), "known")
+        by_url = first.select("source", F.col("known").alias("url"), F.col("first").alias("url_first"))
+        by_final = first.select("source", F.col("known").alias("final_url"), F.col("first").alias("final_first"))
+        judged = now.select(*key, "final_url", F.col("kept").alias("was")).join(by_url, ["source", "url"], "left").join(by_final, ["source", "final_url"], "left")
+        fetched = F.coalesce(F.col("url_first") >= order, F.lit(True))
+        judged = judged.withColumn("fetched", fetched).withColumn("n", F.sum(F.col("fetched").cast("int")).over(within))
+        kept = F.col("fetched") & (F.col("n") <= limit) & F.coalesce(F.col("final_first") >= order, F.lit(True))
+        old, now = now, stage(judged.select(*key, "final_url", kept.alias("kept"), "was"), "frontier")
+        unstage(old)
+        unstage(first)
+    return now.filter("kept").select(*key, "final_url")
 
 
 def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT, delay: float = DELAY_SECONDS) -> DataFrame:

@@ -186,6 +186,36 @@ def test_frontier_limit_counts_redirects(spark):
     assert sorted(r.final_url for r in frontier.frontier(links, fetches).collect()) == ["A", "D", "E"]
 
 
+def crawl(links, fetches, limit):
+    """The rule, link by link."""
+    out, seen, taken = [], {}, {}
+    for source, listing, pos, url in sorted(links):
+        known = seen.setdefault(source, set())
+        final, ok = fetches.get(url, (None, False))
+        if not ok or taken.get((source, listing), 0) >= limit or url in known:
+            continue
+        taken[source, listing] = taken.get((source, listing), 0) + 1
+        if final not in known:
+            known |= {url, final}
+            out.append((source, listing, pos, url, final))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, limit", [(1, 2), (2, 3), (3, 1), (4, 50)])
+def test_limited_frontier_equals_the_walk(spark, seed, limit):
+    """Listings that overlap, with redirects to other links of the same and of earlier listings, and chains of them."""
+    r = random.Random(seed)
+    urls = [f"u{k}" for k in range(40)]
+    fetches = {u: (u if r.random() < 0.5 else r.choice(urls), r.random() < 0.9) for u in urls}
+    fetches |= {f"c{k}": (f"c{k + 1}", True) for k in range(12)}
+    links = [(f"s{s}", n, pos, u) for s in range(3) for n in range(5) for pos, u in enumerate(r.sample(urls, r.randrange(4, 14)))]
+    links += [("s9", 0, k, f"c{k}") for k in range(12)]
+    df = spark.createDataFrame(links, "source string, listing int, pos int, url string")
+    got = frontier.frontier(df, spark.createDataFrame([(u, *x) for u, x in fetches.items()], "url string, final_url string, ok boolean"), limit)
+    assert sorted(map(tuple, got.collect())) == crawl(links, fetches, limit)
+    assert frontier.frontier(df.filter("false"), spark.createDataFrame([], "url string, final_url string, ok boolean"), limit).collect() == []
+
+
 def test_robots_and_admission(spark):
     urls = spark.createDataFrame([("h", "https://h/p"), ("h", "https://h/q"), ("i", "https://i/p")], "host string, url string")
     robots = spark.createDataFrame([("h", "User-agent: *\nDisallow: /p\nCrawl-delay: 9")], "host string, robots_txt string")
