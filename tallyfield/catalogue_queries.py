@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.functions import text as T
-from tallyfield.operators import cluster, compare, extract, frontier, merge, onboard, payload, reports, sitemaps, upsert
+from tallyfield.operators import cluster, commits, compare, extract, frontier, merge, onboard, payload, reports, sitemaps, upsert
 from tallyfield.plans.scratch import scratch_path, stage
 from tallyfield.plans.views import CATALOGUE_SQL, CRAWLS_SQL, LISTINGS_SQL, catalogue, crawls, listings, table
 from tallyfield.sources import products as tables
@@ -196,6 +196,32 @@ def io3(spark, sf_dir):
     return upsert.copy_counts(rows.filter("source = 'click'"), rows.filter("source <> 'click'"))
 
 
+@query("io2_committed", f"SELECT seq, url, source, price FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS k FROM ({CRAWLS_SQL})) WHERE k = 1")
+def io2_committed(spark, sf_dir):
+    """The table on disk after four batches; one of them comes twice and has no effect."""
+    rows, path = crawls(spark, sf_dir).select("seq", "url", "source", "price"), scratch_path(spark, "catalogue")
+    cuts = rows.agg(F.percentile_approx("seq", [0.25, 0.5, 0.75])).first()[0]
+    part = F.lit(0)
+    for cut in cuts:
+        part = part + (F.col("seq") > cut).cast("int")
+    for n in (0, 1, 1, 2, 3):
+        commits.commit(rows.filter(part == n), path, batch=("crawl", n), counts=False)
+    return commits.read(spark, path)
+
+
+@query(
+    "io3_committed",
+    f"WITH s AS (SELECT DISTINCT url FROM ({CRAWLS_SQL}) WHERE source = 'click'), t AS (SELECT DISTINCT url FROM ({CRAWLS_SQL}) WHERE source <> 'click') "
+    "SELECT (SELECT count(*) FROM t) AS before, (SELECT count(*) FROM s) AS pushed, (SELECT count(*) FROM (SELECT url FROM s UNION SELECT url FROM t)) AS after",
+)
+def io3_committed(spark, sf_dir):
+    """The counts that the commit of one table's rows into another gives."""
+    rows, path = crawls(spark, sf_dir), scratch_path(spark, "catalogue")
+    base = commits.commit(rows.filter("source <> 'click'"), path)["version"]
+    done = commits.commit(rows.filter("source = 'click'"), path, base=base)
+    return spark.createDataFrame([tuple(done[c] for c in ("before", "pushed", "after"))], "before long, pushed long, after long")
+
+
 @query("io4_sites", "SELECT s_name AS name, concat('platform', CAST(s_nationkey % 3 AS VARCHAR)) AS platform, concat('https://shop', CAST(s_suppkey AS VARCHAR), '.example/phan') AS list_url, '.price' AS price_selector FROM supplier WHERE s_nationkey % 4 <> 0")
 def io4(spark, sf_dir):
     """Enabled sites of a configuration file written from the suppliers; a third say nothing about it."""

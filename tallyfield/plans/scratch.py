@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -50,3 +51,28 @@ def unstage(staged: DataFrame) -> None:
     """Delete what `stage` wrote for a table that nothing will read again."""
     for folder in {x.rsplit("/", 1)[0] for x in staged.inputFiles()}:
         remove(staged.sparkSession, folder)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it doesn't exist."""
+    files, at = _file_system(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(at)] if files.exists(at) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place as a whole; False if there is one already."""
+    files, at = _file_system(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(aside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    never = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(aside, at, never)  # refuses to replace
+    except Py4JJavaError as error:
+        files.delete(aside, False)
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    return True

@@ -1,71 +1,20 @@
-"""Continuous upsert of arriving listings by key.
-
-The table is dealt by key into buckets.  A micro-batch rewrites the buckets that it touches
-and no others, so its cost follows the batch, not the table.  A manifest names the version
-of each bucket; it is written last, so a reader sees whole batches, and batch n is always
-merged into what stood before it, so a batch that is run again gives the same table.
-Versions that neither the table nor such a batch can need are deleted.
-"""
+"""Continuous upsert of arriving listings by key: each micro-batch is one commit."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyfield.plans.scratch import exists, remove
-
-BUCKETS = 64
-
-
-def newest(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The row of each key that is last in order; an older row never replaces a newer one."""
-    rest = [c for c in rows.columns if c != key]
-    picked = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
-    return picked.select(key, "r.*").select(*rows.columns)
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def _manifest(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
-    """The version of each bucket after the last batch (before a given one); a row for each bucket."""
-    if not exists(spark, f"{path}/manifest"):
-        return {}
-    rows = spark.read.schema("batch long, bucket int, version long").json(f"{path}/manifest/*")
-    rows = rows if before is None else rows.filter(F.col("batch") < before)
-    return {r.bucket: r.version for r in rows.groupBy("bucket").agg(F.max_by("version", "batch").alias("version")).collect()}
-
+from tallyfield.operators import commits
 
-def _folder(path: str, version: int, bucket: int) -> str:
-    return f"{path}/rows/v{version}/bucket={bucket}"
+WRITER = "stream"
 
 
-def start_upserts(
-    stream: DataFrame, path: str, checkpoint: str, key: str = "url", order: tuple[str, ...] = ("crawled_at", "seq"), once: bool = False, buckets: int = BUCKETS
-) -> StreamingQuery:
-    """Keep under path the newest row of each key; `buckets` stays what it was when the table began."""
+def start_upserts(stream: DataFrame, path: str, checkpoint: str, key: str = "url", order: tuple[str, ...] = ("crawled_at", "seq"), once: bool = False) -> StreamingQuery:
+    """Keep under path the newest row of each key; an older row never replaces a newer one, and a batch that is run again changes nothing."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumn("bucket", _bucket(key, buckets))
-        touched = sorted(r.bucket for r in rows.select("bucket").distinct().collect())  # `buckets` at most
-        base = _manifest(spark, path, number)
-        old = [_folder(path, base[b], b) for b in touched if b in base]
-        if old:
-            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(*old).withColumn("bucket", _bucket(key, buckets)))
-        if touched:
-            newest(rows, key, list(order)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows/v{number}")
-        now = base | dict.fromkeys(touched, number)
-        state = spark.createDataFrame([(number, b, v) for b, v in now.items()], "batch long, bucket int, version long")
-        state.coalesce(1).write.mode("overwrite").json(f"{path}/manifest/{number}")
-        # the batch before last can't run again: what it read, and what the last one replaced of it, is done with
-        past = _manifest(spark, path, number - 1)
-        for b, version in past.items():
-            if base.get(b) != version:
-                remove(spark, _folder(path, version, b))
-        remove(spark, f"{path}/manifest/{number - 2}")
+        commits.commit(batch, path, key, order, newest=True, batch=(WRITER, number), counts=False)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -73,7 +22,4 @@ def start_upserts(
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The table after the last whole batch."""
-    now = _manifest(spark, path)
-    if not now:
-        raise ValueError("the stream hasn't had a batch yet")
-    return spark.read.parquet(*(_folder(path, v, b) for b, v in sorted(now.items())))
+    return commits.read(spark, path)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.functions import text as T
-from tallyfield.operators import cluster, compare, frontier, merge, payload, upsert
+from tallyfield.operators import cluster, commits, compare, frontier, merge, payload, upsert
 from tallyfield.operators.graph import components
 from tallyfield.sources import products as tables
 from tallyfield.streaming import upserts
@@ -252,14 +252,91 @@ def test_stream_state_does_not_depend_on_batches(spark, tmp_path, files):
     assert arrive(spark, tmp_path, []) == [("u", 4.0), ("v", 3.0)]
 
 
-def test_stream_rewrites_touched_buckets_only_and_goes_on_after_a_stop(spark, tmp_path):
+def test_stream_goes_on_after_a_stop(spark, tmp_path):
     first = [(f"u{k}", "2024-01-01", k, float(k)) for k in range(4)]
-    table = arrive(spark, tmp_path, first, buckets=4)
+    table = arrive(spark, tmp_path, first)
     assert table == [(r[0], r[3]) for r in first]
-    more = [("u1", "2024-01-02", 9, 11.0), ("u1", "2024-01-03", 10, 12.0), ("w", "2024-01-01", 11, 13.0)]
-    assert arrive(spark, tmp_path, more, buckets=4) == sorted({**dict(table), "u1": 12.0, "w": 13.0}.items())
-    now = upserts._manifest(spark, f"{tmp_path}/out")
-    kept = sorted(p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out" / "rows").glob("v*/bucket=*"))
-    before = upserts._manifest(spark, f"{tmp_path}/out", max(now.values()))
-    assert set(kept) == {f"rows/v{v}/bucket={b}" for m in (now, before) for b, v in m.items()} and len(set(now.values())) > 1
-    assert len(list((tmp_path / "out" / "manifest").iterdir())) <= 3
+    more = [("u1", "2024-01-02", 9, 11.0), ("u1", "2024-01-03", 10, 12.0), ("w", "2024-01-01", 11, 13.0), ("u2", "2023-01-01", 99, 0.0)]
+    assert arrive(spark, tmp_path, more) == sorted({**dict(table), "u1": 12.0, "w": 13.0}.items())
+    assert commits.state(spark, f"{tmp_path}/out")["done"] == {"stream": 7}
+
+
+ROWS = "url string, seq long, price double"
+
+
+def put(spark, path, rows, **how):
+    return commits.commit(spark.createDataFrame(rows, ROWS), path, **how)
+
+
+def held(spark, path):
+    return sorted((r.url, r.seq, r.price) for r in commits.read(spark, path).collect())
+
+
+def test_commits_count_and_replace(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with pytest.raises(ValueError, match="nothing"):
+        commits.read(spark, path)
+    one = put(spark, path, [("a", 1, 1.0), ("a", 2, 2.0), ("b", 9, 3.0)])
+    assert (one["version"], one["before"], one["pushed"], one["after"]) == (1, 0, 2, 2)
+    two = put(spark, path, [("b", 1, None), ("c", 1, 5.0)], base=1)
+    assert (two["before"], two["pushed"], two["after"]) == (2, 2, 3) and held(spark, path) == [("a", 2, 2.0), ("b", 1, None), ("c", 1, 5.0)]
+    assert put(spark, path, [])["after"] == 3 and len(held(spark, path)) == 3
+
+
+def test_stale_and_repeated_batches(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    put(spark, path, [("a", 1, 1.0)], batch=("w", 4))
+    with pytest.raises(commits.StaleBase):
+        put(spark, path, [("a", 2, 2.0)], base=0)
+    assert put(spark, path, [("a", 3, 3.0)], batch=("w", 4))["version"] == 1 == put(spark, path, [("a", 3, 3.0)], batch=("w", 3))["version"]
+    assert held(spark, path) == [("a", 1, 1.0)]
+    # another writer takes the version while this one writes its rows
+    rows = spark.createDataFrame([("a", 5, 5.0)], ROWS)
+    real = commits.write_once
+
+    def late(session, where, text):
+        commits.write_once = real
+        put(spark, path, [("z", 1, 1.0)])
+        return real(session, where, text)
+
+    commits.write_once = late
+    try:
+        with pytest.raises(commits.StaleBase, match="another"):
+            commits.commit(rows, path)
+    finally:
+        commits.write_once = real
+    assert held(spark, path) == [("a", 1, 1.0), ("z", 1, 1.0)]
+
+
+def test_killed_batches_leave_the_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    put(spark, path, [("a", 1, 1.0)])
+    dies = spark.createDataFrame([("b", 1, 1.0)], ROWS).withColumn("price", F.raise_error(F.lit("killed")).cast("double"))
+    with pytest.raises(Exception, match="killed"):
+        commits.commit(dies, path)
+    assert held(spark, path) == [("a", 1, 1.0)] and commits.state(spark, path)["version"] == 1
+
+
+@pytest.mark.parametrize("newest", [False, True])
+def test_what_a_batch_writes_follows_the_batch(spark, tmp_path, newest):
+    path, want, r = f"{tmp_path}/t", {}, random.Random(7)
+    put(spark, path, [(f"k{k}", 1, 0.0) for k in range(5000)], newest=newest)
+    want = {f"k{k}": (1, 0.0) for k in range(5000)}
+    large = commits.state(spark, path)["parts"][0]["folder"]
+    for n in range(2, 14):
+        rows = [(f"k{r.randrange(6000)}", r.randrange(10), float(n)) for _ in range(10)]
+        put(spark, path, rows, newest=newest, counts=False)
+        last = {}
+        for url, seq, price in rows:
+            if url not in last or (seq, price) >= last[url]:
+                last[url] = (seq, price)
+        for url, x in last.items():
+            if not newest or url not in want or x[0] >= want[url][0]:
+                want[url] = x
+    now = commits.state(spark, path)
+    assert now["parts"][0]["folder"] == large and len(now["parts"]) <= 5 and sum(p["rows"] for p in now["parts"][1:]) <= 120
+    got = {u: (s, p) for u, s, p in held(spark, path)}
+    assert got.keys() == want.keys() and all(got[u][0] == want[u][0] for u in want)
+    assert len(list((tmp_path / "t" / "parts").iterdir())) <= 2 * len(now["parts"]) + 4
+    put(spark, path, [(f"k{k}", 99, 1.0) for k in range(4000)], newest=newest)
+    assert len(commits.state(spark, path)["parts"]) == 1 and sum(p == 1.0 for _, _, p in held(spark, path)) == 4000
