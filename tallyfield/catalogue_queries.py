@@ -178,6 +178,29 @@ def io1(spark, sf_dir):
     return whole.select("item_id", "source", "url", "name", "price", "npk", "rating")
 
 
+_AGE = "item_id % 4"
+
+
+@query(
+    "io1_generations",
+    f"SELECT item_id, source, name, CASE WHEN {_AGE} = 0 THEN CAST(floor(price) AS DOUBLE) ELSE price END AS price, CASE WHEN {_AGE} > 0 THEN sku END AS sku, "
+    f"CASE WHEN {_AGE} IN (1, 2) AND item_id % 3 = 0 OR {_AGE} = 0 THEN NULL ELSE CAST(stock_qty AS INTEGER) END AS stock_qty, "
+    f"CAST(CASE WHEN {_AGE} IN (1, 2) THEN nullif(n_images, 0) WHEN {_AGE} = 3 THEN n_images END AS INTEGER) AS n_images, CAST(CASE WHEN {_AGE} > 0 AND review_count > 0 THEN review_count END AS INTEGER) AS n_reviews, "
+    f"CASE WHEN {_AGE} IN (1, 2) THEN '2024-01-02' WHEN {_AGE} = 3 THEN '2025-01-02' END AS day FROM ({CATALOGUE_SQL})",
+)
+def io1_generations(spark, sf_dir):
+    """Folders of three releases, read together: whole prices and few columns; texts for lists, counts and times; today's types."""
+    rows, path = catalogue(spark, sf_dir), scratch_path(spark, "generations")
+    old = rows.filter(f"{_AGE} = 0").select(F.col("item_id").cast("int").alias("item_id"), "source", "url", "name", F.floor("price").cast("int").alias("price"), F.lit(1).alias("retired"))
+    said = F.when(F.col("item_id") % 3 == 0, "many").otherwise(F.col("stock_qty").cast("string"))
+    middle = rows.filter(f"{_AGE} in (1, 2)").select("item_id", "source", "url", "name", "price", "sku", "images", "reviews", said.alias("stock_qty"), F.lit("2024-01-02 03:04:05").alias("crawled_at"))
+    now = rows.filter(f"{_AGE} = 3").withColumn("crawled_at", F.lit("2025-01-02 03:04:05").cast("timestamp"))
+    for name, generation in (("v1", old), ("v2", tables.to_json_text(middle)), ("v3", tables.conformed(now))):
+        generation.write.parquet(f"{path}/{name}")
+    found = tables.read_generations(spark, path)
+    return found.select("item_id", "source", "name", "price", "sku", "stock_qty", F.size("images").alias("n_images"), F.size("reviews").alias("n_reviews"), F.date_format("crawled_at", "yyyy-MM-dd").alias("day"))
+
+
 @query("io2_upsert", f"SELECT seq, url, source, price FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq DESC) AS k FROM ({CRAWLS_SQL})) WHERE k = 1")
 def io2(spark, sf_dir):
     rows = crawls(spark, sf_dir).select("seq", "url", "source", "price")
@@ -230,8 +253,8 @@ def io4(spark, sf_dir):
         "array(concat('https://shop', s_suppkey, '.example/phan')) as list_urls", "map('price', '.price') as selectors",
     )
     path = scratch_path(spark, "sites")
-    rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns)))).coalesce(1).write.text(path)  # one list, as the file has it
-    return tables.read_sites(spark, path).select("name", "platform", F.get("list_urls", 0).alias("list_url"), F.element_at("selectors", "price").alias("price_selector"))
+    rows.write.json(path)
+    return tables.read_sites(spark, path, lines=True).select("name", "platform", F.get("list_urls", 0).alias("list_url"), F.element_at("selectors", "price").alias("price_selector"))
 
 
 @query(
@@ -476,6 +499,22 @@ def mg3(spark, sf_dir):
     return merge.site_platforms(rows)
 
 
+@query(
+    "mg3_first_product",
+    "SELECT source, arg_min(CASE item_id % 4 WHEN 0 THEN 'haravan' WHEN 1 THEN 'woocommerce' WHEN 2 THEN 'jsonld' ELSE 'html' END, item_id) AS platform "
+    f"FROM ({LISTINGS_SQL}) WHERE item_id % 5 > 2 AND name <> '' GROUP BY source",
+)
+def mg3_first(spark, sf_dir):
+    """The platform of each shop by its first page that yields a product; most first pages have no name, and other marks."""
+    rows, k = listings(spark, sf_dir), F.col("item_id") % 4
+    mark = F.when(k == 0, '<script src="//hstatic.net/x.js"></script>').when(k == 1, '<link href="/plugins/woocommerce/a.css">').when(k == 2, '<script type="application/ld+json">{"@type": "Product"}</script>').otherwise("")
+    html = F.concat(mark, F.lit("<h1>"), F.when(F.col("item_id") % 5 > 2, F.col("name")).otherwise(" "), F.lit("</h1>"))
+    pages_ = rows.select("url", F.lit("").alias("source"), html.alias("html"))
+    found = extract.products(extract.page_facts(pages_, {"": {"name": "h1"}})).select("url", F.lit(True).alias("found"))
+    seen = rows.select("source", F.col("item_id").alias("seq"), "url", html.alias("html")).join(found, "url", "left")
+    return merge.site_platforms(seen.withColumn("is_product", F.coalesce("found", F.lit(False))))
+
+
 def _frontier_rows(spark, sf_dir):
     rows = page_links(spark, sf_dir).join(table(spark, sf_dir, "pages").select(F.col("url").alias("page_url"), "page_id"), "page_url")
     links = rows.select(F.col("host").alias("source"), F.col("page_id").alias("listing"), "pos", F.col("link").alias("url"))
@@ -520,6 +559,12 @@ def fr3(spark, sf_dir):
     return frontier.fetch_counts(rows)
 
 
+@query("fr3_save_fetches", ORACLES["fr3_admission"])
+def fr3_save(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").selectExpr("url", "if(page_id % 7 = 0, 404, 200) as status", "if(page_id % 5 = 0, 'image/png', 'text/html; charset=utf-8') as content_type", "page_id % 11 <> 0 as allowed")
+    return frontier.save_fetches(rows, scratch_path(spark, "fetches"))
+
+
 @query(
     "fr4_fresh_links",
     f"WITH o AS (SELECT DISTINCT host AS listing, page_id % 5 AS page, link FROM ({_LINKS})), m AS (SELECT listing, link, min(page) AS page FROM o GROUP BY listing, link), "
@@ -565,6 +610,14 @@ def rd2(spark, sf_dir):
     return reports.run_summary(sites, rows.filter("price is not null and source <> 'shop1'"), sites.filter("source = 'shop1'"))
 
 
+@query("rd2_save_run", ORACLES["rd2_run_summary"])
+def rd2_save(spark, sf_dir):
+    """The same summary, counted while the run's rows are saved."""
+    rows = listings(spark, sf_dir)
+    sites = rows.select("source").distinct().union(spark.createDataFrame([("shop99",)], "source string"))
+    return reports.save_run(rows.filter("price is not null and source <> 'shop1'"), scratch_path(spark, "run"), sites, sites.filter("source = 'shop1'"))
+
+
 # --- price comparison ------------------------------------------------------------------
 
 

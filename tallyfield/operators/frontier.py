@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyfield.plans.scratch import stage, unstage
@@ -86,17 +86,32 @@ def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT, delay:
     return rows.mapInPandas(judge, "host string, url string, allowed boolean, delay double")
 
 
+def _is_page() -> Column:
+    kind = F.lower(F.coalesce("content_type", F.lit("")))
+    return F.col("url").rlike(r"^https?://[^/?#]") & (F.col("status") == 200) & (kind.contains("html") | kind.contains("xml"))
+
+
 def admitted(fetches: DataFrame) -> DataFrame:
     """Responses that count as pages: web url with a host, status 200, html or xml."""
-    kind = F.lower(F.coalesce("content_type", F.lit("")))
-    return fetches.filter(F.col("url").rlike(r"^https?://[^/?#]") & (F.col("status") == 200) & (kind.contains("html") | kind.contains("xml")))
+    return fetches.filter(_is_page())
+
+
+def _counts(allowed: str) -> list[Column]:
+    ok, free = F.coalesce(_is_page(), F.lit(False)), F.coalesce(F.col(allowed), F.lit(True))
+    return [F.count_if(free & ok).alias("n_ok"), F.count_if(free & ~ok).alias("n_failed"), F.count_if(~free).alias("n_blocked")]
 
 
 def fetch_counts(fetches: DataFrame, allowed: str = "allowed") -> DataFrame:
-    kind = F.lower(F.coalesce("content_type", F.lit("")))
-    ok = F.coalesce(F.col("url").rlike(r"^https?://[^/?#]") & (F.col("status") == 200) & (kind.contains("html") | kind.contains("xml")), F.lit(False))
+    return fetches.agg(*_counts(allowed))
+
+
+def save_fetches(fetches: DataFrame, path: str, allowed: str = "allowed") -> DataFrame:
+    """Write the pages among allowed fetches and give `fetch_counts` of all, as metrics of the writing job."""
+    seen = Observation()
     free = F.coalesce(F.col(allowed), F.lit(True))
-    return fetches.agg(F.count_if(free & ok).alias("n_ok"), F.count_if(free & ~ok).alias("n_failed"), F.count_if(~free).alias("n_blocked"))
+    admitted(fetches.observe(seen, *_counts(allowed)).filter(free)).write.mode("overwrite").parquet(path)
+    names = ("n_ok", "n_failed", "n_blocked")
+    return fetches.sparkSession.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
 def fresh_links(links: DataFrame) -> DataFrame:

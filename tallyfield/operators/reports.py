@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # The section keys that coverage counts.
@@ -131,3 +131,25 @@ def run_summary(sites: DataFrame, saved: DataFrame, failed: DataFrame) -> DataFr
 def run_is_empty(summary: DataFrame) -> DataFrame:
     """One row: whether the whole run saved nothing, which is an error."""
     return summary.agg((F.coalesce(F.sum("n_saved"), F.lit(0)) == 0).alias("run_empty"))
+
+
+class NothingSaved(RuntimeError):
+    """A run that saves nothing is broken, not up to date."""
+
+
+def save_run(products: DataFrame, path: str, sites: DataFrame, failed: DataFrame) -> DataFrame:
+    """Write a run's rows and give its `run_summary`, counted by the writing job itself.
+
+    The counts are metrics of the written frame, one for each configured site, so nothing is
+    read again; a row of no such site counts in the total only.  A run without a row raises."""
+    spark = products.sparkSession
+    names = [r.source for r in sites.select("source").distinct().collect()]  # the site configuration
+    bad = {r.source for r in failed.select("source").distinct().collect()}
+    seen = Observation()
+    counts = [F.count_if(F.col("source").eqNullSafe(F.lit(name))).alias(f"n{k}") for k, name in enumerate(names)]
+    products.observe(seen, F.count("*").alias("n"), *counts).write.mode("overwrite").parquet(path)
+    found = seen.get
+    if not found["n"]:
+        raise NothingSaved("no products were saved: selectors are out of date, or the shops refuse this network")
+    rows = [(name, found[f"n{k}"], name in bad, found[f"n{k}"] == 0) for k, name in enumerate(names)]
+    return spark.createDataFrame(rows, "source string, n_saved long, failed boolean, empty boolean")
