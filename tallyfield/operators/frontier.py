@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from urllib.robotparser import RobotFileParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -58,32 +54,53 @@ def _limited(rows: DataFrame, limit: int) -> DataFrame:
     return now.filter("kept").select(*key, "final_url")
 
 
+def _unquoted(x: Column) -> Column:
+    """Percent-decoded; as it stands where that can't be done."""
+    return F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
+
+
+def robots_rules(robots: DataFrame, agent: str = AGENT) -> DataFrame:
+    """(host, rules, crawl_delay): what (host, robots_txt) tells an agent: its rules in order, and its delay.
+
+    Lines that name agents begin an entry, which an empty line ends; rules before any agent, and
+    agents without a rule, count for nothing.  The first entry that names the agent holds, else the
+    first for all.  An entry is told by counts over the file's lines; a host's file is one page."""
+    lines = robots.select("host", F.posexplode(F.split("robots_txt", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")).alias("n", "line"))
+    body = F.btrim(F.regexp_replace("line", "(?s)#.*$", ""), F.lit(" \t"))
+    named = F.lower(F.btrim(F.split_part(body, F.lit(":"), F.lit(1)), F.lit(" \t")))
+    value = _unquoted(F.btrim(F.regexp_replace(body, "(?s)^[^:]*:", ""), F.lit(" \t")))
+    field = F.when(F.col("line") == "", "end").when(body.contains(":"), named)
+    kind = F.when(field == "user-agent", "agent").when(field == "end", "end").when(field.isin("allow", "disallow", "crawl-delay", "request-rate"), "rule")
+    events = lines.select("host", "n", kind.alias("kind"), field.alias("field"), value.alias("value")).filter("kind is not null")
+    file = Window.partitionBy("host").orderBy("n")
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    opens = (F.col("kind") == "agent") & F.coalesce(F.lag("kind").over(file) != "agent", F.lit(True))
+    heard = F.last(F.when(F.col("kind") != "rule", F.col("kind")), ignorenulls=True).over(before)
+    events = events.withColumns({"opens": opens, "heard": heard}).withColumn("entry", F.sum(F.col("opens").cast("int")).over(file))
+    counted = events.filter("kind = 'agent' or kind = 'rule' and heard = 'agent'")
+    is_rule = F.col("field").isin("allow", "disallow")
+    allow = (F.col("field") == "allow") | (F.col("value") == "")
+    rule = F.struct("n", allow.alias("allow"), F.regexp_replace("value", r"\?$", "").alias("path"))
+    entries = counted.groupBy("host", "entry").agg(
+        F.array_sort(F.collect_list(F.when(is_rule, rule))).alias("rules"),
+        F.max_by("value", F.when((F.col("field") == "crawl-delay") & F.col("value").rlike("^[0-9]+$"), F.col("n"))).alias("delay"),
+        F.bool_or(F.col("kind") == "rule").alias("any"),
+        F.bool_or((F.col("kind") == "agent") & (F.col("value") == "*")).alias("for_all"),
+        F.bool_or((F.col("kind") == "agent") & F.lit(agent.split("/")[0].lower()).contains(F.lower("value"))).alias("for_me"),
+    ).filter("any and (for_all or for_me)")
+    chosen = F.min_by(F.struct("rules", "delay"), F.struct("for_all", "entry"))
+    return entries.groupBy("host").agg(chosen.alias("e")).select("host", "e.rules", F.col("e.delay").cast("double").alias("crawl_delay"))
+
+
 def robots_filter(urls: DataFrame, robots: DataFrame, agent: str = AGENT, delay: float = DELAY_SECONDS) -> DataFrame:
-    """(host, url, allowed, delay): a host without rules allows all; delays are never below `delay`.
+    """(host, url, allowed, delay): the first rule that begins a url's path decides; a host without rules allows all; delays are never below `delay`.
 
     Rules are joined to the urls, so a host with many urls is many tasks."""
-
-    def judge(batches):
-        known: dict[str, RobotFileParser] = {}
-        for batch in batches:
-            allowed, delays = [], []
-            for url, text in zip(batch["url"], batch["robots_txt"], strict=True):
-                if text is None:
-                    allowed.append(True)
-                    delays.append(delay)
-                    continue
-                if text not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[text] = RobotFileParser()
-                    known[text].parse(text.splitlines())
-                own = known[text].crawl_delay(agent)
-                allowed.append(known[text].can_fetch(agent, url))
-                delays.append(max(delay, float(own)) if own else delay)
-            yield batch[["host", "url"]].assign(allowed=allowed, delay=delays)
-
-    rows = urls.join(robots.select("host", "robots_txt"), "host", "left").select("host", "url", "robots_txt")
-    return rows.mapInPandas(judge, "host string, url string, allowed boolean, delay double")
+    path = F.regexp_replace(F.regexp_replace(_unquoted(F.col("url")), r"^[A-Za-z][A-Za-z0-9+.-]*:", ""), r"^//[^/?#]*", "")
+    path = F.regexp_replace(F.regexp_replace(path, "#$", ""), r"\?(?=#|$)", "")
+    rows = urls.join(robots_rules(robots, agent), "host", "left").withColumn("path", F.when(path == "", "/").otherwise(path))
+    first = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"])), F.lit(0))
+    return rows.select("host", "url", F.coalesce(first["allow"], F.lit(True)).alias("allowed"), F.greatest(F.lit(delay), F.coalesce("crawl_delay", F.lit(delay))).alias("delay"))
 
 
 def _is_page() -> Column:

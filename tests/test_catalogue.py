@@ -225,6 +225,27 @@ def test_robots_and_admission(spark):
     assert [r.url for r in frontier.admitted(rows).collect()] == ["https://h/a"]
 
 
+@pytest.mark.parametrize("agent", ["*", "CrawlBot/2.0", "other"])
+def test_robots_rules_equal_the_standard_parser(spark, agent):
+    from urllib.robotparser import RobotFileParser
+
+    r = random.Random(agent)
+    line = lambda: r.choice(
+        ["", "", " ", "# note", "User-agent: *", "user-agent : CrawlBot", "User-Agent: bot # x", "User-agent: nobody", "Disallow: /a", "Disallow:", "Allow: /a/b", "disallow: /a%2Fc?", "Allow: *",
+         "Disallow: /q?x=1", "Disallow: /é", "Crawl-delay: 7", "Crawl-delay: 2.5", "Crawl-delay: 1", "Sitemap: s", "nonsense", "Disallow /z", "Request-rate: 1/5", "Disallow: /a+b", "Allow: /%zz"]
+    )
+    texts = {f"h{k}": r.choice(["\n", "\r\n"]).join(line() for _ in range(r.randrange(1, 14))) for k in range(150)}
+    paths = ["", "/", "/a", "/a/b/c", "/a%2fc", "/a/c?d", "/q?x=1&y", "/q?", "/%C3%A9", "/é1", "/a+b", "/a b", "/%zz", "/x#frag", "/x?#"]
+    urls = spark.createDataFrame([(h, f"https://{h}{p}") for h in texts for p in paths], "host string, url string")
+    got = {x.url: (x.allowed, x.delay) for x in frontier.robots_filter(urls, spark.createDataFrame(list(texts.items()), "host string, robots_txt string"), agent).collect()}
+    for host, text in texts.items():
+        judge = RobotFileParser()
+        judge.parse(text.splitlines())
+        delay = max(1.5, float(judge.crawl_delay(agent) or 0))
+        for p in paths:
+            assert got[f"https://{host}{p}"] == (judge.can_fetch(agent, f"https://{host}{p}"), delay), (text, p)
+
+
 def test_tolerant_schema_and_json_text(spark):
     df = tables.with_all_columns(spark.createDataFrame([(1, "u", ["i"])], "item_id long, url string, images array<string>"))
     assert df.schema == tables.PRODUCTS
