@@ -1,13 +1,18 @@
 """Benchmark decontamination by the q-gram lemma (Jokinen and Ukkonen 1991; Rasmussen et al. 2006).
 
 Benchmark texts are normalised (lower case, each run of other than letters and digits one
-blank) and cut into overlapping segments, equal ones taken once.  A stretch of a document
+blank) and cut into segments of SEGMENT characters, one begun every STEP, equal ones taken once.  A stretch of a document
 within k edits of a segment of m characters shares m + 1 - q * (k + 1) q-grams with it, whose
 diagonals lie in a band.  Shared q-grams are counted in overlapping diagonal bands; the
 regions of bands that reach the bound are verified by banded alignment, so each hit is exact.
 Texts too short for that, under SHORT characters when normalised, are sought as they are,
 from word to word.
 
+What is sure to be found: an excerpt of SEGMENT + STEP - 1 = 63 normalised characters holds a
+whole segment, wherever it begins, and so has a stretch of so many with two edits at most (5 % of
+a segment).  Shorter excerpts of longer texts are found where they hold a segment; texts under a
+segment's length are sought whole.  A copy with edits is found if any segment of it has two at most.
+
 Memory follows constants, not the data: the benchmark is indexed in blocks of BLOCK_CHARS,
 long texts of either side go in overlapping pieces, and hits are counted HITS at a time,
 split by segments and then by place.  With one block, documents pass it in one narrow step.
@@ -34,7 +39,7 @@ from pyspark.sql import functions as F
 from . import _shared as S
 
 Q = 12
-SEGMENT = 96
+SEGMENT, STEP = 48, 16
 EDITS_PERCENT = 5
 #: Shorter texts are sought exactly.
 SHORT = 24
@@ -95,7 +100,7 @@ class Index:
                     short.setdefault(n, {}).setdefault(codes.tobytes(), set()).add(item)
                 continue
             m = min(SEGMENT, n)
-            for at in {*range(0, n - m + 1, SEGMENT // 2), n - m}:
+            for at in {*range(0, n - m + 1, STEP), n - m}:
                 owners.setdefault(codes[at : at + m].tobytes(), set()).add(item)
         self.items = [sorted(x) for x in owners.values()]
         self.segments = [np.frombuffer(x, np.uint32) for x in owners]

@@ -706,12 +706,12 @@ def test_decontamination(spark):
         rows.append((k, f"{filler(k * 30)} {leak} {filler(20)}"))
         want[k] = [k]
     rows += [(20 + k, filler(300)) for k in range(20)] + [(60, None), (61, ""), (None, items[0][1]), (62, "it is quite  short: yes"), (63, items[0][1][:60]), (64, "requite shorty")]
-    want[62] = [50]
+    want[62], want[63] = [50], [0]  # an excerpt of 60 characters from an item's beginning
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: r["items"] for r in decontamination.leaks(frame(spark, rows), benchmark).collect()}
     assert got == {i: want.get(i, [0] if i is None else []) for i, _ in rows}
     clean = decontamination.clean(frame(spark, rows), benchmark)
-    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 14
+    assert clean.columns == frame(spark, rows).columns and clean.count() == len(rows) - 15
     assert decontamination.leaks(frame(spark, rows), benchmark.limit(0)).filter("contaminated").count() == 0
     assert decontamination.leaks(frame(spark, []), benchmark).collect() == []
     again = decontamination.with_items(frame(spark, rows).select("doc_id", "text"), benchmark, size=300)  # in several blocks
@@ -736,8 +736,8 @@ def brute_leaks(rows, items):
         text, out[i] = f"{plain(t)} ", []  # a blank after each word
         for item, b in items:
             b = plain(b)
-            m = min(96, len(b))
-            segments = {b[k : k + m] for k in (*range(0, len(b) - m + 1, 48), len(b) - m)}
+            m = min(48, len(b))
+            segments = {b[k : k + m] for k in (*range(0, len(b) - m + 1, 16), len(b) - m)}
             near = any(s in text or edits_within(s, text) <= m * 5 // 100 for s in segments)
             if near if m >= 24 else m and f" {b} " in f" {text}":
                 out[i].append(item)
@@ -788,6 +788,19 @@ def test_decontamination_long_items_in_pieces(spark, monkeypatch):
     assert all(x["items"] == [7] for x in decontamination.leaks(frame(spark, rows), benchmark).collect())
 
 
+def test_decontamination_recall_by_length(spark, sf):
+    """Verbatim excerpts of the table's benchmark texts, from any place of them; all of 63 characters and more are found."""
+    norm = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
+    items = [(r.item_id, norm(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    index, r, recall = decontamination.Index(items), random.Random(35), {}
+    for n in (40, 50, 56, 60, 63, 80, 110, 140):
+        long = [(i, t) for i, t in items if len(t) >= n] * 4
+        excerpts = [(i, t[at : at + n]) for i, t in long for at in [r.randrange(len(t) - n + 1)]]
+        found = index.items_in([f"zqx {t} jqv" for _, t in excerpts])
+        recall[n] = sum(i in some for (i, _), some in zip(excerpts, found, strict=True)) / len(excerpts)
+    assert all(x == 1 for n, x in recall.items() if n >= 63) and recall[60] > 0.7 and recall[40] < 0.2, recall
+
+
 def test_decontamination_memory():
     """A text of 1 MB against 1,000 items that share a line with it, many times over."""
     import tracemalloc
