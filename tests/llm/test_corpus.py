@@ -807,7 +807,7 @@ def test_decontamination_memory():
 
     r = random.Random(34)
     words = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
-    line = words(7)
+    line = words(5)  # shorter than a segment
     index = decontamination.Index([(k, f"{words(3 + k % 9)} {line} {words(9)}") for k in range(1000)])
     text = " ".join(f"{line} {words(200)}" for _ in range(1000))
     assert len(text) > 1_000_000
