@@ -10,20 +10,24 @@ values stay different:
 - phone numbers: digits stay digits; punctuation, a country code and a leading 0 stay
 - social security numbers (areas, groups and serials that can be): permuted among those
 - e-mail addresses: the local part, by domain, letters in any case alike; the domain stays
-- IPv4 addresses with octets up to 255, as 32-bit numbers; IPv6 addresses, group by group
-- calendar dates of 1900 to 2099, year first, day first, month first where it can't be a day,
-  or with an English month's name: permuted as day numbers, same notation
-- values after password, token, secret, api key, of any length, up to the closing quote on their
+- IPv4 addresses with octets up to 255, as 32-bit numbers (not after the word version); IPv6
+  addresses as two 64-bit halves, full or shortened alike, so all notations of one are linked;
+  the pseudonym of a shortened one is written out
+- calendar dates of 1900 to 2099, year first, day first (with or without leading zeros), month first
+  where it can't be a day, or with an English month's name before or after the day: permuted as
+  day numbers, same notation
+- values after password, pwd, token, secret, api key, of any length, up to the closing quote on their
   line or else to white space (or to a comma before a quote), bearer tokens, access keys told by
-  their prefix: ASCII letters and digits within their kind, other signs stay.  What follows
-  without white space counts as the value
+  their prefix, user names and passwords in addresses, private-key blocks: ASCII letters and digits
+  within their kind, other signs stay.  What follows without white space counts as the value; a
+  plain lower-case word after "secret:" or "token:" and a blank is prose
 
 Strings use an alternating Feistel network on their two halves, each character shifted
 within its class by a keyed hash of the other half; numbers use one modulo both factors of
 their range.  A pseudonym is the network's image, moved on by a keyed step, and taken back
 through the network: a permutation for any key that leaves no value as it is, undone by the
 same with the step backwards (``back=True``; a month-first date is read as day first then,
-if it can be).  Keep the key outside the code, as whoever has it can undo the pseudonyms: the
+if it can be, and days and months without leading zeros, and "Sept.", may come back otherwise written).  Keep the key outside the code, as whoever has it can undo the pseudonyms: the
 query takes it from the session's `spark.tallyfield.pii.key`.
 
 All of it is Column expressions; text without a candidate is passed as it is.
@@ -48,27 +52,33 @@ SAMPLE_KEY = "sample key of no secrecy"
 
 # What counts as a candidate, most specific first.
 _LEFT, _RIGHT = r"(?<![\w.@+-])", r"(?![\w@])"
-_NAMED_SECRET = r"(?i:(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)\b[\x20\"']{0,3}[=:]{1,2}>?\x20?)"
+_NAMED_SECRET = (
+    r"(?!(?i:secret|token):\x20[a-z]{2,}(?:[\s,;.!?]|\z))(?i:(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\x20\"']{0,3}[=:]{1,2}>?\x20?)"
+)
+_LOGIN = r"(?<!\w)[A-Za-z][A-Za-z0-9+.-]{1,20}://(?=[^\s/:@]{1,64}:[^\s/@]{1,256}@)"
+_BLOCK = r"-----BEGIN\x20(?:[A-Z]+\x20){0,3}PRIVATE\x20KEY-----"
 _BEARER = r"\b[Bb]earer\x20"
 _KEY_PREFIX = r"(?:AKIA|ASIA|gh[pousr]_|sk-)"
 MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
 _HEX = "[0-9A-Fa-f]{1,4}"
 KINDS = {
     "secret": _NAMED_SECRET + r"(?:\"(?![\"\r\n])[^\r\n]*?(?<!(?<!\\)\\)\"|'(?!['\r\n])[^\r\n]*?(?<!(?<!\\)\\)'|\S+?(?=\s|\z|,[\"']))"
-    rf"|{_BEARER}(?=[\w.~+/-]*\d)[\w.~+/-]{{8,}}=*|(?<!\w){_KEY_PREFIX}[A-Za-z0-9]{{16,}}(?!\w)",
+    rf"|{_BEARER}(?=[\w.~+/-]*\d)[\w.~+/-]{{8,}}=*|(?<!\w){_KEY_PREFIX}[A-Za-z0-9]{{16,}}(?!\w)"
+    rf"|{_LOGIN}[^\s/:@]{{1,64}}:[^\s/@]{{1,256}}@|{_BLOCK}[A-Za-z0-9+/=\s]*",
     "email": r"(?<![\w.+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
-    "ip6": rf"(?<![\w:.])(?:(?:{_HEX}:){{7}}{_HEX}|{_HEX}(?::{_HEX}){{1,5}}::(?:{_HEX}(?::{_HEX}){{0,4}})?)(?![\w:])",
-    "date": r"(?<![\w/.-])(?:(?:19|20)\d\d(?:-\d\d-|/\d\d/)\d\d|\d\d[/.]\d\d[/.](?:19|20)\d\d)(?![\w/-]|\.\d)" + rf"|\b(?:{MONTHS})\x20\d{{1,2}},\x20(?:19|20)\d\d(?!\d)",
+    "ip": r"(?<!(?i:version)\x20)(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w]|\.\d)",
+    "ip6": rf"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{1,6}}|[0-9A-Fa-f]{{3,4}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?<!^::)(?<!\s::)(?![\w:])",
+    "date": r"(?<![\w/.-])(?:(?:19|20)\d\d(?:-\d\d-|/\d\d/)\d\d|\d{1,2}/\d{1,2}/(?:19|20)\d\d|\d{1,2}\.\d{1,2}\.(?:19|20)\d\d)(?![\w/-]|\.\d)"
+    rf"|\b(?:{MONTHS}|(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sept?|Oct|Nov|Dec)\.)\x20\d{{1,2}},\x20(?:19|20)\d\d(?!\d)|(?<![\w/.-])\d{{1,2}}\x20(?:{MONTHS})\x20(?:19|20)\d\d(?!\d)",
     "ssn": _LEFT + r"\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": _LEFT + r"(?:\d{13,19}|\d{4}(?:-\d{4}){3}(?:-\d{3})?|\d{4}(?:\x20\d{4}){3}|\d{4}[\x20-]\d{6}[\x20-]\d{5})(?![\w-])",
     "phone": r"(?<![\w.@-])(?:\+\d{1,3}[\x20.-]?\(\d{1,4}\)[\x20.-]?\d{2,4}[\x20.-]?\d{2,4}(?:[.-]?\d{2,4})?|\+\d{1,3}(?:[\x20.-]?\d{2,4}){2,5}"
-    r"|\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}|(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4}|[2-9]\d{2}\x20\d{3}\x20\d{4}|0\d{9,10})(?![\w-])",
+    r"|\(\d{3}\)[\x20.-]?\d{3}[\x20.-]\d{4}|(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4}|[2-9]\d{2}\x20\d{3}\x20\d{4}|0\d{9,10}|(?:0|\(0\))\d{2,3}[\x20.-]\d{3,4}[\x20.-]\d{3,4})(?![\w-])",
 }
 PATTERN = "|".join(KINDS.values())
 #: Every candidate has one of these.
-HINT = r"[0-9@]|(?i:passw|secret|token|key|bearer)"
+HINT = r"[0-9@]|(?i:passw|pwd|secret|token|key|bearer)|AKIA|ASIA|gh[pousr]_|sk-"
 _FIRST_DAY, _DAYS = "1900-01-01", (17, 4297)  # 73,049 days to the end of 2099
 #: Areas 1 to 899 but 666, groups 1 to 99, serials 1 to 9999.
 _SSN = (898 * 99, 9999)
@@ -188,9 +198,37 @@ def _ip(x: Column, key: str, back: bool) -> Column:
 
 
 def _ip6(x: Column, key: str, back: bool) -> Column:
-    """Each group that is written, as a 16-bit number; equal addresses are linked if they are written alike."""
-    one = lambda g: F.lower(F.conv(permuted_number(F.conv(g, 16, 10).cast("long"), 256, 256, key, back).cast("string"), 10, 16))
-    return F.array_join(F.transform(F.split(x, ":"), lambda g: F.when(g != "", one(g)).otherwise(g)), ":")
+    """Two halves of 64 bits, each in turn changed by a keyed hash of the other; written short, as the standard has it.
+
+    What isn't eight groups stays.  (That an address stays itself is a matter of one in 2^128.)"""
+    parts = F.split(x, "::", 2)
+    groups = lambda k: F.filter(F.split(F.coalesce(F.get(parts, F.lit(k)), F.lit("")), ":"), lambda g: g != "")
+    missing = 8 - F.size(groups(0)) - F.size(groups(1))
+    whole = F.concat(groups(0), F.array_repeat(F.lit("0"), F.when(F.size(parts) > 1, missing).otherwise(0)), groups(1))
+    number = lambda text: F.conv(text, 16, -10).cast("long")
+    half = lambda k: number(F.array_join(F.transform(F.slice(whole, k, 4), lambda g: F.lpad(g, 4, "0")), ""))
+
+    def step(s: Column, k: Column, sign: int) -> Column:
+        by = lambda other: number(F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("n"), k.cast("string"), other.cast("string")), 256), 1, 16))
+        l_ = F.when(k % 2 == 0, s["l"].bitwiseXOR(by(s["r"]))).otherwise(s["l"])
+        r_ = F.when(k % 2 == 1, s["r"].bitwiseXOR(by(s["l"]))).otherwise(s["r"])
+        return F.struct(l_.alias("l"), r_.alias("r"))
+
+    def written(s: Column) -> Column:
+        digits = F.concat(*(F.lpad(F.lower(F.hex(s[c])), 16, "0") for c in "lr"))
+        full = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.regexp_replace(F.substr(digits, k * 4 + 1, F.lit(4)), "^0{1,3}", "")), ":")
+
+        def short(text: Column) -> Column:
+            out = text
+            for n in range(2, 9):  # the longest run of zeros, the first of equals
+                run = f"(?:^|:)0(?::0){{{n - 1}}}(?::|$)"
+                out = F.when(text.rlike(run), F.replace(F.regexp_replace(F.regexp_replace(text, f"^(.*?){run}", "$1%"), "%", "::"), F.lit(":::"), F.lit("::"))).otherwise(out)
+            return out
+
+        return _let(full, short)
+
+    valid = F.when(F.size(parts) > 1, missing > 0).otherwise(missing == 0)
+    return F.when(valid, _let(_rounds(F.struct(half(1).alias("l"), half(5).alias("r")), step, back), written)).otherwise(x)
 
 
 def _ssn(x: Column, key: str, back: bool) -> Column:
@@ -211,20 +249,25 @@ def _ssn(x: Column, key: str, back: bool) -> Column:
 def _date(x: Column, key: str, back: bool) -> Column:
     first = F.lit(_FIRST_DAY).cast("date")
 
-    def by(*forms: str) -> Column:
+    def by(*forms: str, of: Column = x) -> Column:
         out = x
         for form in reversed(forms):
-            day = F.to_date(F.try_to_timestamp(x, F.lit(form)))
+            day = F.to_date(F.try_to_timestamp(of, F.lit(form)))
             new = F.date_format(F.date_add(first, permuted_number(F.datediff(day, first).cast("long"), *_DAYS, key, back).cast("int")), form)
             out = F.when(day.isNotNull(), new).otherwise(out)
         return out
 
+    pointed = F.regexp_replace(x, r"^Sept\.", "Sep.")
     return (
-        F.when(x.rlike("^[A-Z]"), by("MMM d, yyyy", "MMMM d, yyyy"))
+        F.when(x.rlike(r"^[A-Z]\w+\."), by("MMM. d, yyyy", of=pointed))
+        .when(x.rlike("^[A-Z]"), by("MMM d, yyyy", "MMMM d, yyyy"))
+        .when(x.rlike("^[0-9]+ "), by("d MMM yyyy", "d MMMM yyyy"))
         .when(x.rlike("^....-"), by("yyyy-MM-dd"))
         .when(x.rlike("^..../"), by("yyyy/MM/dd"))
-        .when(x.contains("/"), by("dd/MM/yyyy", "MM/dd/yyyy"))
-        .otherwise(by("dd.MM.yyyy", "MM.dd.yyyy"))
+        .when(x.rlike("^../../"), by("dd/MM/yyyy", "MM/dd/yyyy"))
+        .when(x.contains("/"), by("d/M/yyyy", "M/d/yyyy"))
+        .when(x.rlike(r"^..\...\."), by("dd.MM.yyyy", "MM.dd.yyyy"))
+        .otherwise(by("d.M.yyyy", "M.d.yyyy"))
     )
 
 
@@ -239,7 +282,7 @@ def _email(x: Column, key: str, back: bool) -> Column:
 
 def _secret(x: Column, key: str, back: bool) -> Column:
     """The letters and digits of the value, permuted as one text, so that signs at its ends don't matter."""
-    stays = F.when(x.rlike(f"^{_NAMED_SECRET}"), F.regexp_extract(x, r"^[^=:]*[=:]+", 0)).otherwise(F.regexp_extract(x, f"^(?:{_BEARER}|{_KEY_PREFIX})", 0))
+    stays = F.when(x.rlike(f"^{_NAMED_SECRET}"), F.regexp_extract(x, r"^[^=:]*[=:]+", 0)).otherwise(F.regexp_extract(x, f"^(?:{_BEARER}|{_KEY_PREFIX}|{_LOGIN}|{_BLOCK})", 0))
     value = F.substr(x, F.length(stays) + 1, F.length(x))
 
     def put(s: Column, pair: Column) -> Column:
@@ -257,7 +300,7 @@ def _secret(x: Column, key: str, back: bool) -> Column:
 
 def _phone(x: Column, key: str, back: bool) -> Column:
     """The digits after the country code, however they are written."""
-    stays = F.regexp_extract(x, r"^(?:\+\d{1,3}|1)(?=\D)|^0(?=\d{9,10}$)|^[2-9](?=\d\d\x20\d{3}\x20)|^", 0)
+    stays = F.regexp_extract(x, r"^(?:\+\d{1,3}|1)(?=\D)|^0(?=\d{9,10}$)|^(?:0|\(0\))(?=\d{2,3}[\x20.-])|^[2-9](?=\d\d\x20\d{3}\x20)|^", 0)
     rest = F.substr(x, F.length(stays) + 1, F.length(x))
     return F.concat(stays, _in_format(rest, permuted_text(F.regexp_replace(rest, r"\D", ""), key, back)))
 
