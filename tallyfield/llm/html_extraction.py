@@ -2,8 +2,10 @@
 
 A block is the text between two tags that part blocks; its path, the tags from the root to
 it.  For each path of a page, text length and punctuation per block are aggregated (links
-count for neither), smoothed over the page's order and fused into one score.  The paths that
-reach a share of the page's mean score select the content blocks.
+count for neither), smoothed over the page's order and fused into one score, which counts by
+how much text the path has in all: menus, adverts and footers are paths of a few short blocks,
+articles of many.  The paths that reach a share of the page's mean score select the content
+blocks; on pages without any names, article or main elements this alone tells content.
 
 Class words lower a score and delete nothing: an element named after a menu, header, footer,
 sidebar, notice, advert, form or reader comment parts its path from others and costs all in
@@ -56,6 +58,8 @@ HELD = 0.8
 WRAPS = 0.5
 #: Weights for smoothing over neighbouring blocks.
 SMOOTH = (0.25, 0.5, 0.25)
+#: Power of a path's text, as a share of the longest path's, in its score.
+SUPPORT = 0.5
 #: What standing in an article is worth.
 IN_ARTICLE = 2.0
 
@@ -254,8 +258,10 @@ def _paths(page: _Page) -> list[int]:
     return out
 
 
-def path_scores(paths: list[int], lengths: list[int], marks: list[int], weights: list[float]) -> np.ndarray:
-    """The fused score of each block's path; weights are equal for blocks of one path."""
+def path_scores(paths: list[int], lengths: list[int], marks: list[int], weights: list[float], named: list[bool]) -> np.ndarray:
+    """The fused score of each block's path; weights are equal for blocks of one path, and named tells those in an article or main.
+
+    The others count by the text of their path, as a share of the page's longest path."""
     _, which, n = np.unique(np.array(paths), return_inverse=True, return_counts=True)
     ratios = []
     for value in (lengths, marks):
@@ -263,7 +269,9 @@ def path_scores(paths: list[int], lengths: list[int], marks: list[int], weights:
         padded = np.pad(ratio, 1, mode="edge")
         ratios.append(sum(w * padded[k : k + len(ratio)] for k, w in enumerate(SMOOTH)))
     fused = np.sqrt(ratios[0] * (1 + ratios[1]))
-    return (np.bincount(which, fused) / n)[which] * np.array(weights)
+    held = np.bincount(which, np.array(lengths, float))
+    support = np.where(np.array(named), 1.0, ((held / max(1.0, held.max())) ** SUPPORT)[which])
+    return (np.bincount(which, fused) / n)[which] * support * np.array(weights)
 
 
 def main_text(html: str | None) -> str:
@@ -276,7 +284,7 @@ def main_text(html: str | None) -> str:
     title = _unwrap(page, [len(x) for x in texts])
     levels, paths, of = _levels(page), _paths(page), [e for e, _ in page.blocks]
     weights = [COST ** -levels[e] * (IN_ARTICLE if page.within[e] else 1.0) for e in of]
-    scores = path_scores([paths[e] for e in of], [len(x) for x in free], [len(_PUNCTUATION.findall(x)) for x in free], weights)
+    scores = path_scores([paths[e] for e in of], [len(x) for x in free], [len(_PUNCTUATION.findall(x)) for x in free], weights, [page.within[e] for e in of])
     prose = np.array([page.tag[e] not in HEADINGS for e in of])
     if prose.any():  # headings follow the text they head
         scores = np.where(prose, scores, 0.0)

@@ -427,18 +427,21 @@ def test_html_names_and_quotes(page):
 
 
 def brute_path_scores(blocks):
-    """Scores of (path, length, marks, weight), by the formula, path by path."""
+    """Scores of (path, length, marks, weight, in an article), by the formula, path by path."""
     ratio = lambda path, k: sum(b[k] for b in blocks if b[0] == path) / sum(b[0] == path for b in blocks)
     at = lambda i, k: ratio(blocks[min(max(i, 0), len(blocks) - 1)][0], k)
     smooth = lambda i, k: at(i - 1, k) / 4 + at(i, k) / 2 + at(i + 1, k) / 4
     fused = [(smooth(i, 1) * (1 + smooth(i, 2))) ** 0.5 for i in range(len(blocks))]
-    return [b[3] * sum(f for f, c in zip(fused, blocks, strict=True) if c[0] == b[0]) / sum(c[0] == b[0] for c in blocks) for b in blocks]
+    total = lambda path: sum(b[1] for b in blocks if b[0] == path)
+    most = max(1, *(total(b[0]) for b in blocks))
+    support = lambda b: 1 if b[4] else (total(b[0]) / most) ** html_extraction.SUPPORT
+    return [b[3] * support(b) * sum(f for f, c in zip(fused, blocks, strict=True) if c[0] == b[0]) / sum(c[0] == b[0] for c in blocks) for b in blocks]
 
 
 @pytest.mark.parametrize("seed", range(5))
 def test_html_path_scores(seed):
     r = random.Random(seed)
-    blocks = [(p := r.randrange(6), r.randrange(300), r.randrange(9), 1 / (1 + p % 2)) for _ in range(r.randint(1, 40))]
+    blocks = [(p := r.randrange(6), r.randrange(300), r.randrange(9), 1 / (1 + p % 2), p % 3 == 0) for _ in range(r.randint(1, 40))]
     assert html_extraction.path_scores(*zip(*blocks, strict=True)).tolist() == pytest.approx(brute_path_scores(blocks))
 
 
@@ -451,6 +454,37 @@ def test_html_scores_decide(spark, sf, monkeypatch):
         assert sum(html_extraction.main_text(x) == y for x, y in zip(pages, right, strict=True)) < len(pages) / 10
 
 
+def without_names(html, divs=False):
+    html = re.sub(r"""\s(class|id|role|hidden|aria-hidden)=("[^"]*"|'[^']*'|[^\s>]*)""", "", html)
+    return re.sub(r"<(/?)(article|main|nav|footer|aside|header)\b" if divs else r"<(/?)(article|main)\b", r"<\1div", html)
+
+
+@pytest.mark.parametrize("divs, least", [(False, 0.9), (True, 0.85)])
+def test_html_ratios_alone_tell_content(spark, sf, monkeypatch, divs, least):
+    """Pages without class, id, role, article and main (and nav, footer, aside, header): the same text as with them, and none of it by the weights."""
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    right = [html_extraction.main_text(x) for x in pages]
+    bare = [without_names(x, divs) for x in pages]
+    got = [html_extraction.main_text(x) for x in bare]
+    assert sum(map(str.__eq__, got, right)) >= least * len(pages)
+    assert all(set(b.split()) <= set(a.split()) for a, b in zip(got, right, strict=True) if len(b) > 60)  # shorter ones look like an advert
+    monkeypatch.setattr(html_extraction, "path_scores", lambda paths, lengths, marks, weights, named: html_extraction.np.array(weights))
+    assert sum(html_extraction.main_text(x) == y for x, y in zip(bare, right, strict=True)) < 0.05 * len(pages)
+
+
+NAMELESS = [
+    "<body><div><a href=/a>Home</a> <a href=/b>News</a></div><div>{0}</div><div><p>{1}<p>{2}<p>{3}</div><div>One short line here.</div></body>",
+    "<table><tr><td><a href=/>Home</a> <a href=/n>News</a><td><p>{1}<p>{2}<p>{3}</table><div>{0}</div>",
+    "<div><p>{1}<p>{2}<p>{3}</div><ol><li><div>{0}</div><li><div>Short, but nice.</div></ol>",
+]
+
+
+@pytest.mark.parametrize("page", NAMELESS, ids=range(len(NAMELESS)))
+def test_html_without_any_names(page):
+    parts = ["A notice of one line.", _prose(60), _prose(80, "more"), _prose(50, "last")]
+    assert html_extraction.main_text(page.format(*parts)) == " ".join(parts[1:])
+
+
 LARGE = {
     "<div>" * 100_000 + "deep, text.": "deep, text.",
     '<p class="x>one, two. ' * 100_000: " ".join(["one, two."] * 100_000),
