@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from . import _shared as S
 
 MIN_CHARS = 10
-FIRST_LINES, FIRST_SHARE = 1 << 16, 8
+FIRST_LINES, FIRST_SHARE = 1 << 10, 8
 FANOUT = 2
 #: Lines of a bucket, about, and most lines of a batch that are joined by broadcast.
 BUCKET_LINES, HOT = 1 << 18, 10_000
@@ -192,16 +192,18 @@ def dedup_lines(documents: DataFrame, min_chars: int = MIN_CHARS, first_lines: i
     own = runs is None
     runs = runs or LineRuns(documents.sparkSession, buckets=max(1, -(-total // BUCKET_LINES)), fanout=fanout)
     found = None
-    for low, high in zip(edges, edges[1:], strict=False):
-        batch = lines
-        if low is not None:
-            batch = batch.filter(F.col("doc_id") > low)
-        if high is not None:
-            batch = batch.filter(F.col("doc_id") <= high)
-        some = repeated_lines(batch, runs)
-        found = some if found is None else found.union(some)
-    if own:
-        runs.close()
+    try:
+        for low, high in zip(edges, edges[1:], strict=False):
+            batch = lines
+            if low is not None:
+                batch = batch.filter(F.col("doc_id") > low)
+            if high is not None:
+                batch = batch.filter(F.col("doc_id") <= high)
+            some = repeated_lines(batch, runs)
+            found = some if found is None else found.union(some)
+    finally:
+        if own:
+            runs.close()
     gone = found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("at")).alias("gone"))
     whole = docs.join(gone.hint("shuffle_hash"), ["doc_id", "print"], "left")
     whole = whole.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
