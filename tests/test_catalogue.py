@@ -96,6 +96,24 @@ def test_matching_equals_brute_force(spark, seed):
     assert clusters_of(pairs) == greedy([p[:3] for p in ordered])
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_best_matches_over_all_prices(spark, seed):
+    """Prices of every step, many a ratio of four apart but for a little, and items that are alike in all but the id."""
+    r = random.Random(seed)
+    words = ["dau", "trau", "sao", "vang", "lua", "xanh", "hoa"]
+    price = lambda: r.choice([4.0 ** (r.randrange(-8, 24) / 16), 10 * 4.0 ** r.randrange(3) * r.choice([1, 1.0000001, 0.9999999]), 4 ** r.uniform(-1, 3)])
+    rows = [(k, f"shop{r.randrange(3)}", " ".join(r.sample(words, r.randint(1, 6))), r.choice([None, "", "16-16-8", "7-7-7"]), price()) for k in range(150)]
+    rows += [(200 + k, *x[1:]) for k, x in enumerate(rows[:30])]
+    want, source = {}, {x[0]: x[1] for x in rows}
+    for (a, b), (same, score) in brute_matches(rows).items():
+        for x, y in ((a, b), (b, a)):
+            found = (score + 5 * same, -y, score)
+            want[x, source[y]] = max(found, want.get((x, source[y]), found))
+    df = spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double")
+    got = {(x.a_id, x.source_b): (x["rank"], -x.b_id, x.score) for x in compare.best_matches(df).collect()}
+    assert got == want
+
+
 def test_price_ratio_limit(spark):
     rows = [(1, "a", "dau trau sao", None, 100.0), (2, "b", "dau trau sao", None, 400.0), (3, "c", "dau trau sao", None, 401.0)]
     got = compare.matches(spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double")).collect()
