@@ -7,11 +7,12 @@ sorting and shuffling.  A word is ``[^\\x20\\x09-\\x0D]+``, which is what
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfield.plans.scratch import exists, remove, scratch_path, stage, unstage  # noqa: F401
@@ -248,6 +249,14 @@ def repeats(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list
         yield columns, later, heads
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files behind tables that are written.
+
+    It does so when the driver collects the plans that made them, which a driver with free memory puts off."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     """mapInArrow with f(batches, arrow schema); the schema is DDL.
 

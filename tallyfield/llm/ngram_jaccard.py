@@ -276,6 +276,7 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
     often = often.select("doc_id", F.col("p.ordinal").alias("ordinals"), F.col("p.df").alias("df"))
     prefixes = S.map_arrow(sets.select("doc_id", "grams").join(often, "doc_id"), _emit_prefixes(t), "h long, n int, doc_id long, at int, df int")
     prefixes = S.stage(prefixes, "prefixes")
+    S.release(prefixes.sparkSession)
     small = prefixes.filter(F.col("df") <= SMALL_GROUP).repartition("h").sortWithinPartitions("h", "n", "doc_id")
     pairs = S.map_arrow(small, _pairs_of_small(t), pair)
     hot = prefixes.filter(F.col("df") > SMALL_GROUP).select("h", "n", "doc_id", "at", "df").distinct()
@@ -287,6 +288,7 @@ def similar_components(sets: DataFrame, t: int) -> DataFrame:
 
     links = _links(pairs.union(with_pivot(hot.withColumn("label", F.col("doc_id")), -1, "doc_id")), sets, t, "links")
     found = S.stage(components(links, "a", "b"), "components")
+    S.release(found.sparkSession)
     done = [prefixes, links]  # written tables that nothing reads again after this
     for k in range(0 if hot.isEmpty() else PIVOT_ROUNDS + 1):
         hot = _labelled(hot.drop("label"), found)
@@ -325,6 +327,7 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, threshold: int = TH
     joined = docs.join(again.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "again", "text", F.xxhash64("text").alias("print"))
     sets = S.map_arrow(joined, _emit_sets(words, threshold), "doc_id long, print long, n long, s1 long, s2 long, grams binary")
     sets = S.stage(sets, "sets")
+    S.release(sets.sparkSession)
     print_of = ["n", "s1", "s2"]
     classes = sets.filter("n > 0").groupBy(*print_of).agg(F.min("doc_id").alias("class_id"))
     chosen = sets.filter("grams is not null").join(classes.filter("class_id is not null"), print_of).filter("doc_id = class_id")
