@@ -8,6 +8,7 @@ sorting and shuffling.  A word is ``[^\\x20\\x09-\\x0D]+``, which is what
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -252,9 +253,12 @@ def repeats(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list
 def release(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files behind tables that are written.
 
-    It does so when the driver collects the plans that made them, which a driver with free memory puts off."""
-    gc.collect()
-    spark._jvm.System.gc()
+    It does so when the driver collects the plans that made them, which a driver with free memory puts off.
+    Some plans are let go by what the first collection cleans up, so there is a second."""
+    for pause in (0.3, 0):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(pause)
 
 
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
