@@ -41,7 +41,9 @@ SLOTS = 1 << 10
 
 
 def n_words(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(S.WORD)), F.lit(0)).cast("long")
+    """Words of a text, as the length of a text with one letter for each; regexp_count would hold them all."""
+    ahead = F.ltrim(F.col(text), F.lit(" \t\n\x0b\x0c\r"))
+    return F.coalesce(F.length(F.regexp_replace(ahead, S.WORD + r"[\x20\x09-\x0D]*", "w")), F.lit(0)).cast("long")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: int = MOST) -> DataFrame:

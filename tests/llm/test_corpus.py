@@ -1,8 +1,11 @@
 """Corpus operators against plain brute force, and on nulls, empties, ties, repeats and clashing names."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import pytest
@@ -654,6 +657,28 @@ def test_mixing_certain_documents_and_odd_tables(spark):
     assert mixing.mix(spark.createDataFrame([(1, "w " * 400_000, None, "a", 0)], DOCS)).first().size == 400_000
 
 
+def test_mixing_counts_words_between_odd_white_space(spark):
+    texts = [None, "", " \n\x0b", "a", " a", "a\r", "\x0b\x0c a\r\nb\t", "x  y\u00a0z", "😀 😀\n", "$1 \\1 w", "\x00 \x1c \x85"] + [t for _, t in corpus(12)]
+    for r in spark.createDataFrame([(t,) for t in texts], "text string").select("text", mixing.n_words().alias("n")).collect():
+        assert r.n == len(WORD.findall(r.text or "")), r.text
+
+
+LONG_TEXT = """
+from pyspark.sql import SparkSession, functions as F
+from tallyfield.llm import mixing
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+text = F.repeat(F.concat(F.lit("a "), F.substr(F.col("id").cast("string"), F.lit(20))), F.col("id").cast("int"))
+print("words:", spark.range(8_000_000, 8_000_001, 1, 1).select(text.alias("text")).select(mixing.n_words()).first()[0])
+"""
+
+
+def test_mixing_counts_a_long_texts_words_in_little_memory():
+    """Eight million words, 16 MB of text, in a heap of 600 MB."""
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--driver-memory 600m pyspark-shell", "PYTHONPATH": os.pathsep.join(sys.path)}
+    run = subprocess.run([sys.executable, "-c", LONG_TEXT], env=env, capture_output=True, text=True, timeout=120)
+    assert "words: 8000000" in run.stdout, run.stderr[-2000:]
+
+
 # --- op7 -------------------------------------------------------------------------------
 
 
