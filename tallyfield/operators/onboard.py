@@ -106,22 +106,31 @@ FACTS = (
 )
 
 
+def _page(rows: DataFrame) -> list[str]:
+    return [c for c in rows.columns if c == "page_id"]
+
+
 def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PRICE_SELECTORS + DESCRIPTION_SELECTORS, census=()) -> DataFrame:
-    """FACTS of each page of (host, url, html): one parse, and one walk for all selectors, whatever is asked of them later."""
+    """FACTS of each page of (host, url, html): one parse, and one walk for all selectors, whatever is asked of them later.
+
+    A page_id goes with them where there is one: pages of one address are told by it."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     ship(pages.sparkSession)
-    schema = to_arrow_schema(StructType.fromDDL(FACTS))
+    ident = _page(pages)
+    kinds = StructType([*(pages.schema[c] for c in ident), *StructType.fromDDL(FACTS)])
+    schema = to_arrow_schema(kinds)
     links, texts, census = tuple(links), tuple(dict.fromkeys(texts)), tuple(dict.fromkeys(census))
     every = (*links, *texts, *census, *BLOCK_SELECTORS, _TITLES, "img", "a[href]", "a")
 
-    def of_page(host: str, url: str, html: str | None) -> tuple:
+    def of_page(*page) -> tuple:
+        *ids, host, url, html = page
         root = dom.parse(html)
         dom.prepare(root, every)
         some = [(s, dom.text_of(n)) for s in texts if (n := dom.first(root, s)) is not None]
         counts = [(s, len(found), dom.text_of(found[0])[:80]) for s in census if (found := dom.select(root, s))]
-        return host, url, _links_by_selector(root, url, links), some, counts, dom.card_selectors(root), dom.money_paths(root), list(_marks(root)), dom.links(root, url, "a")
+        return *ids, host, url, _links_by_selector(root, url, links), some, counts, dom.card_selectors(root), dom.money_paths(root), list(_marks(root)), dom.links(root, url, "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,12 +144,12 @@ def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PR
                     columns.append(pa.array(values, kind))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return pages.select("host", "url", "html").mapInArrow(run, FACTS)
+    return pages.select(*ident, "host", "url", "html").mapInArrow(run, kinds)
 
 
 def page_links(facts: DataFrame) -> DataFrame:
-    """(host, page_url, pos, link): the distinct web addresses of a page's links, in page order."""
-    return facts.select("host", F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "link"))
+    """(page_id if the facts have it, host, page_url, pos, link): the distinct web addresses of a page's links, in page order."""
+    return facts.select(*_page(facts), "host", F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "link"))
 
 
 def selector_links(facts: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyfield import catalogue_queries
 from tallyfield.functions import dom
 from tallyfield.operators import extract, onboard
 
@@ -144,3 +145,16 @@ def test_robots_sitemap_lines(spark):
 
 def test_image_and_link_functions_are_columns(spark):
     assert spark.range(1).select(extract.product_images(F.array().cast("array<string>"))).first()[0] is None
+
+
+def two_pages_of_one_address(spark, tmp_path):
+    """A folder whose pages 1 and 2 have one address; page 1 repeats links and ends its title in an open character reference."""
+    one = '<h1>cut &amp;&amp</h1><article>a &lt;b&gt; &amp</article><nav><a href="#x">x</a><a href="/a">1</a><a href="/a">2</a><a href="/b">3</a></nav>'
+    rows = [(1, "https://h.vn/l", one), (2, "https://h.vn/l", '<h1>n</h1><article>b</article><nav><a href="/a">1</a><a href="/c">2</a></nav>')]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.mode("overwrite").parquet(f"{tmp_path}/pages.parquet")
+    return str(tmp_path)
+
+
+def test_links_of_pages_with_one_address(spark, tmp_path):
+    rows = catalogue_queries.QUERIES["ex1_links"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
+    assert sorted((r.page_url, r.n_links) for r in rows) == [("https://h.vn/l", 2), ("https://h.vn/l", 2)] and len({r.links_md5 for r in rows}) == 2
