@@ -153,14 +153,14 @@ def page_links(facts: DataFrame) -> DataFrame:
 
 
 def selector_links(facts: DataFrame) -> DataFrame:
-    """(host, url, place, selector, n, links): links with a path that each selector finds on each listing page, in page order."""
-    return facts.select("host", "url", F.inline("links"))
+    """(page_id if the facts have it, host, url, place, selector, n, links): links with a path that each selector finds on each listing page, in page order."""
+    return facts.select(*_page(facts), "host", "url", F.inline("links"))
 
 
 def best_link_selector(counts: DataFrame) -> DataFrame:
-    """(host, url, selector, n_links, links): the selector with most links, the earlier of equals; none without links."""
+    """(host, url, selector, n_links, links) of each page: the selector with most links, the earlier of equals; none without links."""
     best = F.max_by(F.struct("n", "selector", "links"), F.struct("n", -F.col("place"))).alias("b")
-    return counts.groupBy("host", "url").agg(best).filter("b.n > 0").select("host", "url", F.col("b.selector").alias("selector"), F.col("b.n").alias("n_links"), "b.links")
+    return counts.groupBy(*_page(counts), "host", "url").agg(best).filter("b.n > 0").select("host", "url", F.col("b.selector").alias("selector"), F.col("b.n").alias("n_links"), "b.links")
 
 
 def sampled_pages(candidates: DataFrame, links: DataFrame, pages: DataFrame, tried: int = TRIED_CATEGORIES, k: int = SAMPLED_PAGES) -> DataFrame:

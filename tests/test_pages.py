@@ -158,3 +158,8 @@ def two_pages_of_one_address(spark, tmp_path):
 def test_links_of_pages_with_one_address(spark, tmp_path):
     rows = catalogue_queries.QUERIES["ex1_links"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
     assert sorted((r.page_url, r.n_links) for r in rows) == [("https://h.vn/l", 2), ("https://h.vn/l", 2)] and len({r.links_md5 for r in rows}) == 2
+
+
+def test_link_selectors_of_pages_with_one_address(spark, tmp_path):
+    rows = catalogue_queries.QUERIES["ob5_link_selectors"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
+    assert sorted((r.host, r.url, r.selector, r.n_links) for r in rows) == [("h.vn", "https://h.vn/l", "nav a", 2)] * 2
