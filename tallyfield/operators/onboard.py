@@ -102,7 +102,7 @@ _TITLES = "h2, h3, h4, strong, b"
 FACTS = (
     "host string, url string, links array<struct<place: int, selector: string, n: long, links: array<string>>>, texts array<struct<selector: string, text: string>>, "
     "hits array<struct<selector: string, n: long, text: string>>, cards array<struct<container: string, link: string, selector: string>>, "
-    "money array<string>, marks array<struct<kind: string, what: string, size: long>>, hrefs array<string>"
+    "money array<string>, marks array<struct<kind: string, what: string, size: long>>, hrefs array<struct<pos: int, link: string>>"
 )
 
 
@@ -130,7 +130,8 @@ def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PR
         dom.prepare(root, every)
         some = [(s, dom.text_of(n)) for s in texts if (n := dom.first(root, s)) is not None]
         counts = [(s, len(found), dom.text_of(found[0])[:80]) for s in census if (found := dom.select(root, s))]
-        return *ids, host, url, _links_by_selector(root, url, links), some, counts, dom.card_selectors(root), dom.money_paths(root), list(_marks(root)), dom.links(root, url, "a")
+        hrefs = [(at, link) for link, at in dom.addresses(dom.select(root, "a"), url).items()]
+        return *ids, host, url, _links_by_selector(root, url, links), some, counts, dom.card_selectors(root), dom.money_paths(root), list(_marks(root)), hrefs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,8 +149,8 @@ def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PR
 
 
 def page_links(facts: DataFrame) -> DataFrame:
-    """(page_id if the facts have it, host, page_url, pos, link): the distinct web addresses of a page's links, in page order."""
-    return facts.select(*_page(facts), "host", F.col("url").alias("page_url"), F.posexplode("hrefs").alias("pos", "link"))
+    """(page_id if the facts have it, host, page_url, pos, link): the distinct web addresses of a page's links, each where it comes first among all its links."""
+    return facts.select(*_page(facts), "host", F.col("url").alias("page_url"), F.inline("hrefs"))
 
 
 def selector_links(facts: DataFrame) -> DataFrame:

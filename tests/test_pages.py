@@ -168,3 +168,8 @@ def test_link_selectors_of_pages_with_one_address(spark, tmp_path):
 def test_frontier_of_pages_with_one_address(spark, tmp_path):
     rows = catalogue_queries.QUERIES["fr1_frontier"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
     assert sorted((r.final_url, r.listing) for r in rows) == [("https://h.vn/a", 1), ("https://h.vn/b", 1), ("https://h.vn/c", 2)]
+
+
+def test_places_of_links_count_repeated_ones(spark, tmp_path):
+    rows = catalogue_queries.QUERIES["fr1_frontier_limited"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
+    assert sorted((r.listing, r.pos, r.url) for r in rows) == [(1, 1, "https://h.vn/a"), (1, 3, "https://h.vn/b"), (2, 1, "https://h.vn/c")]
