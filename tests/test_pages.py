@@ -173,3 +173,8 @@ def test_frontier_of_pages_with_one_address(spark, tmp_path):
 def test_places_of_links_count_repeated_ones(spark, tmp_path):
     rows = catalogue_queries.QUERIES["fr1_frontier_limited"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
     assert sorted((r.listing, r.pos, r.url) for r in rows) == [(1, 1, "https://h.vn/a"), (1, 3, "https://h.vn/b"), (2, 1, "https://h.vn/c")]
+
+
+def test_fresh_links_of_pages_with_one_address(spark, tmp_path):
+    rows = catalogue_queries.QUERIES["fr4_fresh_links"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
+    assert sorted((r.listing, r.page, r.n_links, r.n_fresh) for r in rows) == [("h.vn", 1, 2, 2), ("h.vn", 2, 2, 1)]
