@@ -28,8 +28,8 @@ FACTS = (
 _PICKED = ("name", "price", "description", "brand", "category")
 
 
-def _facts(url: str, source: str, html: str | None, selectors: dict[str, str]) -> tuple:
-    root = dom.parse(html)
+def _facts(url: str, source: str, html: str | None, selectors: dict[str, str], ended: bool = False) -> tuple:
+    root = dom.parse(html, ended)
     dom.prepare(root, (*selectors.values(), *dom.FACT_SELECTORS))
     picked = [dom.text_of(dom.first(root, selectors.get(k))) for k in _PICKED]
     block = dom.content_block(root, selectors.get("content"))
@@ -39,8 +39,10 @@ def _facts(url: str, source: str, html: str | None, selectors: dict[str, str]) -
     return url, source, *picked, dom.text_of(block), dom.image_candidates(root, url, selectors.get("gallery")), dom.video_frames(root), ids, specs, parts
 
 
-def page_facts(pages: DataFrame, selectors: dict[str, dict[str, str]]) -> DataFrame:
-    """FACTS of each page (url, source, html); selectors are the sites' by source, from the site configuration."""
+def page_facts(pages: DataFrame, selectors: dict[str, dict[str, str]], ended: bool = False) -> DataFrame:
+    """FACTS of each page (url, source, html); selectors are the sites' by source, from the site configuration.
+
+    With `ended` only character references that end in ";" are read."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -51,7 +53,7 @@ def page_facts(pages: DataFrame, selectors: dict[str, dict[str, str]]) -> DataFr
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 rows = zip(*(c.to_pylist() for c in batch.slice(k, 256).columns), strict=True)
-                found = [_facts(url, source, html, selectors.get(source, {})) for url, source, html in rows]
+                found = [_facts(url, source, html, selectors.get(source, {}), ended) for url, source, html in rows]
                 columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 

@@ -110,10 +110,11 @@ def _page(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c == "page_id"]
 
 
-def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PRICE_SELECTORS + DESCRIPTION_SELECTORS, census=()) -> DataFrame:
+def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PRICE_SELECTORS + DESCRIPTION_SELECTORS, census=(), ended: bool = False) -> DataFrame:
     """FACTS of each page of (host, url, html): one parse, and one walk for all selectors, whatever is asked of them later.
 
-    A page_id goes with them where there is one: pages of one address are told by it."""
+    A page_id goes with them where there is one: pages of one address are told by it.  With `ended`
+    only character references that end in ";" are read."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
@@ -126,7 +127,7 @@ def page_facts(pages: DataFrame, links=LINK_SELECTORS, texts=NAME_SELECTORS + PR
 
     def of_page(*page) -> tuple:
         *ids, host, url, html = page
-        root = dom.parse(html)
+        root = dom.parse(html, ended)
         dom.prepare(root, every)
         some = [(s, dom.text_of(n)) for s in texts if (n := dom.first(root, s)) is not None]
         counts = [(s, len(found), dom.text_of(found[0])[:80]) for s in census if (found := dom.select(root, s))]

@@ -178,3 +178,15 @@ def test_places_of_links_count_repeated_ones(spark, tmp_path):
 def test_fresh_links_of_pages_with_one_address(spark, tmp_path):
     rows = catalogue_queries.QUERIES["fr4_fresh_links"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
     assert sorted((r.listing, r.page, r.n_links, r.n_fresh) for r in rows) == [("h.vn", 1, 2, 2), ("h.vn", 2, 2, 1)]
+
+
+def test_references_that_end_or_not():
+    html = "<p title='?a&copy=1&amp;b'>x&amp;lt; &amp &ampx; &#65; &#66 &lt;</p>"
+    as_browsers, ended = dom.parse(html), dom.parse(html, ended=True)
+    assert dom.text_of(as_browsers) == "x&lt; & &x; A B <" and dom.text_of(ended) == "x&lt; &amp &ampx; A &#66 <"
+    assert dom.first(ended, "p").attrs["title"] == "?a&copy=1&b"
+
+
+def test_pick_keeps_a_reference_cut_short(spark, tmp_path):
+    rows = catalogue_queries.QUERIES["ex2_pick"](spark, two_pages_of_one_address(spark, tmp_path)).collect()
+    assert sorted(r.h1 for r in rows) == ["cut &&amp", "n"]
