@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,27 +60,34 @@ def page_facts(pages: DataFrame, selectors: dict[str, dict[str, str]], ended: bo
     return pages.select("url", "source", "html").mapInArrow(run, FACTS)
 
 
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, with x worked out once, however often f names it: in a lambda function it would be again for each element."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def product_images(urls: Column) -> Column:
     """Photos of merchandise, one for each key, those on a product path if any is, twelve at most."""
     fit = F.filter(urls, lambda u: u.startswith("http") & ~u.rlike(IMAGE_NOISE) & u.rlike(IMAGE_KINDS))
-    keys = F.transform(fit, T.image_key)
-    one = F.filter(F.transform(fit, lambda u, i: F.when(F.array_position(keys, F.get(keys, i)) == i + 1, u)), lambda u: u.isNotNull())
-    own = F.filter(one, lambda u: T.path_of(u).contains("/product") | T.host_of(u).startswith("product"))
-    chosen = F.when(F.size(own) > 0, own).otherwise(one)
-    return F.when(F.size(chosen) > 0, F.slice(chosen, 1, MAX_IMAGES))
+    firsts = lambda fit, keys: F.filter(fit, lambda u, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    one = _let(fit, lambda fit: _let(F.transform(fit, T.image_key), lambda keys: firsts(fit, keys)))
+    own = lambda one: F.filter(one, lambda u: T.path_of(u).contains("/product") | T.host_of(u).startswith("product"))
+    chosen = _let(one, lambda one: _let(own(one), lambda own: F.when(F.size(own) > 0, own).otherwise(one)))
+    return _let(chosen, lambda chosen: F.when(F.size(chosen) > 0, F.slice(chosen, 1, MAX_IMAGES)))
 
 
 def product_videos(ids: Column, frames: Column) -> Column:
     watched = F.transform(ids, lambda i: F.concat(F.lit("https://www.youtube.com/watch?v="), i))
-    both = F.array_distinct(F.concat(watched, frames))
-    return F.when(F.size(both) > 0, both)
+    return _let(F.array_distinct(F.concat(watched, frames)), lambda both: F.when(F.size(both) > 0, both))
 
 
 def _first_of_keys(pairs: Column) -> Column:
     """A map of (key, value) pairs in order of arrival, the first value of a key; null if empty."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    values = F.transform(keys, lambda k: F.get(F.filter(pairs, lambda p: p["key"] == k), 0)["value"])
-    return F.when(F.size(keys) > 0, F.map_from_arrays(keys, values))
+
+    def first(pairs: Column, keys: Column) -> Column:
+        values = F.transform(keys, lambda k: F.get(F.filter(pairs, lambda p: p["key"] == k), 0)["value"])
+        return F.when(F.size(keys) > 0, F.map_from_arrays(keys, values))
+
+    return _let(pairs, lambda pairs: _let(F.array_distinct(F.transform(pairs, lambda p: p["key"])), lambda keys: first(pairs, keys)))
 
 
 def product_specs(rows: Column) -> Column:
@@ -105,9 +112,12 @@ def product_sections(parts: Column, labels=T.SECTION_LABELS) -> Column:
     cut = F.aggregate(keyed, F.array().cast(kind), add)
     cut = F.transform(cut, lambda s: F.struct(s["key"].alias("key"), F.btrim(s["body"], F.lit(" :.-–—")).alias("body")))
     cut = F.filter(cut, lambda s: F.length(s["body"]) > 8)
-    keys = F.array_distinct(F.transform(cut, lambda s: s["key"]))
-    joined = F.transform(keys, lambda k: F.substring(F.array_join(F.transform(F.filter(cut, lambda s: s["key"] == k), lambda s: s["body"]), " "), 1, MAX_SECTION))
-    return F.when(F.size(keys) > 0, F.map_from_arrays(keys, joined))
+
+    def joined(cut: Column, keys: Column) -> Column:
+        bodies = F.transform(keys, lambda k: F.substring(F.array_join(F.transform(F.filter(cut, lambda s: s["key"] == k), lambda s: s["body"]), " "), 1, MAX_SECTION))
+        return F.when(F.size(keys) > 0, F.map_from_arrays(keys, bodies))
+
+    return _let(cut, lambda cut: _let(F.array_distinct(F.transform(cut, lambda s: s["key"])), lambda keys: joined(cut, keys)))
 
 
 def products(facts: DataFrame) -> DataFrame:

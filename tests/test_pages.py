@@ -219,3 +219,11 @@ def test_one_walk_a_page(monkeypatch):
 @pytest.mark.parametrize("name", ["ex9_misnested", "ex3_ex9_rich"])
 def test_small_files_are_parsed_on_all_cores(spark, sf, name):
     assert catalogue_queries.QUERIES[name](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_photos_are_keyed_once(spark):
+    """Forty photos, each in two sizes: twelve are left, the first of each key."""
+    urls = [f"https://s.vn/product/{k // 2}{'-30x30' if k % 2 else ''}.jpg" for k in range(80)]
+    found = spark.createDataFrame([(urls,)], "u array<string>").select(extract.product_images(F.col("u")).alias("x"))
+    assert found.first().x == urls[:24:2]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("2,4}x") == 1
