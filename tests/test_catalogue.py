@@ -114,6 +114,17 @@ def test_best_matches_over_all_prices(spark, seed):
     assert got == want
 
 
+def test_alike_items_of_many_shops_are_not_paired(spark, monkeypatch):
+    """Forty names of one formula in eight shops: 44,800 pairs match; tables stay as large as the result."""
+    rows = [(40 * s + k, f"shop{s}", f"npk word{k} name{k % 7}", "7-7-7", 10.0 + k / 10) for s in range(8) for k in range(40)]
+    sizes, stage = {}, compare.stage
+    monkeypatch.setattr(compare, "stage", lambda df, name: sizes.update({name: max(sizes.get(name, 0), (out := stage(df, name)).count())}) or out)
+    df = spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double")
+    best = {(r.a_id, r.source_b): (r.b_id, r.score) for r in compare.best_matches(df).collect()}
+    assert best == {(40 * s + k, f"shop{z}"): (40 * z + k, 3) for s in range(8) for z in range(8) if s != z for k in range(40)}
+    assert max(sizes.values()) <= 8 * len(rows), sizes
+
+
 def test_price_ratio_limit(spark):
     rows = [(1, "a", "dau trau sao", None, 100.0), (2, "b", "dau trau sao", None, 400.0), (3, "c", "dau trau sao", None, 401.0)]
     got = compare.matches(spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double")).collect()
