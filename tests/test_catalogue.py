@@ -390,3 +390,12 @@ def test_what_a_batch_writes_follows_the_batch(spark, tmp_path, newest):
     assert len(list((tmp_path / "t" / "parts").iterdir())) <= 2 * len(now["parts"]) + 4
     put(spark, path, [(f"k{k}", 99, 1.0) for k in range(4000)], newest=newest)
     assert len(commits.state(spark, path)["parts"]) == 1 and sum(p == 1.0 for _, _, p in held(spark, path)) == 4000
+
+
+def test_shared_tokens_of_a_pair_are_worked_out_once(spark):
+    """No join of all pairs tests tokens, which stand once beside each pair that prices and formulas allow."""
+    rows = [(k, f"shop{k % 5}", "dau trau sao vang", f"{k}-1-1", 10.0) for k in range(20)]
+    found = compare.matches(spark.createDataFrame(rows, "item_id long, source string, name string, npk string, per_kg double"))
+    assert found.collect() == []
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Join Inner" in x and "array_intersect" in x] and sum(x.count("array_intersect") for x in plan) == 2
